@@ -8,16 +8,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, langid, tokenfile
-from cytoframe.llm.shared import fold, shared_folder, table, written
+from cytoframe.llm import bpe, decontam, langid, linededup, setjoin, tokenfile, toxicity
+from cytoframe.llm.shared import fold, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = toxicity.train(docs, table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    return toxicity.score(docs.withColumn("held_out", fold("doc_id", 5) == 0), field, keep=("doc_id", "held_out"))
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
     tokenfile.write_token_file(table(spark, sf_dir, "documents"), path, TOKENIZER)
@@ -30,5 +49,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.withColumn("held_out", fold("doc_id", 4) == 2), net, keep=("doc_id", "held_out"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_roundtrip, op8_token_file, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe_roundtrip, op3_toxicity, op6_ngram_jaccard, op7_decontamination, op8_token_file, op10_language_id)}
 ORACLE: dict[str, str] = {}

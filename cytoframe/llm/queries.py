@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, decontam, langid, linededup, setjoin, tokenfile, toxicity
+from cytoframe.llm import bpe, decontam, embeddings, langid, linededup, setjoin, tokenfile, toxicity
 from cytoframe.llm.shared import fold, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", fold("doc_id", 5) == 0), field, keep=("doc_id", "held_out"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.withColumn("held_out", fold("doc_id", 4) == 2), net, keep=("doc_id", "held_out"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe_roundtrip, op3_toxicity, op6_ngram_jaccard, op7_decontamination, op8_token_file, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe_roundtrip, op3_toxicity, op5_embedding_dedup, op6_ngram_jaccard, op7_decontamination, op8_token_file, op10_language_id)}
 ORACLE: dict[str, str] = {}

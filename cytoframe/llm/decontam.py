@@ -16,11 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cytoframe.llm.hashing import U64, mix, word_hashes
-from cytoframe.llm.shared import packed, ragged, slices
+from cytoframe.llm.shared import in_slots, packed, ragged, repeated_slots, slices
 
 MASKS = ("111111", "110110111", "1101010111", "101101001011")
 SPAN, SHARE = 13, 0.8
-SLOTS = 1 << 26
 SIDE = 64  # words kept on either side of a hit for its verification; more than SPAN
 
 
@@ -77,28 +76,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, *, span: int = SPAN, share:
 
     Words are runs of letters and digits, ASCII case folded. Null texts and texts or items of fewer words than the shortest mask
     overlap with nothing; so do rows whose id is null. Repeated rows give one pair; empty tables give none.
-    The documents are scanned once: seeds are tested against a bitmap of SLOTS bits (its size is fixed, whatever the benchmark's
+    The documents are scanned once: seeds are tested against a bitmap (its size is fixed, whatever the benchmark's
     size) and only seeds that pass leave the scan, with the words around them, for an equi-join with the benchmark's seeds.
     """
-    spark = docs.sparkSession
     known = benchmark.select(F.col("item_id").cast("long").alias("_item"), F.col("text").alias("_text")).where("_item is not null")
     items = known.mapInArrow(_item_seeds, "_seed long, _item long, _at int").distinct()
     words = known.mapInArrow(_item_words, "_item long, _words binary").distinct()
-    word = F.pmod(F.col("_seed"), F.lit(SLOTS))
-    bits = items.select(word.alias("_slot")).groupBy(F.expr("_slot div 64").alias("_cell")).agg(F.expr("bit_or(shiftleft(1L, int(_slot % 64)))").alias("_bits")).toPandas()
-    cells = np.zeros(SLOTS // 64, np.int64)
-    cells[bits["_cell"].to_numpy(np.int64)] = bits["_bits"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(cells)
+    shared = repeated_slots(items, "_seed")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = shared.value.view(U64)
         for batch in batches:
             for part in slices(batch, "_text"):
                 h, _, _, counts = word_hashes(*packed(part.column(1)), letters=True)
                 begin = np.cumsum(counts) - counts
                 seeds, at = seed_hashes(h, counts)
-                slot = seeds & U64(SLOTS - 1)
-                hit = np.flatnonzero((have[slot >> U64(6)] >> (slot & U64(63))) & U64(1))
+                hit = np.flatnonzero(in_slots(shared.value, seeds))
                 if not len(hit):
                     continue
                 owner = np.repeat(np.arange(part.num_rows), counts)[at[hit]]

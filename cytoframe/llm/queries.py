@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, decontam, embeddings, langid, linededup, setjoin, tokenfile, toxicity
+from cytoframe.llm import bpe, chunks, decontam, embeddings, langid, linededup, runindex, setjoin, tokenfile, toxicity
 from cytoframe.llm.shared import fold, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", fold("doc_id", 5) == 0), field, keep=("doc_id", "held_out"))
 
 
+def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.dedup_chunks(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -47,11 +51,15 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_file(spark, path)
 
 
+def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runindex.drop_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = langid.train(docs.where(fold("doc_id", 4) != 2))
     return langid.predict(docs.withColumn("held_out", fold("doc_id", 4) == 2), net, keep=("doc_id", "held_out"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe_roundtrip, op3_toxicity, op5_embedding_dedup, op6_ngram_jaccard, op7_decontamination, op8_token_file, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe_roundtrip, op3_toxicity, op4_chunk_dedup, op5_embedding_dedup, op6_ngram_jaccard, op7_decontamination, op8_token_file, op9_repeated_substrings, op10_language_id)}
 ORACLE: dict[str, str] = {}

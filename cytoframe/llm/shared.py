@@ -92,3 +92,22 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def binary_column(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary array over existing bytes."""
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+
+
+SLOTS = 1 << 27
+
+
+def repeated_slots(values: DataFrame, column: str):
+    """A broadcast bitmap of SLOTS bits, whatever the input's size, with the slots of the given 64-bit hashes."""
+    rows = values.select(F.pmod(F.col(column), F.lit(SLOTS)).alias("_slot")).groupBy(F.expr("_slot div 64").alias("_cell")).agg(F.expr("bit_or(shiftleft(1L, int(_slot % 64)))").alias("_bits"))
+    found = rows.toPandas()
+    cells = np.zeros(SLOTS // 64, np.int64)
+    cells[found["_cell"].to_numpy(np.int64)] = found["_bits"].to_numpy(np.int64)
+    return values.sparkSession.sparkContext.broadcast(cells)
+
+
+def in_slots(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the slot of each hash is set: true for every hash put in, and for a few others."""
+    have, h = cells.view(np.uint64), hashes.astype(np.uint64, copy=False)
+    slot = h & np.uint64(SLOTS - 1)
+    return ((have[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)

@@ -1,4 +1,627 @@
 """Registered queries of the engine and their DuckDB texts."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from cytoframe.functions import seq
+from cytoframe.operators import adapters, barcodes, features, intervals, umi
+from cytoframe.operators.matrix import Matrix
+from cytoframe.plans import views
+from cytoframe.plans.views import t
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLE[f.__name__] = views.with_views(oracle)
+        return f
+
+    return register
+
+
+def _matrix(s: SparkSession, d: str) -> Matrix:
+    return Matrix.from_tags(views.tags(s, d))
+
+
+KEEP = "cells as (select cell from matrix group by 1 having count(*) >= 20), feats as (select feature from matrix group by 1 having count(*) >= 3)"
+
+
+# ---- expression matrix -------------------------------------------------------------------------------------------------------
+@query("select feature, cell, value from matrix")
+def expression_matrix_genes(s, d):
+    return _matrix(s, d).values
+
+
+@query("select concat(gene, '.', chr) as feature, cb as cell, count(distinct ub) as value from tags group by 1, 2")
+def expression_matrix_transcripts(s, d):
+    return Matrix.from_tags(views.tags(s, d).withColumn("tr", F.concat_ws(".", "gene", "chr")), "tr").values
+
+
+@query("select gene as feature, cb as cell, cast(sum(n) as bigint) as value from (select gene, cb, chr, count(distinct ub) as n from tags group by 1, 2, 3) group by 1, 2")
+def matrix_merge_shards(s, d):
+    tags = views.tags(s, d)
+    return Matrix.merged(*[Matrix.from_tags(tags.where(F.col("chr") == c)) for c in ("A", "N", "R")]).values
+
+
+@query(f"with {KEEP} select feature, cell, value from matrix where cell in (select * from cells) and feature in (select * from feats)")
+def matrix_filter_simultaneous(s, d):
+    return _matrix(s, d).remove_cells_and_features(20, 3).values
+
+
+@query("with c as (select * from matrix where cell in (select cell from matrix group by 1 having count(*) >= 20)) select feature, cell, value from c where feature in (select feature from c group by 1 having count(*) >= 60)")
+def matrix_filter_cells_then_features(s, d):
+    return _matrix(s, d).remove_cells(20).remove_features(60).values
+
+
+@query("with f as (select * from matrix where feature in (select feature from matrix group by 1 having count(*) >= 60)) select feature, cell, value from f where cell in (select cell from f group by 1 having count(*) >= 20)")
+def matrix_filter_features_then_cells(s, d):
+    return _matrix(s, d).remove_features(60).remove_cells(20).values
+
+
+@query("select cell, round(sum(case when contains(feature, 'MT-') then value else 0 end) / sum(value), 6) as share from matrix group by 1")
+def matrix_mito_pct(s, d):
+    return _matrix(s, d).share(["MT-"]).select("cell", F.round("share", 6).alias("share"))
+
+
+@query("select feature, cell, value from matrix where cell in (select cell from matrix group by 1 having sum(case when contains(feature, 'MT-') then value else 0 end) / sum(value) <= 0.05)")
+def matrix_mito_filter(s, d):
+    return _matrix(s, d).remove_skewed_cells(0.05, ["MT-"]).values
+
+
+@query("select feature, cell, round(log10(1 + value * 10000.0 / total), 6) as value from matrix join (select cell, sum(value) as total from matrix group by 1) using (cell)")
+def matrix_normalize_log(s, d):
+    return _matrix(s, d).normalize(10000.0).log_transform().values.withColumn("value", F.round("value", 6))
+
+
+@query("select distinct feature from matrix where not (contains(feature, 'MT-') or contains(feature, '39'))")
+def matrix_find_features_inverse(s, d):
+    return _matrix(s, d).find_features(["MT-", "39"], inverse=True)
+
+
+@query(
+    f"with {KEEP}, kept as (select * from matrix where cell in (select * from cells) and feature in (select * from feats)), ok as (select cell from kept group by 1 having sum(case when contains(feature, 'MT-') then value else 0 end) / sum(value) <= 0.2), "
+    "m as (select * from kept where cell in (select * from ok)), tot as (select cell, sum(value) as total, count(*) as n from m group by 1) "
+    "select m.cell, round(sum(log10(1 + value * 10000.0 / total)) / (select count(*) from feats), 6) as mean_expression, cast(any_value(total) as bigint) as umis, any_value(n) as n_features from m join tot using (cell) group by 1"
+)
+def matrix_processed_flagship(s, d):
+    """Counts, simultaneous masks, mitochondrial filter, normalisation, log and cell means in one plan."""
+    kept = _matrix(s, d).remove_cells_and_features(20, 3).remove_skewed_cells(0.2, ["MT-"])
+    stats = kept.values.groupBy("cell").agg(F.sum("value").alias("umis"), F.count("*").alias("n_features"))
+    mean = kept.normalize(10000.0).log_transform().mean_expression()
+    return mean.join(stats, "cell").select("cell", F.round("mean_expression", 6).alias("mean_expression"), "umis", "n_features")
+
+
+@query("select cell, round(sum(value) / (select count(distinct feature) from matrix), 6) as mean_expression from matrix group by 1")
+def cell_mean_expression(s, d):
+    return _matrix(s, d).mean_expression().withColumn("mean_expression", F.round("mean_expression", 6))
+
+
+@query("select median(s) as median_counts, cast(median(f) as double) as median_features, count(*) as n_cells from (select cell, sum(value) as s, count(*) as f from matrix group by 1)")
+def matrix_median_stats(s, d):
+    return _matrix(s, d).medians()
+
+
+@query("select feature, cast(coalesce(sum(value) filter (cell = 'c1'), 0) as bigint) as c1, cast(coalesce(sum(value) filter (cell = 'c2'), 0) as bigint) as c2, cast(coalesce(sum(value) filter (cell = 'c3'), 0) as bigint) as c3 from matrix group by 1")
+def matrix_pivot_dense(s, d):
+    return _matrix(s, d).dense(["c1", "c2", "c3"])
+
+
+@query("select r as row, c as col, value from matrix join (select feature, row_number() over (order by feature) as r from (select distinct feature from matrix)) using (feature) join (select cell, row_number() over (order by cell) as c from (select distinct cell from matrix)) using (cell)")
+def mex_triples(s, d):
+    return _matrix(s, d).triples()
+
+
+SPATIAL = "select concat('F', l_partkey % 50) as feature, concat('s_002um_', lpad(cast(l_suppkey % 40 as string), 5, '0'), '_', lpad(cast(l_orderkey % 40 as string), 5, '0'), '-1') as cell, count(*) as value from lineitem group by 1, 2"
+
+
+def _spatial(s, d) -> Matrix:
+    t(s, d, "lineitem").createOrReplaceTempView("lineitem")
+    return Matrix.from_values(s.sql(SPATIAL))
+
+
+@query(f"select feature, concat('bin_', cast(substr(cell, 9, 5) as int) // 4, '_', cast(substr(cell, 15, 5) as int) // 4) as cell, cast(sum(value) as bigint) as value from ({SPATIAL}) group by 1, 2")
+def spatial_bin_8um(s, d):
+    return _spatial(s, d).bin_cells(4).values
+
+
+@query(f"select cell, cast(substr(cell, 9, 5) as int) as x, cast(substr(cell, 15, 5) as int) as y, cast(sum(value) as bigint) as total from ({SPATIAL}) where regexp_matches(cell, '^s_002um_[0-9]{{5}}_[0-9]{{5}}-1$') group by 1, 2, 3")
+def spatial_coordinate_join(s, d):
+    m = _spatial(s, d)
+    xy = m.cells.where(F.col("cell").rlike(r"^s_002um_\d{5}_\d{5}-1$")).select("cell", F.regexp_extract("cell", r"_(\d{5})_(\d{5})", 1).cast("int").alias("x"), F.regexp_extract("cell", r"_(\d{5})_(\d{5})", 2).cast("int").alias("y"))
+    return xy.join(m.values.groupBy("cell").agg(F.sum("value").alias("total")), "cell", "left")
+
+
+@query("select feature, cell, value from matrix where feature in ('G100', 'G200', 'MT-3')")
+def goi_expression(s, d):
+    genes = s.createDataFrame([("G100",), ("G200",), ("MT-3",), ("absent",)], "feature string")
+    return _matrix(s, d).values.join(genes, "feature", "left_semi")
+
+
+@query("select 1.0::double as frac, count(*) as n_reads, count(distinct concat_ws('|', ub, cb, gene)) as n_umis, round(1 - count(distinct concat_ws('|', ub, cb, gene)) / count(*), 6) as saturation from tags")
+def seq_saturation_full(s, d):
+    n = F.countDistinct("ub", "cb", "gene")
+    return views.tags(s, d).agg(F.lit(1.0).alias("frac"), F.count("*").alias("n_reads"), n.alias("n_umis"), F.round(1 - n / F.count("*"), 6).alias("saturation"))
+
+
+@query()
+def seq_saturation_curve(s, d):
+    """Nested samples by a hash of the read: one pass keeps the smallest hash of every distinct UMI, then counts those below each fraction."""
+    u = F.pmod(F.xxhash64("ub", "cb", "gene", "l_linenumber", "l_quantity", "l_partkey"), F.lit(1 << 40)) / float(1 << 40)
+    read = views.tags(s, d).withColumn("_u", u)
+    fracs = [1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.04, 0.03, 0.02, 0.01]
+    per = read.groupBy("ub", "cb", "gene").agg(F.min("_u").alias("_m"), *[F.count_if(F.col("_u") < f).alias(f"_r{i}") for i, f in enumerate(fracs)])
+    wide = per.agg(*[F.sum(f"_r{i}").alias(f"_r{i}") for i in range(15)], *[F.count_if(F.col("_m") < f).alias(f"_n{i}") for i, f in enumerate(fracs)])
+    rows = F.explode(F.array(*[F.struct(F.lit(f).alias("frac"), F.col(f"_r{i}").alias("n_reads"), F.col(f"_n{i}").alias("n_umis")) for i, f in enumerate(fracs)]))
+    return wide.select(rows.alias("x")).select("x.*").withColumn("saturation", F.coalesce(1 - F.try_divide("n_umis", "n_reads"), F.lit(0.0)))
+
+
+# ---- barcodes ----------------------------------------------------------------------------------------------------------------
+@query("select cr as barcode, count(*) as count from reads where cr in (select barcode from whitelist) and list_min(list_transform(string_split(cy, ''), lambda c: ascii(c) - 33)) >= 15 group by 1")
+def barcode_hq_counts(s, d):
+    good = views.reads(s, d).where(seq.phred_min(F.col("cy")) >= 15)
+    return good.join(views.whitelist(s, d).withColumnRenamed("barcode", "cr"), "cr", "left_semi").groupBy(F.col("cr").alias("barcode")).count()
+
+
+COUNTS = "counts as (select cr as barcode, count(*) as count from reads group by 1)"
+
+
+def _counts(s, d) -> DataFrame:
+    return views.reads(s, d).groupBy(F.col("cr").alias("barcode")).count()
+
+
+@query(f"with {COUNTS} select barcode, count from counts where count >= (select quantile_cont(count, 0.95) / 20 from (select count from counts order by count desc, barcode limit 100))")
+def knee_quantile(s, d):
+    return barcodes.quantile_knee(_counts(s, d), 100)
+
+
+@query(f"with {COUNTS} select barcode, count from counts order by count desc, barcode limit 75")
+def knee_fixed(s, d):
+    return barcodes.fixed_knee(_counts(s, d), 75)
+
+
+@query(f"with {COUNTS} select barcode, count from counts where count >= 10")
+def knee_abundance(s, d):
+    return barcodes.abundance_knee(_counts(s, d), 10)
+
+
+@query(
+    f"with {COUNTS}, h as (select count, sum(n) over (order by count desc) - 1 as r from (select count, count(*) as n from counts group by 1)), e as (select max_by(count, r) as y1, max(r) as x1, min_by(count, r) as y0, min(r) as x0 from h), "
+    "g as (select count, abs((y1 - y0) * (r - x0) - (count - y0) * (x1 - x0)) as gap from h, e) select barcode, count from counts where count >= (select count from g order by gap desc, count desc limit 1)"
+)
+def knee_distance(s, d):
+    return barcodes.distance_knee(_counts(s, d))
+
+
+@query(f"with {COUNTS} select barcode, count from counts")
+def shortlist_unfiltered(s, d):
+    return _counts(s, d)
+
+
+@query(f"with {COUNTS} select stat, val from (select count(*) as cells, cast(sum(count) as bigint) as reads, cast(max(count) as bigint) as most from counts) unpivot (val for stat in (cells, reads, most))")
+def shortlist_summary(s, d):
+    one = _counts(s, d).agg(F.count("*").alias("cells"), F.sum("count").alias("reads"), F.max("count").alias("most"))
+    return one.unpivot([], ["cells", "reads", "most"], "stat", "val")
+
+
+def _correction_sql(blocked: bool) -> str:
+    km = "select {c}, unnest(list_distinct(list_transform(generate_series(0, 10), lambda i: substr({c}, i + 1, 5)))) as k from {t}"
+    pairs = f"select distinct cr, wl from ({km.format(c='cr', t='d')}) a join ({km.format(c='wl', t='w')}) b using (k)" if blocked else "select cr, wl from d, w"
+    return (
+        "with w as (select barcode as wl from whitelist), d as (select distinct cr from reads where cr not in (select barcode from whitelist)), "
+        f"p as (select cr, wl, levenshtein(cr, wl) as ed from ({pairs}) where levenshtein(cr, wl) <= 5), q as (select *, row_number() over (partition by cr order by ed, wl) as r from p), "
+        "b as (select d.cr, a.wl, a.ed, coalesce(z.ed, length(d.cr)) - a.ed as gap from d left join (select * from q where r = 1) a using (cr) left join (select * from q where r = 2) z using (cr)), "
+        "res as (select distinct cr, cr as cb, 'bc_shortlist_exact_match' as reason from reads where cr in (select barcode from whitelist) union all "
+        "select cr, case when ed <= 2 and gap >= 2 then wl end, case when ed is null or ed > 2 then 'bc_no_shortlist_match' when gap >= 2 then 'bc_corrected' else 'bc_shortlist_multiple_hits' end from b) "
+    )
+
+
+@query(_correction_sql(True) + "select cr, cb, reason from res")
+def barcode_correct_kmer(s, d):
+    return barcodes.correct(views.reads(s, d), views.whitelist(s, d))
+
+
+@query(_correction_sql(False) + "select cr, cb, reason from res")
+def barcode_correct_full(s, d):
+    return barcodes.correct(views.reads(s, d), views.whitelist(s, d), blocked=False)
+
+
+@query(_correction_sql(True) + "select reason, count(*) as count from reads join res using (cr) group by 1")
+def barcode_reason_counts(s, d):
+    r = views.reads(s, d)
+    return r.join(barcodes.correct(r, views.whitelist(s, d)), "cr").groupBy("reason").count()
+
+
+@query(_correction_sql(True) + "select cb, count(*) as count from reads join res using (cr) where cb is not null and length(cr) >= 14 group by 1")
+def barcode_assigned_counts(s, d):
+    r = views.reads(s, d).where(F.length("cr") >= 16 - 2)
+    return r.join(barcodes.correct(r, views.whitelist(s, d)), "cr").where("cb is not null").groupBy("cb").count()
+
+
+# ---- UMIs --------------------------------------------------------------------------------------------------------------------
+CLUSTER = (
+    "with recursive n as (select gene, cb, ur, count(*) as n from rr group by 1, 2, 3), e as (select a.gene, a.cb, a.ur as u, b.ur as v from n a join n b on a.gene = b.gene and a.cb = b.cb and a.ur <> b.ur and levenshtein(a.ur, b.ur) <= 2 and a.n >= 2 * b.n - 1), "
+    "reach as (select gene, cb, ur as u, ur as v from n union select r.gene, r.cb, r.u, e.v from reach r join e on r.gene = e.gene and r.cb = e.cb and r.v = e.u), "
+    "ranked as (select r.gene, r.cb, r.v as ur, r.u as ub, row_number() over (partition by r.gene, r.cb, r.v order by n.n desc, r.u) as k from reach r join n on n.gene = r.gene and n.cb = r.cb and n.ur = r.u) "
+)
+
+
+def _clustered(s, d, gene) -> DataFrame:
+    return umi.cluster(views.reads(s, d).where("user_id % 3 = 1").select(gene.alias("gene"), F.col("user_id").cast("string").alias("cb"), "ur"))
+
+
+@query(CLUSTER.replace("with recursive n", "with recursive rr as (select gene, cast(user_id as string) as cb, ur from reads where user_id % 3 = 1), n") + "select gene, cb, ur, ub from ranked where k = 1")
+def umi_cluster(s, d):
+    return _clustered(s, d, F.col("gene"))
+
+
+REGION = "concat_ws('_', chr, cast(floor(floor((start + start + 700) / 2) / 1000) * 1000 as bigint), cast(ceil(floor((start + start + 700) / 2) / 1000) * 1000 as bigint))"
+
+
+@query(CLUSTER.replace("with recursive n", f"with recursive rr as (select case when gene = 'click' then {REGION} else gene end as gene, cast(user_id as string) as cb, ur from reads where user_id % 3 = 1), n") + "select gene, cb, ur, ub from ranked where k = 1")
+def umi_region_fallback(s, d):
+    """Reads without a gene (here: one event type) are clustered by region."""
+    return _clustered(s, d, F.when(F.col("gene") == "click", seq.region_label(F.col("chr"), F.col("start"), F.col("start") + 700)).otherwise(F.col("gene")))
+
+
+@query("select read_id, substr(ur, 1, cast(length(ur) - read_id % 2 as int)) as ub from reads where length(ur) - read_id % 2 = 12")
+def umi_length_filter(s, d):
+    return views.reads(s, d).select("read_id", F.expr("substr(ur, 1, int(length(ur) - read_id % 2))").alias("ub")).where("length(ub) = 12")
+
+
+# ---- adapters and sequences --------------------------------------------------------------------------------------------------
+ADAPT = (
+    "with w as (select *, lead(target) over q as t2, lead(qilo) over q as lo2, lead(qihi) over q as hi2 from hits window q as (partition by query order by qilo, target)), "
+    "p as (select *, concat_ws('-', target, t2) as c from w where concat_ws('-', target, t2) in ('adapter1_f-adapter2_f', 'adapter2_r-adapter1_r') and t2 is not null), "
+    "f as (select query, concat(query, '_', row_number() over (partition by query order by case when target = 'adapter1_f' then 0 else 1 end, qilo) - 1) as read_id, case when target = 'adapter1_f' then qilo - 1 else qihi end as start, case when target = 'adapter1_f' then lo2 - 1 else hi2 end as \"end\", true as fl, case when target = 'adapter1_f' then '+' else '-' end as strand, c as adapter_config, 'full_len' as lab from p), "
+    "r as (select query, string_agg(target, '-' order by qilo, target) as c, min(qilo) as lo, max(qihi) as hi, max(ql) as ql from hits group by 1 having query not in (select query from f)), "
+    "s as (select * from f union all select query, concat(query, '_0'), case when c in ('adapter1_f', 'adapter2_r') then lo - 1 else 0 end, case when c in ('adapter2_f', 'adapter1_r') then hi else ql end, false, case when c in ('adapter1_f', 'adapter2_f') then '+' when c in ('adapter1_r', 'adapter2_r') then '-' else '*' end, c, case c when 'adapter1_f' then 'single_adapter1' when 'adapter1_r' then 'single_adapter1' when 'adapter2_f' then 'single_adapter2' when 'adapter2_r' then 'single_adapter2' else 'other' end from r) "
+)
+
+
+@query(ADAPT + "select query, read_id, start, \"end\", fl, strand, adapter_config, lab from s")
+def adapter_labels(s, d):
+    return adapters.subreads(views.hits(s, d))
+
+
+@query(ADAPT + "select query, read_id, start, \"end\" from s where fl")
+def adapter_pairs(s, d):
+    return adapters.subreads(views.hits(s, d)).where("fl").select("query", "read_id", "start", "end")
+
+
+@query("select query, string_agg(target, '-' order by qilo, target) as config from hits group by 1")
+def adapter_config_string(s, d):
+    return views.hits(s, d).groupBy("query").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("qilo", "target"))), lambda h: h["target"]), "-").alias("config"))
+
+
+@query(ADAPT + "select lab, count(*) as subreads, count(*) filter (fl) as full_length, count(*) filter (strand <> '*') as stranded, count(*) filter (strand = '+') as plus, count(*) filter (strand = '-') as minus from s group by 1")
+def adapter_summary(s, d):
+    r = adapters.subreads(views.hits(s, d))
+    return r.groupBy("lab").agg(F.count("*").alias("subreads"), F.count_if("fl").alias("full_length"), F.count_if(F.col("strand") != "*").alias("stranded"), F.count_if(F.col("strand") == "+").alias("plus"), F.count_if(F.col("strand") == "-").alias("minus"))
+
+
+@query("select read_id, translate(reverse(cr), 'ACGTacgt', 'TGCAtgca') as rc from reads")
+def revcomp(s, d):
+    return views.reads(s, d).select("read_id", seq.reverse_complement(F.col("cr")).alias("rc"))
+
+
+@query("select read_id, list_min(list_transform(string_split(cy, ''), lambda c: ascii(c) - 33)) as q from reads")
+def phred_min(s, d):
+    return views.reads(s, d).select("read_id", seq.phred_min(F.col("cy")).alias("q"))
+
+
+@query("select read_id, substr(cr, 4, 9) as part from reads")
+def subseq_trim(s, d):
+    return views.reads(s, d).select("read_id", seq.subsequence(F.col("cr"), F.lit(3), F.lit(12)).alias("part"))
+
+
+@query("select n_nationkey, concat(right('CTACACGACGCTCTTCCGATCT', 10), repeat('N', cast(14 + n_nationkey % 3 as int)), repeat('N', 12), case when n_nationkey % 2 = 0 then repeat('T', 10) else 'TTTCTTATATGGG' end) as probe from nation")
+def probe_sequence(s, d):
+    n = F.col("n_nationkey")
+    return t(s, d, "nation").select("n_nationkey", F.concat(F.lit("CTACACGACGCTCTTCCGATCT"[-10:]), F.expr("repeat('N', int(14 + n_nationkey % 3))"), F.lit("N" * 12), F.when(n % 2 == 0, "T" * 10).otherwise("TTTCTTATATGGG")).alias("probe"))
+
+
+@query("select k as kmer, count(*) as count from (select unnest(list_transform(generate_series(0, 10), lambda i: substr(cr, i + 1, 5))) as k from reads) group by 1")
+def kmers(s, d):
+    return views.reads(s, d).select(F.explode(seq.kmers(F.col("cr"), 5)).alias("kmer")).groupBy("kmer").count()
+
+
+@query("select read_id, levenshtein(cr, c) as ed from (select read_id, cr, substr(cr, 2) as c from reads)")
+def edit_distance(s, d):
+    return views.reads(s, d).select("read_id", F.levenshtein("cr", F.expr("substr(cr, 2)")).alias("ed"))
+
+
+@query("select query, string_agg(case when target like '%\\_f' escape '\\' then replace(target, '_f', '_r') else replace(target, '_r', '_f') end, '-' order by qilo desc, target desc) as config from hits group by 1")
+def config_reverse(s, d):
+    return adapter_config_string(s, d).select("query", seq.reverse_config(F.col("config")).alias("config"))
+
+
+@query("select read_id, case when read_id % 2 = 0 then translate(reverse(substr(cr, 3, 10)), 'ACGT', 'TGCA') else substr(cr, 3, 10) end as seq, case when read_id % 2 = 0 then reverse(substr(cy, 3, 10)) else substr(cy, 3, 10) end as qual from reads where read_id % 5 <> 0")
+def stranded_subreads(s, d):
+    r = views.reads(s, d).where("read_id % 5 <> 0").select("read_id", seq.subsequence(F.col("cr"), F.lit(2), F.lit(12)).alias("s"), seq.subsequence(F.col("cy"), F.lit(2), F.lit(12)).alias("q")).where("length(s) > 0")
+    flip = F.col("read_id") % 2 == 0
+    return r.select("read_id", F.when(flip, seq.reverse_complement(F.col("s"))).otherwise(F.col("s")).alias("seq"), F.when(flip, F.reverse("q")).otherwise(F.col("q")).alias("qual"))
+
+
+# ---- features ----------------------------------------------------------------------------------------------------------------
+ALN = "select distinct l_orderkey as read_id, concat('tr', cast(l_partkey % 500 as string)) as query_transcript, cast(l_quantity as int) as aln_score, l_discount * 10 as tr_cov, l_tax * 10 as q_cov, cast(l_linenumber % 3 as int) as tr_mapq from lineitem"
+TMAP = "select concat('tr', cast(p_partkey as string)) as qry_id, concat('ref', cast(p_partkey % 300 as string)) as ref_id, case p_size % 8 when 0 then 'i' when 1 then 's' else '=' end as class_code from part where p_partkey < 500"
+ANNO = "select distinct concat('ref', cast(p_partkey % 300 as string)) as ref_id, concat('gene', cast(p_partkey % 300 % 60 as string)) as gene_name from part where p_partkey % 300 <> 7"
+GENO = "select o_orderkey as read_id, cast(o_custkey % 61 as int) as mapq from orders"
+ASSIGN = (
+    f"with j as (select a.read_id, query_transcript, aln_score, tr_cov, q_cov, tr_mapq, mapq, gene_name as gene, case when class_code in ('i', 'y', 'p', 's') then '-' else ref_id end as transcript from ({ALN}) a join ({TMAP}) on query_transcript = qry_id join ({ANNO}) using (ref_id) join ({GENO}) using (read_id)), "
+    "c as (select *, count(*) over (partition by read_id) as n from j), "
+    "m as (select *, row_number() over b as r, lead(aln_score) over b as a2, lead(q_cov) over b as q2, lead(tr_cov) over b as t2, first_value(case when mapq < 30 then '-' else gene end) over (partition by read_id order by mapq desc, aln_score desc, q_cov desc, tr_cov desc, query_transcript) as g from c where n > 1 window b as (partition by read_id order by aln_score desc, q_cov desc, tr_cov desc, query_transcript)), "
+    "res as (select read_id, case when mapq < 30 then '-' else gene end as gene, transcript, 1 as kind from c where n = 1 and tr_mapq > 0 union all select read_id, g, case when ((aln_score <> a2 or q_cov <> q2) and tr_cov >= 0.4 and q_cov >= 0.4) or (not (aln_score <> a2 or q_cov <> q2) and tr_cov <> t2 and tr_cov > 0.8) then transcript else '-' end, 2 from m where r = 1) "
+)
+
+
+def _assigned(s, d) -> DataFrame:
+    for name in ("lineitem", "part", "orders"):
+        t(s, d, name).createOrReplaceTempView(name)
+    return features.assign_features(s.sql(ALN), s.sql(TMAP), s.sql(ANNO), s.sql(GENO))
+
+
+@query(ASSIGN + "select read_id, gene, transcript from res where gene <> '-' or transcript <> '-'")
+def feature_assign(s, d):
+    return _assigned(s, d)
+
+
+@query(ASSIGN + "select gene, count(*) as reads, count(*) filter (transcript <> '-') as with_transcript from res where gene <> '-' or transcript <> '-' group by 1")
+def feature_gene_summary(s, d):
+    return _assigned(s, d).groupBy("gene").agg(F.count("*").alias("reads"), F.count_if(F.col("transcript") != "-").alias("with_transcript"))
+
+
+@query("select class_code, count(*) as n, count(*) filter (class_code in ('i', 's')) as masked from (" + TMAP + ") group by 1")
+def feature_classcode_mask(s, d):
+    t(s, d, "part").createOrReplaceTempView("part")
+    return s.sql(TMAP).groupBy("class_code").agg(F.count("*").alias("n"), F.count_if(F.col("class_code").isin("i", "y", "p", "s")).alias("masked"))
+
+
+# ---- tags and sheets ---------------------------------------------------------------------------------------------------------
+@query("select read_id, cr, coalesce(f.gene, '-') as gene from reads r left join (select l_orderkey as k, min(concat('g', l_partkey)) as gene from lineitem group by 1) f on r.read_id = f.k")
+def tags_left_join_features(s, d):
+    f = t(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("read_id")).agg(F.min(F.concat(F.lit("g"), F.col("l_partkey"))).alias("feature"))
+    return views.reads(s, d).join(f, "read_id", "left").select("read_id", "cr", F.coalesce("feature", F.lit("-")).alias("gene"))
+
+
+@query("select o_orderkey as read_id, cr, o_custkey from orders join reads on o_orderkey = read_id")
+def sorted_id_join(s, d):
+    return t(s, d, "orders").join(views.reads(s, d), F.col("o_orderkey") == F.col("read_id")).select("read_id", "cr", "o_custkey")
+
+
+@query("select a.read_id, a.chr as aln_chr, t.cr from (select event_id as read_id, concat('chr', (user_id + event_id % 2) % 3) as chr from events) a join reads t on a.read_id = t.read_id where a.chr = t.chr or t.read_id % 4 = 0")
+def tag_lookup_with_sa(s, d):
+    """Tags apply on their own chromosome, those of split alignments (every fourth read) on any."""
+    r = views.reads(s, d).select("read_id", "cr", "chr")
+    a = t(s, d, "events").select(F.col("event_id").alias("read_id"), F.concat(F.lit("chr"), ((F.col("user_id") + F.col("event_id") % 2) % 3).cast("string")).alias("aln_chr"))
+    return a.join(r, "read_id").where((F.col("aln_chr") == F.col("chr")) | (F.col("read_id") % 4 == 0)).select("read_id", "aln_chr", "cr")
+
+
+@query("select read_id from reads where read_id not in (select l_orderkey from lineitem)")
+def untagged_anti(s, d):
+    return views.reads(s, d).join(t(s, d, "lineitem").select(F.col("l_orderkey").alias("read_id")), "read_id", "left_anti").select("read_id")
+
+
+@query("select n_name, split_part(concat(n_name, ':v', n_nationkey % 3), ':', 1) as kit_name, split_part(concat(n_name, ':v', n_nationkey % 3), ':', 2) as kit_version, r_name from nation left join region on n_regionkey = r_regionkey")
+def kit_config_join(s, d):
+    n = t(s, d, "nation").withColumn("kit", F.concat(F.col("n_name"), F.lit(":v"), (F.col("n_nationkey") % 3).cast("string")))
+    return n.join(t(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_name", F.split("kit", ":")[0].alias("kit_name"), F.split("kit", ":")[1].alias("kit_version"), "r_name")
+
+
+@query("select n_regionkey as analysis_group, count(*) as samples, count(*) = count(distinct n_name) as aliases_unique, bool_and(regexp_matches(concat('barcode', lpad(cast(n_nationkey as string), 2, '0')), '^barcode[0-9]{2,}$')) as barcodes_valid from nation group by 1")
+def sample_sheet_checks(s, d):
+    b = F.concat(F.lit("barcode"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    return t(s, d, "nation").groupBy(F.col("n_regionkey").alias("analysis_group")).agg(F.count("*").alias("samples"), (F.count("*") == F.countDistinct("n_name")).alias("aliases_unique"), F.bool_and(b.rlike(r"^barcode\d\d+$")).alias("barcodes_valid"))
+
+
+@query("select n_nationkey, n_name, cnt from (select * from nation where n_nationkey % 4 <> 0) full join (select s_nationkey, count(*) as cnt from supplier where s_nationkey % 3 <> 0 group by 1) on n_nationkey = s_nationkey")
+def sample_sheet_outer_join(s, d):
+    sheet = t(s, d, "nation").where("n_nationkey % 4 <> 0")
+    dirs = t(s, d, "supplier").where("s_nationkey % 3 <> 0").groupBy("s_nationkey").agg(F.count("*").alias("cnt"))
+    return sheet.join(dirs, F.col("n_nationkey") == F.col("s_nationkey"), "full").select("n_nationkey", "n_name", "cnt")
+
+
+@query("select 'missing' as side, n_nationkey as id from nation where n_nationkey not in (select s_nationkey from supplier where s_nationkey % 3 <> 0) union all select 'extra', s_nationkey from (select distinct s_nationkey from supplier) where s_nationkey not in (select n_nationkey from nation where n_nationkey < 20)")
+def id_set_equality(s, d):
+    sheet, seen = t(s, d, "nation").select(F.col("n_nationkey").alias("id")), t(s, d, "supplier").select(F.col("s_nationkey").alias("id")).distinct()
+    missing = sheet.join(seen.where("id % 3 <> 0"), "id", "left_anti").select(F.lit("missing").alias("side"), "id")
+    return missing.union(seen.join(sheet.where("id < 20"), "id", "left_anti").select(F.lit("extra").alias("side"), "id"))
+
+
+# ---- statistics --------------------------------------------------------------------------------------------------------------
+@query("select chr, count(*) as reads, count(distinct gene) as genes, count(distinct cr) as barcodes from reads group by 1")
+def expression_summary(s, d):
+    return views.reads(s, d).groupBy("chr").agg(F.count("*").alias("reads"), F.countDistinct("gene").alias("genes"), F.countDistinct("cr").alias("barcodes"))
+
+
+@query("select l_returnflag as key, cast(sum(l_linenumber) as bigint) as total from lineitem group by 1")
+def tsv_key_sum(s, d):
+    return t(s, d, "lineitem").groupBy(F.col("l_returnflag").alias("key")).agg(F.sum("l_linenumber").alias("total"))
+
+
+@query("select count(*) filter (l_linenumber & 1 = 0) as primary_aln, count(*) filter (l_linenumber & 1 = 1) as other_aln, count(*) filter (l_linenumber & 4 = 4) as unmapped, count(*) as total from lineitem")
+def bam_stats_sum(s, d):
+    f = F.col("l_linenumber")
+    return t(s, d, "lineitem").agg(F.count_if(f.bitwiseAND(1) == 0).alias("primary_aln"), F.count_if(f.bitwiseAND(1) == 1).alias("other_aln"), F.count_if(f.bitwiseAND(4) == 4).alias("unmapped"), F.count("*").alias("total"))
+
+
+@query("select statistic, count, round(100.0 * count / n, 4) as pct_of_input_reads from (select count(*) as n, count(*) as input, count(*) filter (gene <> 'click') as gene_tagged, count(*) filter (list_min(list_transform(string_split(cy, ''), lambda c: ascii(c) - 33)) >= 15) as high_quality from reads) unpivot (count for statistic in (input, gene_tagged, high_quality))")
+def survival_table(s, d):
+    one = views.reads(s, d).agg(F.count("*").alias("n"), F.count("*").alias("input"), F.count_if(F.col("gene") != "click").alias("gene_tagged"), F.count_if(seq.phred_min(F.col("cy")) >= 15).alias("high_quality"))
+    return one.unpivot(["n"], ["input", "gene_tagged", "high_quality"], "statistic", "count").select("statistic", "count", F.round(100.0 * F.col("count") / F.col("n"), 4).alias("pct_of_input_reads"))
+
+
+@query(f"with {COUNTS} select barcode, row_number() over (order by count desc, barcode) - 1 as rank from counts")
+def barcode_rank(s, d):
+    return _counts(s, d).select("barcode", (F.row_number().over(Window.orderBy(F.desc("count"), "barcode")) - 1).cast("long").alias("rank"))
+
+
+@query(f"with {COUNTS}, r as (select barcode, count, row_number() over (order by count desc, barcode) as n from counts) select barcode, count from r where n % 5 = 0")
+def rank_thinning(s, d):
+    r = _counts(s, d).withColumn("_n", F.row_number().over(Window.orderBy(F.desc("count"), "barcode")))
+    return r.where("_n % 5 = 0").select("barcode", "count")
+
+
+@query("select cast(length(text) // 500 as bigint) as bin, count(*) as n from documents group by 1")
+def read_length_hist(s, d):
+    return t(s, d, "documents").groupBy(F.floor(F.length("text") / 500).alias("bin")).agg(F.count("*").alias("n"))
+
+
+@query("with h as (select length(text) as l, count(*) as n from documents group by 1), c as (select l, sum(l * n) over (order by l desc) as s from h) select cast(max(l) as bigint) as n50 from c where s * 2 >= (select sum(l * n) from h)")
+def read_length_n50(s, d):
+    h = t(s, d, "documents").groupBy(F.length("text").cast("long").alias("l")).agg(F.count("*").alias("n"))
+    c = h.select("l", F.sum(F.col("l") * F.col("n")).over(Window.orderBy(F.desc("l"))).alias("_s"))
+    return c.join(F.broadcast(h.agg(F.sum(F.col("l") * F.col("n")).alias("_t")))).where("_s * 2 >= _t").agg(F.max("l").alias("n50"))
+
+
+# ---- fusions and genotypes ---------------------------------------------------------------------------------------------------
+FUSION = "select concat('F', cast(o_custkey % 200 as string)) as fusion, concat_ws(',', cast(o_orderkey as string), cast(o_orderkey + 1 as string), cast(o_custkey as string)) as reads from orders where o_orderkey % 10 = 0"
+FUSED = f"with x as (select fusion, cast(unnest(string_split(reads, ',')) as bigint) as read_id from ({FUSION})) "
+
+
+def _fusions(s, d) -> DataFrame:
+    t(s, d, "orders").createOrReplaceTempView("orders")
+    return s.sql(FUSION).select("fusion", F.explode(F.split("reads", ",")).alias("read_id")).withColumn("read_id", F.col("read_id").cast("long"))
+
+
+@query(FUSED + "select fusion, read_id from x")
+def fusion_explode(s, d):
+    return _fusions(s, d)
+
+
+FCELL = "j as (select fusion, user_id as cb, value as ub from x join events on read_id = event_id) "
+
+
+def _fused(s, d) -> DataFrame:
+    return _fusions(s, d).join(t(s, d, "events").select(F.col("event_id").alias("read_id"), F.col("user_id").alias("cb"), F.col("value").alias("ub")), "read_id")
+
+
+@query(FUSED + ", " + FCELL + "select fusion, count(distinct cb) as cells, count(distinct ub) as umis from j group by 1")
+def fusion_per_fusion(s, d):
+    return _fused(s, d).groupBy("fusion").agg(F.countDistinct("cb").alias("cells"), F.countDistinct("ub").alias("umis"))
+
+
+@query(FUSED + ", " + FCELL + ", c as (select cb, count(*) as n, count(distinct fusion) as f from j group by 1) select count(*) as cells, (select count(distinct fusion) from j) as fusions, cast(sum(n) as bigint) as rows, round(avg(n), 6) as mean_reads, round(avg(f), 6) as mean_fusions from c")
+def fusion_per_sample(s, d):
+    j = _fused(s, d)
+    per = j.groupBy("cb").agg(F.count("*").alias("n"), F.countDistinct("fusion").alias("f")).agg(F.count("*").alias("cells"), F.sum("n").alias("rows"), F.round(F.avg("n"), 6).alias("mean_reads"), F.round(F.avg("f"), 6).alias("mean_fusions"))
+    return per.join(j.agg(F.countDistinct("fusion").alias("fusions")))
+
+
+@query(FUSED + "select fusion, read_id, count(*) over (partition by fusion) as n from x where read_id not in (select event_id from events)")
+def fusion_unmatched(s, d):
+    x = _fusions(s, d)
+    n = x.join(t(s, d, "events").select(F.col("event_id").alias("read_id")), "read_id", "left_anti")
+    return n.join(n.groupBy("fusion").agg(F.count("*").alias("n")), "fusion")
+
+
+GT = "select concat('v', cast(l_partkey % 300 as string)) as variant, concat('c', cast(l_suppkey as string)) as cell, max(case l_linenumber % 4 when 0 then '0/0' when 1 then '0/1' when 2 then '1|1' else './.' end) as gt from lineitem group by 1, 2"
+CODE = "case when contains(gt, '.') then -1 else cast(substr(gt, 1, 1) as int) + cast(substr(gt, 3, 1) as int) end"
+
+
+def _genotypes(s, d) -> DataFrame:
+    t(s, d, "lineitem").createOrReplaceTempView("lineitem")
+    return s.sql(GT).select("variant", "cell", seq.genotype(F.col("gt")).alias("code"))
+
+
+@query(f"select variant, cell, {CODE} as code from ({GT})")
+def genotype_code(s, d):
+    return _genotypes(s, d)
+
+
+@query(f"select variant, cell, code from (select variant, cell, {CODE} as code from ({GT})) where code <> -1")
+def genotype_matrix(s, d):
+    """Reference homozygotes are stored as zeros, missing ones are not."""
+    return _genotypes(s, d).where("code != -1")
+
+
+@query(f"with g as (select variant, cell, {CODE} as code from ({GT})) select variant, coalesce(max(code) filter (cell = 'c1'), -1) as c1, coalesce(max(code) filter (cell = 'c2'), -1) as c2 from g where variant in (select distinct variant from g order by 1 limit 50) group by 1")
+def genotype_top_pivot(s, d):
+    g = _genotypes(s, d)
+    top = g.select("variant").distinct().orderBy("variant").limit(50)
+    return g.join(F.broadcast(top), "variant", "left_semi").groupBy("variant").pivot("cell", ["c1", "c2"]).agg(F.max("code")).na.fill(-1)
+
+
+@query(f"with g as (select variant, {CODE} as code from ({GT})) select variant, cast(sum(case when code >= 0 then code else 0 end) as bigint) as ac, cast(2 * count(*) filter (code >= 0) as bigint) as an, round(sum(case when code >= 0 then code else 0 end) / nullif(2 * count(*) filter (code >= 0), 0), 6) as af from g group by 1")
+def allele_fill_tags(s, d):
+    c = F.col("code")
+    a = _genotypes(s, d).groupBy("variant").agg(F.sum(F.when(c >= 0, c).otherwise(0)).alias("ac"), (2 * F.count_if(c >= 0)).alias("an"))
+    return a.select("variant", "ac", "an", F.round(F.try_divide("ac", "an"), 6).alias("af"))
+
+
+# ---- intervals ---------------------------------------------------------------------------------------------------------------
+@query("select id from intervals a where id % 3 = 0 and exists (select 1 from intervals b where b.id % 7 = 1 and a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\")")
+def interval_overlap_semi(s, d):
+    i = views.intervals(s, d)
+    return intervals.overlapping(i.where("id % 3 = 0"), i.where("id % 7 = 1")).select("id")
+
+
+@query("select id, start2 from (select a.id, b.start as start2, row_number() over (partition by a.id order by b.start, b.id) as r from intervals a join intervals b on a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\" where a.id % 3 = 0 and b.id % 7 = 1) where r = 1")
+def interval_overlap_first(s, d):
+    i = views.intervals(s, d)
+    j = intervals.overlaps(i.where("id % 3 = 0"), i.where("id % 7 = 1").withColumnRenamed("id", "id2"))
+    return j.groupBy("id").agg(F.min("start2").alias("start2"))
+
+
+@query(
+    "with w as (select distinct chrom, greatest(start - 100, 0) as s, \"end\" + 100 as e from intervals where id % 11 = 0), g as (select *, max(e) over (partition by chrom order by s, e rows between unbounded preceding and 1 preceding) as b from w), "
+    "k as (select *, sum(case when b is null or s > b then 1 else 0 end) over (partition by chrom order by s, e rows between unbounded preceding and current row) as i from g) select chrom, min(s) as start, max(e) as \"end\" from k group by chrom, i"
+)
+def interval_slop_merge(s, d):
+    return intervals.merged(views.intervals(s, d).where("id % 11 = 0"), 100)
+
+
+DEPTH = "with b as (select chrom, start, \"end\", unnest(generate_series(start // 500, (\"end\" - 1) // 500)) * 500 as lo from intervals), dd as (select chrom, lo as start, round(sum(least(\"end\", lo + 500) - greatest(start, lo)) / 500, 6) as depth, lo + 500 as \"end\" from b group by chrom, lo) "
+
+
+def _depth(s, d) -> DataFrame:
+    return intervals.window_depth(views.intervals(s, d), 500).withColumn("depth", F.round("depth", 6))
+
+
+@query(DEPTH + "select chrom, start, depth, \"end\" from dd")
+def window_mean_depth(s, d):
+    return _depth(s, d)
+
+
+@query(DEPTH + "select chrom, start, \"end\" from dd where depth > 2")
+def high_depth_filter(s, d):
+    return _depth(s, d).where("depth > 2").select("chrom", "start", "end")
+
+
+@query(DEPTH + "select concat(chrom, ':', greatest(start - 50, 0), '-', least(\"end\" + 50, 200000)) as locus from dd order by depth desc, chrom, start limit 1")
+def max_depth_locus(s, d):
+    top = _depth(s, d).agg(F.min_by(F.struct("chrom", "start", "end"), F.struct(-F.col("depth"), "chrom", "start")).alias("x")).select("x.*")
+    return top.select(F.concat("chrom", F.lit(":"), F.greatest(F.col("start") - 50, F.lit(0)), F.lit("-"), F.least(F.col("end") + 50, F.lit(200000))).alias("locus"))
+
+
+@query("select chr, start, cr, ur, read_id from (select *, row_number() over (partition by chr, start, cr, ur order by length(cy), read_id) as r from reads) where r = 1")
+def umi_dedup_representative(s, d):
+    best = views.reads(s, d).groupBy("chr", "start", "cr", "ur").agg(F.min(F.struct(F.length("cy"), "read_id")).alias("x"))
+    return best.select("chr", "start", "cr", "ur", "x.read_id")
+
+
+@query("select chr, count(*) as mapped from reads where start % 10 > 0 group by 1 having count(*) > 0")
+def contigs_with_reads(s, d):
+    return views.reads(s, d).where("start % 10 > 0").groupBy("chr").agg(F.count("*").alias("mapped")).where("mapped > 0")
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, cast(l_quantity as bigint) + 20 as ref_len, cast(l_quantity as bigint) + 15 as query_len from lineitem")
+def cigar_lengths(s, d):
+    c = F.concat(F.lit("5S"), F.col("l_quantity").cast("int").cast("string"), F.lit("M10N5I"), F.lit("5D5="))
+    return t(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", seq.cigar_length(c, "MDN=X").alias("ref_len"), seq.cigar_length(c, "MIS=X").alias("query_len"))
+
+
+@query("select event_type as gene, count(*) as count from events group by 1")
+def stream_gene_counts(s, d):
+    """Gene counts of the events read as a file stream until all of it is seen; equals the batch count."""
+    from cytoframe.streaming.ingest import stream_counts
+
+    return stream_counts(s, d, "events.parquet")

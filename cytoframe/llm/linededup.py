@@ -20,10 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cytoframe.llm.hashing import U64, inverse_powers, mix, powers, span_hashes, word_hashes
-from cytoframe.llm.shared import packed, ragged, release, slices, written
+from cytoframe.llm.shared import in_slots, packed, ragged, release, repeated_slots, slices, written
 
 MIN_WORDS = 5
-LINES = "_doc long, _line int, _h long, _g long, _n int, _k array<long>"
 _OTHER = U64(0xD6E8FEB86659FD93)
 
 
@@ -52,25 +51,43 @@ def _keys(h: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.stack(out, 1)
 
 
-def _scan(*, keys: bool):
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digest (two halves), text and number of every line that has words."""
+    for batch in batches:
+        for part in slices(batch, "_text"):
+            h, first, n, text, number = _lines(*packed(part.column(1)))
+            pick = np.flatnonzero(n > 0)
+            first, n, text, number = first[pick], n[pick], text[pick], number[pick]
+            whole, other = span_hashes(h, first, first + n), span_hashes(mix(h ^ _OTHER), first, first + n)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text)), pa.array(number, pa.int32()), pa.array(whole.view(np.int64)), pa.array(other.view(np.int64))], names=["_doc", "_line", "_h", "_g"])
+
+
+def _half_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Half keys of the distinct long lines of each slice, with the line's hash."""
+    for batch in batches:
+        for part in slices(batch, "_text"):
+            h, first, n, _, _ = _lines(*packed(part.column(0)))
+            pick = np.flatnonzero(n >= MIN_WORDS)
+            whole = span_hashes(h, first[pick], first[pick] + n[pick])
+            whole, once = np.unique(whole, return_index=True)
+            pick = pick[once]
+            key = _keys(h, first[pick], n[pick])
+            valid = np.ones(key.shape, bool)
+            valid[n[pick] == MIN_WORDS, 2:] = False  # half of four words is no key for five
+            yield pa.RecordBatch.from_arrays([pa.array(key[valid].view(np.int64)), pa.array(np.repeat(whole, 4).reshape(-1, 4)[valid].view(np.int64))], names=["_key", "_h"])
+
+
+def _near_words(cells):
+    """Word hashes of the long lines of which a half key occurs in another line too."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
                 h, first, n, text, number = _lines(*packed(part.column(1)))
-                pick = np.flatnonzero(n > 0)
-                first, n, text, number = first[pick], n[pick], text[pick], number[pick]
-                whole, other = span_hashes(h, first, first + n), span_hashes(mix(h ^ _OTHER), first, first + n)
-                k = np.zeros(0, np.int64)
-                size = np.zeros(len(n), np.int64)
-                if keys:
-                    long = n >= MIN_WORDS
-                    each = _keys(h, first[long], n[long]).view(np.int64)
-                    size[long] = np.where(n[long] == MIN_WORDS, 2, 4)  # half of four words is no key for five
-                    flat = np.ones(each.shape, bool)
-                    flat[n[long] == MIN_WORDS, 2:] = False
-                    k = each[flat]
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(k, pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text)), pa.array(number, pa.int32()), pa.array(whole.view(np.int64)), pa.array(other.view(np.int64)), pa.array(n, pa.int32()), lists], names=["_doc", "_line", "_h", "_g", "_n", "_k"])
+                pick = np.flatnonzero(n >= MIN_WORDS)
+                pick = pick[in_slots(cells.value, _keys(h, first[pick], n[pick]).reshape(-1)).reshape(-1, 4).any(1)] if len(pick) else pick
+                raw = [h[a : a + k].tobytes() for a, k in zip(first[pick].tolist(), n[pick].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text[pick])), pa.array(number[pick], pa.int32()), pa.array(raw, pa.binary())], names=["_doc", "_line", "_words"])
 
     return run
 
@@ -109,14 +126,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """Rows (_doc, _lines): documents that lose lines, and the numbers of those lines, ascending."""
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text")).where("_doc is not null and _text is not null")
     place = F.struct("_doc", "_line")
-    lines = texts.mapInArrow(_scan(keys=True), LINES)
-    distinct = written(lines.groupBy("_h", "_g").agg(F.min(place).alias("_first"), F.max("_n").alias("_n"), F.max("_k").alias("_k")), "lines")
-    long = distinct.where(F.col("_n") >= MIN_WORDS)
-    keyed = long.select("_first", F.explode(F.array_distinct("_k")).alias("_key"))
-    shared = keyed.groupBy("_key").agg(F.min("_first").alias("_a"), F.max("_first").alias("_b")).where("_a != _b").select("_key")
-    near = written(keyed.join(shared, "_key", "left_semi").select(F.col("_first._doc").alias("_doc"), F.col("_first._line").alias("_line")).distinct(), "near")
-    words = written(_candidate_words(texts, near), "words")
-    spread = written(words.mapInArrow(_emit, "_v long, _place int, _doc long, _line int, _whole boolean"), "variants")
+    lines = texts.mapInArrow(_places, "_doc long, _line int, _h long, _g long")
+    distinct = written(lines.groupBy("_h", "_g").agg(F.min(place).alias("_first")).select("_h", "_g", "_first._doc", "_first._line"), "lines")
+    keyed = texts.select("_text").mapInArrow(_half_keys, "_key long, _h long")
+    halves = repeated_slots(keyed.groupBy("_key").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b")).where("_a != _b"), "_key")
+    words = texts.mapInArrow(_near_words(halves), "_doc long, _line int, _words binary")
+    words = written(words.hint("merge").join(distinct.select("_doc", "_line"), ["_doc", "_line"], "left_semi").dropDuplicates(["_doc", "_line"]), "words")
+    twice = repeated_slots(words.mapInArrow(_hashes, "_v long, _n long").groupBy("_v").agg(F.sum("_n").alias("_n")).where("_n > 1"), "_v")
+    spread = written(words.mapInArrow(_emit(twice), "_v long, _place int, _doc long, _line int, _whole boolean"), "variants")
     cut = spread.where("not _whole")
     swapped = cut.groupBy("_v", "_place").agg(F.min(place).alias("_best"), F.max(place).alias("_last")).where("_best != _last").select("_v", "_place", "_best")
     by_swap = cut.join(swapped, ["_v", "_place"]).select("_doc", "_line", "_best")
@@ -128,40 +145,37 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     best = best.select("_doc", "_line", F.col("_best._doc").alias("_doc2"), F.col("_best._line").alias("_line2"))
     pair = best.join(words, ["_doc", "_line"]).join(words.select(F.col("_doc").alias("_doc2"), F.col("_line").alias("_line2"), F.col("_words").alias("_words2")), ["_doc2", "_line2"])
     checked = written(pair.select("_doc", "_line", "_doc2", "_line2", "_words", "_words2").mapInArrow(_verify, "_doc long, _line int, _doc2 long, _line2 int"), "edits")
-    release(near, words, spread)
-    first = distinct.select("_h", "_g", F.col("_first._doc").alias("_doc"), F.col("_first._line").alias("_line"))
-    ends = first.join(checked, ["_doc", "_line"], "left").select("_h", "_g", F.struct(F.coalesce("_doc2", "_doc").alias("_doc"), F.coalesce("_line2", "_line").alias("_line")).alias("_keep"))
-    again = texts.mapInArrow(_scan(keys=False), LINES).select("_doc", "_line", "_h", "_g")
-    gone = again.join(ends, ["_h", "_g"]).where(F.col("_keep") < place).select("_doc", "_line")
+    release(words, spread)
+    ends = distinct.join(checked, ["_doc", "_line"], "left").select("_h", "_g", F.struct(F.coalesce("_doc2", "_doc").alias("_doc"), F.coalesce("_line2", "_line").alias("_line")).alias("_keep"))
+    gone = lines.join(ends, ["_h", "_g"]).where(F.col("_keep") < place).select("_doc", "_line")
     return gone.groupBy("_doc").agg(F.sort_array(F.collect_set("_line")).alias("_lines"))
 
 
-def _candidate_words(texts: DataFrame, near: DataFrame) -> DataFrame:
-    """Word hashes of the lines in `near`, read from the texts that hold one."""
-    wanted = near.groupBy("_doc").agg(F.sort_array(F.collect_list("_line")).alias("_want"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                h, first, n, text, number = _lines(*packed(part.column(1)))
-                begin = np.searchsorted(text, np.arange(part.num_rows))
-                want = part.column(2)
-                owner = np.repeat(np.arange(part.num_rows), np.asarray(want.value_lengths().fill_null(0)))
-                at = begin[owner] + np.asarray(want.flatten())
-                raw = [h[a : a + k].tobytes() for a, k in zip(first[at], n[at], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), pa.array(number[at], pa.int32()), pa.array(raw, pa.binary())], names=["_doc", "_line", "_words"])
-
-    return texts.join(wanted, "_doc").select("_doc", "_text", "_want").mapInArrow(run, "_doc long, _line int, _words binary").dropDuplicates(["_doc", "_line"])
+def _neighbourhood(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data, offsets = packed(part.column(2))
+    return variants(np.frombuffer(data.tobytes(), U64), offsets[:-1] // 8, np.diff(offsets) // 8)
 
 
-def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of all variants, counted within each slice."""
     for batch in batches:
         for part in slices(batch, "_words", 1 << 20):
-            data, offsets = packed(part.column(2))
-            h = np.frombuffer(data.tobytes(), U64)
-            v, line, place = variants(h, offsets[:-1] // 8, np.diff(offsets) // 8)
-            index = pa.array(line)
-            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(place, pa.int32()), part.column(0).take(index), part.column(1).take(index), pa.array(place < 0)], names=["_v", "_place", "_doc", "_line", "_whole"])
+            value, times = np.unique(_neighbourhood(part)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times)], names=["_v", "_n"])
+
+
+def _emit(cells):
+    """The variants that occur more than once, with their line and the place left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_words", 1 << 20):
+                v, line, place = _neighbourhood(part)
+                p = np.flatnonzero(in_slots(cells.value, v))
+                index = pa.array(line[p])
+                yield pa.RecordBatch.from_arrays([pa.array(v[p].view(np.int64)), pa.array(place[p], pa.int32()), part.column(0).take(index), part.column(1).take(index), pa.array(place[p] < 0)], names=["_v", "_place", "_doc", "_line", "_whole"])
+
+    return run
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +191,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     one id count as one document. Empty tables give empty ones. Adds the columns _n_lines and _n_removed.
     """
     lists = removed_lines(docs).withColumnRenamed("_doc", "_gone_doc")
-    joined = docs.join(lists, docs["doc_id"].cast("long") == F.col("_gone_doc"), "left")
+    joined = docs.hint("merge").join(lists, docs["doc_id"].cast("long") == F.col("_gone_doc"), "left")
     parts = F.split("text", "\n", -1)
     kept = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_lines", i)), "\n"))
     columns = [kept.alias("text") if c == "text" else docs[c] for c in docs.columns]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from cytoframe.llm.components import connected_components
 from cytoframe.llm.hashing import U64, mix, shingle_hashes, word_hashes
-from cytoframe.llm.shared import packed, partitions, ragged, slices, written
+from cytoframe.llm.shared import in_slots, packed, partitions, ragged, repeated_slots, slices, written
 
 WIDTH = 5
 SHARED, UNION = 80, 100  # similar if UNION * |x & y| >= SHARED * |x | y|
@@ -147,7 +147,8 @@ def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "_text"):
             t, sizes = shingle_sets(*packed(part.column(1)))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(set_ids(t, sizes))], names=["_doc", "_n", "_set"])
+            to = np.concatenate([[0], np.cumsum(sizes)])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(set_ids(t, sizes)), pa.array([sketch(t[a:b]) for a, b in zip(to[:-1], to[1:], strict=True)], pa.binary())], names=["_doc", "_n", "_set", "_sketch"])
 
 
 def _post(buckets: int):
@@ -198,12 +199,19 @@ def _match(group: pa.Table) -> pa.Table:
     return pa.table({"_kind": pa.array(np.repeat([0, 1], [len(pairs), int(long.sum())]), pa.int32()), "a": pa.array(a), "b": pa.array(b)})
 
 
-def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "_text"):
-            t, sizes = shingle_sets(*packed(part.column(1)))
-            to = np.concatenate([[0], np.cumsum(sizes)])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array([t[a:b].tobytes() for a, b in zip(to[:-1], to[1:], strict=True)], pa.binary())], names=["_set", "_n", "_tokens"])
+def _contents(cells):
+    """Shingles of the sets whose names are wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                t, sizes = shingle_sets(*packed(part.column(1)))
+                ids = set_ids(t, sizes)
+                to = np.concatenate([[0], np.cumsum(sizes)])
+                pick = np.flatnonzero(in_slots(cells.value, ids) & (sizes > 0))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(pick)), pa.array(ids[pick]), pa.array([t[to[i] : to[i + 1]].tobytes() for i in pick], pa.binary())], names=["_rep", "_set", "_tokens"])
+
+    return run
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -220,12 +228,24 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, content) -> DataFrame:
     """The pairs (a, b) of set names whose sets are similar. A set in many pairs meets them in a join that adaptive execution splits."""
-    right = pairs.join(sets.select(F.col("_set").alias("b"), F.col("_tokens").alias("_y"), F.col("_n").alias("_m")), "b")
-    both = right.join(sets.select(F.col("_set").alias("a"), F.col("_tokens").alias("_x"), "_n"), "a")
-    fits = (F.least("_n", "_m") * UNION >= F.greatest("_n", "_m") * SHARED)
-    return both.where(fits).select("a", "b", "_x", "_y").mapInArrow(_verify, "a long, b long")
+    sets = content(pairs)
+    right = pairs.select("a", "b").hint("merge").join(sets.select(F.col("_set").alias("b"), F.col("_tokens").alias("_y")), "b")
+    both = right.hint("merge").join(sets.select(F.col("_set").alias("a"), F.col("_tokens").alias("_x")), "a")
+    return both.select("a", "b", "_x", "_y").mapInArrow(_verify, "a long, b long")
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that sizes and sketches do not rule out."""
+    for batch in batches:
+        n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        ok = UNION * np.minimum(n, m) >= SHARED * np.maximum(n, m)
+        for i in np.flatnonzero(ok):
+            x, y = batch.column(4)[i].as_py(), batch.column(5)[i].as_py()
+            words = min(len(x), len(y)) // 8
+            ok[i] = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(dtype=np.int64)) <= (n[i] + m[i]) // 9
+        yield batch.filter(pa.array(ok)).select(["a", "b"])
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -240,11 +260,6 @@ def folded(raw: bytes, words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(raw, U64).reshape(-1, words), 0)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([sketch(np.frombuffer(x.as_py(), U64)) for x in batch.column(2)], pa.binary())], names=["_set", "_n", "_sketch"])
-
-
 def _across(group: pa.Table) -> pa.Table:
     """Pairs of different components in one block of a list, or between two blocks, that the sketches do not rule out."""
     side, name, part, n = (group.column(c).to_numpy() for c in ("_side", "_set", "_part", "_n"))
@@ -271,17 +286,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     set, which links with nothing. Rows whose id is null link with nothing and have a null component; rows of one id are one document.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"))
-    rows = written(texts.mapInArrow(_identify, "_doc long, _n long, _set long"), "sets")
+    rows = written(texts.mapInArrow(_identify, "_doc long, _n long, _set long, _sketch binary"), "sets")
     sets = written(rows.where("_n > 0 and _doc is not null").groupBy("_set").agg(F.min("_doc").alias("_rep")), "reps")
+    sketches = rows.hint("merge").join(sets.select("_set", F.col("_rep").alias("_doc")), ["_set", "_doc"], "left_semi").dropDuplicates(["_set"]).select("_set", "_n", "_sketch")
+    sketches = written(sketches, "sketches")
     volume = rows.agg(F.sum("_n")).first()[0] or 0
     buckets = max(partitions(docs), 1 + volume // BUCKET_KEYS)
-    posted = texts.where("_doc is not null and _text is not null").select("_text").mapInArrow(_post(buckets), "_bucket int, _keys binary, _names binary")
+    sound = texts.where("_doc is not null and _text is not null")
+    posted = sound.select("_text").mapInArrow(_post(buckets), "_bucket int, _keys binary, _names binary")
     found = written(posted.repartition(buckets, "_bucket").groupBy("_bucket").applyInArrow(_match, "_kind int, a long, b long"), "lists")
-    pairs = written(found.where("_kind = 0").select("a", "b").distinct(), "pairs")
     lists = found.where("_kind = 1").select(F.col("a").alias("_key"), F.col("b").alias("_set"))
-    wanted = pairs.select(F.col("a").alias("_set")).union(pairs.select("b")).distinct().join(sets, "_set").select(F.col("_rep").alias("_doc"), "_set")
-    content = written(texts.join(wanted, "_doc").select("_set", "_text").mapInArrow(_contents, "_set long, _n long, _tokens binary").dropDuplicates(["_set"]), "content")
-    links = written(verified(pairs, content), "links")
+
+    def content(pairs: DataFrame) -> DataFrame:
+        names = pairs.select(F.col("a").alias("_set")).union(pairs.select("b")).distinct()
+        cells = repeated_slots(names, "_set")
+        read = sound.mapInArrow(_contents(cells), "_rep long, _set long, _tokens binary")
+        return written(read.hint("merge").join(sets.join(names, "_set", "left_semi"), ["_set", "_rep"], "left_semi").dropDuplicates(["_set", "_rep"]), "content")
+
+    def sketched(pairs: DataFrame) -> DataFrame:
+        right = pairs.hint("merge").join(sketches.select(F.col("_set").alias("b"), F.col("_n").alias("_m"), F.col("_sketch").alias("_y")), "b")
+        both = right.hint("merge").join(sketches.select(F.col("_set").alias("a"), "_n", F.col("_sketch").alias("_x")), "a")
+        return both.select("a", "b", "_n", "_m", "_x", "_y").mapInArrow(_close, "a long, b long")
+
+    pairs = written(sketched(found.where("_kind = 0").select("a", "b").distinct()), "pairs")
+    # one pair for each set first; of the others only those that join components
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = written(verified(written(first, "first"), content), "links")
+    parts = written(connected_components(links), "parts")
+    near = lambda c: parts.select(F.col("node").alias(c), F.col("component").alias(f"_part_{c}"))
+    rest = pairs.join(near("a"), "a", "left").join(near("b"), "b", "left").where(F.coalesce("_part_a", "a") != F.coalesce("_part_b", "b")).select("a", "b")
+    links = written(links.union(verified(written(rest, "rest"), content)), "links")
     parts = written(connected_components(links), "parts")
     # lists that still fall into several components
     member = lists.join(parts.withColumnRenamed("node", "_set"), "_set", "left").select("_key", "_set", F.coalesce("component", "_set").alias("_part"))
@@ -295,10 +329,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("_set"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other")
     dealt = member.select("*", block.alias("_own"), other).select("_key", "_set", "_part", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), F.when(F.col("_own") == F.least("_own", "_other"), 0).otherwise(1).alias("_side"))
-    sketches = content.mapInArrow(_sketches, "_set long, _n long, _sketch binary")
     more = dealt.join(sketches, "_set").groupBy("_key", "_i", "_j").applyInArrow(_across, "a long, b long").distinct()
-    more = written(more.join(pairs, ["a", "b"], "left_anti"), "more")
-    extra = written(verified(more, content), "links")
+    extra = written(verified(written(more, "more"), content), "links")
     parts2 = connected_components(links.union(extra))
     named = parts2.join(sets.withColumnRenamed("_set", "node"), "node")
     smallest = named.groupBy("component").agg(F.min("_rep").alias("_least"))

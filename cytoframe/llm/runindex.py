@@ -201,7 +201,7 @@ def _windows(buckets: int):
                 head = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0])) if len(order) else order
                 c, d = part.column(0).to_numpy(), part.column(1).to_numpy()
                 cols = [h[order].astype("<u8"), c[owner][order].astype("<i8"), d[owner][order].astype("<i8"), (at - offsets[owner])[order].astype("<i4")]
-                to = np.append(head[1:], len(order))
+                to = np.append(head[1:], len(order))[: len(head)]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[order][head], pa.int32()), *(pa.array([v[a:b].tobytes() for a, b in zip(head, to, strict=True)], pa.binary()) for v in cols)], names=["_bucket", "_h", "_cs", "_ds", "_at"])
 
     return run

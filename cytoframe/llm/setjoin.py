@@ -156,7 +156,7 @@ def _post(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, names = [], []
+            keys, names = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
             for part in slices(batch, "_text"):
                 t, sizes = shingle_sets(*packed(part.column(0)))
                 ids = set_ids(t, sizes)
@@ -171,7 +171,7 @@ def _post(buckets: int):
             order = np.lexsort((name, k & U64(0xFFFFFFFF), bucket))
             k, name, bucket = (k & U64(0xFFFFFFFF)).astype("<u4")[order], name[order], bucket[order]
             head = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
-            to = np.append(head[1:], len(bucket))
+            to = np.append(head[1:], len(bucket))[: len(head)]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[head], pa.int32()), pa.array([k[a:b].tobytes() for a, b in zip(head, to, strict=True)], pa.binary()), pa.array([name[a:b].tobytes() for a, b in zip(head, to, strict=True)], pa.binary())], names=["_bucket", "_keys", "_names"])
 
     return run

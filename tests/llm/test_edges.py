@@ -80,7 +80,7 @@ def test_near_documents(docs):
     assert rows[4].n_shingles == rows[5].n_shingles == rows[10].n_shingles == 0 and rows[5].component_id == 5
     assert rows[None].component_id is None and got.count() == docs.count()
     assert setjoin.near_duplicates(docs.limit(0)).count() == 0
-    assert {r.doc_id for r in setjoin.keep_one(docs).collect()} == {None, 1, 2, 3, 4, 5, 6, 8, 9, 10}
+    assert {r.doc_id for r in setjoin.keep_one(docs).collect()} == {None, 1, 3, 4, 5, 6, 8, 9, 10}  # 1 and 2 share 13 of 15 shingles
 
 
 def test_substrings(docs):

@@ -97,12 +97,26 @@ def binary_column(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 SLOTS = 1 << 27
 
 
+SEGMENT = 1 << 15
+
+
+def _segment(group: pa.Table) -> pa.Table:
+    """The bits of one segment of the bitmap."""
+    bits = np.zeros(SEGMENT, np.uint8)
+    bits[group.column("_slot").to_numpy() % SEGMENT] = 1
+    return pa.table({"_segment": group.column("_segment")[:1], "_bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+
 def repeated_slots(values: DataFrame, column: str):
-    """A broadcast bitmap of SLOTS bits, whatever the input's size, with the slots of the given 64-bit hashes."""
-    rows = values.select(F.pmod(F.col(column), F.lit(SLOTS)).alias("_slot")).groupBy(F.expr("_slot div 64").alias("_cell")).agg(F.expr("bit_or(shiftleft(1L, int(_slot % 64)))").alias("_bits"))
-    found = rows.toPandas()
+    """A broadcast bitmap of SLOTS bits, whatever the input's size, with the slots of the given 64-bit hashes.
+
+    Segments of 4 KB are packed on the executors, so at most SLOTS / 8 bytes reach the driver.
+    """
+    slots = values.select(F.pmod(F.col(column), F.lit(SLOTS)).cast("int").alias("_slot")).distinct().withColumn("_segment", F.expr(f"int(_slot div {SEGMENT})"))
     cells = np.zeros(SLOTS // 64, np.int64)
-    cells[found["_cell"].to_numpy(np.int64)] = found["_bits"].to_numpy(np.int64)
+    view = cells.view(np.uint8)
+    for r in slots.groupBy("_segment").applyInArrow(_segment, "_segment int, _bits binary").collect():
+        view[r["_segment"] * SEGMENT // 8 : (r["_segment"] + 1) * SEGMENT // 8] = np.frombuffer(r["_bits"], np.uint8)
     return values.sparkSession.sparkContext.broadcast(cells)
 
 

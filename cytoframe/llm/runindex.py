@@ -26,6 +26,7 @@ LENGTH, ANCHOR = 200, 64
 PIECE = 180  # windows of a context at most
 MANY = 256
 BUCKET_BYTES = 1 << 20
+BUCKET_WINDOWS = 1 << 17
 _SECOND = mix(BYTE + U64(29))
 
 
@@ -241,15 +242,16 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     often = texts.select("_text").mapInArrow(_anchors, "_a long, _n long").groupBy("_a").agg(F.sum("_n").alias("_n")).where("_n > 1")
     rows = written(texts.mapInArrow(_rows(repeated_slots(often, "_a")), "_a long, _c long, _d long, _doc long, _t long, _from long, _w long, _own boolean"), "contexts")
     kinds = written(rows.groupBy("_a", "_c", "_d").agg(F.count("*").alias("_n"), F.min(F.struct("_doc", "_t", "_from", "_w")).alias("_one"), F.max("_own").alias("_own")), "kinds")
-    spread = kinds.groupBy("_a").agg(F.count("*").alias("_kinds"), F.sum(F.col("_one._w") + LENGTH).alias("_bytes"), F.max("_own").alias("_some_own")).where("_kinds > 1 or _some_own").drop("_some_own")
+    spread = kinds.groupBy("_a").agg(F.count("*").alias("_kinds"), F.sum(F.col("_one._w") + LENGTH).alias("_bytes"), F.sum("_one._w").alias("_windows"), F.max("_own").alias("_some_own")).where("_kinds > 1 or _some_own").drop("_some_own")
     volume = spread.where(F.col("_kinds") <= MANY).agg(F.sum("_bytes")).first()[0] or 0
     buckets = max(partitions(docs), 1 + volume // BUCKET_BYTES)
+    hashed = 1 + (spread.where(F.col("_kinds") > MANY).agg(F.sum("_windows")).first()[0] or 0) // BUCKET_WINDOWS
     wanted = kinds.join(spread, "_a").select("_one._doc", "_one._t", F.struct("_a", "_c", "_d", (F.col("_kinds") > MANY).alias("_many"), "_one._from", "_one._w").alias("_want"))
     wanted = wanted.groupBy("_doc", "_t").agg(F.collect_list("_want").alias("_want"))
     pieces = written(texts.join(wanted, ["_doc", "_t"]).select("_text", "_want").mapInArrow(_cut, "_a long, _c long, _d long, _many boolean, _bytes binary"), "pieces")
     few = pieces.where("not _many").select(F.pmod(F.xxhash64("_a"), F.lit(buckets)).cast("int").alias("_bucket"), "_c", "_d", "_bytes").dropDuplicates(["_bucket", "_c", "_d"])
     marks = few.groupBy("_bucket").applyInArrow(_indexed, "_c long, _d long, _marks array<int>")
-    many = pieces.where("_many").select("_c", "_d", "_bytes").mapInArrow(_windows(buckets), "_bucket int, _h binary, _cs binary, _ds binary, _at binary")
+    many = pieces.where("_many").select("_c", "_d", "_bytes").mapInArrow(_windows(hashed), "_bucket int, _h binary, _cs binary, _ds binary, _at binary")
     marks = written(marks.union(many.groupBy("_bucket").applyInArrow(_counted, "_c long, _d long, _marks array<int>")), "marks")
     once = kinds.where("_n = 1").join(marks, ["_c", "_d"]).select("_one._doc", "_one._t", "_one._from", "_marks").mapInArrow(_intervals, "_doc long, _t long, _from long, _to long")
     twice = rows.join(kinds.where("_n > 1").select("_a", "_c", "_d"), ["_a", "_c", "_d"], "left_semi").select("_doc", "_t", "_from", (F.col("_from") + F.col("_w") - 1 + LENGTH).alias("_to"))

@@ -2,7 +2,7 @@
 
 from compare import compare
 
-from cytoframe.plans import catalogue
+from cytoframe.plans import catalogue, files  # noqa: F401  files registers its queries too
 
 DATA = "/root/testdata/sf0.001"
 

@@ -121,7 +121,7 @@ def test_near_documents(spark, texts):
 
 
 def test_benchmark(spark, texts):
-    """Every window of every item along every diagonal; windows with an eighth of their words replaced must be found, others never."""
+    """Every window of every item along every diagonal; windows that agree throughout must be found, those below the share never."""
     items = {r.item_id: r.text or "" for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()}
     words = lambda s: [w.lower() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", s.encode())]
     item_words = {i: words(s) for i, s in items.items()}

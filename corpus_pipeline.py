@@ -28,8 +28,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines out that repeat an earlier line, word edits included; no document goes. n_chars follows the text."""
-    kept = linededup.dedup_lines(docs)
+    """Takes lines out that repeat an earlier line, edits of a fifth of the words included; no document goes. n_chars follows the text."""
+    kept = linededup.dedup_lines(docs, whole=True)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)

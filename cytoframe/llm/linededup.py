@@ -8,6 +8,13 @@ Distinct lines are found first. Two lines within one edit agree in the first or
 whose half occurs in another line emit variants: the hash of the whole line and, for each place, the hash without that word. Equal
 variants join: two lines without the same place, or one whole and one without a place. Each such group needs only its earliest
 line, so groups of any size are combined before they are exchanged and never multiplied out.
+
+With `whole`, the bound grows with the line: two lines of MIN_WORDS words or more are near if their word edits are at most a fifth of
+the longer one's words; and two lines of at most CHAR_WORDS words (in one of which a fifth may be less than the two word edits that a
+split or joined word takes) are near if they have MIN_WORDS characters or more and differ by one character. Lines of two edits or more
+are found by pieces: a line of n >= 10 words holds more disjoint pieces of four words (three, for 10, 11 and 15) than edits are
+allowed, so one piece stands unchanged in the other line. Each line is held against the earliest line that shares each of its pieces
+first; only lines not removed by that meet all other lines that share a piece.
 """
 
 from __future__ import annotations
@@ -19,10 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytoframe.llm.hashing import U64, inverse_powers, mix, powers, span_hashes, word_hashes
+from cytoframe.llm.hashing import LOWER, U64, inverse_powers, mix, powers, span_hashes, word_hashes
+from cytoframe.llm.hashing import words as word_spans
 from cytoframe.llm.shared import in_slots, packed, ragged, release, repeated_slots, slices, written
 
 MIN_WORDS = 5
+CHAR_WORDS = 10
+SHARE = 5  # one edit in so many words
+CELLS = 1 << 21  # numbers that the edit distances of one go may take
+PAIR = "_doc long, _line int, _doc2 long, _line2 int"
 _OTHER = U64(0xD6E8FEB86659FD93)
 
 
@@ -62,30 +74,50 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text)), pa.array(number, pa.int32()), pa.array(whole.view(np.int64)), pa.array(other.view(np.int64))], names=["_doc", "_line", "_h", "_g"])
 
 
-def _half_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Half keys of the distinct long lines of each slice, with the line's hash."""
-    for batch in batches:
-        for part in slices(batch, "_text"):
-            h, first, n, _, _ = _lines(*packed(part.column(0)))
-            pick = np.flatnonzero(n >= MIN_WORDS)
-            whole = span_hashes(h, first[pick], first[pick] + n[pick])
-            whole, once = np.unique(whole, return_index=True)
-            pick = pick[once]
-            key = _keys(h, first[pick], n[pick])
-            valid = np.ones(key.shape, bool)
-            valid[n[pick] == MIN_WORDS, 2:] = False  # half of four words is no key for five
-            yield pa.RecordBatch.from_arrays([pa.array(key[valid].view(np.int64)), pa.array(np.repeat(whole, 4).reshape(-1, 4)[valid].view(np.int64))], names=["_key", "_h"])
+def _word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """_lines without those of fewer than MIN_WORDS words."""
+    h, first, n, text, number = _lines(data, offsets)
+    pick = np.flatnonzero(n >= MIN_WORDS)
+    return h, first[pick], n[pick], text[pick], number[pick]
+
 
+def _char_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same for lines of at most CHAR_WORDS words, with characters (of the words, joined by one space) instead of words."""
+    _, first, n, text, number = _lines(data, offsets)
+    starts, ends, _ = word_spans(data, offsets)
+    pick = np.flatnonzero((n > 0) & (n <= CHAR_WORDS))
+    low, starts, ends = LOWER[data].tobytes(), starts.tolist(), ends.tolist()
+    lines = [b" ".join(low[starts[i] : ends[i]] for i in range(a, a + k)).decode() for a, k in zip(first[pick].tolist(), n[pick].tolist(), strict=True)]
+    size = np.array([len(x) for x in lines], np.int64)
+    h = mix(np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(U64) ^ _OTHER)
+    long = np.flatnonzero(size >= MIN_WORDS)
+    return h, (np.cumsum(size) - size)[long], size[long], text[pick][long], number[pick][long]
 
-def _near_words(cells):
-    """Word hashes of the long lines of which a half key occurs in another line too."""
+
+def _half_keys(units):
+    """Half keys of the distinct lines of each slice, with the line's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
-                h, first, n, text, number = _lines(*packed(part.column(1)))
-                pick = np.flatnonzero(n >= MIN_WORDS)
-                pick = pick[in_slots(cells.value, _keys(h, first[pick], n[pick]).reshape(-1)).reshape(-1, 4).any(1)] if len(pick) else pick
+                h, first, n, _, _ = units(*packed(part.column(0)))
+                whole, once = np.unique(span_hashes(h, first, first + n), return_index=True)
+                key = _keys(h, first[once], n[once])
+                valid = np.ones(key.shape, bool)
+                valid[n[once] == MIN_WORDS, 2:] = False  # half of four words is no key for five
+                yield pa.RecordBatch.from_arrays([pa.array(key[valid].view(np.int64)), pa.array(np.repeat(whole, 4).reshape(-1, 4)[valid].view(np.int64))], names=["_key", "_h"])
+
+    return run
+
+
+def _some_words(units, wanted):
+    """Hashes of the words (or characters) of the lines that `wanted` marks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                h, first, n, text, number = units(*packed(part.column(1)))
+                pick = np.flatnonzero(wanted(h, first, n)) if len(n) else np.zeros(0, np.int64)
                 raw = [h[a : a + k].tobytes() for a, k in zip(first[pick].tolist(), n[pick].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text[pick])), pa.array(number[pick], pa.int32()), pa.array(raw, pa.binary())], names=["_doc", "_line", "_words"])
 
@@ -122,16 +154,23 @@ def within_one_edit(a: np.ndarray, b: np.ndarray) -> bool:
     return bool((a[i + 1 :] == b[i:]).all())
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """Rows (_doc, _lines): documents that lose lines, and the numbers of those lines, ascending."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text")).where("_doc is not null and _text is not null")
+def _kept_words(texts: DataFrame, distinct: DataFrame, units, wanted) -> DataFrame:
+    words = texts.mapInArrow(_some_words(units, wanted), "_doc long, _line int, _words binary")
+    return written(words.hint("merge").join(distinct.select("_doc", "_line"), ["_doc", "_line"], "left_semi").dropDuplicates(["_doc", "_line"]), "words")
+
+
+def _verified(pairs: DataFrame, words: DataFrame, verify) -> DataFrame:
+    """Those of the pairs (_doc, _line, _doc2, _line2) that `verify` lets pass."""
+    pair = pairs.join(words, ["_doc", "_line"]).join(words.select(F.col("_doc").alias("_doc2"), F.col("_line").alias("_line2"), F.col("_words").alias("_words2")), ["_doc2", "_line2"])
+    return written(pair.select("_doc", "_line", "_doc2", "_line2", "_words", "_words2").mapInArrow(verify, PAIR), "edits")
+
+
+def _one_edit(texts: DataFrame, distinct: DataFrame, units) -> DataFrame:
+    """Lines that differ from an earlier one by one word (or character), with the earliest such line."""
     place = F.struct("_doc", "_line")
-    lines = texts.mapInArrow(_places, "_doc long, _line int, _h long, _g long")
-    distinct = written(lines.groupBy("_h", "_g").agg(F.min(place).alias("_first")).select("_h", "_g", "_first._doc", "_first._line"), "lines")
-    keyed = texts.select("_text").mapInArrow(_half_keys, "_key long, _h long")
+    keyed = texts.select("_text").mapInArrow(_half_keys(units), "_key long, _h long")
     halves = repeated_slots(keyed.groupBy("_key").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b")).where("_a != _b"), "_key")
-    words = texts.mapInArrow(_near_words(halves), "_doc long, _line int, _words binary")
-    words = written(words.hint("merge").join(distinct.select("_doc", "_line"), ["_doc", "_line"], "left_semi").dropDuplicates(["_doc", "_line"]), "words")
+    words = _kept_words(texts, distinct, units, lambda h, first, n: in_slots(halves.value, _keys(h, first, n).reshape(-1)).reshape(-1, 4).any(1))
     twice = repeated_slots(words.mapInArrow(_hashes, "_v long, _n long").groupBy("_v").agg(F.sum("_n").alias("_n")).where("_n > 1"), "_v")
     spread = written(words.mapInArrow(_emit(twice), "_v long, _place int, _doc long, _line int, _whole boolean"), "variants")
     cut = spread.where("not _whole")
@@ -142,15 +181,149 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     longer = cut.groupBy("_v").agg(F.min(place).alias("_best"))
     by_whole = spread.where("_whole").join(longer, "_v").select("_doc", "_line", "_best")
     best = by_swap.union(by_cut).union(by_whole).groupBy("_doc", "_line").agg(F.min("_best").alias("_best")).where(F.col("_best") < place)
-    best = best.select("_doc", "_line", F.col("_best._doc").alias("_doc2"), F.col("_best._line").alias("_line2"))
-    pair = best.join(words, ["_doc", "_line"]).join(words.select(F.col("_doc").alias("_doc2"), F.col("_line").alias("_line2"), F.col("_words").alias("_words2")), ["_doc2", "_line2"])
-    checked = written(pair.select("_doc", "_line", "_doc2", "_line2", "_words", "_words2").mapInArrow(_verify, "_doc long, _line int, _doc2 long, _line2 int"), "edits")
+    checked = _verified(best.select("_doc", "_line", F.col("_best._doc").alias("_doc2"), F.col("_best._line").alias("_line2")), words, _verify)
     release(words, spread)
+    return checked
+
+
+def _more_edits(texts: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFrame:
+    """Lines of ten words or more, not among `found`, that have an earlier line within a fifth of the longer one's words."""
+    place = F.struct("_doc", "_line")
+    pieces = repeated_slots(texts.select("_text").mapInArrow(_piece_keys, "_key long"), "_key")
+    grams = texts.select("_text").mapInArrow(_gram_keys(pieces), "_key long, _h long")
+    shared = repeated_slots(grams.groupBy("_key").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b")).where("_a != _b"), "_key")
+
+    def wanted(h, first, n):
+        key, line, _, _ = word_grams(h, first, n)
+        has = np.zeros(len(n), bool)
+        has[line[in_slots(shared.value, key)]] = True
+        return has
+
+    words = _kept_words(texts, distinct, _word_units, wanted)
+    spread = written(words.mapInArrow(_emit_grams(shared), "_v long, _at int, _n int, _piece boolean, _doc long, _line int"), "pieces")
+    first = spread.groupBy("_v").agg(F.min(place).alias("_best"), F.max(place).alias("_last"), F.bool_or("_piece").alias("_cut")).where("_cut and _best != _last")
+    open_ = spread.join(found.select("_doc", "_line").distinct(), ["_doc", "_line"], "left_anti")
+    early = open_.join(first.select("_v", "_best"), "_v").where(F.col("_best") < place).select("_doc", "_line", F.col("_best._doc").alias("_doc2"), F.col("_best._line").alias("_line2")).distinct()
+    near = _verified(early, words, _verify_share)
+    left = open_.join(near.select("_doc", "_line").distinct(), ["_doc", "_line"], "left_anti")
+    other = spread.select("_v", *[F.col(c).alias(f"{c}2") for c in ("_at", "_n", "_piece", "_doc", "_line")])
+    before = F.struct("_doc2", "_line2") < place
+    close = f"abs(_at - _at2) <= int(greatest(_n, _n2) div {SHARE}) and abs(_n - _n2) <= int(greatest(_n, _n2) div {SHARE})"
+    longer = left.where("_piece").join(other, "_v").where(before & F.expr(f"_n >= _n2 and {close}"))
+    shorter = left.join(other.where("_piece2"), "_v").where(before & F.expr(f"_n <= _n2 and {close}"))
+    names = ["_doc", "_line", "_doc2", "_line2"]
+    late = _verified(longer.select(*names).union(shorter.select(*names)).distinct(), words, _verify_share)
+    release(words, spread)
+    return near.union(late)
+
+
+def removed_lines(docs: DataFrame, *, whole: bool = False) -> DataFrame:
+    """Rows (_doc, _lines): documents that lose lines, and the numbers of those lines, ascending."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text")).where("_doc is not null and _text is not null")
+    place = F.struct("_doc", "_line")
+    lines = texts.mapInArrow(_places, "_doc long, _line int, _h long, _g long")
+    distinct = written(lines.groupBy("_h", "_g").agg(F.min(place).alias("_first")).select("_h", "_g", "_first._doc", "_first._line"), "lines")
+    checked = _one_edit(texts, distinct, _word_units)
+    if whole:
+        checked = checked.union(_one_edit(texts, distinct, _char_units))
+        checked = checked.union(_more_edits(texts, distinct, checked)).dropDuplicates(["_doc", "_line"])
     ends = distinct.join(checked, ["_doc", "_line"], "left").select("_h", "_g", F.struct(F.coalesce("_doc2", "_doc").alias("_doc"), F.coalesce("_line2", "_line").alias("_line")).alias("_keep"))
     gone = lines.join(ends, ["_h", "_g"]).where(F.col("_keep") < place).select("_doc", "_line")
     return gone.groupBy("_doc").agg(F.sort_array(F.collect_set("_line")).alias("_lines"))
 
 
+def word_grams(h: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the runs of three and four words that can hold a whole piece; the line's index, the place, and whether it is a piece."""
+    out = []
+    for size, low, high in ((3, 8, 15), (4, 10, 1 << 62)):
+        line = np.flatnonzero((n >= low) & (n <= high))
+        times = n[line] - size + 1
+        at, line = ragged(np.zeros(len(line), np.int64), times), np.repeat(line, times)
+        piece = (at % size == 0) & (n[line] >= 10) & (np.isin(n[line], (10, 11, 15)) == (size == 3))
+        out.append((mix(span_hashes(h, first[line] + at, first[line] + at + size) ^ U64(size)), line, at, piece))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _piece_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "_text"):
+            key, _, _, piece = word_grams(*_word_units(*packed(part.column(0)))[:3])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(key[piece]).view(np.int64))], names=["_key"])
+
+
+def _gram_keys(cells):
+    """Runs that may equal a piece, each with the lowest and the highest hash of its lines in the slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                h, first, n, _, _ = _word_units(*packed(part.column(0)))
+                key, line, _, _ = word_grams(h, first, n)
+                pick = np.flatnonzero(in_slots(cells.value, key))
+                key, whole = key[pick], span_hashes(h, first, first + n)[line[pick]].view(np.int64)
+                order = np.lexsort((whole, key))
+                key, whole = key[order], whole[order]
+                fresh = np.ones(len(key) + 1, bool)
+                fresh[1:-1] = key[1:] != key[:-1]
+                low, high = np.flatnonzero(fresh[:-1]), np.flatnonzero(fresh[1:])
+                both = np.concatenate([low, high[whole[high] != whole[low]]])
+                yield pa.RecordBatch.from_arrays([pa.array(key[both].view(np.int64)), pa.array(whole[both])], names=["_key", "_h"])
+
+    return run
+
+
+def _emit_grams(cells):
+    """The runs that another line may share, with their place and line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_words", 1 << 20):
+                data, offsets = packed(part.column(2))
+                n = np.diff(offsets) // 8
+                key, line, at, piece = word_grams(np.frombuffer(data.tobytes(), U64), offsets[:-1] // 8, n)
+                p = np.flatnonzero(in_slots(cells.value, key))
+                index = pa.array(line[p])
+                yield pa.RecordBatch.from_arrays([pa.array(key[p].view(np.int64)), pa.array(at[p], pa.int32()), pa.array(n[line[p]], pa.int32()), pa.array(piece[p]), part.column(0).take(index), part.column(1).take(index)], names=["_v", "_at", "_n", "_piece", "_doc", "_line"])
+
+    return run
+
+
+def within_share(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Whether the word edits of each pair are at most the longer one's words divided by SHARE; many pairs at a time, along a band."""
+    ok = np.zeros(len(pairs), bool)
+    pairs = [(a, b) if len(a) >= len(b) else (b, a) for a, b in pairs]
+    size = np.array([(len(a), len(b)) for a, b in pairs], np.int64).reshape(-1, 2)
+    some = np.flatnonzero(size[:, 0] - size[:, 1] <= size[:, 0] // SHARE)
+    some = some[np.argsort(-size[some, 0], kind="stable")]
+    while len(some):
+        m = int(size[some[0], 0])
+        k = m // SHARE
+        now, some = np.split(some, [max(1, CELLS // (m + 2 * k + 1))])
+        x = np.zeros((len(now), m), U64)
+        y = np.zeros((len(now), m + 2 * k + 1), U64)
+        for r, i in enumerate(now.tolist()):
+            x[r, : size[i, 0]] = pairs[i][0]
+            y[r, k : k + size[i, 1]] = pairs[i][1]
+        step = np.arange(2 * k + 1, dtype=np.int32)
+        row = np.broadcast_to(np.where(step >= k, step - k, 2 * m), (len(now), len(step))).astype(np.int32)
+        end = size[now, 1] - size[now, 0] + k
+        for i in range(1, m + 1):
+            new = row + (y[:, i - 1 : i + 2 * k] != x[:, i - 1 : i])
+            np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+            new[:, : max(0, k - i)] = 2 * m
+            row = np.minimum.accumulate(new - step, axis=1) + step
+            done = np.flatnonzero(size[now, 0] == i)
+            if len(done):
+                ok[now[done]] = row[done, end[done]] <= i // SHARE
+    return ok
+
+
+def _verify_share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = [(np.frombuffer(a.as_py(), U64), np.frombuffer(b.as_py(), U64)) for a, b in zip(batch.column(4), batch.column(5), strict=True)]
+        yield batch.filter(pa.array(within_share(pairs), pa.bool_())).select(["_doc", "_line", "_doc2", "_line2"])
+
+
 def _neighbourhood(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, offsets = packed(part.column(2))
     return variants(np.frombuffer(data.tobytes(), U64), offsets[:-1] // 8, np.diff(offsets) // 8)
@@ -184,13 +357,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(ok, pa.bool_())).select(["_doc", "_line", "_doc2", "_line2"])
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, whole: bool = False) -> DataFrame:
     """docs with every removed line and its line break taken out of `text`; all other columns and all rows stay.
 
-    Lines without words stay. Rows whose id or text is null stay as they are; a text that loses every line becomes empty. Rows of
+    whole: with the bound that grows with the line. Lines without words stay. Rows whose id or text is null stay as they are; a text that loses every line becomes empty. Rows of
     one id count as one document. Empty tables give empty ones. Adds the columns _n_lines and _n_removed.
     """
-    lists = removed_lines(docs).withColumnRenamed("_doc", "_gone_doc")
+    lists = removed_lines(docs, whole=whole).withColumnRenamed("_doc", "_gone_doc")
     joined = docs.hint("merge").join(lists, docs["doc_id"].cast("long") == F.col("_gone_doc"), "left")
     parts = F.split("text", "\n", -1)
     kept = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_lines", i)), "\n"))

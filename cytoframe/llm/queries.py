@@ -19,6 +19,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op1_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1_line_dedup with word edits up to a fifth of the longer line and one character edit in short lines."""
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"), whole=True)
+    return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -61,5 +67,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.withColumn("held_out", fold("doc_id", 4) == 2), net, keep=("doc_id", "held_out"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe_roundtrip, op3_toxicity, op4_chunk_dedup, op5_embedding_dedup, op6_ngram_jaccard, op7_decontamination, op8_token_file, op9_repeated_substrings, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op1_line_dedup_whole, op2_bpe_roundtrip, op3_toxicity, op4_chunk_dedup, op5_embedding_dedup, op6_ngram_jaccard, op7_decontamination, op8_token_file, op9_repeated_substrings, op10_language_id)}
 ORACLE: dict[str, str] = {}

@@ -271,6 +271,22 @@ def umi_region_fallback(s, d):
     return _clustered(s, d, F.when(F.col("gene") == "click", seq.region_label(F.col("chr"), F.col("start"), F.col("start") + 700)).otherwise(F.col("gene")))
 
 
+def _all_clustered(s, d, gene) -> DataFrame:
+    return umi.cluster(views.reads(s, d).select(gene.alias("gene"), F.col("user_id").cast("string").alias("cb"), "ur"))
+
+
+@query(CLUSTER.replace("with recursive n", "with recursive rr as (select gene, cast(user_id as string) as cb, ur from reads), n") + "select gene, cb, ur, ub from ranked where k = 1")
+def umi_cluster_all(s, d):
+    """umi_cluster over every read."""
+    return _all_clustered(s, d, F.col("gene"))
+
+
+@query(CLUSTER.replace("with recursive n", f"with recursive rr as (select case when gene = 'click' then {REGION} else gene end as gene, cast(user_id as string) as cb, ur from reads), n") + "select gene, cb, ur, ub from ranked where k = 1")
+def umi_region_fallback_all(s, d):
+    """umi_region_fallback over every read."""
+    return _all_clustered(s, d, F.when(F.col("gene") == "click", seq.region_label(F.col("chr"), F.col("start"), F.col("start") + 700)).otherwise(F.col("gene")))
+
+
 @query("select read_id, substr(ur, 1, cast(length(ur) - read_id % 2 as int)) as ub from reads where length(ur) - read_id % 2 = 12")
 def umi_length_filter(s, d):
     return views.reads(s, d).select("read_id", F.expr("substr(ur, 1, int(length(ur) - read_id % 2))").alias("ub")).where("length(ub) = 12")

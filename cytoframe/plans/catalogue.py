@@ -641,3 +641,87 @@ def stream_gene_counts(s, d):
     from cytoframe.streaming.ingest import stream_counts
 
     return stream_counts(s, d, "events.parquet")
+
+
+# ---- whole tables: the queries above of the same names without _all take a part of the ids, as their SQL does ---------------------
+ALL_ADAPT = ADAPT.replace("from hits", "from all_hits")
+ALL_FUSION = FUSION.removesuffix(" where o_orderkey % 10 = 0")
+ALL_FUSED = FUSED.replace(FUSION, ALL_FUSION)
+
+
+@query(ALL_ADAPT + "select query, read_id, start, \"end\", fl, strand, adapter_config, lab from s")
+def adapter_labels_all(s, d):
+    return adapters.subreads(views.all_hits(s, d))
+
+
+@query(ALL_ADAPT + "select query, read_id, start, \"end\" from s where fl")
+def adapter_pairs_all(s, d):
+    return adapter_labels_all(s, d).where("fl").select("query", "read_id", "start", "end")
+
+
+@query("select query, string_agg(target, '-' order by qilo, target) as config from all_hits group by 1")
+def adapter_config_string_all(s, d):
+    return views.all_hits(s, d).groupBy("query").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("qilo", "target"))), lambda h: h["target"]), "-").alias("config"))
+
+
+@query(ALL_ADAPT + "select lab, count(*) as subreads, count(*) filter (fl) as full_length, count(*) filter (strand <> '*') as stranded, count(*) filter (strand = '+') as plus, count(*) filter (strand = '-') as minus from s group by 1")
+def adapter_summary_all(s, d):
+    r = adapter_labels_all(s, d)
+    return r.groupBy("lab").agg(F.count("*").alias("subreads"), F.count_if("fl").alias("full_length"), F.count_if(F.col("strand") != "*").alias("stranded"), F.count_if(F.col("strand") == "+").alias("plus"), F.count_if(F.col("strand") == "-").alias("minus"))
+
+
+@query("select query, string_agg(case when target like '%\\_f' escape '\\' then replace(target, '_f', '_r') else replace(target, '_r', '_f') end, '-' order by qilo desc, target desc) as config from all_hits group by 1")
+def config_reverse_all(s, d):
+    return adapter_config_string_all(s, d).select("query", seq.reverse_config(F.col("config")).alias("config"))
+
+
+def _all_fusions(s, d) -> DataFrame:
+    t(s, d, "orders").createOrReplaceTempView("orders")
+    return s.sql(ALL_FUSION).select("fusion", F.explode(F.split("reads", ",")).alias("read_id")).withColumn("read_id", F.col("read_id").cast("long"))
+
+
+def _all_fused(s, d) -> DataFrame:
+    return _all_fusions(s, d).join(t(s, d, "events").select(F.col("event_id").alias("read_id"), F.col("user_id").alias("cb"), F.col("value").alias("ub")), "read_id")
+
+
+@query(ALL_FUSED + "select fusion, read_id from x")
+def fusion_explode_all(s, d):
+    return _all_fusions(s, d)
+
+
+@query(ALL_FUSED + ", " + FCELL + "select fusion, count(distinct cb) as cells, count(distinct ub) as umis from j group by 1")
+def fusion_per_fusion_all(s, d):
+    return _all_fused(s, d).groupBy("fusion").agg(F.countDistinct("cb").alias("cells"), F.countDistinct("ub").alias("umis"))
+
+
+@query(ALL_FUSED + ", " + FCELL + ", c as (select cb, count(*) as n, count(distinct fusion) as f from j group by 1) select count(*) as cells, (select count(distinct fusion) from j) as fusions, cast(sum(n) as bigint) as rows, round(avg(n), 6) as mean_reads, round(avg(f), 6) as mean_fusions from c")
+def fusion_per_sample_all(s, d):
+    j = _all_fused(s, d)
+    per = j.groupBy("cb").agg(F.count("*").alias("n"), F.countDistinct("fusion").alias("f")).agg(F.count("*").alias("cells"), F.sum("n").alias("rows"), F.round(F.avg("n"), 6).alias("mean_reads"), F.round(F.avg("f"), 6).alias("mean_fusions"))
+    return per.join(j.agg(F.countDistinct("fusion").alias("fusions")))
+
+
+@query(ALL_FUSED + "select fusion, read_id, count(*) over (partition by fusion) as n from x where read_id not in (select event_id from events)")
+def fusion_unmatched_all(s, d):
+    n = _all_fusions(s, d).join(t(s, d, "events").select(F.col("event_id").alias("read_id")), "read_id", "left_anti")
+    return n.join(n.groupBy("fusion").agg(F.count("*").alias("n")), "fusion")
+
+
+@query("select id from intervals a where exists (select 1 from event_intervals b where a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\")")
+def interval_overlap_semi_all(s, d):
+    """Orders that overlap an event."""
+    return intervals.overlapping(views.intervals(s, d), views.event_intervals(s, d)).select("id")
+
+
+@query("select a.id, min(b.start) as start2 from intervals a join event_intervals b on a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\" group by 1")
+def interval_overlap_first_all(s, d):
+    j = intervals.overlaps(views.intervals(s, d), views.event_intervals(s, d).withColumnRenamed("id", "id2"))
+    return j.groupBy("id").agg(F.min("start2").alias("start2"))
+
+
+@query(
+    "with w as (select distinct chrom, greatest(start - 100, 0) as s, \"end\" + 100 as e from intervals), g as (select *, max(e) over (partition by chrom order by s, e rows between unbounded preceding and 1 preceding) as b from w), "
+    "k as (select *, sum(case when b is null or s > b then 1 else 0 end) over (partition by chrom order by s, e rows between unbounded preceding and current row) as i from g) select chrom, min(s) as start, max(e) as \"end\" from k group by chrom, i"
+)
+def interval_slop_merge_all(s, d):
+    return intervals.merged(views.intervals(s, d), 100)

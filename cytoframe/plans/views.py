@@ -55,6 +55,7 @@ def hits(spark: SparkSession, d: str) -> DataFrame:
 
 
 HITS_SQL = "select concat('r', cast(event_id div 4 as string)) as query, case (user_id + event_id) % 5 when 0 then 'adapter1_f' when 1 then 'adapter2_f' when 2 then 'adapter2_r' when 3 then 'adapter1_r' else 'adapter1_f' end as target, (event_id % 4) * 200 + 1 + user_id % 50 as qilo, (event_id % 4) * 200 + 22 + user_id % 50 as qihi, 1000 as ql from events where user_id % 3 <> 0"
+ALL_HITS_SQL = HITS_SQL.removesuffix(" where user_id % 3 <> 0").replace("as string)) as query", "as string), case user_id % 3 when 0 then 'b' else 'a' end) as query")
 INTERVALS_SQL = "select concat('chr', cast(o_custkey % 4 as string)) as chrom, (o_orderkey * 37) % 200000 as start, (o_orderkey * 37) % 200000 + 50 + o_custkey % 300 as \"end\", o_orderkey as id from orders"
 
 
@@ -64,9 +65,24 @@ def intervals(spark: SparkSession, d: str) -> DataFrame:
     return o.select(F.concat(F.lit("chr"), (F.col("o_custkey") % 4).cast("string")).alias("chrom"), at.alias("start"), (at + 50 + F.col("o_custkey") % 300).alias("end"), F.col("o_orderkey").alias("id"))
 
 
+def all_hits(spark: SparkSession, d: str) -> DataFrame:
+    """Adapter hits of every event: one to four a query, as blocks of four events fall into two queries by user."""
+    t(spark, d, "events").createOrReplaceTempView("events")
+    return spark.sql(ALL_HITS_SQL)
+
+
+EVENT_INTERVALS_SQL = "select concat('chr', cast(user_id % 4 as string)) as chrom, (event_id * 53) % 200000 as start, (event_id * 53) % 200000 + 1 + user_id % 40 as \"end\", event_id as id from events"
+
+
+def event_intervals(spark: SparkSession, d: str) -> DataFrame:
+    """A second table of intervals, one an event."""
+    at = (F.col("event_id") * 53) % 200000
+    return t(spark, d, "events").select(F.concat(F.lit("chr"), (F.col("user_id") % 4).cast("string")).alias("chrom"), at.alias("start"), (at + 1 + F.col("user_id") % 40).alias("end"), F.col("event_id").alias("id"))
+
+
 def with_views(sql: str) -> str:
     """DuckDB text with the views it names put in front."""
-    ctes = {"reads": READS_SQL, "tags": TAGS_SQL, "matrix": MATRIX_SQL, "hits": HITS_SQL.replace("event_id div 4", "event_id // 4"), "intervals": INTERVALS_SQL, "whitelist": f"select distinct {CB} as barcode from events"}
+    ctes = {"reads": READS_SQL, "tags": TAGS_SQL, "matrix": MATRIX_SQL, "hits": HITS_SQL.replace("event_id div 4", "event_id // 4"), "all_hits": ALL_HITS_SQL.replace("event_id div 4", "event_id // 4"), "intervals": INTERVALS_SQL, "event_intervals": EVENT_INTERVALS_SQL, "whitelist": f"select distinct {CB} as barcode from events"}
     import re
 
     used = [k for k in ctes if re.search(rf"\b{k}\b", sql) or (k == "tags" and re.search(r"\bmatrix\b", sql))]

@@ -25,21 +25,23 @@ def edits_within(a: str, b: str, limit: int) -> bool:
 
 
 def neighbours(umis: list[str], limit: int) -> dict[int, set[int]]:
-    """Pairs within `limit` edits, found by shared pieces: strings so near share one of limit + 1 pieces, shifted by at most `limit`."""
+    """Pairs within `limit` edits, found by shared pieces: of limit + 1 pieces of the one, the other has one, shifted by at most `limit`.
+
+    Each UMI is cut by its own length, and looked up by the cuts of every length that is near enough.
+    """
+    cuts = {n: [(k * n // (limit + 1), (k + 1) * n // (limit + 1)) for k in range(limit + 1)] for n in {len(u) for u in umis}}
     seen: dict[tuple, list[int]] = {}
     near: dict[int, set[int]] = {i: set() for i in range(len(umis))}
     for i, u in enumerate(umis):
-        step = max(1, -(-len(u) // (limit + 1)))
-        found = set()
-        for size in {step, len(u) - limit * step}:
-            for p in range(0, max(1, len(u) - size + 1)):
-                found.update(j for s in range(-limit, limit + 1) for j in seen.get((p + s, u[p : p + size]), ()))
-        for k in range(limit + 1):
-            seen.setdefault((k * step, u[k * step : (k + 1) * step]), []).append(i)
-        if len(u) <= limit + 1 or any(len(x) != len(u) for x in (umis[0],)):
-            found = set(range(i))
+        found: set[int] = set()
+        for n in range(len(u) - limit, len(u) + limit + 1):
+            for k, (a, b) in enumerate(cuts.get(n, ())):
+                for p in range(max(0, a - limit), min(len(u) - (b - a), a + limit) + 1):
+                    found.update(seen.get((n, k, u[p : p + b - a]), ()))
+        for k, (a, b) in enumerate(cuts[len(u)]):
+            seen.setdefault((len(u), k, u[a:b]), []).append(i)
         for j in found:
-            if j != i and edits_within(u, umis[j], limit):
+            if edits_within(u, umis[j], limit):
                 near[i].add(j)
                 near[j].add(i)
     return near

@@ -1,0 +1,33 @@
+"""UMIs of unequal length."""
+
+import random
+
+from cytoframe.operators import umi
+
+
+def test_neighbours_of_mixed_lengths():
+    g = random.Random(4)
+    for limit in (1, 2, 3):
+        umis = sorted({"".join(g.choice("AC") for _ in range(g.randrange(1, 16))) for _ in range(200)})
+        g.shuffle(umis)
+        near = umi.neighbours(umis, limit)
+        assert near == {i: {j for j in range(len(umis)) if j != i and umi.edits_within(umis[i], umis[j], limit)} for i in range(len(umis))}
+
+
+def test_shorter_umi_is_corrected():
+    a, b = "GGGGGGGGGGGG", "ACGTTGCATCAGT"
+    assert umi.representatives({a: 20, b: 9, b[:6] + b[7:]: 1})[b[:6] + b[7:]] == b
+
+
+def test_pieces_across_a_step():
+    g = random.Random(9)
+    for n in (12, 13, 14, 16):
+        for _ in range(200):
+            u = "".join(g.choice("ACGT") for _ in range(n))
+            v = list(u)
+            for _ in range(2):
+                p = g.randrange(len(v))
+                v[p : p + 1] = g.choice(("", "A", v[p] + "C"))
+            v = "".join(v)
+            if v != u:
+                assert umi.neighbours(["T" * n, u, v], 2)[1] >= {2}

@@ -42,7 +42,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that overlap with a benchmark item."""
-    found = decontam.overlaps(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    found = decontam.overlaps(docs, table(spark, sf_dir, "benchmark"), short=True).select(F.col("doc_id").alias("_leak")).distinct()
     return docs.join(found, docs["doc_id"].cast("long") == found["_leak"], "left_anti")
 
 

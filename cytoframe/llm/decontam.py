@@ -18,18 +18,41 @@ from pyspark.sql import functions as F
 from cytoframe.llm.hashing import U64, mix, word_hashes
 from cytoframe.llm.shared import in_slots, packed, ragged, repeated_slots, slices
 
-MASKS = ("111111", "110110111", "1101010111", "101101001011")
+#: With these, each window of SPAN words at SHARE has a hit; items of fewer words need those of their length too.
+MASKS = ("111111", "110110111", "1101010111", "101101001011", "1101111")
+SHORT = {
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("1111",),
+    5: ("1111", "10111", "11011", "11101"),
+    6: ("11111", "101111", "110111", "111011", "111101"),
+    7: ("11111", "110111", "111011"),
+    8: ("1111011",),
+    10: ("11100111", "11011011", "1100101011"),
+    11: ("11100111", "1111011"),
+    12: ("11001111",),
+}
 SPAN, SHARE = 13, 0.8
 SIDE = 64  # words kept on either side of a hit for its verification; more than SPAN
 
 
-def seed_hashes(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every masked stretch that lies within its text, and its first word's index."""
+def masks_for(lengths) -> tuple[str, ...]:
+    """The masks that items of these lengths need."""
+    return tuple(dict.fromkeys([*MASKS, *(m for n in sorted(lengths) for m in SHORT.get(n, ()))]))
+
+
+def seed_hashes(hashes: np.ndarray, counts: np.ndarray, masks: tuple[str, ...] = MASKS, *, items: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every masked stretch that lies within its text, and its first word's index; `items`: only under masks for the text's length."""
     owner_end = np.repeat(np.cumsum(counts), counts)
+    size = np.repeat(counts, counts)
     out, place = [], []
-    for k, mask in enumerate(MASKS):
-        at = np.flatnonzero(np.arange(len(hashes)) + len(mask) <= owner_end)
-        h = np.full(len(at), k + 1, U64)
+    for mask in masks:
+        fits = np.arange(len(hashes)) + len(mask) <= owner_end
+        if items and mask not in MASKS:
+            fits &= np.isin(size, [n for n, own in SHORT.items() if mask in own])
+        at = np.flatnonzero(fits)
+        h = np.full(len(at), int(mask, 2), U64)
         for i, keep in enumerate(mask):
             if keep == "1":
                 h = h * U64(0x9E3779B97F4A7C15) + hashes[at + i]
@@ -52,7 +75,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "_text", 1 << 18):
             h, _, _, counts = word_hashes(*packed(part.column(1)), letters=True)
             begin = np.cumsum(counts) - counts
-            seeds, at = seed_hashes(h, counts)
+            seeds, at = seed_hashes(h, counts, masks_for(range(SPAN)), items=True)
             owner = np.repeat(np.arange(part.num_rows), counts)[at]
             yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64)), part.column(0).take(pa.array(owner)), pa.array(at - begin[owner], pa.int32())], names=["_seed", "_item", "_at"])
 
@@ -71,17 +94,19 @@ def best_overlap(doc: np.ndarray, doc_at: int, item: np.ndarray, item_at: int, s
     return int(sums[k]), doc_at - back + k, size
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, *, span: int = SPAN, share: float = SHARE) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, *, span: int = SPAN, share: float = SHARE, short: bool = False) -> DataFrame:
     """Pairs of document and benchmark item that overlap: doc_id, item_id, n_same (agreeing words of the best window), n_words (its length).
 
     Words are runs of letters and digits, ASCII case folded. Null texts and texts or items of fewer words than the shortest mask
-    overlap with nothing; so do rows whose id is null. Repeated rows give one pair; empty tables give none.
+    overlap with nothing, or with `short`, which adds the masks of short items, those without words; so do rows whose id is null. Repeated rows give one pair; empty tables give none.
     The documents are scanned once: seeds are tested against a bitmap (its size is fixed, whatever the benchmark's
     size) and only seeds that pass leave the scan, with the words around them, for an equi-join with the benchmark's seeds.
     """
     known = benchmark.select(F.col("item_id").cast("long").alias("_item"), F.col("text").alias("_text")).where("_item is not null")
     items = known.mapInArrow(_item_seeds, "_seed long, _item long, _at int").distinct()
     words = known.mapInArrow(_item_words, "_item long, _words binary").distinct()
+    lengths = words.select(F.expr("int(length(_words) div 8)").alias("_n")).where(f"_n < {SPAN}").distinct().collect() if short else []
+    masks = masks_for([r["_n"] for r in lengths])
     shared = repeated_slots(items, "_seed")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +114,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, *, span: int = SPAN, share:
             for part in slices(batch, "_text"):
                 h, _, _, counts = word_hashes(*packed(part.column(1)), letters=True)
                 begin = np.cumsum(counts) - counts
-                seeds, at = seed_hashes(h, counts)
+                seeds, at = seed_hashes(h, counts, masks)
                 hit = np.flatnonzero(in_slots(shared.value, seeds))
                 if not len(hit):
                     continue

@@ -32,7 +32,7 @@ from cytoframe.llm.shared import packed, partitions, ragged, slices
 FIRST_RULE = 50_304
 MARK = 64
 BLOCK_IDS = 1 << 20
-ROUNDS, RULES_A_ROUND, LEAST = 6, 2_500, 4
+RULES_A_ROUND, LEAST = 2_500, 4
 SCHEMA = "shard int, block int, n_tokens long, doc_ids array<long>, doc_sizes array<long>, rules binary, rule_sizes binary, symbols binary, marks binary"
 
 
@@ -58,7 +58,8 @@ def library(path: str) -> tuple[Merges, object]:
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Re-Pair: rounds that replace the most frequent pairs by new symbols until none occurs LEAST times.
+    """Re-Pair: rounds that replace the most frequent pairs by new symbols until none occurs LEAST times or 16 bits
+    hold no more rules.
 
     ids: below FIRST_RULE; ends: positions of the last id of each document. Returns rules (n, 2), rule sizes and symbols.
     """
@@ -69,7 +70,7 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     last[ends] = True
     rules, sizes = [np.zeros((0, 2), np.uint32)], [np.zeros(0, np.int64)]
     made = 0
-    for _ in range(ROUNDS):
+    while True:
         room = min(RULES_A_ROUND, (1 << 16) - FIRST_RULE - made)
         if len(s) < 2 or not room:
             break

@@ -3,7 +3,8 @@
 Texts are split as the byte-level pattern does ('s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+).
 Each pre-token is a row of a segment tree whose leaves are the ranks of its adjacent pairs: the root names the leftmost pair of
 lowest rank, and a merge changes three leaves and the nodes above them. Rows of equal tree size are merged together in numpy;
-a pre-token of over 256 bytes gets a tree of its own. Pre-tokens already seen by a worker come from a bounded cache.
+a pre-token of over 256 bytes gets a tree of its own. Pre-tokens already seen by a worker come from a bounded table, which compares
+their bytes on every hit, so two pre-tokens of one hash never share ids.
 """
 
 from __future__ import annotations
@@ -20,13 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cytoframe.llm.hashing import BYTE, span_hashes
+from cytoframe.llm.hashing import U64, mix
 from cytoframe.llm.shared import packed, ragged, slices
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
 NONE = np.int64(1) << 40
 LONG = 256
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000  # pre-tokens that a worker keeps at most,
+CACHE_LANES = 4_000_000  # and eight-byte pieces of them
+SLICE = 1 << 20
 
 
 @lru_cache(1)
@@ -115,6 +118,90 @@ def pretokens(data: np.ndarray, offsets: np.ndarray, special: tuple[bytes, ...]
     return starts, np.searchsorted(starts, offsets)
 
 
+def word_lanes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words' bytes in pieces of eight, zero-filled, as numbers; pieces of each word; and a 64-bit hash of each word."""
+    pad = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", pad, strides=(1,)).copy()
+    count = (lengths + 7) >> 3
+    owner = np.repeat(np.arange(len(lengths)), count)
+    begin = np.cumsum(count) - count
+    place = np.arange(len(owner)) - begin[owner]
+    value = eight[starts[owner] + 8 * place]
+    left = lengths[owner] - 8 * place
+    short = np.flatnonzero(left < 8)
+    value[short] &= (U64(1) << (8 * left[short]).astype(U64)) - U64(1)
+    h = mix(value + mix(place.astype(U64) + U64(1)))
+    return value, count, mix(np.add.reduceat(h, begin) + lengths.astype(U64)) if len(begin) else h
+
+
+def _grown(a: np.ndarray, n: int) -> np.ndarray:
+    if len(a) >= n:
+        return a
+    out = np.empty(max(n, 2 * len(a)), a.dtype)
+    out[: len(a)] = a
+    return out
+
+
+class Known:
+    """Words and their ids: open addressing by hash; bytes are compared, so words of one hash stay apart."""
+
+    def __init__(self):
+        self.n = self.lanes = self.size = 0
+        self.slots = np.full(1 << 16, -1, np.int32)
+        self.keys, self.lane_at, self.lengths = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.id_at, self.id_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.lane_pool, self.id_pool = np.zeros(0, U64), np.zeros(0, np.int32)
+
+    def _place(self, index: np.ndarray) -> None:
+        mask = len(self.slots) - 1
+        at = (self.keys[index] & U64(mask)).astype(np.int64)
+        while len(index):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = index[free]
+            wait = self.slots[at] != index
+            index, at = index[wait], (at[wait] + 1) & mask
+
+    def find(self, keys: np.ndarray, value: np.ndarray, begin: np.ndarray, count: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Index of each word, -1 where it is not known."""
+        mask = len(self.slots) - 1
+        out = np.full(len(keys), -1, np.int64)
+        open_, at = np.arange(len(keys)), (keys & U64(mask)).astype(np.int64)
+        while len(open_):
+            i = self.slots[at].astype(np.int64)
+            some = i >= 0
+            open_, at, i = open_[some], at[some], i[some]
+            same = np.flatnonzero((self.keys[i] == keys[open_]) & (self.lengths[i] == lengths[open_]))
+            hit = np.zeros(len(open_), bool)
+            if len(same):
+                o, k = open_[same], i[same]
+                n = count[o]
+                equal = self.lane_pool[ragged(self.lane_at[k], n)] == value[ragged(begin[o], n)]
+                hit[same] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+            out[open_[hit]] = i[hit]
+            open_, at = open_[~hit], (at[~hit] + 1) & mask
+        return out
+
+    def add(self, keys: np.ndarray, value: np.ndarray, begin: np.ndarray, count: np.ndarray, lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Takes in words that are not known yet; returns their indices."""
+        a, b = self.n, self.n + len(keys)
+        for name, new in (("keys", keys), ("lengths", lengths), ("lane_at", self.lanes + np.cumsum(count) - count), ("id_at", self.size + np.cumsum(counts) - counts), ("id_n", counts)):
+            grown = _grown(getattr(self, name), b)
+            grown[a:b] = new
+            setattr(self, name, grown)
+        lanes = value[ragged(begin, count)]
+        self.lane_pool = _grown(self.lane_pool, self.lanes + len(lanes))
+        self.lane_pool[self.lanes : self.lanes + len(lanes)] = lanes
+        self.id_pool = _grown(self.id_pool, self.size + len(ids))
+        self.id_pool[self.size : self.size + len(ids)] = ids
+        self.n, self.lanes, self.size = b, self.lanes + len(lanes), self.size + len(ids)
+        if 2 * b > len(self.slots):
+            self.slots = np.full(1 << (2 * b - 1).bit_length(), -1, np.int32)
+            self._place(np.arange(b, dtype=np.int32))
+        else:
+            self._place(np.arange(a, b, dtype=np.int32))
+        return np.arange(a, b)
+
+
 class Merges:
     """Vocabulary and merge ranks of a byte-level BPE file, with the encoder and decoder over them."""
 
@@ -141,7 +228,7 @@ class Merges:
         self.piece_length = np.array([len(p) for p in pieces], np.int64)
         self.piece_start = np.cumsum(self.piece_length) - self.piece_length
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
-        self._forget()
+        self.known = Known()
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE where no merge joins it."""
@@ -238,10 +325,6 @@ class Merges:
                 put(prv[at], look(sym[prv[at]], sym[at], prv[at]))
         return [s for s, keep in zip(sym, live, strict=True) if keep]
 
-    def _forget(self) -> None:
-        self.known, self.where = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.pool, self.lengths, self.begins = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
     def words(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the given pre-tokens, one after the other, and how many each has."""
         counts = np.zeros(len(starts), np.int64)
@@ -274,31 +357,40 @@ class Merges:
             out[ragged(begins[p], counts[p])] = ids
         return out, counts
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray, encode_words=None) -> tuple[np.ndarray, np.ndarray, tuple]:
-        """Ids of packed texts, ids per text, and (pre-token index into the pool, pool ids per pre-token, first pre-token of each text)."""
+    def encode(self, data: np.ndarray, offsets: np.ndarray, encode_words=None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of packed texts, one after the other, and ids per text."""
         starts, first = pretokens(data, offsets, tuple(self.special))
-        ends = np.append(starts[1:], len(data))[: len(starts)]
-        code, unique = pd.factorize(span_hashes(BYTE[data], starts, ends))
-        if len(self.known) > CACHE_WORDS:
-            self._forget()
-        at = np.minimum(np.searchsorted(self.known, unique), max(len(self.known) - 1, 0))
-        new = self.known[at] != unique if len(self.known) else np.ones(len(unique), bool)
-        if new.any():
-            seen = np.full(len(unique), -1, np.int64)
-            seen[code[::-1]] = np.arange(len(code))[::-1]
+        if not len(starts):
+            return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
+        lengths = np.append(starts[1:], len(data))[: len(starts)] - starts
+        value, count, key = word_lanes(data, starts, lengths)
+        begin = np.cumsum(count) - count
+        code, unique = pd.factorize(key)
+        seen = np.empty(len(unique), np.int64)
+        seen[code[::-1]] = np.arange(len(code))[::-1]
+        rep = seen[code]
+        fits = count == count[rep]
+        twin = np.where(fits, rep, np.arange(len(rep)))
+        equal = value == value[ragged(begin[twin], count)]
+        differ = np.flatnonzero(~fits | (lengths != lengths[rep]) | ~np.logical_and.reduceat(equal, begin))
+        if len(differ):  # words of one hash
+            own: dict[bytes, int] = {}
+            for i in differ.tolist():
+                code[i] = own.setdefault(data[starts[i] : starts[i] + lengths[i]].tobytes(), len(seen) + len(own))
+            fresh = np.empty(len(own), np.int64)
+            fresh[code[differ[::-1]] - len(seen)] = differ[::-1]
+            seen = np.concatenate([seen, fresh])
+        if self.known.n + len(seen) > CACHE_WORDS or self.known.lanes > CACHE_LANES:
+            self.known = Known()
+        word = self.known.find(key[seen], value, begin[seen], count[seen], lengths[seen])
+        new = np.flatnonzero(word < 0)
+        if len(new):
             pick = seen[new]
-            ids, counts = (encode_words or self.words)(data, starts[pick], (ends - starts)[pick])
-            base = len(self.lengths)
-            self.begins = np.concatenate([self.begins, len(self.pool) + np.cumsum(counts) - counts])
-            self.pool, self.lengths = np.concatenate([self.pool, ids]), np.concatenate([self.lengths, counts])
-            known, where = np.concatenate([self.known, unique[new]]), np.concatenate([self.where, base + np.arange(len(pick))])
-            order = np.argsort(known, kind="stable")
-            self.known, self.where = known[order], where[order]
-            at = np.searchsorted(self.known, unique)
-        word = self.where[at][code] if len(unique) else np.zeros(0, np.int64)
-        each = self.lengths[word]
+            ids, counts = (encode_words or self.words)(data, starts[pick], lengths[pick])
+            word[new] = self.known.add(key[pick], value, begin[pick], count[pick], lengths[pick], ids, counts)
+        each = self.known.id_n[word][code]
         total = np.concatenate([[0], np.cumsum(each)])
-        return self.pool[ragged(self.begins[word], each)], np.diff(total[first]), (word, each, first)
+        return self.known.id_pool[ragged(self.known.id_at[word][code], each)].astype(np.int64), np.diff(total[first])
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the ids, one after the other, and the bytes of each id."""
@@ -331,7 +423,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id",
     """Encodes every whole text and decodes it again; one row per input row: id, n_tokens, ids_sha256, decoded_sha256 (and ids, decoded).
 
     Null texts count as empty; repeated rows give repeated rows; an empty table gives an empty one; other columns are ignored.
-    No shuffle: each task works through its own rows in slices of about 2 MB of text.
+    No shuffle: each task works through its own rows in slices of about 1 MB of text.
     """
     fields = [T.StructField(id_column, docs.schema[id_column].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     if with_ids:
@@ -341,9 +433,9 @@ def encode_decode(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id",
         bpe = merges(tokenizer)
         digits, digit_start, digit_length = decimals(len(bpe.piece_length))
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 data, offsets = packed(part.column(1))
-                ids, counts, _ = bpe.encode(data, offsets)
+                ids, counts = bpe.encode(data, offsets)
                 plain, size = bpe.decode(ids)
                 to = np.concatenate([[0], np.cumsum(counts)])
                 plain_to = np.concatenate([[0], np.cumsum(size)])[to]

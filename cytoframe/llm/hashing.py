@@ -1,7 +1,13 @@
-"""Vectorised word splitting and 64-bit hashing over packed text bytes."""
+"""Vectorised word splitting and 64-bit hashing over packed text bytes.
+
+Short spans are hashed by a polynomial modulo 2**64 from one prefix sum. Two structured words of 1,024 symbols or more can agree under
+every such polynomial (Thue-Morse words do), so spans of over EXACT symbols take a cryptographic digest of their symbols instead.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U64 = np.uint64
@@ -18,17 +24,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
+EXACT = 400
+KEPT_POWERS = 1 << 20
 _powers: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; grown by doubling and kept."""
-    have = _powers.get(base)
-    if have is None:
-        have = np.ones(1, U64)
+    """base**0 .. base**(n-1) modulo 2**64; up to KEPT_POWERS of them are kept."""
+    have = _powers.get(base, np.ones(1, U64))
     while len(have) < n:
         have = np.concatenate([have, have * U64(pow(base, len(have), 1 << 64))])
-    _powers[base] = have
+    if len(have) <= KEPT_POWERS:
+        _powers[base] = have
     return have[:n]
 
 
@@ -37,12 +44,16 @@ def inverse_powers(n: int) -> np.ndarray:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] for each span, from one prefix sum; equal content gives equal hashes."""
+    """Hash of values[start:end] for each span; equal content gives equal hashes."""
     n = len(values)
     total = np.zeros(n + 1, U64)
     np.cumsum(values * powers(n), out=total[1:])
     h = (total[ends] - total[starts]) * inverse_powers(n + 1)[starts]
-    return mix(h ^ ((ends - starts).astype(U64) << U64(48)))
+    h = mix(h ^ ((ends - starts).astype(U64) << U64(48)))
+    long = np.flatnonzero(ends - starts > EXACT)
+    if len(long):
+        h[long] = [int.from_bytes(hashlib.blake2b(values[a:b].tobytes(), digest_size=8).digest(), "little") for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+    return h
 
 
 _SPACE = np.zeros(256, bool)

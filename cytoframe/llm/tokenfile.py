@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cytoframe.llm.bpe import Merges
-from cytoframe.llm.shared import packed, partitions, ragged, slices
+from cytoframe.llm.bpe import SLICE, Merges
+from cytoframe.llm.shared import binary_column, own_shuffles, packed, partitions, ragged, release, slices, written
 
 FIRST_RULE = 50_304
 MARK = 64
 BLOCK_IDS = 1 << 20
-RULES_A_ROUND, LEAST = 2_500, 4
+RULES_A_ROUND, LEAST = 4_000, 4
 SCHEMA = "shard int, block int, n_tokens long, doc_ids array<long>, doc_sizes array<long>, rules binary, rule_sizes binary, symbols binary, marks binary"
 
 
@@ -51,8 +52,8 @@ def library(path: str) -> tuple[Merges, object]:
     def words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = data.tobytes()
         found = [e.ids for e in t.encode_batch([raw[a : a + n].decode() for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)], add_special_tokens=False)]
-        counts = np.array([len(x) for x in found], np.int64)
-        return np.array([i for x in found for i in x], np.int64), counts
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts
 
     return Merges(path), words
 
@@ -167,12 +168,25 @@ def block_row(shard: int, block: int, doc_ids: list, counts: np.ndarray, ids: np
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Encodes every whole text with the tokenizer library and writes the ids, in ascending id order, as a token file.
 
-    Null texts count as empty (only the end id); rows of equal id stand next to each other, null ids first; an empty table gives an
-    empty file. Texts move once, in a range exchange on the id; Spark's committer writes the blocks, so a lost executor's tasks rerun.
+    Null texts count as empty (only the end id); rows of equal id stand next to each other, in the order of a hash of their texts, null
+    ids first; an empty table gives an empty file. Texts are encoded where they are read; only ids (two bytes each) move, in a range
+    exchange on id and hash, so rows of one id may lie in several ranges. Spark's committer writes the blocks, so a lost executor's
+    tasks rerun.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, words = library(tokenizer)
+        for batch in batches:
+            for part in slices(batch, "_text", SLICE):
+                ids, counts = splitter.encode(*packed(part.column(2)), words)
+                if len(ids) and int(ids.max()) >= FIRST_RULE:
+                    raise ValueError("ids must be below FIRST_RULE")
+                out = np.full(len(ids) + len(counts), end_id, "<u2")
+                out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+                to = np.concatenate([[0], np.cumsum(counts + 1)])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), binary_column(out.view(np.uint8), 2 * to)], names=["_id", "_tie", "_ids"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block = TaskContext.get().partitionId(), 0
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
         kinds = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_sizes", pa.list_(pa.int64())), ("rules", pa.binary()), ("rule_sizes", pa.binary()), ("symbols", pa.binary()), ("marks", pa.binary())])
@@ -182,24 +196,24 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, *, end_id: int
             held.clear()
             return pa.RecordBatch.from_pylist([row], kinds)
 
+        size = 0
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_ids"):
                 data, offsets = packed(part.column(1))
-                ids, counts, _ = splitter.encode(data, offsets, words)
-                to = np.cumsum(counts)
-                out = np.full(len(ids) + len(counts), end_id, np.int64)
-                out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
-                assert len(to) == part.num_rows
-                held.append((part.column(0).to_pylist(), counts + 1, out))
-                if sum(len(h[2]) for h in held) >= BLOCK_IDS:
+                held.append((part.column(0).to_pylist(), np.diff(offsets) >> 1, np.frombuffer(data.tobytes(), "<u2")))
+                size += len(data) >> 1
+                if size >= BLOCK_IDS:
                     yield flush()
-                    block += 1
+                    block, size = block + 1, 0
         if held:
             yield flush()
 
-    rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
-    ordered = rows.repartitionByRange(partitions(docs), "_id").sortWithinPartitions("_id")
-    ordered.mapInArrow(run, SCHEMA).write.parquet(path)
+    rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.xxhash64(text_column).alias("_tie"), F.col(text_column).alias("_text"))
+    encoded = written(rows.mapInArrow(encode, "_id long, _tie long, _ids binary"), "ids", "zstd")
+    ordered = encoded.repartitionByRange(partitions(docs), "_id", "_tie").sortWithinPartitions("_id", "_tie").select("_id", "_ids")
+    with own_shuffles(docs.sparkSession):
+        ordered.mapInArrow(pack, SCHEMA).write.parquet(path)
+    release(encoded)
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:

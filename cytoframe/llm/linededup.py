@@ -9,10 +9,10 @@ whose half occurs in another line emit variants: the hash of the whole line and,
 variants join: two lines without the same place, or one whole and one without a place. Each such group needs only its earliest
 line, so groups of any size are combined before they are exchanged and never multiplied out.
 
-With `whole`, the bound grows with the line: two lines of MIN_WORDS words or more are near if their word edits are at most a fifth of
-the longer one's words; and two lines of at most CHAR_WORDS words (in one of which a fifth may be less than the two word edits that a
-split or joined word takes) are near if they have MIN_WORDS characters or more and differ by one character. Lines of two edits or more
-are found by pieces: a line of n >= 10 words holds more disjoint pieces of four words (three, for 10, 11 and 15) than edits are
+With `short`, two lines of at most CHAR_WORDS words (in which a split or joined word, two word edits, is more than a fifth) are near
+too if they have MIN_WORDS characters or more and differ by one character. With `whole`, the bound also grows with the line: two lines
+of MIN_WORDS words or more are near if their word edits are at most a fifth of the longer one's words. Lines of two edits or more are
+found by pieces: a line of n >= 10 words holds more disjoint pieces of four words (three, for 10, 11 and 15) than edits are
 allowed, so one piece stands unchanged in the other line. Each line is held against the earliest line that shares each of its pieces
 first; only lines not removed by that meet all other lines that share a piece.
 """
@@ -23,18 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cytoframe.llm.hashing import LOWER, U64, inverse_powers, mix, powers, span_hashes, word_hashes
 from cytoframe.llm.hashing import words as word_spans
-from cytoframe.llm.shared import in_slots, packed, ragged, release, repeated_slots, slices, written
+from cytoframe.llm.shared import free_name, in_slots, packed, ragged, release, repeated_slots, slices, trim, written
 
 MIN_WORDS = 5
 CHAR_WORDS = 10
 SHARE = 5  # one edit in so many words
 CELLS = 1 << 21  # numbers that the edit distances of one go may take
 PAIR = "_doc long, _line int, _doc2 long, _line2 int"
+KEYS = ["_k0", "_k1", "_k2", "_k3"]
 _OTHER = U64(0xD6E8FEB86659FD93)
 
 
@@ -64,14 +67,19 @@ def _keys(h: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest (two halves), text and number of every line that has words."""
+    """Digest (two halves), half keys, text and number of every line that has words."""
     for batch in batches:
         for part in slices(batch, "_text"):
             h, first, n, text, number = _lines(*packed(part.column(1)))
             pick = np.flatnonzero(n > 0)
             first, n, text, number = first[pick], n[pick], text[pick], number[pick]
             whole, other = span_hashes(h, first, first + n), span_hashes(mix(h ^ _OTHER), first, first + n)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text)), pa.array(number, pa.int32()), pa.array(whole.view(np.int64)), pa.array(other.view(np.int64))], names=["_doc", "_line", "_h", "_g"])
+            key = _keys(h, first, n)
+            absent = np.zeros(key.shape, bool)
+            absent[n < MIN_WORDS] = True
+            absent[n == MIN_WORDS, 2:] = True  # half of four words is no key for five
+            keys = [pa.array(key[:, i].view(np.int64), mask=absent[:, i]) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text)), pa.array(number, pa.int32()), pa.array(whole.view(np.int64)), pa.array(other.view(np.int64)), *keys], names=["_doc", "_line", "_h", "_g", *KEYS])
 
 
 def _word_units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -165,10 +173,9 @@ def _verified(pairs: DataFrame, words: DataFrame, verify) -> DataFrame:
     return written(pair.select("_doc", "_line", "_doc2", "_line2", "_words", "_words2").mapInArrow(verify, PAIR), "edits")
 
 
-def _one_edit(texts: DataFrame, distinct: DataFrame, units) -> DataFrame:
-    """Lines that differ from an earlier one by one word (or character), with the earliest such line."""
+def _one_edit(texts: DataFrame, distinct: DataFrame, units, keyed: DataFrame) -> DataFrame:
+    """Lines that differ from an earlier one by one word (or character), with the earliest such line. keyed: half keys and lines' hashes."""
     place = F.struct("_doc", "_line")
-    keyed = texts.select("_text").mapInArrow(_half_keys(units), "_key long, _h long")
     halves = repeated_slots(keyed.groupBy("_key").agg(F.min("_h").alias("_a"), F.max("_h").alias("_b")).where("_a != _b"), "_key")
     words = _kept_words(texts, distinct, units, lambda h, first, n: in_slots(halves.value, _keys(h, first, n).reshape(-1)).reshape(-1, 4).any(1))
     twice = repeated_slots(words.mapInArrow(_hashes, "_v long, _n long").groupBy("_v").agg(F.sum("_n").alias("_n")).where("_n > 1"), "_v")
@@ -217,19 +224,27 @@ def _more_edits(texts: DataFrame, distinct: DataFrame, found: DataFrame) -> Data
     return near.union(late)
 
 
-def removed_lines(docs: DataFrame, *, whole: bool = False) -> DataFrame:
+def removed_lines(docs: DataFrame, *, short: bool = False, whole: bool = False) -> DataFrame:
     """Rows (_doc, _lines): documents that lose lines, and the numbers of those lines, ascending."""
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text")).where("_doc is not null and _text is not null")
     place = F.struct("_doc", "_line")
-    lines = texts.mapInArrow(_places, "_doc long, _line int, _h long, _g long")
-    distinct = written(lines.groupBy("_h", "_g").agg(F.min(place).alias("_first")).select("_h", "_g", "_first._doc", "_first._line"), "lines")
-    checked = _one_edit(texts, distinct, _word_units)
+    lines = written(texts.mapInArrow(_places, "_doc long, _line int, _h long, _g long, " + ", ".join(f"{k} long" for k in KEYS)), "places")
+    distinct = lines.groupBy("_h", "_g").agg(F.min(F.struct("_doc", "_line", *KEYS)).alias("_first")).select("_h", "_g", "_first.*")
+    distinct = written(distinct, "lines")
+    halves = distinct.select("_h", F.explode(F.array_compact(F.array(*KEYS))).alias("_key"))
+    distinct = distinct.select("_h", "_g", "_doc", "_line")
+    checked = _one_edit(texts, distinct, _word_units, halves)
+    if short or whole:
+        checked = checked.union(_one_edit(texts, distinct, _char_units, texts.select("_text").mapInArrow(_half_keys(_char_units), "_key long, _h long")))
     if whole:
-        checked = checked.union(_one_edit(texts, distinct, _char_units))
-        checked = checked.union(_more_edits(texts, distinct, checked)).dropDuplicates(["_doc", "_line"])
+        checked = checked.union(_more_edits(texts, distinct, checked))
+    if short or whole:
+        checked = checked.groupBy("_doc", "_line").agg(F.min(F.struct("_doc2", "_line2")).alias("_b")).select("_doc", "_line", "_b.*")
     ends = distinct.join(checked, ["_doc", "_line"], "left").select("_h", "_g", F.struct(F.coalesce("_doc2", "_doc").alias("_doc"), F.coalesce("_line2", "_line").alias("_line")).alias("_keep"))
-    gone = lines.join(ends, ["_h", "_g"]).where(F.col("_keep") < place).select("_doc", "_line")
-    return gone.groupBy("_doc").agg(F.sort_array(F.collect_set("_line")).alias("_lines"))
+    gone = lines.select("_h", "_g", "_doc", "_line").join(ends, ["_h", "_g"]).where(F.col("_keep") < place).select("_doc", "_line")
+    out = written(gone.groupBy("_doc").agg(F.sort_array(F.collect_set("_line")).alias("_lines")), "gone")
+    release(lines)
+    return out
 
 
 def word_grams(h: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -357,15 +372,41 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(ok, pa.bool_())).select(["_doc", "_line", "_doc2", "_line2"])
 
 
-def dedup_lines(docs: DataFrame, *, whole: bool = False) -> DataFrame:
+def without_lines(text: str, lines: list[int]) -> str:
+    """The text without the lines of these numbers."""
+    gone = set(lines)
+    return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+
+
+def dedup_lines(docs: DataFrame, *, short: bool = False, whole: bool = False, n_lines: str = "_n_lines", n_removed: str = "_n_removed") -> DataFrame:
     """docs with every removed line and its line break taken out of `text`; all other columns and all rows stay.
 
-    whole: with the bound that grows with the line. Lines without words stay. Rows whose id or text is null stay as they are; a text that loses every line becomes empty. Rows of
-    one id count as one document. Empty tables give empty ones. Adds the columns _n_lines and _n_removed.
+    short: with one character edit in short lines; whole: also with the bound that grows with the line. Lines without words stay. Rows
+    whose id or text is null stay as they are; a text that loses every line becomes empty. Rows of one id count as one document. Empty
+    tables give empty ones; extra columns may have any name but those of the two counts that are added.
     """
-    lists = removed_lines(docs, whole=whole).withColumnRenamed("_doc", "_gone_doc")
-    joined = docs.hint("merge").join(lists, docs["doc_id"].cast("long") == F.col("_gone_doc"), "left")
-    parts = F.split("text", "\n", -1)
-    kept = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_lines", i)), "\n"))
-    columns = [kept.alias("text") if c == "text" else docs[c] for c in docs.columns]
-    return joined.select(*columns, F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("_n_lines"), F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("_n_removed"))
+    place, at, key = free_name(docs, "_lines"), docs.columns.index("text"), free_name(docs, "_gone_doc")
+    lists = removed_lines(docs, short=short, whole=whole).select(F.col("_doc").alias(key), F.col("_lines").alias(place))
+    joined = docs.hint("merge").join(lists, docs["doc_id"].cast("long") == F.col(key), "left").drop(key)
+    schema = T.StructType([*docs.schema.fields, T.StructField(n_lines, T.LongType()), T.StructField(n_removed, T.LongType())])
+
+    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, gone = batch.column(at), batch.column(batch.num_columns - 1)
+            data, offsets = packed(column)
+            breaks = np.concatenate([[0], np.cumsum(data == 10)])
+            total = np.where(np.asarray(column.is_valid()), breaks[offsets[1:]] - breaks[offsets[:-1]] + 1, 0)
+            number = np.asarray(gone.value_lengths().fill_null(0)).astype(np.int64)
+            some = np.flatnonzero((number > 0) & (total > 0))
+            if len(some):
+                mask = np.zeros(batch.num_rows, bool)
+                mask[some] = True
+                fresh = [without_lines(column[i].as_py(), gone[i].as_py()) for i in some.tolist()]
+                column = pc.replace_with_mask(column, pa.array(mask), pa.array(fresh, column.type))
+            else:
+                number[:] = 0
+            columns = [column if i == at else batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(np.where(total > 0, number, 0), pa.int64())], names=schema.names)
+            trim()
+
+    return joined.mapInArrow(rebuild, schema)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cytoframe.llm import bpe, decontam, langid, linededup, setjoin
 from cytoframe.llm.queries import TOKENIZER
-from cytoframe.llm.shared import fold, table, written
+from cytoframe.llm.shared import fold, free_name, table, written
 
 #: Documents whose language is less certain than this are rejected; with four languages, chance alone gives 0.25.
 LEAST_SCORE = 0.3
@@ -28,10 +28,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines out that repeat an earlier line, edits of a fifth of the words included; no document goes. n_chars follows the text."""
-    kept = linededup.dedup_lines(docs, whole=True)
+    """Takes lines out that repeat an earlier line, one word edit (one character edit in short lines) included; no document goes. n_chars follows the text."""
+    lines, removed = free_name(docs, "_n_lines"), free_name(docs, "_n_removed")
+    kept = linededup.dedup_lines(docs, short=True, n_lines=lines, n_removed=removed)
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        kept = kept.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)
 
 

@@ -15,11 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_SIZE, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES, unless the session has set a size of its own: long texts would fill workers otherwise."""
+    if spark.conf.get(BATCH_SIZE) == "67108864b":
+        spark.conf.set(BATCH_SIZE, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables of a data folder."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

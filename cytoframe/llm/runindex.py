@@ -3,9 +3,11 @@
 Every 200-byte window is assigned to its smallest 64-byte hash (its anchor), so equal windows have equal anchors. Consecutive
 windows of one anchor form a context. Contexts that occur twice are repeated throughout; the distinct contexts of an anchor go to
 one bucket, where a run-length Burrows-Wheeler transform is built over them: at both ends of each run of equal symbols the suffix
-position is sampled with its common prefix with the neighbouring suffix. Streaming through the text, the length of the longest match elsewhere falls by one
-from place to place except at samples, so the samples give all matching statistics, and windows of 200 or more are marked.
-Anchors with more than MANY distinct contexts would overload a bucket; their windows are compared by hash, spread over all buckets.
+position is sampled with its common prefix with the neighbouring suffix. Streaming through the text, the length of the longest match
+elsewhere falls by one from place to place except at samples, so the samples give all matching statistics, and windows of 200 or more
+are marked. An anchor with more than MANY distinct contexts would overload a bucket: its contexts are cut again by longer anchors, which
+fewer of them share, and indexed by those. The longest anchor is the window itself, where a context is one window and only repeats count.
+Contexts are told apart by 128 bits.
 """
 
 from __future__ import annotations
@@ -20,13 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cytoframe.llm.hashing import BYTE, U64, mix, powers, inverse_powers, span_hashes
-from cytoframe.llm.shared import in_slots, packed, partitions, ragged, repeated_slots, slices, written
+from cytoframe.llm.shared import in_slots, packed, partitions, ragged, release, repeated_slots, slices, written
 
-LENGTH, ANCHOR = 200, 64
+LENGTH = 200
+ANCHORS = (64, 128, LENGTH)
 PIECE = 180  # windows of a context at most
 MANY = 256
-BUCKET_BYTES = 1 << 20
-BUCKET_WINDOWS = 1 << 17
+BUCKET_BYTES = 1 << 18
+SLICE = 1 << 20
+FIRST = 7  # symbols of nine bits that one number holds
 _SECOND = mix(BYTE + U64(29))
 
 
@@ -40,14 +44,14 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
     return mix((total[width:] - total[:-width]) * inverse_powers(n + 1)[: n - width + 1])
 
 
-def contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window, number of windows and text of every context, and the hash of every ANCHOR bytes."""
+def contexts(data: np.ndarray, offsets: np.ndarray, anchor: int = ANCHORS[0]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, first window, number of windows and text of every context, and the hash of every `anchor` bytes."""
     n = len(data)
     none = np.zeros(0, np.int64)
     if n < LENGTH:
         return np.zeros(0, U64), none, none, none, np.zeros(0, U64)
-    h = rolling(BYTE[data], ANCHOR)
-    span = LENGTH - ANCHOR + 1
+    h = rolling(BYTE[data], anchor)
+    span = LENGTH - anchor + 1
     low, size = h, 1
     while 2 * size <= span:
         low = np.minimum(low[:-size], low[size:])
@@ -74,15 +78,28 @@ def contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return low[first], first, windows, text, h
 
 
-def holds_anchor_twice(h: np.ndarray, anchor: np.ndarray, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+def holds_anchor_twice(h: np.ndarray, value: np.ndarray, first: np.ndarray, windows: np.ndarray, anchor: int = ANCHORS[0]) -> np.ndarray:
     """Whether each context holds its anchor more than once, as it must if one of its windows repeats in it."""
     if not len(first):
         return np.zeros(0, bool)
-    size = windows + LENGTH - ANCHOR
-    same = h[ragged(first, size)] == np.repeat(anchor, size)
+    size = windows + LENGTH - anchor
+    same = h[ragged(first, size)] == np.repeat(value, size)
     return np.add.reduceat(same, np.cumsum(size) - size, dtype=np.int64) > 1
 
 
+def _ordered(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the pairs (a, b), all below their number + 1, and whether each differs from the one before."""
+    n = len(a)
+    if n < (1 << 21) - 1:  # pair and place fit in one number, whose sort is far faster than an order
+        key = np.sort((a << 21 | b) << 21 | np.arange(n))
+        order, key = key & ((1 << 21) - 1), key >> 21
+    else:
+        key = a << 32 | b
+        order = np.argsort(key)
+        key = key[order]
+    return order, key[1:] != key[:-1]
+
+
 class RunIndex:
     """Run-length Burrows-Wheeler transform of some strings, with sampled run ends."""
 
@@ -90,24 +107,38 @@ class RunIndex:
         size = np.diff(offsets)
         self.starts = offsets[:-1] + np.arange(len(size))
         n = int(offsets[-1]) + len(size)
-        text = np.zeros(n, np.int64)
-        text[ragged(self.starts, size)] = data
-        text[self.starts + size] = 256 + np.arange(len(size))  # an end mark of its own for each string
-        rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-        levels, width = [(1, rank)], 1
+        text = np.zeros(n + FIRST, np.int64)
+        text[ragged(self.starts, size)] = data.astype(np.int64) + 1  # 0 ends a string
+        ends = self.starts + size
+        key, open_ = np.zeros(n, np.int64), np.ones(n, bool)
+        for i in range(FIRST):
+            key = key << 9 | np.where(open_, text[i : n + i], 0)
+            open_ &= text[i : n + i] > 0
+        # suffixes that reach their string's end are unlike all others: each string's end is a symbol of its own
+        near_end = np.flatnonzero(~open_)
+        order = np.argsort(key)
+        value = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.concatenate([[0], value[1:] != value[:-1]]))
+        alone = np.zeros(n, np.int64)
+        alone[near_end] = 1 + np.arange(len(near_end))
+        order, new_run = _ordered(rank, alone)
+        rank[order] = np.cumsum(np.concatenate([[0], new_run]))
+        text = text[:n]
+        text[ends] = 256 + 1 + np.arange(len(size))
+        levels, width = [(FIRST, rank)], FIRST
         while True:
             ahead = np.full(n, -1, np.int64)
-            ahead[:-width] = rank[width:]
-            key = rank << 32 | (ahead + 1)
-            order = np.argsort(key, kind="stable")
-            key = key[order]
+            if width < n:
+                ahead[:-width] = rank[width:]
+            order, new_run = _ordered(rank, ahead + 1)
             new = np.empty(n, np.int64)
-            new[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
+            new[order] = np.cumsum(np.concatenate([[0], new_run]))
             rank, width = new, 2 * width
             levels.append((width, rank))
             if width >= 2 * LENGTH or int(rank.max(initial=0)) == n - 1:
                 break
-        self.levels, self.n = levels, n
+        self.levels, self.n, self.text = levels, n, text
         suffix = order
         before = text[suffix - 1]
         self.run_heads = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
@@ -124,6 +155,11 @@ class RunIndex:
             same = np.zeros(len(i), bool)
             same[ok] = rank[(i + length)[ok]] == rank[(j + length)[ok]]
             length += same * width
+        live = np.arange(len(i))
+        for _ in range(FIRST - 1):
+            live = live[(i[live] + length[live] < self.n) & (j[live] + length[live] < self.n)]
+            live = live[self.text[i[live] + length[live]] == self.text[j[live] + length[live]]]
+            length[live] += 1
         return length
 
     def matching_statistics(self) -> np.ndarray:
@@ -138,26 +174,29 @@ class RunIndex:
         return [np.flatnonzero(m[a:b]) for a, b in zip(self.starts, np.append(self.starts[1:], self.n), strict=True)]
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "_text"):
-            a, first, windows, _, h = contexts(*packed(part.column(0)))
-            value, at = np.unique(a, return_inverse=True)
-            times = np.bincount(at, 1 + holds_anchor_twice(h, a, first, windows), len(value)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times)], names=["_a", "_n"])
+def _anchors(anchor: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text", SLICE):
+                a, first, windows, _, h = contexts(*packed(part.column(0)), anchor)
+                value, at = np.unique(a, return_inverse=True)
+                times = np.bincount(at, 1 + holds_anchor_twice(h, a, first, windows, anchor), len(value)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times)], names=["_a", "_n"])
+
+    return run
 
 
-def _rows(cells):
+def _rows(cells, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 data, offsets = packed(part.column(2))
-                a, first, windows, text, h = contexts(data, offsets)
+                a, first, windows, text, h = contexts(data, offsets, anchor)
                 p = np.flatnonzero(in_slots(cells.value, a))
                 a, first, windows, text = a[p], first[p], windows[p], text[p]
                 end = first + windows - 1 + LENGTH
                 t = pa.array(text)
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(span_hashes(BYTE[data], first, end).view(np.int64)), pa.array(span_hashes(_SECOND[data], first, end).view(np.int64)), part.column(0).take(t), part.column(1).take(t), pa.array(first - offsets[text]), pa.array(windows), pa.array(holds_anchor_twice(h, a, first, windows))], names=["_a", "_c", "_d", "_doc", "_t", "_from", "_w", "_own"])
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(span_hashes(BYTE[data], first, end).view(np.int64)), pa.array(span_hashes(_SECOND[data], first, end).view(np.int64)), part.column(0).take(t), part.column(1).take(t), pa.array(first - offsets[text]), pa.array(windows), pa.array(holds_anchor_twice(h, a, first, windows, anchor))], names=["_a", "_c", "_d", "_doc", "_t", "_from", "_w", "_own"])
 
     return run
 
@@ -165,7 +204,7 @@ def _rows(cells):
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the wanted contexts of each text."""
     for batch in batches:
-        for part in slices(batch, "_text"):
+        for part in slices(batch, "_text", SLICE):
             data, offsets = packed(part.column(0))
             raw = data.tobytes()
             want = part.column(1)
@@ -185,43 +224,6 @@ def _indexed(group: pa.Table) -> pa.Table:
     return pa.table([group.column("_c").take(pa.array(some)), group.column("_d").take(pa.array(some)), lists], names=["_c", "_d", "_marks"])
 
 
-def _windows(buckets: int):
-    """Window hashes of contexts of very common anchors, one binary row a bucket for each batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_bytes"):
-                data, offsets = packed(part.column(2))
-                h = rolling(BYTE[data], LENGTH)
-                number = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
-                at = ragged(offsets[:-1], number)
-                owner = np.repeat(np.arange(part.num_rows), number)
-                h = h[at]
-                bucket = ((h >> U64(34)) * U64(buckets) >> U64(30)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                head = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0])) if len(order) else order
-                c, d = part.column(0).to_numpy(), part.column(1).to_numpy()
-                cols = [h[order].astype("<u8"), c[owner][order].astype("<i8"), d[owner][order].astype("<i8"), (at - offsets[owner])[order].astype("<i4")]
-                to = np.append(head[1:], len(order))[: len(head)]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][head], pa.int32()), *(pa.array([v[a:b].tobytes() for a, b in zip(head, to, strict=True)], pa.binary()) for v in cols)], names=["_bucket", "_h", "_cs", "_ds", "_at"])
-
-    return run
-
-
-def _counted(group: pa.Table) -> pa.Table:
-    h, c, d, at = (np.frombuffer(b"".join(x.as_py() for x in group.column(k)), t) for k, t in (("_h", "<u8"), ("_cs", "<i8"), ("_ds", "<i8"), ("_at", "<i4")))
-    order = np.argsort(h, kind="stable")
-    same = h[order][1:] == h[order][:-1]
-    twice = np.zeros(len(h), bool)
-    twice[order[1:]] |= same
-    twice[order[:-1]] |= same
-    c, d, at = c[twice], d[twice], at[twice]
-    order = np.lexsort((at, d, c))
-    c, d, at = c[order], d[order], at[order]
-    head = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (d[1:] != d[:-1])])) if len(c) else np.zeros(0, np.int64)
-    return pa.table([pa.array(c[head]), pa.array(d[head]), pa.ListArray.from_arrays(pa.array(np.append(head, len(c)), pa.int32()), pa.array(at, pa.int32()))], names=["_c", "_d", "_marks"])
-
-
 def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marked windows of a context as stretches of bytes of its document."""
     for batch in batches:
@@ -236,26 +238,46 @@ def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).take(p), batch.column(1).take(p), pa.array(at[head]), pa.array(at[last] + LENGTH)], names=["_doc", "_t", "_from", "_to"])
 
 
-def repeated_stretches(docs: DataFrame) -> DataFrame:
-    """Rows (_doc, _t, _spans): for each document and hash of its text the stretches of bytes that repeated windows cover."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_t"), F.col("text").alias("_text")).where("_doc is not null and _text is not null")
-    often = texts.select("_text").mapInArrow(_anchors, "_a long, _n long").groupBy("_a").agg(F.sum("_n").alias("_n")).where("_n > 1")
-    rows = written(texts.mapInArrow(_rows(repeated_slots(often, "_a")), "_a long, _c long, _d long, _doc long, _t long, _from long, _w long, _own boolean"), "contexts")
+def _covered(texts: DataFrame, level: int) -> DataFrame:
+    """Rows (_doc, _t, _from, _to): stretches of the texts (_doc, _t, _text) that windows cover which start elsewhere in them too."""
+    anchor = ANCHORS[level]
+    often = texts.select("_text").mapInArrow(_anchors(anchor), "_a long, _n long").groupBy("_a").agg(F.sum("_n").alias("_n")).where("_n > 1")
+    cells = repeated_slots(often, "_a")
+    rows = written(texts.mapInArrow(_rows(cells, anchor), "_a long, _c long, _d long, _doc long, _t long, _from long, _w long, _own boolean"), "contexts")
+    cells.unpersist()
     kinds = written(rows.groupBy("_a", "_c", "_d").agg(F.count("*").alias("_n"), F.min(F.struct("_doc", "_t", "_from", "_w")).alias("_one"), F.max("_own").alias("_own")), "kinds")
-    spread = kinds.groupBy("_a").agg(F.count("*").alias("_kinds"), F.sum(F.col("_one._w") + LENGTH).alias("_bytes"), F.sum("_one._w").alias("_windows"), F.max("_own").alias("_some_own")).where("_kinds > 1 or _some_own").drop("_some_own")
+    twice = rows.join(kinds.where("_n > 1").select("_a", "_c", "_d"), ["_a", "_c", "_d"], "left_semi").select("_doc", "_t", "_from", (F.col("_from") + F.col("_w") - 1 + LENGTH).alias("_to"))
+    if anchor == LENGTH:
+        return written(twice, "covered")
+    spread = kinds.groupBy("_a").agg(F.count("*").alias("_kinds"), F.sum(F.col("_one._w") + LENGTH).alias("_bytes"), F.max("_own").alias("_some_own")).where("_kinds > 1 or _some_own").drop("_some_own")
+    spread = written(spread, "anchors")
     volume = spread.where(F.col("_kinds") <= MANY).agg(F.sum("_bytes")).first()[0] or 0
-    buckets = max(partitions(docs), 1 + volume // BUCKET_BYTES)
-    hashed = 1 + (spread.where(F.col("_kinds") > MANY).agg(F.sum("_windows")).first()[0] or 0) // BUCKET_WINDOWS
+    some_hot = not spread.where(F.col("_kinds") > MANY).isEmpty()
+    buckets = max(partitions(texts), 1 + volume // BUCKET_BYTES)
     wanted = kinds.join(spread, "_a").select("_one._doc", "_one._t", F.struct("_a", "_c", "_d", (F.col("_kinds") > MANY).alias("_many"), "_one._from", "_one._w").alias("_want"))
     wanted = wanted.groupBy("_doc", "_t").agg(F.collect_list("_want").alias("_want"))
     pieces = written(texts.join(wanted, ["_doc", "_t"]).select("_text", "_want").mapInArrow(_cut, "_a long, _c long, _d long, _many boolean, _bytes binary"), "pieces")
     few = pieces.where("not _many").select(F.pmod(F.xxhash64("_a"), F.lit(buckets)).cast("int").alias("_bucket"), "_c", "_d", "_bytes").dropDuplicates(["_bucket", "_c", "_d"])
-    marks = few.groupBy("_bucket").applyInArrow(_indexed, "_c long, _d long, _marks array<int>")
-    many = pieces.where("_many").select("_c", "_d", "_bytes").mapInArrow(_windows(hashed), "_bucket int, _h binary, _cs binary, _ds binary, _at binary")
-    marks = written(marks.union(many.groupBy("_bucket").applyInArrow(_counted, "_c long, _d long, _marks array<int>")), "marks")
-    once = kinds.where("_n = 1").join(marks, ["_c", "_d"]).select("_one._doc", "_one._t", "_one._from", "_marks").mapInArrow(_intervals, "_doc long, _t long, _from long, _to long")
-    twice = rows.join(kinds.where("_n > 1").select("_a", "_c", "_d"), ["_a", "_c", "_d"], "left_semi").select("_doc", "_t", "_from", (F.col("_from") + F.col("_w") - 1 + LENGTH).alias("_to"))
-    return once.union(twice).groupBy("_doc", "_t").agg(F.array_sort(F.collect_set(F.struct("_from", "_to"))).alias("_spans"))
+    marks = written(few.groupBy("_bucket").applyInArrow(_indexed, "_c long, _d long, _marks array<int>"), "marks")
+    single = kinds.where("_n = 1").select("_c", "_d", "_one")
+    once = single.join(marks, ["_c", "_d"]).select("_one._doc", "_one._t", "_one._from", "_marks").mapInArrow(_intervals, "_doc long, _t long, _from long, _to long")
+    found = once.union(twice)
+    if some_hot:
+        inner = _covered(pieces.where("_many").select(F.col("_c").alias("_doc"), F.col("_d").alias("_t"), F.col("_bytes").alias("_text")).dropDuplicates(["_doc", "_t"]), level + 1)
+        inner = inner.select(F.col("_doc").alias("_c"), F.col("_t").alias("_d"), F.col("_from").alias("_in"), F.col("_to").alias("_out"))
+        found = found.union(single.join(inner, ["_c", "_d"]).select("_one._doc", "_one._t", F.col("_one._from") + F.col("_in"), F.col("_one._from") + F.col("_out")))
+    found = written(found, "covered")
+    release(rows, kinds, spread, pieces, marks)
+    return found
+
+
+def repeated_stretches(docs: DataFrame) -> DataFrame:
+    """Rows (_doc, _t, _spans): for each document and hash of its text the stretches of bytes that repeated windows cover.
+
+    Only the columns doc_id and text are read, so others may have any name.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_t"), F.col("text").alias("_text")).where("_doc is not null and _text is not null")
+    return _covered(texts, 0).groupBy("_doc", "_t").agg(F.array_sort(F.collect_set(F.struct("_from", "_to"))).alias("_spans"))
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:

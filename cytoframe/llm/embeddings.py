@@ -4,7 +4,8 @@ Unit vectors are turned into their principal axes, so that the leading dimension
 cells of the first axes. Two tiles are compared unless their bounding boxes are too far apart for the threshold. Inside a pair of
 tiles the product of the leading dimensions is accumulated first; what the rest can add is bounded by the product of the two suffix
 norms, and a pair is given up as soon as product and bound cannot reach the threshold. Pairs that stay are decided by the cosine of
-the original vectors in double precision.
+the original vectors in double precision. Vectors are scaled by a power of two first, which changes no cosine, so that no square
+overflows or vanishes. Tiles move in blocks, once for each pair of blocks that holds a pair of near tiles.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytoframe.llm.components import connected_components
-from cytoframe.llm.shared import partitions, written
+from cytoframe.llm.shared import partitions, trim, written
 
 COSINE = 0.9
-TILE = 2048
+TILE, BLOCK = 1024, 8  # vectors a tile, tiles a block
 CELL, CELL_AXES, BOX_AXES = 0.45, 3, 16
 STAGES = (8, 16, 32)
 SLACK = 1e-9  # rounding of the turned vectors
@@ -33,12 +34,17 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that brings its largest component between a half and one."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0))[1][:, None])
+
+
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the products of the components of all unit vectors of a partition: one row for each component."""
     total = None
     for batch in batches:
         if batch.num_rows:
-            x = matrix(batch.column(0))
+            x = scaled(matrix(batch.column(0)))
             x /= np.sqrt((x * x).sum(1, keepdims=True))
             total = x.T @ x if total is None else total + x.T @ x
     if total is not None:
@@ -59,7 +65,7 @@ def principal_axes(vectors: DataFrame, d: int) -> np.ndarray:
 def _place(axes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(1))
+            x = scaled(matrix(batch.column(1)))
             y = (x / np.sqrt((x * x).sum(1, keepdims=True))) @ axes.value
             cell = np.floor(y[:, :CELL_AXES] / CELL).astype(np.int64)
             cell = np.pad(cell, ((0, 0), (0, CELL_AXES - cell.shape[1])))
@@ -151,21 +157,38 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[child], nodes[label[child]]
 
 
-def _compare(axes, cosine: float):
-    """Link counts (kind 0: id, links weighted by copies) and a spanning forest of the links (kind 1) of each pair of tiles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, raw, ids2, raw2 = (batch.column(k)[i].as_py() for k in range(4))
-                m, n = (np.frombuffer(r, np.int64).reshape(-1, 2) for r in (ids, ids2))
-                x, y = np.frombuffer(raw, np.float64).reshape(len(m), -1), np.frombuffer(raw2, np.float64).reshape(len(n), -1)
-                a, b = close_pairs(x, y, axes.value, cosine, bool(batch.column(4)[i].as_py()))
-                links = np.bincount(a, n[b, 1], len(m)).astype(np.int64)
-                back = np.bincount(b, m[a, 1], len(n)).astype(np.int64)
-                p, q = np.flatnonzero(links), np.flatnonzero(back)
-                u, v = forest(m[a, 0], n[b, 0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], [len(p) + len(q), len(u)]), pa.int32()), pa.array(np.concatenate([m[p, 0], n[q, 0], u])), pa.array(np.concatenate([links[p], back[q], v]))], names=["_kind", "a", "b"])
+def boxes_apart(low: np.ndarray, high: np.ndarray, low2: np.ndarray, high2: np.ndarray) -> np.ndarray:
+    """Squared distance of each pair of boxes."""
+    gap = np.maximum(np.maximum(low[:, None] - high2[None], low2[None] - high[:, None]), 0)
+    return (gap * gap).sum(2)
+
+
+def _compare(axes, cosine: float, limit: float):
+    """Link counts (kind 0: id, links weighted by copies) and a spanning forest of the links (kind 1) of each pair of blocks."""
+
+    def run(group: pa.Table) -> pa.Table:
+        side, tile = group.column("_side").to_numpy(), group.column("_tile").to_numpy()
+        low, high = (np.array(group.column(c).to_pylist()) for c in ("_low", "_high"))
+        ids = [np.frombuffer(r.as_py(), np.int64).reshape(-1, 2) for r in group.column("_ids")]
+        raw = [np.frombuffer(r.as_py(), np.float64).reshape(len(i), -1) for r, i in zip(group.column("_raw"), ids, strict=True)]
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == side.max())
+        near = boxes_apart(low[left], high[left], low[right], high[right]) <= limit
+        kinds, a_s, b_s = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j in zip(*np.nonzero(near), strict=True):
+            i, j = left[i], right[j]
+            if tile[i] > tile[j]:
+                continue  # one block with itself: each pair once
+            m, n = ids[i], ids[j]
+            a, b = close_pairs(raw[i], raw[j], axes.value, cosine, bool(tile[i] == tile[j]))
+            links = np.bincount(a, n[b, 1], len(m)).astype(np.int64)
+            back = np.bincount(b, m[a, 1], len(n)).astype(np.int64)
+            p, q = np.flatnonzero(links), np.flatnonzero(back)
+            u, v = forest(m[a, 0], n[b, 0])
+            kinds.append(np.repeat([0, 1], [len(p) + len(q), len(u)]).astype(np.int32))
+            a_s.append(np.concatenate([m[p, 0], n[q, 0], u]))
+            b_s.append(np.concatenate([links[p], back[q], v]))
+        trim()
+        return pa.table({"_kind": pa.array(np.concatenate(kinds), pa.int32()), "a": pa.array(np.concatenate(a_s)), "b": pa.array(np.concatenate(b_s))})
 
     return run
 
@@ -198,10 +221,14 @@ def near_vectors(embeddings: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     other = near(0.0).select(F.col("_tile").alias("_tile2"), "_c1", "_c2", F.col("_low").alias("_low2"), F.col("_high").alias("_high2"))
     gap = F.zip_with(F.zip_with("_low", "_high2", lambda a, b: F.greatest(a - b, F.lit(0.0))), F.zip_with("_low2", "_high", lambda a, b: F.greatest(a - b, F.lit(0.0))), lambda a, b: F.greatest(a, b))
     apart = F.aggregate(F.transform(gap, lambda g: g * g), F.lit(0.0), lambda s, g: s + g)
-    pairs = near(reach).join(other, ["_c1", "_c2"]).where("_tile <= _tile2").where(apart <= reach * reach + 1e-6).select("_tile", "_tile2").distinct()
-    both = pairs.join(tiles.select("_tile", "_ids", "_raw"), "_tile").join(tiles.select(F.col("_tile").alias("_tile2"), F.col("_ids").alias("_ids2"), F.col("_raw").alias("_raw2")), "_tile2")
-    both = both.select("_ids", "_raw", "_ids2", "_raw2", (F.col("_tile") == F.col("_tile2")).alias("_self")).repartition(4 * n)
-    found = written(both.mapInArrow(_compare(axes, cosine), "_kind int, a long, b long"), "links")
+    limit = reach * reach + 1e-6
+    pairs = near(reach).join(other, ["_c1", "_c2"]).where("_tile <= _tile2").where(apart <= limit)
+    block = lambda c: F.shiftright(c, BLOCK.bit_length() - 1)
+    blocks = pairs.select(block("_tile").alias("_b1"), block("_tile2").alias("_b2")).distinct()
+    sides = F.explode(F.when(F.col("_b1") == F.col("_b2"), F.array(F.struct(F.lit(0).alias("_side"), F.col("_b1").alias("_block")))).otherwise(F.array(F.struct(F.lit(0).alias("_side"), F.col("_b1").alias("_block")), F.struct(F.lit(1).alias("_side"), F.col("_b2").alias("_block")))))
+    sent = blocks.select("_b1", "_b2", sides.alias("_x")).select("_b1", "_b2", "_x.*")
+    both = sent.join(tiles.withColumn("_block", block("_tile")), "_block").select("_b1", "_b2", "_side", "_tile", "_low", "_high", "_ids", "_raw")
+    found = written(both.groupBy("_b1", "_b2").applyInArrow(_compare(axes, cosine, limit), "_kind int, a long, b long"), "links")
     counts = found.where("_kind = 0").groupBy(F.col("a").alias("_rep")).agg(F.sum("b").alias("_links"))
     parts = connected_components(found.where("_kind = 1"))
     known = reps.select("_same", "_rep", "_copies").join(counts, "_rep", "left").join(parts.withColumnRenamed("node", "_rep"), "_rep", "left")

@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cytoframe.llm.shared import packed, slices
+from cytoframe.llm.shared import free_name, packed, slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBED = 8
-#: Bounded fit: about so many documents of each language, and so many windows of each document.
-DOCS_A_LANGUAGE, WINDOWS_A_DOC = 1_200, 2
-EPOCHS, BATCH, RATE = 6, 64, 0.004
+#: Bounded fit: about so many documents of each language, each with its whole text.
+DOCS_A_LANGUAGE = 600
+EPOCHS, BATCH, RATE = 2, 64, 0.004
 
 
 def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,30 +132,30 @@ def has_letter(raw: bytes) -> bool:
 
 
 def train(labelled: DataFrame, *, text_column: str = "text", lang_column: str = "lang") -> ByteNet | None:
-    """Fits the network on a bounded sample of the labelled rows: about DOCS_A_LANGUAGE documents of each language.
+    """Fits the network on a bounded sample of the labelled rows: about DOCS_A_LANGUAGE documents of each language, whole texts.
 
-    The sample is the rows with the smallest hashes of their text, by a share that each language's count sets; WINDOWS_A_DOC windows
-    of a document, spread over its text, reach the driver. Null labels and texts are left out. None if no row is labelled.
+    The sample is the rows with the smallest hashes, by a share that each language's count sets, and never more than twice as many rows
+    as asked for; texts that repeat under many ids are drawn as often as others. Null labels and texts are left out. Extra columns may
+    have any name. None if no row is labelled.
     """
-    rows = labelled.select(F.col(text_column).alias("_text"), F.col(lang_column).alias("_lang")).where("_text is not null and _lang is not null and length(_text) > 0")
+    own = [c for c in labelled.columns if not isinstance(labelled.schema[c].dataType, T.MapType)]
+    rows = labelled.select(F.col(text_column).alias("_text"), F.col(lang_column).alias("_lang"), F.xxhash64(*own).alias("_draw")).where("_text is not null and _lang is not null and length(_text) > 0")
     counts = {r["_lang"]: r["count"] for r in rows.groupBy("_lang").count().collect()}
     if not counts:
         return None
     classes = sorted(counts)
     share = F.create_map(*[F.lit(v) for k in classes for v in (k, min(1.0, DOCS_A_LANGUAGE / counts[k]))])
-    sample = rows.where((F.pmod(F.xxhash64("_text"), F.lit(1 << 40)) / F.lit(float(1 << 40))) < share[F.col("_lang")])
-    schema = "_lang string, _row binary"
+    sample = rows.where((F.pmod("_draw", F.lit(1 << 40)) / F.lit(float(1 << 40))) < share[F.col("_lang")])
+    sample = sample.orderBy("_draw", "_lang", "_text").limit(2 * DOCS_A_LANGUAGE * len(classes)).select("_text", "_lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
                 cut, owner = windows(*packed(part.column(0)))
-                first = np.searchsorted(owner, np.arange(part.num_rows))
-                number = np.diff(np.append(first, len(owner)))
-                pick = [first[d] + i * number[d] // WINDOWS_A_DOC for d in range(part.num_rows) for i in range(min(number[d], WINDOWS_A_DOC))]
-                yield pa.RecordBatch.from_arrays([part.column(1).take(pa.array(owner[pick])), pa.array([cut[i].tobytes() for i in pick], pa.binary())], names=["_lang", "_row"])
+                raw = cut.tobytes()
+                yield pa.RecordBatch.from_arrays([part.column(1).take(pa.array(owner)), pa.array([raw[i : i + WINDOW] for i in range(0, len(raw), WINDOW)], pa.binary())], names=["_lang", "_row"])
 
-    got = sorted((r["_row"], r["_lang"]) for r in sample.mapInArrow(run, schema).collect())
+    got = sorted((r["_row"], r["_lang"]) for r in sample.mapInArrow(run, "_lang string, _row binary").collect())
     x = np.frombuffer(b"".join(bytes(r) for r, _ in got), np.uint8).reshape(-1, WINDOW)
     y = np.array([classes.index(c) for _, c in got])
     return ByteNet(classes).fit(x, y)
@@ -165,12 +165,14 @@ def predict(docs: DataFrame, net: ByteNet | None, *, text_column: str = "text",
     """Columns `keep` of every row with the predicted language and its probability.
 
     All windows of a whole text are scored and their log-probabilities averaged by the bytes they hold. Text that is null or has no letter, and any
-    text when nothing was learned, gives `und` with score 0. An empty table gives an empty one; repeated rows repeat.
+    text when nothing was learned, gives `und` with score 0. An empty table gives an empty one; repeated rows repeat; columns that are
+    not named in `keep` are ignored, whatever their names.
     """
     if net is None:
         return docs.select(*keep, F.lit("und").alias(label), F.lit(0.0).alias(score))
     fields = [docs.schema[c] for c in keep] + [T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())]
     shared = docs.sparkSession.sparkContext.broadcast(net)
+    name = free_name(docs, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -178,7 +180,7 @@ def predict(docs: DataFrame, net: ByteNet | None, *, text_column: str = "text",
         ascii_letter = np.zeros(256, bool)
         ascii_letter[[*range(65, 91), *range(97, 123)]] = True
         for batch in batches:
-            for part in slices(batch, "_text", 1 << 20):
+            for part in slices(batch, name):
                 data, offsets = packed(part.column(0))
                 rows, owner = windows(data, offsets)
                 logp = model.log_probabilities(rows, tables)
@@ -196,4 +198,4 @@ def predict(docs: DataFrame, net: ByteNet | None, *, text_column: str = "text",
                 out = [model.classes[b] if ok else "und" for b, ok in zip(best, letter, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(out, pa.string()), pa.array(np.where(letter, p[np.arange(n), best], 0.0))], names=[f.name for f in fields])
 
-    return docs.select(F.col(text_column).alias("_text"), *keep).mapInArrow(run, T.StructType(fields))
+    return docs.select(F.col(text_column).alias(name), *keep).mapInArrow(run, T.StructType(fields))

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cytoframe.llm.hashing import LOWER, U64, mix, word_hashes
-from cytoframe.llm.shared import packed, slices
+from cytoframe.llm.shared import free_name, packed, slices
 
-#: Bounded fit: about so many labelled documents of either label.
-DOCS_A_LABEL = 5_000
+#: Bounded fit: about so many labelled documents of either label for word counts and scores, and so many for the chain; whole texts.
+DOCS_A_LABEL, CHAIN_DOCS = 5_000, 400
 BUCKETS = 1 << 20
 KINDS = 3  # the word, its first four bytes, its first five
 LEAST_DOCS, LEAST_ODDS, TOXIC_ODDS, MOST_ODDS = 3, 1.5, 3.0, 8.0
-CONTEXT = 128
+PIECE = 128  # tokens of a text that the fit of the chain takes as one sequence; a text gives as many as it holds
 BLOCK = 64
 
 
@@ -152,9 +152,10 @@ def fit_score(z: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, text_column: str = "text", label_column: str = "toxic") -> Field | None:
-    """Fits the field on a bounded sample of the labelled documents, about DOCS_A_LABEL of either label.
+    """Fits the field on a bounded sample of the labelled documents, about DOCS_A_LABEL of either label (the chain on CHAIN_DOCS of them).
 
-    Which documents are sampled depends on a hash of their id only; their number is what is broadcast. Word labels come from the
+    Which documents are sampled depends on a hash of their id only; their number is what is broadcast. Whole texts are used. Extra columns
+    of either table may have any name. Word labels come from the
     document labels: a word of a toxic document is toxic if its evidence, the log-odds of its features between the two kinds of
     documents less one standard error, is at least TOXIC_ODDS. None if either label is missing.
     """
@@ -163,9 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, *, text_column: str = "text", labe
     counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
     if len(counts) < 2:
         return None
-    share = F.when(F.col("_label") == 1, min(1.0, DOCS_A_LABEL / counts[1])).otherwise(min(1.0, DOCS_A_LABEL / counts[0]))
-    picked = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share)
-    sample = docs.select(F.col("doc_id").alias("_id"), F.col(text_column).alias("_text")).where("_text is not null").join(F.broadcast(picked), "_id").select("_text", "_label")
+    share = lambda n: F.when(F.col("_label") == 1, min(1.0, n / counts[1])).otherwise(min(1.0, n / counts[0]))
+    draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    picked = known.where(draw < share(DOCS_A_LABEL)).withColumn("_chain", draw < share(CHAIN_DOCS))
+    sample = docs.select(F.col("doc_id").alias("_id"), F.col(text_column).alias("_text")).where("_text is not null").join(F.broadcast(picked), "_id").select("_text", "_label", "_chain")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.zeros((2, KINDS * BUCKETS), np.int32)
@@ -191,22 +193,18 @@ def train(docs: DataFrame, labels: DataFrame, *, text_column: str = "text", labe
     odds[stats["_bucket"].to_numpy()] = np.where(value >= LEAST_ODDS, np.minimum(value, MOST_ODDS), 0)
     shared = spark.sparkContext.broadcast(odds)
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
                 buckets, _, _, counts = token_buckets(*packed(part.column(0)))
                 x = shared.value[buckets]
                 to = np.concatenate([[0], np.cumsum(counts)])
-                rows = []
-                for i in range(part.num_rows):
-                    own = x[to[i] : to[i + 1]]
-                    at = max(0, min(int(own.max(1).argmax()) - CONTEXT // 2, len(own) - CONTEXT)) if len(own) else 0
-                    rows.append(np.ascontiguousarray(own[at : at + CONTEXT]).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(rows, pa.binary())], names=["_label", "_x"])
-
-    got = sorted(((int(r["_label"]), bytes(r["_x"])) for r in sample.mapInArrow(contexts, "_label int, _x binary").collect()), key=lambda r: (r[1], r[0]))
-    got = got[:: max(1, len(got) // 3_000)]
-    x, y, real = np.zeros((len(got), CONTEXT, KINDS)), np.zeros((len(got), CONTEXT)), np.zeros((len(got), CONTEXT), bool)
+                cuts = [(i, a, min(a + PIECE, int(to[i + 1]))) for i in range(part.num_rows) for a in range(int(to[i]), int(to[i + 1]), PIECE)]
+                owner = pa.array([c[0] for c in cuts], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(1).take(owner), pa.array([np.ascontiguousarray(x[a:b]).tobytes() for _, a, b in cuts], pa.binary())], names=["_label", "_x"])
+
+    got = sorted(((int(r["_label"]), bytes(r["_x"])) for r in sample.where("_chain").mapInArrow(sequences, "_label int, _x binary").collect()), key=lambda r: (r[1], r[0]))
+    x, y, real = np.zeros((len(got), PIECE, KINDS)), np.zeros((len(got), PIECE)), np.zeros((len(got), PIECE), bool)
     for i, (label, raw) in enumerate(got):
         own = np.frombuffer(raw, np.float32).reshape(-1, KINDS)
         x[i, : len(own)], real[i, : len(own)] = own, True
@@ -238,11 +236,12 @@ def score(docs: DataFrame, field: Field | None, *, text_column: str = "text", ke
         return docs.select(*keep, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(0).cast("long").alias("n_toxic_words"), F.array().cast(spans).alias("spans"))
     fields = [docs.schema[c] for c in keep] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("n_toxic_words", T.LongType()), T.StructField("spans", spans)]
     shared = docs.sparkSession.sparkContext.broadcast(field)
+    name = free_name(docs, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, name):
                 data, offsets = packed(part.column(0))
                 buckets, starts, ends, counts = token_buckets(data, offsets)
                 p = f.marginals(f.evidence(buckets), counts)
@@ -259,4 +258,4 @@ def score(docs: DataFrame, field: Field | None, *, text_column: str = "text", ke
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(number)]), pa.int32()), runs)
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(s), pa.array((s >= 0.5).astype(np.int32)), pa.array(np.bincount(owner[hit], minlength=part.num_rows)), lists], names=[x.name for x in fields])
 
-    return docs.select(F.col(text_column).alias("_text"), *keep).mapInArrow(run, T.StructType(fields))
+    return docs.select(F.col(text_column).alias(name), *keep).mapInArrow(run, T.StructType(fields))

@@ -1,7 +1,7 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the last GEAR bytes; a chunk ends where it falls below a bound, about every MEAN bytes, so an insertion
-shifts no boundary but its own. Chunks are deduplicated by a 128-bit digest: all but the first occurrence in (doc_id, position)
+shifts no boundary but its own; ends inside a character move behind it. Chunks are deduplicated by a 128-bit digest: all but the first occurrence in (doc_id, position)
 order go, if they lie in a stretch of consecutive repeated chunks of at least MIN_RUN bytes, so short common phrases stay.
 """
 
@@ -46,6 +46,9 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(long):
         extra = [np.arange(starts[i] + MOST, ends[i], MOST) for i in long]
         ends = np.unique(np.concatenate([ends, *extra]))
+    for _ in range(3):  # not inside a character
+        inside = (ends < n) & ((data[np.minimum(ends, max(n - 1, 0))] & 0xC0) == 0x80)
+        ends = np.unique(ends + inside)
     return ends if n else np.zeros(0, np.int64)
 
 
@@ -110,19 +113,22 @@ def dedup_chunks(docs: DataFrame, *, min_run: int = MIN_RUN) -> DataFrame:
             for part in slices(batch, "_text"):
                 data, offsets = packed(part.column(1))
                 raw = data.tobytes()
+                found = part.column(2)
+                to = np.concatenate([[0], np.cumsum(np.asarray(found.value_lengths().fill_null(0)))]).astype(np.int64)
+                flat = found.flatten()
+                a, b, source = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("_from", "_to", "_source"))
+                later = flat.field("_later").to_numpy(zero_copy_only=False).astype(bool)
                 rows = []
                 for i in range(part.num_rows):
-                    own = raw[offsets[i] : offsets[i + 1]]
-                    chunks = part.column(2)[i].as_py() or []
-                    a, b = (np.array([c[k] for c in chunks], np.int64) for k in ("_from", "_to"))
-                    in_run = stretches(a, b) >= min_run
-                    gone = np.flatnonzero(in_run & np.array([c["_later"] for c in chunks], bool)) if len(chunks) else []
+                    own, s = raw[offsets[i] : offsets[i + 1]], slice(to[i], to[i + 1])
+                    in_run = stretches(a[s], b[s]) >= min_run
+                    gone = np.flatnonzero(in_run & later[s]) + to[i]
                     keep, at = [], 0
-                    for k in gone:
+                    for k in gone.tolist():
                         keep.append(own[at : a[k]])
                         at = b[k]
                     kept = b"".join([*keep, own[at:]]) if len(gone) else own
-                    rows.append((len(own), int((b - a)[in_run].sum()) if len(chunks) else 0, len(own) - len(kept), sorted({chunks[k]["_source"] for k in gone}), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+                    rows.append((len(own), int((b[s] - a[s])[in_run].sum()), len(own) - len(kept), np.unique(source[gone]).tolist(), hashlib.sha256(kept).hexdigest(), kept.decode()))
                 cols = list(zip(*rows, strict=True))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names)

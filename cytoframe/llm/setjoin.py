@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 
 from cytoframe.llm.components import connected_components
 from cytoframe.llm.hashing import U64, mix, shingle_hashes, word_hashes
-from cytoframe.llm.shared import in_slots, packed, partitions, ragged, repeated_slots, slices, written
+from cytoframe.llm.shared import free_name, in_slots, packed, partitions, ragged, release, repeated_slots, slices, written
 
 WIDTH = 5
 SHARED, UNION = 80, 100  # similar if UNION * |x & y| >= SHARED * |x | y|
 BUCKET_KEYS = 1_500_000
+POSTED = 2_000_000  # keys that a task holds before it hands them on
 SKETCH_WORDS = (2, 8, 32, 128)  # sketch sizes in 64-bit words, for up to 64, 256, 1024 and more shingles
 BLOCK = 1024
 
@@ -152,11 +153,20 @@ def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _post(buckets: int):
-    """Keys of each slice of documents, sorted, as one binary row a bucket: 4 bytes of the key and 8 of the set's name."""
+    """Keys of some documents at a time, sorted, as one binary row a bucket: 4 bytes of the key and 8 of the set's name."""
+
+    def rows(keys: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
+        k, name = np.concatenate(keys), np.concatenate(names)
+        bucket = ((k >> U64(34)) * U64(buckets) >> U64(30)).astype(np.int64)
+        order = np.lexsort((name, k & U64(0xFFFFFFFF), bucket))
+        k, name, bucket = (k & U64(0xFFFFFFFF)).astype("<u4")[order], name[order], bucket[order]
+        head = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+        to = np.append(head[1:], len(bucket))[: len(head)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[head], pa.int32()), pa.array([k[a:b].tobytes() for a, b in zip(head, to, strict=True)], pa.binary()), pa.array([name[a:b].tobytes() for a, b in zip(head, to, strict=True)], pa.binary())], names=["_bucket", "_keys", "_names"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, names, size = [], [], 0
         for batch in batches:
-            keys, names = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
             for part in slices(batch, "_text"):
                 t, sizes = shingle_sets(*packed(part.column(0)))
                 ids = set_ids(t, sizes)
@@ -166,13 +176,12 @@ def _post(buckets: int):
                 k, owner = segment_keys(t[ragged(begin[once], sizes[once])], sizes[once])
                 keys.append(k)
                 names.append(ids[once][owner])
-            k, name = np.concatenate(keys), np.concatenate(names)
-            bucket = ((k >> U64(34)) * U64(buckets) >> U64(30)).astype(np.int64)
-            order = np.lexsort((name, k & U64(0xFFFFFFFF), bucket))
-            k, name, bucket = (k & U64(0xFFFFFFFF)).astype("<u4")[order], name[order], bucket[order]
-            head = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
-            to = np.append(head[1:], len(bucket))[: len(head)]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[head], pa.int32()), pa.array([k[a:b].tobytes() for a, b in zip(head, to, strict=True)], pa.binary()), pa.array([name[a:b].tobytes() for a, b in zip(head, to, strict=True)], pa.binary())], names=["_bucket", "_keys", "_names"])
+                size += len(k)
+                if size >= POSTED:
+                    yield rows(keys, names)
+                    keys, names, size = [], [], 0
+        if size:
+            yield rows(keys, names)
 
     return run
 
@@ -200,15 +209,16 @@ def _match(group: pa.Table) -> pa.Table:
 
 
 def _contents(cells):
-    """Shingles of the sets whose names are wanted."""
+    """Shingles of the sets of the documents that are wanted; the texts of others are not looked at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(in_slots(cells.value, batch.column(2).to_numpy())))
             for part in slices(batch, "_text"):
                 t, sizes = shingle_sets(*packed(part.column(1)))
                 ids = set_ids(t, sizes)
                 to = np.concatenate([[0], np.cumsum(sizes)])
-                pick = np.flatnonzero(in_slots(cells.value, ids) & (sizes > 0))
+                pick = np.flatnonzero(sizes > 0)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(pick)), pa.array(ids[pick]), pa.array([t[to[i] : to[i + 1]].tobytes() for i in pick], pa.binary())], names=["_rep", "_set", "_tokens"])
 
     return run
@@ -299,9 +309,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def content(pairs: DataFrame) -> DataFrame:
         names = pairs.select(F.col("a").alias("_set")).union(pairs.select("b")).distinct()
-        cells = repeated_slots(names, "_set")
-        read = sound.mapInArrow(_contents(cells), "_rep long, _set long, _tokens binary")
-        return written(read.hint("merge").join(sets.join(names, "_set", "left_semi"), ["_set", "_rep"], "left_semi").dropDuplicates(["_set", "_rep"]), "content")
+        wanted = written(sets.join(names, "_set", "left_semi"), "wanted")
+        cells = repeated_slots(wanted.select(F.xxhash64("_rep").alias("_draw")), "_draw")
+        read = sound.select("_doc", "_text", F.xxhash64("_doc").alias("_draw")).mapInArrow(_contents(cells), "_rep long, _set long, _tokens binary")
+        out = written(read.hint("merge").join(wanted, ["_set", "_rep"], "left_semi").dropDuplicates(["_set", "_rep"]), "content")
+        release(wanted)
+        cells.unpersist()
+        return out
 
     def sketched(pairs: DataFrame) -> DataFrame:
         right = pairs.hint("merge").join(sketches.select(F.col("_set").alias("b"), F.col("_n").alias("_m"), F.col("_sketch").alias("_y")), "b")
@@ -341,5 +355,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without the documents whose component has a smaller doc_id; rows without links or id stay."""
-    gone = near_duplicates(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    name = free_name(docs, "_gone")
+    gone = near_duplicates(docs).where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")

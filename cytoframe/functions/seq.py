@@ -60,3 +60,9 @@ def genotype(gt: Column) -> Column:
     """Sum of the alleles of a genotype, -1 where one is missing."""
     parts = F.split(gt, "[/|]")
     return F.when(F.array_contains(parts, "."), F.lit(-1)).otherwise(F.aggregate(parts, F.lit(0), lambda s, x: s + x.cast("int")))
+
+
+def number_text(value: Column, *, decimals: int = 0, unit: str = "") -> Column:
+    """A number as a report shows it: thousands apart, so many decimals, and its unit; 'n/a' where it is missing."""
+    shown = F.format_number(value, decimals)
+    return F.coalesce(F.concat(shown, F.lit(f" {unit}")) if unit else shown, F.lit("n/a"))

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoframe.functions import seq
+from cytoframe.operators.ranks import numbered
 
 KMER = 5
+FULL_LIST = 20_000
 
 
 def quantile_knee(counts: DataFrame, expected: int, quantile: float = 0.95, divisor: float = 20) -> DataFrame:
@@ -22,46 +24,79 @@ def fixed_knee(counts: DataFrame, n: int) -> DataFrame:
     return counts.orderBy(F.desc("count"), "barcode").limit(n)
 
 
+def thinned(counts: DataFrame, points: int) -> DataFrame:
+    """Barcodes of a rank curve of about so many points: every n-th by count (down) and name, all where there are no more."""
+    total = counts.count()
+    if total <= points:
+        return counts.select("barcode", "count")
+    return numbered(counts, "_n", F.desc("count"), F.col("barcode")).where(F.col("_n") % (total // points) == 0).select("barcode", "count")
+
+
 def abundance_knee(counts: DataFrame, least: int) -> DataFrame:
     return counts.where(F.col("count") >= least)
 
 
 def distance_knee(counts: DataFrame) -> DataFrame:
-    """Barcodes up to the point of the rank curve farthest from the chord between its ends.
+    """Barcodes from the point of the ascending curve of counts on that lies farthest from the chord between its ends.
 
-    The curve is drawn from the histogram of the counts, whose size does not grow with the barcodes; ties share the rank of their last.
+    The distance is linear along a run of equal counts, so only both ends of each run can be that point, and the histogram of the
+    counts, whose size does not grow with the barcodes, holds them all. Of equal distances the first point counts. Where it is the last
+    of its run, one barcode of that count stays: the first in byte order.
     """
-    histogram = counts.groupBy("count").agg(F.count("*").alias("_n"))
-    ranked = histogram.select("count", (F.sum("_n").over(Window.orderBy(F.desc("count"))) - 1).alias("_rank"))
-    ends = ranked.agg(F.max_by("count", "_rank").alias("_y1"), F.max("_rank").alias("_x1"), F.min_by("count", "_rank").alias("_y0"), F.min("_rank").alias("_x0"))
-    gap = F.abs((F.col("_y1") - F.col("_y0")) * (F.col("_rank") - F.col("_x0")) - (F.col("count") - F.col("_y0")) * (F.col("_x1") - F.col("_x0")))
-    best = ranked.join(F.broadcast(ends)).withColumn("_gap", gap).agg(F.max_by("count", F.struct("_gap", "count")).alias("_limit"))
-    return counts.join(F.broadcast(best), F.col("count") >= F.col("_limit")).select("barcode", "count")
-
-
-def correct(reads: DataFrame, whitelist: DataFrame, *, max_edits: int = 2, margin: int = 2, blocked: bool = True) -> DataFrame:
+    histogram = counts.groupBy("count").agg(F.count("*").alias("_n"), F.min("barcode").alias("_one"))
+    last = F.sum("_n").over(Window.orderBy("count")) - 1
+    ranked = histogram.select("count", "_one", last.alias("_b"), (last - F.col("_n") + 1).alias("_a"))
+    ends = ranked.agg(F.min("count").alias("_y0"), F.max("count").alias("_y1"), F.max("_b").alias("_x1"))
+    points = ranked.select("count", "_one", F.explode(F.array(F.struct(F.col("_a").alias("i"), F.lit(True).alias("whole")), F.struct(F.col("_b").alias("i"), (F.col("_a") == F.col("_b")).alias("whole")))).alias("_p")).join(F.broadcast(ends))
+    gap = F.abs((F.col("_y1") - F.col("_y0")) * F.col("_p.i") - (F.col("count") - F.col("_y0")) * F.col("_x1"))
+    best = points.agg(F.min(F.struct((-gap).alias("g"), F.col("_p.i").alias("i"), (~F.col("_p.whole")).alias("part"), F.col("count").alias("c"), F.col("_one").alias("one"))).alias("_k")).select(F.col("_k.c").alias("_c"), F.col("_k.one").alias("_one"), F.col("_k.part").alias("_part"))
+    c = F.col("count")
+    return counts.join(F.broadcast(best), (c > F.col("_c")) | ((c == F.col("_c")) & (~F.col("_part") | (F.col("barcode") == F.col("_one"))))).select("barcode", "count")
+
+
+def _candidates(rest: DataFrame, listed: DataFrame, blocked: bool) -> DataFrame:
+    """Pairs (cr, wl) to be compared, repeated ones included."""
+    if not blocked:
+        return rest.join(listed)
+    left = rest.select("cr", F.explode(F.array_distinct(seq.kmers(F.col("cr"), KMER))).alias("_k"))
+    right = listed.select("wl", F.explode(F.array_distinct(seq.kmers(F.col("wl"), KMER))).alias("_k"))
+    return left.join(right, "_k").select("cr", "wl")
+
+
+def correct(reads: DataFrame, whitelist: DataFrame, *, max_edits: int = 2, margin: int = 2, blocked: bool = True, barcode_length: int | None = None) -> DataFrame:
     """Distinct uncorrected barcodes (cr) with the assigned one (cb, null if none) and the reason.
 
     Exact barcodes are found by an equi-join first. Of the others, each distinct one is compared with whitelist entries that share a
-    k-mer with it (or, not `blocked`, with all): a best entry within max_edits wins if the runner-up is `margin` edits farther.
+    k-mer with it: a best entry within max_edits wins if the runner-up is `margin` edits farther. The whitelist is the shortlist of an
+    experiment, thousands of cells: k-mers of five bases are few, so far longer lists meet most barcodes. Not `blocked`, each is compared
+    with the whole list, one by one; that is for small lists, and lists over FULL_LIST entries are refused. Distances are taken inside
+    the join, so only near pairs move; the two best of each barcode are picked before the exchange. With barcode_length, barcodes more
+    than max_edits shorter are neither assigned nor given a reason.
     """
     distinct = reads.select("cr").distinct()
     listed = whitelist.select(F.col("barcode").alias("wl")).distinct()
+    if not blocked and listed.count() > FULL_LIST:
+        raise ValueError(f"the list has more than {FULL_LIST} barcodes; compare blocked")
     exact = distinct.join(listed.withColumnRenamed("wl", "cr"), "cr", "left_semi")
     rest = distinct.join(listed.withColumnRenamed("wl", "cr"), "cr", "left_anti")
+    short = F.length("cr") < (barcode_length or max_edits) - max_edits
     limit = max_edits + margin + 1
-    if blocked:
-        left = rest.select("cr", F.explode(F.array_distinct(seq.kmers(F.col("cr"), KMER))).alias("_k"))
-        right = listed.select("wl", F.explode(F.array_distinct(seq.kmers(F.col("wl"), KMER))).alias("_k"))
-        pairs = left.join(right, "_k").select("cr", "wl").distinct()
-    else:
-        pairs = rest.join(listed)
-    near = pairs.withColumn("ed", F.levenshtein("cr", "wl", limit)).where("ed >= 0")
-    # the two smallest distances, combined before the exchange; equal distances both count
-    found = near.groupBy("cr").agg(F.min(F.struct("ed", "wl")).alias("_b"), F.count("*").alias("_n"))
-    second = near.join(found, "cr").where(F.struct("ed", "wl") != F.col("_b")).groupBy("cr").agg(F.min("ed").alias("_s"))
-    decided = rest.join(found, "cr", "left").join(second, "cr", "left")
+    near = _candidates(rest.where(~short), listed, blocked).withColumn("ed", F.levenshtein("cr", "wl", limit)).where("ed >= 0")
+    near = near.distinct() if blocked else near
+    place = F.row_number().over(Window.partitionBy("cr").orderBy("ed", "wl"))
+    two = near.withColumn("_place", place).where("_place <= 2").groupBy("cr").agg(F.min(F.struct("ed", "wl")).alias("_b"), F.max(F.when(F.col("_place") == 2, F.col("ed"))).alias("_s"))
+    decided = rest.join(two, "cr", "left")
     gap = F.coalesce("_s", F.length("cr")) - F.col("_b.ed")
-    reason = F.when(F.col("_b").isNull() | (F.col("_b.ed") > max_edits), "bc_no_shortlist_match").when(gap >= margin, "bc_corrected").otherwise("bc_shortlist_multiple_hits")
+    reason = F.when(short, None).when(F.col("_b").isNull() | (F.col("_b.ed") > max_edits), "bc_no_shortlist_match").when(gap >= margin, "bc_corrected").otherwise("bc_shortlist_multiple_hits")
     decided = decided.select("cr", F.when(reason == "bc_corrected", F.col("_b.wl")).alias("cb"), reason.alias("reason"))
     return exact.select("cr", F.col("cr").alias("cb"), F.lit("bc_shortlist_exact_match").alias("reason")).unionByName(decided)
+
+
+def reason_counts(reads: DataFrame, corrected: DataFrame) -> DataFrame:
+    """Reads by the reason that their barcode was given; barcodes without one are not counted."""
+    return reads.join(corrected.where("reason is not null"), "cr").groupBy("reason").count()
+
+
+def assigned_counts(reads: DataFrame, corrected: DataFrame) -> DataFrame:
+    """Reads (cb, count) of every assigned barcode."""
+    return reads.join(corrected.where("cb is not null"), "cr").groupBy("cb").count()

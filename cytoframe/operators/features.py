@@ -14,8 +14,7 @@ def assign_features(aln: DataFrame, tmap: DataFrame, annotation: DataFrame, geno
     """
     j = aln.join(tmap, F.col("query_transcript") == F.col("qry_id")).join(annotation, "ref_id").join(genome, "read_id")
     j = j.withColumn("transcript", F.when(F.col("class_code").isin("i", "y", "p", "s"), "-").otherwise(F.col("ref_id"))).withColumn("gene", F.coalesce("gene_name", F.lit("-")))
-    n = j.groupBy("read_id").agg(F.count("*").alias("_n"))
-    j = j.join(n, "read_id")
+    j = j.withColumn("_n", F.count("*").over(Window.partitionBy("read_id")))
     weak = lambda c: F.when(F.col("mapq") < min_mapq, "-").otherwise(F.col(c))
     unique = j.where("_n = 1 and tr_mapq > 0").select("read_id", weak("gene").alias("gene"), "transcript")
     best = Window.partitionBy("read_id").orderBy(F.desc("aln_score"), F.desc("q_cov"), F.desc("tr_cov"), "query_transcript")

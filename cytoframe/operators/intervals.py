@@ -24,13 +24,21 @@ def overlapping(a: DataFrame, b: DataFrame, width: int = 1000) -> DataFrame:
     return overlaps(a, b.select("chrom", "start", "end"), width).select(*a.columns).distinct()
 
 
-def merged(df: DataFrame, slop: int = 0) -> DataFrame:
-    """Union of the intervals of each chromosome, each widened by `slop` on both sides, book-ended ones included."""
-    wide = df.select("chrom", F.greatest(F.col("start") - slop, F.lit(0)).alias("start"), (F.col("end") + slop).alias("end")).distinct()
-    w = Window.partitionBy("chrom").orderBy("start", "end")
-    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)
-    island = wide.withColumn("_new", fresh).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+def merged(df: DataFrame, slop: int = 0, stretch: int = 10_000_000) -> DataFrame:
+    """Union of the intervals of each chromosome, each widened by `slop` on both sides, book-ended ones included.
+
+    Chromosomes are swept in stretches of `stretch` bases, each its own task: what reaches into a stretch from those before it is the
+    largest end of any of them, from a table of one row a stretch.
+    """
+    wide = df.select("chrom", F.greatest(F.col("start") - slop, F.lit(0)).alias("start"), (F.col("end") + slop).alias("end")).distinct().withColumn("_s", F.floor(F.col("start") / stretch))
+    ahead = Window.partitionBy("chrom").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    reach = wide.groupBy("chrom", "_s").agg(F.max("end").alias("_top")).select("chrom", "_s", F.max("_top").over(ahead).alias("_reach"))
+    w = Window.partitionBy("chrom", "_s").orderBy("start", "end")
+    before = F.greatest(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reach"))
+    fresh = wide.join(reach, ["chrom", "_s"]).withColumn("_before", before).withColumn("_new", F.when(F.col("_before").isNull() | (F.col("start") > F.col("_before")), F.col("start")))
+    # an island is named by where it starts: the last start of one in this stretch, or else in those before
+    carried = fresh.groupBy("chrom", "_s").agg(F.max("_new").alias("_last")).select("chrom", "_s", F.max("_last").over(ahead).alias("_open"))
+    island = fresh.join(carried, ["chrom", "_s"]).withColumn("_island", F.coalesce(F.max("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_open")))
     return island.groupBy("chrom", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 

@@ -1,83 +1,83 @@
-"""Directional clustering of UMIs."""
+"""Directional clustering of UMIs, as joins over shared pieces and rounds along edges."""
 
 from __future__ import annotations
 
-from collections import deque
-
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cytoframe.sources.scratch import written
+
+EDITS = 2
+GROUP = ["gene", "cb"]
+FEW = 24  # groups of so many UMIs at most are compared whole; larger ones by pieces
+
+
+def _pieces(ur: Column, length: Column, parts: int) -> Column:
+    """Array of (length, number, piece): a UMI of that length cut into `parts` pieces."""
+    cut = lambda k: F.floor(k * length / parts).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.struct(length.cast("int").alias("_n"), k.alias("_k"), F.substring(ur, cut(k) + 1, cut(k + 1) - cut(k)).alias("_piece")))
 
-def edits_within(a: str, b: str, limit: int) -> bool:
-    """Whether the edit distance is at most `limit`, along the diagonal band of that width."""
-    if abs(len(a) - len(b)) > limit:
-        return False
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i] + [limit + 1] * len(b)
-        for j in range(max(1, i - limit), min(len(b), i + limit) + 1):
-            new[j] = min(row[j - 1] + (x != b[j - 1]), row[j] + 1 if j < i + limit else limit + 1, new[j - 1] + 1)
-        if min(new) > limit:
-            return False
-        row = new
-    return row[-1] <= limit
+
+def near_pairs(umis: DataFrame, *, edits: int = EDITS) -> DataFrame:
+    """Rows (gene, cb, ur, ur2, n, n2) for all ordered pairs of UMIs of one gene and cell within so many edits, of any lengths.
+
+    Small groups are compared whole. In larger ones, of edits + 1 pieces of one UMI the other holds at least one unchanged and shifted by
+    at most `edits`: each UMI is cut by its own length and looked up by the cuts of every length that is near enough, so the pairs meet in
+    equi-joins on pieces, whatever the size of their group. levenshtein decides before pairs are made distinct.
+    """
+    size = umis.groupBy(*GROUP).agg(F.count("*").alias("_size")).where("_size > 1")
+    sized = umis.join(size, GROUP)
+    near = (F.col("ur") != F.col("ur2")) & (F.levenshtein("ur", "ur2", edits) >= 0)
+    few = sized.where(F.col("_size") <= FEW)
+    whole = few.select(*GROUP, "ur", "n").join(few.select(*GROUP, F.col("ur").alias("ur2"), F.col("n").alias("n2")), GROUP).where(near)
+    umis = sized.where(F.col("_size") > FEW)
+    parts = edits + 1
+    n = F.length("ur")
+    own = umis.select(*GROUP, F.col("ur").alias("ur2"), F.col("n").alias("n2"), F.explode(_pieces(F.col("ur"), n, parts)).alias("_p"))
+    # for every length that the other may have, every piece of it that may stand here
+    other = F.explode(F.sequence(F.greatest(n - edits, F.lit(1)), n + edits)).alias("_m")
+    looked = umis.select(*GROUP, "ur", "n", other)
+    cut = lambda k: F.floor(k * F.col("_m") / parts).cast("int")
+    found = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.transform(F.sequence(F.greatest(cut(k) - edits, F.lit(0)), F.greatest(cut(k) + edits, F.lit(0))), lambda at: F.struct(F.col("_m").alias("_n"), k.alias("_k"), F.substring(F.col("ur"), at + 1, cut(k + 1) - cut(k)).alias("_piece")))))
+    looked = looked.select(*GROUP, "ur", "n", F.explode(F.array_distinct(found)).alias("_p"))
+    names = [*GROUP, "ur", "ur2", "n", "n2"]
+    return whole.select(*names).union(looked.join(own, [*GROUP, "_p"]).where(near).select(*names).distinct())
 
 
-def neighbours(umis: list[str], limit: int) -> dict[int, set[int]]:
-    """Pairs within `limit` edits, found by shared pieces: of limit + 1 pieces of the one, the other has one, shifted by at most `limit`.
+def representatives(counts: DataFrame, *, edits: int = EDITS) -> DataFrame:
+    """counts (gene, cb, ur, n), one row a UMI, with ub: the best-ranked UMI (count down, then name) that reaches it.
 
-    Each UMI is cut by its own length, and looked up by the cuts of every length that is near enough.
+    An edge leads from u to v where they are near and n(u) >= 2 n(v) - 1. The best rank moves along the edges, a round a table, until
+    none changes; only UMIs with an edge take part, and only ranks that changed move on.
     """
-    cuts = {n: [(k * n // (limit + 1), (k + 1) * n // (limit + 1)) for k in range(limit + 1)] for n in {len(u) for u in umis}}
-    seen: dict[tuple, list[int]] = {}
-    near: dict[int, set[int]] = {i: set() for i in range(len(umis))}
-    for i, u in enumerate(umis):
-        found: set[int] = set()
-        for n in range(len(u) - limit, len(u) + limit + 1):
-            for k, (a, b) in enumerate(cuts.get(n, ())):
-                for p in range(max(0, a - limit), min(len(u) - (b - a), a + limit) + 1):
-                    found.update(seen.get((n, k, u[p : p + b - a]), ()))
-        for k, (a, b) in enumerate(cuts[len(u)]):
-            seen.setdefault((len(u), k, u[a:b]), []).append(i)
-        for j in found:
-            if edits_within(u, umis[j], limit):
-                near[i].add(j)
-                near[j].add(i)
-    return near
-
-
-def representatives(counts: dict[str, int], limit: int = 2) -> dict[str, str]:
-    """Each UMI's representative: the best-ranked one (count down, then name) that reaches it over edges n(u) >= 2 n(v) - 1."""
-    order = sorted(counts, key=lambda u: (-counts[u], u))
-    near = neighbours(order, limit)
-    out: dict[str, str] = {}
-    for i, u in enumerate(order):
-        if u in out:
-            continue
-        out[u] = u
-        queue = deque([i])
-        while queue:
-            a = queue.popleft()
-            for b in near[a]:
-                if order[b] not in out and counts[order[a]] >= 2 * counts[order[b]] - 1:
-                    out[order[b]] = u
-                    queue.append(b)
-    return out
-
-
-def _cluster(group: pa.Table) -> pa.Table:
-    umis = group.column("ur").to_pylist()
-    best = representatives(dict(zip(umis, group.column("n").to_pylist(), strict=True)))
-    return pa.table([group.column("gene"), group.column("cb"), group.column("ur"), pa.array([best[u] for u in umis])], names=["gene", "cb", "ur", "ub"])
-
-
-def cluster(reads: DataFrame) -> DataFrame:
-    """Distinct (gene, cb, ur) with the corrected UMI ub. Reads are counted first; groups of one UMI never enter Python."""
-    n = reads.groupBy("gene", "cb", "ur").agg(F.count("*").alias("n"))
-    size = n.groupBy("gene", "cb").agg(F.count("*").alias("_size"))
-    sized = n.join(size, ["gene", "cb"])
-    alone = sized.where("_size = 1").select("gene", "cb", "ur", F.col("ur").alias("ub"))
-    many = sized.where("_size > 1").select("gene", "cb", "ur", "n")
-    schema = f"gene {reads.schema['gene'].dataType.simpleString()}, cb string, ur string, ub string"
-    return alone.unionByName(many.groupBy("gene", "cb").applyInArrow(_cluster, schema))
+    edges = near_pairs(counts.where("gene is not null and cb is not null and ur is not null"), edits=edits).where("n >= 2 * n2 - 1")
+    edges = written(edges, "umi-edges")
+    rank = F.struct((-F.col("n")).alias("_n"), F.col("ur").alias("_ur"))
+    sources = edges.select(*GROUP, "ur", rank.alias("_best"))
+    targets = edges.select(*GROUP, F.col("ur2").alias("ur"), F.struct((-F.col("n2")).alias("_n"), F.col("ur2").alias("_ur")).alias("_best"))
+    state = written(sources.union(targets).distinct().withColumn("_new", F.lit(True)), "umi-ranks")
+    step = edges.select(*GROUP, "ur", F.col("ur2").alias("_to"))
+    while True:
+        moved = step.join(state.where("_new").drop("_new"), [*GROUP, "ur"]).groupBy(*GROUP, F.col("_to").alias("ur")).agg(F.min("_best").alias("_come"))
+        better = F.coalesce(F.col("_come") < F.col("_best"), F.lit(False))
+        state = written(state.drop("_new").join(moved, [*GROUP, "ur"], "left").select(*GROUP, "ur", F.when(better, F.col("_come")).otherwise(F.col("_best")).alias("_best"), better.alias("_new")), "umi-ranks")
+        if state.where("_new").isEmpty():
+            break
+    return counts.join(state.select(*GROUP, "ur", F.col("_best._ur").alias("_ub")), [*GROUP, "ur"], "left").select(*counts.columns, F.coalesce("_ub", "ur").alias("ub"))
+
+
+def cluster(reads: DataFrame, *, edits: int = EDITS, length: int | None = None) -> DataFrame:
+    """Distinct (gene, cb, ur) with the corrected UMI ub; with `length`, only those whose ub has that many bases.
+
+    Reads are counted first. Rows with a null in gene, cell or UMI keep their UMI.
+    """
+    out = representatives(reads.groupBy(*GROUP, "ur").agg(F.count("*").alias("n")), edits=edits).drop("n")
+    return out if length is None else out.where(F.length("ub") == length)
+
+
+def cluster_by_region(reads: DataFrame, region: Column, *, edits: int = EDITS, length: int | None = None) -> DataFrame:
+    """cluster() where reads without a gene ('-') are grouped by their region; the result has that label in _group and the gene as it came."""
+    grouped = reads.withColumn("_group", F.when(F.col("gene") == "-", region).otherwise(F.col("gene")))
+    clustered = cluster(grouped.select(F.col("_group").alias("gene"), "cb", "ur"), edits=edits, length=length)
+    genes = grouped.select("gene", "_group", "cb", "ur").distinct()
+    return genes.join(clustered.withColumnRenamed("gene", "_group"), ["_group", "cb", "ur"]).select("gene", "_group", "cb", "ur", "ub")

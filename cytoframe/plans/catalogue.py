@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cytoframe.functions import seq
-from cytoframe.operators import adapters, barcodes, features, intervals, umi
+from cytoframe.operators import adapters, barcodes, features, intervals, kits, saturation, summaries, tagging, umi
 from cytoframe.operators.matrix import Matrix
+from cytoframe.operators.ranks import numbered
 from cytoframe.plans import views
 from cytoframe.plans.views import t
 
@@ -53,17 +54,17 @@ def matrix_merge_shards(s, d):
 
 @query(f"with {KEEP} select feature, cell, value from matrix where cell in (select * from cells) and feature in (select * from feats)")
 def matrix_filter_simultaneous(s, d):
-    return _matrix(s, d).remove_cells_and_features(20, 3).values
+    return _matrix(s, d).kept().remove_cells_and_features(20, 3).values
 
 
 @query("with c as (select * from matrix where cell in (select cell from matrix group by 1 having count(*) >= 20)) select feature, cell, value from c where feature in (select feature from c group by 1 having count(*) >= 60)")
 def matrix_filter_cells_then_features(s, d):
-    return _matrix(s, d).remove_cells(20).remove_features(60).values
+    return _matrix(s, d).kept().remove_cells(20).remove_features(60).values
 
 
 @query("with f as (select * from matrix where feature in (select feature from matrix group by 1 having count(*) >= 60)) select feature, cell, value from f where cell in (select cell from f group by 1 having count(*) >= 20)")
 def matrix_filter_features_then_cells(s, d):
-    return _matrix(s, d).remove_features(60).remove_cells(20).values
+    return _matrix(s, d).kept().remove_features(60).remove_cells(20).values
 
 
 @query("select cell, round(sum(case when contains(feature, 'MT-') then value else 0 end) / sum(value), 6) as share from matrix group by 1")
@@ -73,7 +74,7 @@ def matrix_mito_pct(s, d):
 
 @query("select feature, cell, value from matrix where cell in (select cell from matrix group by 1 having sum(case when contains(feature, 'MT-') then value else 0 end) / sum(value) <= 0.05)")
 def matrix_mito_filter(s, d):
-    return _matrix(s, d).remove_skewed_cells(0.05, ["MT-"]).values
+    return _matrix(s, d).kept().remove_skewed_cells(0.05, ["MT-"]).values
 
 
 @query("select feature, cell, round(log10(1 + value * 10000.0 / total), 6) as value from matrix join (select cell, sum(value) as total from matrix group by 1) using (cell)")
@@ -93,7 +94,7 @@ def matrix_find_features_inverse(s, d):
 )
 def matrix_processed_flagship(s, d):
     """Counts, simultaneous masks, mitochondrial filter, normalisation, log and cell means in one plan."""
-    kept = _matrix(s, d).remove_cells_and_features(20, 3).remove_skewed_cells(0.2, ["MT-"])
+    kept = _matrix(s, d).kept().remove_cells_and_features(20, 3).remove_skewed_cells(0.2, ["MT-"]).kept()
     stats = kept.values.groupBy("cell").agg(F.sum("value").alias("umis"), F.count("*").alias("n_features"))
     mean = kept.normalize(10000.0).log_transform().mean_expression()
     return mean.join(stats, "cell").select("cell", F.round("mean_expression", 6).alias("mean_expression"), "umis", "n_features")
@@ -101,12 +102,12 @@ def matrix_processed_flagship(s, d):
 
 @query("select cell, round(sum(value) / (select count(distinct feature) from matrix), 6) as mean_expression from matrix group by 1")
 def cell_mean_expression(s, d):
-    return _matrix(s, d).mean_expression().withColumn("mean_expression", F.round("mean_expression", 6))
+    return _matrix(s, d).kept().mean_expression().withColumn("mean_expression", F.round("mean_expression", 6))
 
 
 @query("select median(s) as median_counts, cast(median(f) as double) as median_features, count(*) as n_cells from (select cell, sum(value) as s, count(*) as f from matrix group by 1)")
 def matrix_median_stats(s, d):
-    return _matrix(s, d).medians()
+    return _matrix(s, d).kept().medians()
 
 
 @query("select feature, cast(coalesce(sum(value) filter (cell = 'c1'), 0) as bigint) as c1, cast(coalesce(sum(value) filter (cell = 'c2'), 0) as bigint) as c2, cast(coalesce(sum(value) filter (cell = 'c3'), 0) as bigint) as c3 from matrix group by 1")
@@ -116,7 +117,7 @@ def matrix_pivot_dense(s, d):
 
 @query("select r as row, c as col, value from matrix join (select feature, row_number() over (order by feature) as r from (select distinct feature from matrix)) using (feature) join (select cell, row_number() over (order by cell) as c from (select distinct cell from matrix)) using (cell)")
 def mex_triples(s, d):
-    return _matrix(s, d).triples()
+    return _matrix(s, d).kept().triples()
 
 
 SPATIAL = "select concat('F', l_partkey % 50) as feature, concat('s_002um_', lpad(cast(l_suppkey % 40 as string), 5, '0'), '_', lpad(cast(l_orderkey % 40 as string), 5, '0'), '-1') as cell, count(*) as value from lineitem group by 1, 2"
@@ -135,8 +136,7 @@ def spatial_bin_8um(s, d):
 @query(f"select cell, cast(substr(cell, 9, 5) as int) as x, cast(substr(cell, 15, 5) as int) as y, cast(sum(value) as bigint) as total from ({SPATIAL}) where regexp_matches(cell, '^s_002um_[0-9]{{5}}_[0-9]{{5}}-1$') group by 1, 2, 3")
 def spatial_coordinate_join(s, d):
     m = _spatial(s, d)
-    xy = m.cells.where(F.col("cell").rlike(r"^s_002um_\d{5}_\d{5}-1$")).select("cell", F.regexp_extract("cell", r"_(\d{5})_(\d{5})", 1).cast("int").alias("x"), F.regexp_extract("cell", r"_(\d{5})_(\d{5})", 2).cast("int").alias("y"))
-    return xy.join(m.values.groupBy("cell").agg(F.sum("value").alias("total")), "cell", "left")
+    return m.coordinates().join(m.values.groupBy("cell").agg(F.sum("value").alias("total")), "cell", "left")
 
 
 @query("select feature, cell, value from matrix where feature in ('G100', 'G200', 'MT-3')")
@@ -153,14 +153,8 @@ def seq_saturation_full(s, d):
 
 @query()
 def seq_saturation_curve(s, d):
-    """Nested samples by a hash of the read: one pass keeps the smallest hash of every distinct UMI, then counts those below each fraction."""
-    u = F.pmod(F.xxhash64("ub", "cb", "gene", "l_linenumber", "l_quantity", "l_partkey"), F.lit(1 << 40)) / float(1 << 40)
-    read = views.tags(s, d).withColumn("_u", u)
-    fracs = [1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.04, 0.03, 0.02, 0.01]
-    per = read.groupBy("ub", "cb", "gene").agg(F.min("_u").alias("_m"), *[F.count_if(F.col("_u") < f).alias(f"_r{i}") for i, f in enumerate(fracs)])
-    wide = per.agg(*[F.sum(f"_r{i}").alias(f"_r{i}") for i in range(15)], *[F.count_if(F.col("_m") < f).alias(f"_n{i}") for i, f in enumerate(fracs)])
-    rows = F.explode(F.array(*[F.struct(F.lit(f).alias("frac"), F.col(f"_r{i}").alias("n_reads"), F.col(f"_n{i}").alias("n_umis")) for i, f in enumerate(fracs)]))
-    return wide.select(rows.alias("x")).select("x.*").withColumn("saturation", F.coalesce(1 - F.try_divide("n_umis", "n_reads"), F.lit(0.0)))
+    """Nested samples by a hash of the read."""
+    return saturation.curve(views.tags(s, d).withColumnRenamed("ub", "UB").withColumnRenamed("cb", "CB"), F.xxhash64("UB", "CB", "gene", "l_linenumber", "l_quantity", "l_partkey"))
 
 
 # ---- barcodes ----------------------------------------------------------------------------------------------------------------
@@ -193,8 +187,8 @@ def knee_abundance(s, d):
 
 
 @query(
-    f"with {COUNTS}, h as (select count, sum(n) over (order by count desc) - 1 as r from (select count, count(*) as n from counts group by 1)), e as (select max_by(count, r) as y1, max(r) as x1, min_by(count, r) as y0, min(r) as x0 from h), "
-    "g as (select count, abs((y1 - y0) * (r - x0) - (count - y0) * (x1 - x0)) as gap from h, e) select barcode, count from counts where count >= (select count from g order by gap desc, count desc limit 1)"
+    f"with {COUNTS}, h as (select *, row_number() over (order by count, barcode desc) - 1 as i from counts), e as (select min(count) as y0, max(count) as y1, max(i) as x1 from h), "
+    "g as (select i, abs((y1 - y0) * i - (count - y0) * x1) as gap from h, e) select barcode, count from h where i >= (select i from g order by gap desc, i limit 1)"
 )
 def knee_distance(s, d):
     return barcodes.distance_knee(_counts(s, d))
@@ -212,37 +206,40 @@ def shortlist_summary(s, d):
 
 
 def _correction_sql(blocked: bool) -> str:
-    km = "select {c}, unnest(list_distinct(list_transform(generate_series(0, 10), lambda i: substr({c}, i + 1, 5)))) as k from {t}"
+    km = "select {c}, unnest(list_distinct(list_transform(generate_series(0, length({c}) - 6), lambda i: substr({c}, i + 1, 5)))) as k from {t}"
     pairs = f"select distinct cr, wl from ({km.format(c='cr', t='d')}) a join ({km.format(c='wl', t='w')}) b using (k)" if blocked else "select cr, wl from d, w"
     return (
         "with w as (select barcode as wl from whitelist), d as (select distinct cr from reads where cr not in (select barcode from whitelist)), "
         f"p as (select cr, wl, levenshtein(cr, wl) as ed from ({pairs}) where levenshtein(cr, wl) <= 5), q as (select *, row_number() over (partition by cr order by ed, wl) as r from p), "
         "b as (select d.cr, a.wl, a.ed, coalesce(z.ed, length(d.cr)) - a.ed as gap from d left join (select * from q where r = 1) a using (cr) left join (select * from q where r = 2) z using (cr)), "
         "res as (select distinct cr, cr as cb, 'bc_shortlist_exact_match' as reason from reads where cr in (select barcode from whitelist) union all "
-        "select cr, case when ed <= 2 and gap >= 2 then wl end, case when ed is null or ed > 2 then 'bc_no_shortlist_match' when gap >= 2 then 'bc_corrected' else 'bc_shortlist_multiple_hits' end from b) "
+        "select cr, case when length(cr) >= 14 and ed <= 2 and gap >= 2 then wl end, case when length(cr) < 14 then null when ed is null or ed > 2 then 'bc_no_shortlist_match' when gap >= 2 then 'bc_corrected' else 'bc_shortlist_multiple_hits' end from b) "
     )
 
 
+def _corrected(s, d, blocked=True) -> DataFrame:
+    return barcodes.correct(views.reads(s, d), views.whitelist(s, d), blocked=blocked, barcode_length=16)
+
+
 @query(_correction_sql(True) + "select cr, cb, reason from res")
 def barcode_correct_kmer(s, d):
-    return barcodes.correct(views.reads(s, d), views.whitelist(s, d))
+    return _corrected(s, d)
 
 
 @query(_correction_sql(False) + "select cr, cb, reason from res")
 def barcode_correct_full(s, d):
-    return barcodes.correct(views.reads(s, d), views.whitelist(s, d), blocked=False)
+    """Every barcode against the whole list, as small lists allow."""
+    return _corrected(s, d, blocked=False)
 
 
-@query(_correction_sql(True) + "select reason, count(*) as count from reads join res using (cr) group by 1")
+@query(_correction_sql(True) + "select reason, count(*) as count from reads join res using (cr) where reason is not null group by 1")
 def barcode_reason_counts(s, d):
-    r = views.reads(s, d)
-    return r.join(barcodes.correct(r, views.whitelist(s, d)), "cr").groupBy("reason").count()
+    return barcodes.reason_counts(views.reads(s, d), _corrected(s, d))
 
 
 @query(_correction_sql(True) + "select cb, count(*) as count from reads join res using (cr) where cb is not null and length(cr) >= 14 group by 1")
 def barcode_assigned_counts(s, d):
-    r = views.reads(s, d).where(F.length("cr") >= 16 - 2)
-    return r.join(barcodes.correct(r, views.whitelist(s, d)), "cr").where("cb is not null").groupBy("cb").count()
+    return barcodes.assigned_counts(views.reads(s, d), _corrected(s, d))
 
 
 # ---- UMIs --------------------------------------------------------------------------------------------------------------------
@@ -254,10 +251,10 @@ CLUSTER = (
 
 
 def _clustered(s, d, gene) -> DataFrame:
-    return umi.cluster(views.reads(s, d).where("user_id % 3 = 1").select(gene.alias("gene"), F.col("user_id").cast("string").alias("cb"), "ur"))
+    return umi.cluster(views.reads(s, d).select(gene.alias("gene"), F.col("user_id").cast("string").alias("cb"), "ur"))
 
 
-@query(CLUSTER.replace("with recursive n", "with recursive rr as (select gene, cast(user_id as string) as cb, ur from reads where user_id % 3 = 1), n") + "select gene, cb, ur, ub from ranked where k = 1")
+@query(CLUSTER.replace("with recursive n", "with recursive rr as (select gene, cast(user_id as string) as cb, ur from reads), n") + "select gene, cb, ur, ub from ranked where k = 1")
 def umi_cluster(s, d):
     return _clustered(s, d, F.col("gene"))
 
@@ -265,26 +262,13 @@ def umi_cluster(s, d):
 REGION = "concat_ws('_', chr, cast(floor(floor((start + start + 700) / 2) / 1000) * 1000 as bigint), cast(ceil(floor((start + start + 700) / 2) / 1000) * 1000 as bigint))"
 
 
-@query(CLUSTER.replace("with recursive n", f"with recursive rr as (select case when gene = 'click' then {REGION} else gene end as gene, cast(user_id as string) as cb, ur from reads where user_id % 3 = 1), n") + "select gene, cb, ur, ub from ranked where k = 1")
+@query(CLUSTER.replace("with recursive n", f"with recursive rr as (select case when gene = 'click' then {REGION} else gene end as gene, cast(user_id as string) as cb, ur from reads), n") + "select gene, cb, ur, ub from ranked where k = 1")
 def umi_region_fallback(s, d):
     """Reads without a gene (here: one event type) are clustered by region."""
-    return _clustered(s, d, F.when(F.col("gene") == "click", seq.region_label(F.col("chr"), F.col("start"), F.col("start") + 700)).otherwise(F.col("gene")))
-
-
-def _all_clustered(s, d, gene) -> DataFrame:
-    return umi.cluster(views.reads(s, d).select(gene.alias("gene"), F.col("user_id").cast("string").alias("cb"), "ur"))
-
-
-@query(CLUSTER.replace("with recursive n", "with recursive rr as (select gene, cast(user_id as string) as cb, ur from reads), n") + "select gene, cb, ur, ub from ranked where k = 1")
-def umi_cluster_all(s, d):
-    """umi_cluster over every read."""
-    return _all_clustered(s, d, F.col("gene"))
-
-
-@query(CLUSTER.replace("with recursive n", f"with recursive rr as (select case when gene = 'click' then {REGION} else gene end as gene, cast(user_id as string) as cb, ur from reads), n") + "select gene, cb, ur, ub from ranked where k = 1")
-def umi_region_fallback_all(s, d):
-    """umi_region_fallback over every read."""
-    return _all_clustered(s, d, F.when(F.col("gene") == "click", seq.region_label(F.col("chr"), F.col("start"), F.col("start") + 700)).otherwise(F.col("gene")))
+    r = views.reads(s, d)
+    rows = r.select(F.when(F.col("gene") == "click", "-").otherwise(F.col("gene")).alias("gene"), F.col("user_id").cast("string").alias("cb"), "ur", "chr", "start")
+    out = umi.cluster_by_region(rows, seq.region_label(F.col("chr"), F.col("start"), F.col("start") + 700))
+    return out.select(F.col("_group").alias("gene"), "cb", "ur", "ub")
 
 
 @query("select read_id, substr(ur, 1, cast(length(ur) - read_id % 2 as int)) as ub from reads where length(ur) - read_id % 2 = 12")
@@ -298,7 +282,7 @@ ADAPT = (
     "p as (select *, concat_ws('-', target, t2) as c from w where concat_ws('-', target, t2) in ('adapter1_f-adapter2_f', 'adapter2_r-adapter1_r') and t2 is not null), "
     "f as (select query, concat(query, '_', row_number() over (partition by query order by case when target = 'adapter1_f' then 0 else 1 end, qilo) - 1) as read_id, case when target = 'adapter1_f' then qilo - 1 else qihi end as start, case when target = 'adapter1_f' then lo2 - 1 else hi2 end as \"end\", true as fl, case when target = 'adapter1_f' then '+' else '-' end as strand, c as adapter_config, 'full_len' as lab from p), "
     "r as (select query, string_agg(target, '-' order by qilo, target) as c, min(qilo) as lo, max(qihi) as hi, max(ql) as ql from hits group by 1 having query not in (select query from f)), "
-    "s as (select * from f union all select query, concat(query, '_0'), case when c in ('adapter1_f', 'adapter2_r') then lo - 1 else 0 end, case when c in ('adapter2_f', 'adapter1_r') then hi else ql end, false, case when c in ('adapter1_f', 'adapter2_f') then '+' when c in ('adapter1_r', 'adapter2_r') then '-' else '*' end, c, case c when 'adapter1_f' then 'single_adapter1' when 'adapter1_r' then 'single_adapter1' when 'adapter2_f' then 'single_adapter2' when 'adapter2_r' then 'single_adapter2' else 'other' end from r) "
+    "s as (select * from f union all select query, concat(query, '_0'), case when c in ('adapter1_f', 'adapter2_r') then lo - 1 else 0 end, case when c in ('adapter2_f', 'adapter1_r') then hi else ql end, false, case when c in ('adapter1_f', 'adapter2_f') then '+' when c in ('adapter1_r', 'adapter2_r') then '-' else '*' end, c, case when c in ('adapter1_f', 'adapter1_r') then 'single_adapter1' when c in ('adapter2_f', 'adapter2_r') then 'single_adapter2' when c in ('adapter1_f-adapter1_r', 'adapter1_r-adapter1_f') then 'double_adapter1' when c in ('adapter2_f-adapter2_r', 'adapter2_r-adapter2_f') then 'double_adapter2' else 'other' end from r) "
 )
 
 
@@ -314,13 +298,15 @@ def adapter_pairs(s, d):
 
 @query("select query, string_agg(target, '-' order by qilo, target) as config from hits group by 1")
 def adapter_config_string(s, d):
-    return views.hits(s, d).groupBy("query").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("qilo", "target"))), lambda h: h["target"]), "-").alias("config"))
+    return adapters.configurations(views.hits(s, d))
+
 
+FLAGS = "count(*) as subreads, count(*) filter (fl) as full_length, count(*) filter (strand <> '*') as stranded, count(*) filter (strand = '+') as plus, count(*) filter (strand = '-') as minus, " + ", ".join(f"count(*) filter (lab = '{k}') as {k}" for k in ("no_adapters", "single_adapter1", "single_adapter2", "double_adapter1", "double_adapter2", "full_len", "other"))
 
-@query(ADAPT + "select lab, count(*) as subreads, count(*) filter (fl) as full_length, count(*) filter (strand <> '*') as stranded, count(*) filter (strand = '+') as plus, count(*) filter (strand = '-') as minus from s group by 1")
+
+@query(ADAPT + f"select statistic, count from (select {FLAGS} from s) unpivot (count for statistic in (subreads, full_length, stranded, plus, minus, no_adapters, single_adapter1, single_adapter2, double_adapter1, double_adapter2, full_len, other))")
 def adapter_summary(s, d):
-    r = adapters.subreads(views.hits(s, d))
-    return r.groupBy("lab").agg(F.count("*").alias("subreads"), F.count_if("fl").alias("full_length"), F.count_if(F.col("strand") != "*").alias("stranded"), F.count_if(F.col("strand") == "+").alias("plus"), F.count_if(F.col("strand") == "-").alias("minus"))
+    return adapters.summary(adapters.subreads(views.hits(s, d)))
 
 
 @query("select read_id, translate(reverse(cr), 'ACGTacgt', 'TGCAtgca') as rc from reads")
@@ -341,10 +327,10 @@ def subseq_trim(s, d):
 @query("select n_nationkey, concat(right('CTACACGACGCTCTTCCGATCT', 10), repeat('N', cast(14 + n_nationkey % 3 as int)), repeat('N', 12), case when n_nationkey % 2 = 0 then repeat('T', 10) else 'TTTCTTATATGGG' end) as probe from nation")
 def probe_sequence(s, d):
     n = F.col("n_nationkey")
-    return t(s, d, "nation").select("n_nationkey", F.concat(F.lit("CTACACGACGCTCTTCCGATCT"[-10:]), F.expr("repeat('N', int(14 + n_nationkey % 3))"), F.lit("N" * 12), F.when(n % 2 == 0, "T" * 10).otherwise("TTTCTTATATGGG")).alias("probe"))
+    return t(s, d, "nation").select("n_nationkey", kits.probe_column(14 + n % 3, 12, n % 2 == 0).alias("probe"))
 
 
-@query("select k as kmer, count(*) as count from (select unnest(list_transform(generate_series(0, 10), lambda i: substr(cr, i + 1, 5))) as k from reads) group by 1")
+@query("select k as kmer, count(*) as count from (select unnest(list_transform(generate_series(0, length(cr) - 6), lambda i: substr(cr, i + 1, 5))) as k from reads) group by 1")
 def kmers(s, d):
     return views.reads(s, d).select(F.explode(seq.kmers(F.col("cr"), 5)).alias("kmer")).groupBy("kmer").count()
 
@@ -359,17 +345,22 @@ def config_reverse(s, d):
     return adapter_config_string(s, d).select("query", seq.reverse_config(F.col("config")).alias("config"))
 
 
-@query("select read_id, case when read_id % 2 = 0 then translate(reverse(substr(cr, 3, 10)), 'ACGT', 'TGCA') else substr(cr, 3, 10) end as seq, case when read_id % 2 = 0 then reverse(substr(cy, 3, 10)) else substr(cy, 3, 10) end as qual from reads where read_id % 5 <> 0")
+CUT = "case when length(cr) < 16 then 0 else 10 end"
+
+
+@query(f"select read_id, case when read_id % 2 = 0 then translate(reverse(substr(cr, 3, {CUT})), 'ACGT', 'TGCA') else substr(cr, 3, {CUT}) end as seq, case when read_id % 2 = 0 then reverse(substr(cy, 3, {CUT})) else substr(cy, 3, {CUT}) end as qual from reads where {CUT} > 0")
 def stranded_subreads(s, d):
-    r = views.reads(s, d).where("read_id % 5 <> 0").select("read_id", seq.subsequence(F.col("cr"), F.lit(2), F.lit(12)).alias("s"), seq.subsequence(F.col("cy"), F.lit(2), F.lit(12)).alias("q")).where("length(s) > 0")
-    flip = F.col("read_id") % 2 == 0
-    return r.select("read_id", F.when(flip, seq.reverse_complement(F.col("s"))).otherwise(F.col("s")).alias("seq"), F.when(flip, F.reverse("q")).otherwise(F.col("q")).alias("qual"))
+    """Subreads cut out and turned; those of short barcodes are empty and go."""
+    r = views.reads(s, d)
+    reads = r.select(F.col("read_id").cast("string").alias("read_id"), F.col("cr").alias("seq"), F.col("cy").alias("qual"))
+    parts = r.select(F.col("read_id").cast("string").alias("query"), F.col("read_id").cast("string").alias("read_id"), F.lit(2).alias("start"), F.when(F.length("cr") < 16, 2).otherwise(12).alias("end"), F.lit(True).alias("fl"), F.when(F.col("read_id") % 2 == 0, "+").otherwise("-").alias("strand"), F.lit("adapter1_f-adapter2_f").alias("adapter_config"), F.lit("full_len").alias("lab"))
+    return kits.stranded(reads, parts, kits.Kit("3prime")).select(F.col("read_id").cast("long").alias("read_id"), "seq", "qual")
 
 
 # ---- features ----------------------------------------------------------------------------------------------------------------
-ALN = "select distinct l_orderkey as read_id, concat('tr', cast(l_partkey % 500 as string)) as query_transcript, cast(l_quantity as int) as aln_score, l_discount * 10 as tr_cov, l_tax * 10 as q_cov, cast(l_linenumber % 3 as int) as tr_mapq from lineitem"
-TMAP = "select concat('tr', cast(p_partkey as string)) as qry_id, concat('ref', cast(p_partkey % 300 as string)) as ref_id, case p_size % 8 when 0 then 'i' when 1 then 's' else '=' end as class_code from part where p_partkey < 500"
-ANNO = "select distinct concat('ref', cast(p_partkey % 300 as string)) as ref_id, concat('gene', cast(p_partkey % 300 % 60 as string)) as gene_name from part where p_partkey % 300 <> 7"
+ALN = "select distinct l_orderkey as read_id, concat('tr', cast(l_partkey as string)) as query_transcript, cast(l_quantity as int) as aln_score, l_discount * 10 as tr_cov, l_tax * 10 as q_cov, cast(l_linenumber % 3 as int) as tr_mapq from lineitem"
+TMAP = "select concat('tr', cast(p_partkey as string)) as qry_id, concat('ref', cast(p_partkey % 300 as string)) as ref_id, case p_size % 8 when 0 then 'i' when 1 then 's' else '=' end as class_code from part"
+ANNO = "select distinct concat('ref', cast(p_partkey % 300 as string)) as ref_id, concat('gene', cast(p_partkey % 300 % 60 as string)) as gene_name from part where p_size > 3"
 GENO = "select o_orderkey as read_id, cast(o_custkey % 61 as int) as mapq from orders"
 ASSIGN = (
     f"with j as (select a.read_id, query_transcript, aln_score, tr_cov, q_cov, tr_mapq, mapq, gene_name as gene, case when class_code in ('i', 'y', 'p', 's') then '-' else ref_id end as transcript from ({ALN}) a join ({TMAP}) on query_transcript = qry_id join ({ANNO}) using (ref_id) join ({GENO}) using (read_id)), "
@@ -404,21 +395,21 @@ def feature_classcode_mask(s, d):
 # ---- tags and sheets ---------------------------------------------------------------------------------------------------------
 @query("select read_id, cr, coalesce(f.gene, '-') as gene from reads r left join (select l_orderkey as k, min(concat('g', l_partkey)) as gene from lineitem group by 1) f on r.read_id = f.k")
 def tags_left_join_features(s, d):
-    f = t(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("read_id")).agg(F.min(F.concat(F.lit("g"), F.col("l_partkey"))).alias("feature"))
-    return views.reads(s, d).join(f, "read_id", "left").select("read_id", "cr", F.coalesce("feature", F.lit("-")).alias("gene"))
+    f = t(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("read_id")).agg(F.min(F.concat(F.lit("g"), F.col("l_partkey"))).alias("gene"))
+    return tagging.with_features(views.reads(s, d).select("read_id", "cr"), f)
 
 
 @query("select o_orderkey as read_id, cr, o_custkey from orders join reads on o_orderkey = read_id")
 def sorted_id_join(s, d):
-    return t(s, d, "orders").join(views.reads(s, d), F.col("o_orderkey") == F.col("read_id")).select("read_id", "cr", "o_custkey")
+    return tagging.in_order(t(s, d, "orders").withColumnRenamed("o_orderkey", "read_id"), views.reads(s, d)).select("read_id", "cr", "o_custkey")
 
 
 @query("select a.read_id, a.chr as aln_chr, t.cr from (select event_id as read_id, concat('chr', (user_id + event_id % 2) % 3) as chr from events) a join reads t on a.read_id = t.read_id where a.chr = t.chr or t.read_id % 4 = 0")
 def tag_lookup_with_sa(s, d):
     """Tags apply on their own chromosome, those of split alignments (every fourth read) on any."""
-    r = views.reads(s, d).select("read_id", "cr", "chr")
-    a = t(s, d, "events").select(F.col("event_id").alias("read_id"), F.concat(F.lit("chr"), ((F.col("user_id") + F.col("event_id") % 2) % 3).cast("string")).alias("aln_chr"))
-    return a.join(r, "read_id").where((F.col("aln_chr") == F.col("chr")) | (F.col("read_id") % 4 == 0)).select("read_id", "aln_chr", "cr")
+    tags = views.reads(s, d).select("read_id", "cr", "chr", F.when(F.col("read_id") % 4 == 0, "yes").otherwise("-").alias("SA"))
+    a = t(s, d, "events").select(F.col("event_id").alias("read_id"), F.concat(F.lit("chr"), ((F.col("user_id") + F.col("event_id") % 2) % 3).cast("string")).alias("chr"))
+    return tagging.tags_of_alignments(a, tags).select("read_id", F.col("chr").alias("aln_chr"), "cr")
 
 
 @query("select read_id from reads where read_id not in (select l_orderkey from lineitem)")
@@ -428,8 +419,10 @@ def untagged_anti(s, d):
 
 @query("select n_name, split_part(concat(n_name, ':v', n_nationkey % 3), ':', 1) as kit_name, split_part(concat(n_name, ':v', n_nationkey % 3), ':', 2) as kit_version, r_name from nation left join region on n_regionkey = r_regionkey")
 def kit_config_join(s, d):
-    n = t(s, d, "nation").withColumn("kit", F.concat(F.col("n_name"), F.lit(":v"), (F.col("n_nationkey") % 3).cast("string")))
-    return n.join(t(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_name", F.split("kit", ":")[0].alias("kit_name"), F.split("kit", ":")[1].alias("kit_version"), "r_name")
+    kit = F.concat(F.col("n_name"), F.lit(":v"), (F.col("n_nationkey") % 3).cast("string")).alias("kit")
+    n = t(s, d, "nation")
+    config = n.join(t(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select(kit, "r_name")
+    return kits.with_kit(n.select("n_name", kit), config).select("n_name", "kit_name", "kit_version", "r_name")
 
 
 @query("select n_regionkey as analysis_group, count(*) as samples, count(*) = count(distinct n_name) as aliases_unique, bool_and(regexp_matches(concat('barcode', lpad(cast(n_nationkey as string), 2, '0')), '^barcode[0-9]{2,}$')) as barcodes_valid from nation group by 1")
@@ -438,24 +431,23 @@ def sample_sheet_checks(s, d):
     return t(s, d, "nation").groupBy(F.col("n_regionkey").alias("analysis_group")).agg(F.count("*").alias("samples"), (F.count("*") == F.countDistinct("n_name")).alias("aliases_unique"), F.bool_and(b.rlike(r"^barcode\d\d+$")).alias("barcodes_valid"))
 
 
-@query("select n_nationkey, n_name, cnt from (select * from nation where n_nationkey % 4 <> 0) full join (select s_nationkey, count(*) as cnt from supplier where s_nationkey % 3 <> 0 group by 1) on n_nationkey = s_nationkey")
+@query("select n_nationkey, n_name, cnt from nation full join (select s_suppkey % 30 + 3 as k, count(*) as cnt from supplier group by 1) on n_nationkey = k")
 def sample_sheet_outer_join(s, d):
-    sheet = t(s, d, "nation").where("n_nationkey % 4 <> 0")
-    dirs = t(s, d, "supplier").where("s_nationkey % 3 <> 0").groupBy("s_nationkey").agg(F.count("*").alias("cnt"))
-    return sheet.join(dirs, F.col("n_nationkey") == F.col("s_nationkey"), "full").select("n_nationkey", "n_name", "cnt")
+    dirs = t(s, d, "supplier").groupBy((F.col("s_suppkey") % 30 + 3).alias("k")).agg(F.count("*").alias("cnt"))
+    return t(s, d, "nation").join(dirs, F.col("n_nationkey") == F.col("k"), "full").select("n_nationkey", "n_name", "cnt")
 
 
-@query("select 'missing' as side, n_nationkey as id from nation where n_nationkey not in (select s_nationkey from supplier where s_nationkey % 3 <> 0) union all select 'extra', s_nationkey from (select distinct s_nationkey from supplier) where s_nationkey not in (select n_nationkey from nation where n_nationkey < 20)")
+@query("with a as (select n_nationkey as id from nation), b as (select distinct s_suppkey % 30 + 3 as id from supplier) select 'missing' as side, id from a where id not in (select id from b) union all select 'extra', id from b where id not in (select id from a)")
 def id_set_equality(s, d):
-    sheet, seen = t(s, d, "nation").select(F.col("n_nationkey").alias("id")), t(s, d, "supplier").select(F.col("s_nationkey").alias("id")).distinct()
-    missing = sheet.join(seen.where("id % 3 <> 0"), "id", "left_anti").select(F.lit("missing").alias("side"), "id")
-    return missing.union(seen.join(sheet.where("id < 20"), "id", "left_anti").select(F.lit("extra").alias("side"), "id"))
+    return kits.set_differences(t(s, d, "nation").select(F.col("n_nationkey").alias("id")), t(s, d, "supplier").select((F.col("s_suppkey") % 30 + 3).alias("id")), "id")
 
 
 # ---- statistics --------------------------------------------------------------------------------------------------------------
-@query("select chr, count(*) as reads, count(distinct gene) as genes, count(distinct cr) as barcodes from reads group by 1")
+@query("select statistic, count from (select count(*) filter (length(cr) = 16) as valid_barcodes, count(*) filter (gene <> 'click') as gene_tagged, count(*) filter (length(ur) = 12) as transcript_tagged, count(distinct concat(chr, gene)) filter (gene <> 'click') as genes, count(distinct concat(chr, ur)) filter (length(ur) = 12) as transcripts from reads) unpivot (count for statistic in (valid_barcodes, gene_tagged, transcript_tagged, genes, transcripts))")
 def expression_summary(s, d):
-    return views.reads(s, d).groupBy("chr").agg(F.count("*").alias("reads"), F.countDistinct("gene").alias("genes"), F.countDistinct("cr").alias("barcodes"))
+    r = views.reads(s, d)
+    known = lambda ok, c: F.when(ok, F.col(c)).otherwise("-")
+    return summaries.expression(r.select("chr", known(F.length("cr") == 16, "cr").alias("CB"), known(F.col("gene") != "click", "gene").alias("gene"), known(F.length("ur") == 12, "ur").alias("transcript")))
 
 
 @query("select l_returnflag as key, cast(sum(l_linenumber) as bigint) as total from lineitem group by 1")
@@ -463,27 +455,32 @@ def tsv_key_sum(s, d):
     return t(s, d, "lineitem").groupBy(F.col("l_returnflag").alias("key")).agg(F.sum("l_linenumber").alias("total"))
 
 
-@query("select count(*) filter (l_linenumber & 1 = 0) as primary_aln, count(*) filter (l_linenumber & 1 = 1) as other_aln, count(*) filter (l_linenumber & 4 = 4) as unmapped, count(*) as total from lineitem")
+@query("select 's' as sample, count(*) as reads_aligned, count(*) filter (l_linenumber in (1, 5, 6, 7)) as primary, count(*) filter (l_linenumber = 2) as secondary, count(*) filter (l_linenumber = 3) as supplementary, count(*) filter (l_linenumber = 4) as unmapped from lineitem")
 def bam_stats_sum(s, d):
-    f = F.col("l_linenumber")
-    return t(s, d, "lineitem").agg(F.count_if(f.bitwiseAND(1) == 0).alias("primary_aln"), F.count_if(f.bitwiseAND(1) == 1).alias("other_aln"), F.count_if(f.bitwiseAND(4) == 4).alias("unmapped"), F.count("*").alias("total"))
+    """Line numbers stand for flags: 2 secondary, 3 supplementary, 4 unmapped."""
+    n = F.col("l_linenumber")
+    flags = t(s, d, "lineitem").select(F.when(n == 2, 256).when(n == 3, 2048).when(n == 4, 4).otherwise(0).alias("flag"))
+    return summaries.alignment_stats(flags, "s")
+
+
+SURVIVAL = ADAPT + f", st as (select statistic, cast(count as double) as count from (select {FLAGS} from s) unpivot (count for statistic in (subreads, full_length, stranded, plus, minus, no_adapters, single_adapter1, single_adapter2, double_adapter1, double_adapter2, full_len, other))), n as (select count(*) as reads from events), c as (select count(*) as cells from whitelist), a as (select statistic, count from st union all select 'reads', cast(reads as double) from n union all select 'cells', cast(cells as double) from c union all select 'mean_reads_per_cell', reads / cells from n, c)"
 
 
-@query("select statistic, count, round(100.0 * count / n, 4) as pct_of_input_reads from (select count(*) as n, count(*) as input, count(*) filter (gene <> 'click') as gene_tagged, count(*) filter (list_min(list_transform(string_split(cy, ''), lambda c: ascii(c) - 33)) >= 15) as high_quality from reads) unpivot (count for statistic in (input, gene_tagged, high_quality))")
+@query(SURVIVAL + "select statistic, round(count, 6) as count, round(100.0 * count / reads, 6) as pct_of_input_reads, round(100.0 * count / (select max(count) from st where statistic = 'full_length'), 6) as pct_of_fl_reads, 'x' as sample_id from a, n")
 def survival_table(s, d):
-    one = views.reads(s, d).agg(F.count("*").alias("n"), F.count("*").alias("input"), F.count_if(F.col("gene") != "click").alias("gene_tagged"), F.count_if(seq.phred_min(F.col("cy")) >= 15).alias("high_quality"))
-    return one.unpivot(["n"], ["input", "gene_tagged", "high_quality"], "statistic", "count").select("statistic", "count", F.round(100.0 * F.col("count") / F.col("n"), 4).alias("pct_of_input_reads"))
+    table = summaries.survival(adapters.summary(adapters.subreads(views.hits(s, d))), t(s, d, "events").count(), views.whitelist(s, d), sample="x")
+    return table.select("statistic", *[F.round(c, 6).alias(c) for c in ("count", "pct_of_input_reads", "pct_of_fl_reads")], "sample_id")
 
 
 @query(f"with {COUNTS} select barcode, row_number() over (order by count desc, barcode) - 1 as rank from counts")
 def barcode_rank(s, d):
-    return _counts(s, d).select("barcode", (F.row_number().over(Window.orderBy(F.desc("count"), "barcode")) - 1).cast("long").alias("rank"))
+    return numbered(_counts(s, d), "n", F.desc("count"), F.col("barcode")).select("barcode", (F.col("n") - 1).alias("rank"))
 
 
-@query(f"with {COUNTS}, r as (select barcode, count, row_number() over (order by count desc, barcode) as n from counts) select barcode, count from r where n % 5 = 0")
+@query(f"with {COUNTS}, r as (select barcode, count, row_number() over (order by count desc, barcode) as n, count(*) over () as all_rows from counts) select barcode, count from r where all_rows <= 500 or n % greatest(all_rows // 500, 1) = 0")
 def rank_thinning(s, d):
-    r = _counts(s, d).withColumn("_n", F.row_number().over(Window.orderBy(F.desc("count"), "barcode")))
-    return r.where("_n % 5 = 0").select("barcode", "count")
+    """A rank curve of some 500 points for a plot: every n-th barcode where there are more."""
+    return barcodes.thinned(_counts(s, d), 500)
 
 
 @query("select cast(length(text) // 500 as bigint) as bin, count(*) as n from documents group by 1")
@@ -499,7 +496,7 @@ def read_length_n50(s, d):
 
 
 # ---- fusions and genotypes ---------------------------------------------------------------------------------------------------
-FUSION = "select concat('F', cast(o_custkey % 200 as string)) as fusion, concat_ws(',', cast(o_orderkey as string), cast(o_orderkey + 1 as string), cast(o_custkey as string)) as reads from orders where o_orderkey % 10 = 0"
+FUSION = "select concat('F', cast(o_custkey % 200 as string)) as fusion, concat_ws(',', cast(o_orderkey as string), cast(o_orderkey + 1 as string), cast(o_custkey as string)) as reads from orders"
 FUSED = f"with x as (select fusion, cast(unnest(string_split(reads, ',')) as bigint) as read_id from ({FUSION})) "
 
 
@@ -574,25 +571,24 @@ def allele_fill_tags(s, d):
 
 
 # ---- intervals ---------------------------------------------------------------------------------------------------------------
-@query("select id from intervals a where id % 3 = 0 and exists (select 1 from intervals b where b.id % 7 = 1 and a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\")")
+@query("select id from intervals a where exists (select 1 from event_intervals b where a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\")")
 def interval_overlap_semi(s, d):
-    i = views.intervals(s, d)
-    return intervals.overlapping(i.where("id % 3 = 0"), i.where("id % 7 = 1")).select("id")
+    """Orders that overlap an event."""
+    return intervals.overlapping(views.intervals(s, d), views.event_intervals(s, d)).select("id")
 
 
-@query("select id, start2 from (select a.id, b.start as start2, row_number() over (partition by a.id order by b.start, b.id) as r from intervals a join intervals b on a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\" where a.id % 3 = 0 and b.id % 7 = 1) where r = 1")
+@query("select a.id, min(b.start) as start2 from intervals a join event_intervals b on a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\" group by 1")
 def interval_overlap_first(s, d):
-    i = views.intervals(s, d)
-    j = intervals.overlaps(i.where("id % 3 = 0"), i.where("id % 7 = 1").withColumnRenamed("id", "id2"))
+    j = intervals.overlaps(views.intervals(s, d), views.event_intervals(s, d).withColumnRenamed("id", "id2"))
     return j.groupBy("id").agg(F.min("start2").alias("start2"))
 
 
 @query(
-    "with w as (select distinct chrom, greatest(start - 100, 0) as s, \"end\" + 100 as e from intervals where id % 11 = 0), g as (select *, max(e) over (partition by chrom order by s, e rows between unbounded preceding and 1 preceding) as b from w), "
+    "with w as (select distinct chrom, greatest(start - 100, 0) as s, \"end\" + 100 as e from intervals), g as (select *, max(e) over (partition by chrom order by s, e rows between unbounded preceding and 1 preceding) as b from w), "
     "k as (select *, sum(case when b is null or s > b then 1 else 0 end) over (partition by chrom order by s, e rows between unbounded preceding and current row) as i from g) select chrom, min(s) as start, max(e) as \"end\" from k group by chrom, i"
 )
 def interval_slop_merge(s, d):
-    return intervals.merged(views.intervals(s, d).where("id % 11 = 0"), 100)
+    return intervals.merged(views.intervals(s, d), 100, stretch=5_000)
 
 
 DEPTH = "with b as (select chrom, start, \"end\", unnest(generate_series(start // 500, (\"end\" - 1) // 500)) * 500 as lo from intervals), dd as (select chrom, lo as start, round(sum(least(\"end\", lo + 500) - greatest(start, lo)) / 500, 6) as depth, lo + 500 as \"end\" from b group by chrom, lo) "
@@ -641,87 +637,3 @@ def stream_gene_counts(s, d):
     from cytoframe.streaming.ingest import stream_counts
 
     return stream_counts(s, d, "events.parquet")
-
-
-# ---- whole tables: the queries above of the same names without _all take a part of the ids, as their SQL does ---------------------
-ALL_ADAPT = ADAPT.replace("from hits", "from all_hits")
-ALL_FUSION = FUSION.removesuffix(" where o_orderkey % 10 = 0")
-ALL_FUSED = FUSED.replace(FUSION, ALL_FUSION)
-
-
-@query(ALL_ADAPT + "select query, read_id, start, \"end\", fl, strand, adapter_config, lab from s")
-def adapter_labels_all(s, d):
-    return adapters.subreads(views.all_hits(s, d))
-
-
-@query(ALL_ADAPT + "select query, read_id, start, \"end\" from s where fl")
-def adapter_pairs_all(s, d):
-    return adapter_labels_all(s, d).where("fl").select("query", "read_id", "start", "end")
-
-
-@query("select query, string_agg(target, '-' order by qilo, target) as config from all_hits group by 1")
-def adapter_config_string_all(s, d):
-    return views.all_hits(s, d).groupBy("query").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("qilo", "target"))), lambda h: h["target"]), "-").alias("config"))
-
-
-@query(ALL_ADAPT + "select lab, count(*) as subreads, count(*) filter (fl) as full_length, count(*) filter (strand <> '*') as stranded, count(*) filter (strand = '+') as plus, count(*) filter (strand = '-') as minus from s group by 1")
-def adapter_summary_all(s, d):
-    r = adapter_labels_all(s, d)
-    return r.groupBy("lab").agg(F.count("*").alias("subreads"), F.count_if("fl").alias("full_length"), F.count_if(F.col("strand") != "*").alias("stranded"), F.count_if(F.col("strand") == "+").alias("plus"), F.count_if(F.col("strand") == "-").alias("minus"))
-
-
-@query("select query, string_agg(case when target like '%\\_f' escape '\\' then replace(target, '_f', '_r') else replace(target, '_r', '_f') end, '-' order by qilo desc, target desc) as config from all_hits group by 1")
-def config_reverse_all(s, d):
-    return adapter_config_string_all(s, d).select("query", seq.reverse_config(F.col("config")).alias("config"))
-
-
-def _all_fusions(s, d) -> DataFrame:
-    t(s, d, "orders").createOrReplaceTempView("orders")
-    return s.sql(ALL_FUSION).select("fusion", F.explode(F.split("reads", ",")).alias("read_id")).withColumn("read_id", F.col("read_id").cast("long"))
-
-
-def _all_fused(s, d) -> DataFrame:
-    return _all_fusions(s, d).join(t(s, d, "events").select(F.col("event_id").alias("read_id"), F.col("user_id").alias("cb"), F.col("value").alias("ub")), "read_id")
-
-
-@query(ALL_FUSED + "select fusion, read_id from x")
-def fusion_explode_all(s, d):
-    return _all_fusions(s, d)
-
-
-@query(ALL_FUSED + ", " + FCELL + "select fusion, count(distinct cb) as cells, count(distinct ub) as umis from j group by 1")
-def fusion_per_fusion_all(s, d):
-    return _all_fused(s, d).groupBy("fusion").agg(F.countDistinct("cb").alias("cells"), F.countDistinct("ub").alias("umis"))
-
-
-@query(ALL_FUSED + ", " + FCELL + ", c as (select cb, count(*) as n, count(distinct fusion) as f from j group by 1) select count(*) as cells, (select count(distinct fusion) from j) as fusions, cast(sum(n) as bigint) as rows, round(avg(n), 6) as mean_reads, round(avg(f), 6) as mean_fusions from c")
-def fusion_per_sample_all(s, d):
-    j = _all_fused(s, d)
-    per = j.groupBy("cb").agg(F.count("*").alias("n"), F.countDistinct("fusion").alias("f")).agg(F.count("*").alias("cells"), F.sum("n").alias("rows"), F.round(F.avg("n"), 6).alias("mean_reads"), F.round(F.avg("f"), 6).alias("mean_fusions"))
-    return per.join(j.agg(F.countDistinct("fusion").alias("fusions")))
-
-
-@query(ALL_FUSED + "select fusion, read_id, count(*) over (partition by fusion) as n from x where read_id not in (select event_id from events)")
-def fusion_unmatched_all(s, d):
-    n = _all_fusions(s, d).join(t(s, d, "events").select(F.col("event_id").alias("read_id")), "read_id", "left_anti")
-    return n.join(n.groupBy("fusion").agg(F.count("*").alias("n")), "fusion")
-
-
-@query("select id from intervals a where exists (select 1 from event_intervals b where a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\")")
-def interval_overlap_semi_all(s, d):
-    """Orders that overlap an event."""
-    return intervals.overlapping(views.intervals(s, d), views.event_intervals(s, d)).select("id")
-
-
-@query("select a.id, min(b.start) as start2 from intervals a join event_intervals b on a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\" group by 1")
-def interval_overlap_first_all(s, d):
-    j = intervals.overlaps(views.intervals(s, d), views.event_intervals(s, d).withColumnRenamed("id", "id2"))
-    return j.groupBy("id").agg(F.min("start2").alias("start2"))
-
-
-@query(
-    "with w as (select distinct chrom, greatest(start - 100, 0) as s, \"end\" + 100 as e from intervals), g as (select *, max(e) over (partition by chrom order by s, e rows between unbounded preceding and 1 preceding) as b from w), "
-    "k as (select *, sum(case when b is null or s > b then 1 else 0 end) over (partition by chrom order by s, e rows between unbounded preceding and current row) as i from g) select chrom, min(s) as start, max(e) as \"end\" from k group by chrom, i"
-)
-def interval_slop_merge_all(s, d):
-    return intervals.merged(views.intervals(s, d), 100)

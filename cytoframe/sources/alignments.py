@@ -66,3 +66,54 @@ def write_sam(alignments: DataFrame, path: str, *, compression: str = "gzip") ->
     pairs = F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.when(e["value"].rlike("^-?[0-9]+$"), ":i:").otherwise(":Z:"), e["value"]))
     fields = F.concat_ws("\t", "read_id", "flag", "chr", (F.col("start") + 1).cast("string"), "mapq", "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual", pairs)
     alignments.repartitionByRange("chr", "start").sortWithinPartitions("chr", "start").select(fields.alias("value")).write.option("compression", compression).text(path)
+
+
+def split_at_junctions(alignments: DataFrame) -> DataFrame:
+    """Alignments cut at the N operations of their CIGAR: one row a block, with part (from 0), start, end, cigar and its bases.
+
+    Each block keeps the operations between two junctions; clipped bases stay with the first and last block.
+    """
+    ops = F.transform(F.regexp_extract_all("cigar", F.lit("([0-9]+[MIDNSHP=X])"), F.lit(1)), lambda o: F.struct(F.regexp_extract(o, "^[0-9]+", 0).cast("long").alias("n"), F.right(o, F.lit(1)).alias("k")))
+    empty = F.struct(F.col("start").alias("at"), F.lit(1).cast("long").alias("base"), F.lit(0).alias("part"), F.array().cast("array<struct<part:int,start:bigint,end:bigint,op:string,from:bigint,bases:bigint>>").alias("out"))
+
+    def step(s, o):
+        ref = F.when(o["k"].isin("M", "D", "N", "=", "X"), o["n"]).otherwise(F.lit(0).cast("long"))
+        read = F.when(o["k"].isin("M", "I", "S", "=", "X"), o["n"]).otherwise(F.lit(0).cast("long"))
+        cut = o["k"] == "N"
+        own = F.struct(s["part"].alias("part"), s["at"].alias("start"), (s["at"] + ref).alias("end"), F.concat(o["n"].cast("string"), o["k"]).alias("op"), s["base"].alias("from"), read.alias("bases"))
+        return F.struct((s["at"] + ref).alias("at"), (s["base"] + read).alias("base"), F.when(cut, s["part"] + 1).otherwise(s["part"]).alias("part"), F.when(cut, s["out"]).otherwise(F.array_append(s["out"], own)).alias("out"))
+
+    other = [c for c in alignments.columns if c not in ("start", "end", "cigar", "seq", "qual")]
+    walked = alignments.withColumn("_w", F.aggregate(ops, empty, step)["out"])
+    parts = walked.select("*", F.explode(F.transform(F.array_distinct(F.transform("_w", lambda x: x["part"])), lambda p: F.struct(p.alias("part"), F.filter("_w", lambda x: x["part"] == p).alias("ops")))).alias("_p"))
+    total = F.aggregate("_p.ops", F.lit(0).cast("long"), lambda t, x: t + x["bases"])
+    cut = lambda c: F.when(F.col(c) == "*", "*").otherwise(F.substring(F.col(c), F.col("_p.ops")[0]["from"].cast("int"), total.cast("int")))
+    return parts.select(*other, F.col("_p.part").alias("part"), F.array_min(F.transform("_p.ops", lambda x: x["start"])).alias("start"), F.array_max(F.transform("_p.ops", lambda x: x["end"])).alias("end"), F.array_join(F.transform("_p.ops", lambda x: x["op"]), "").alias("cigar"), cut("seq").alias("seq"), cut("qual").alias("qual"))
+
+
+def clip_depth(alignments: DataFrame, depths: DataFrame, target: float) -> DataFrame:
+    """Alignments thinned where they are deep: reads (read_id, depth) stay with the chance target / depth, others all.
+
+    Drawn from a hash of the read's id, so a task that runs again keeps the same reads.
+    """
+    draw = F.pmod(F.xxhash64("read_id", F.lit(1889)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    j = alignments.join(depths.select("read_id", F.col("depth").alias("_depth")), "read_id", "left")
+    return j.where(F.col("_depth").isNull() | (draw <= target / F.col("_depth"))).drop("_depth")
+
+
+def header_kinds(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Rows (file, references, aligned, sorted): each file's reference lines (name, length, checksum) in order, and what its header says."""
+    lines = spark.read.text(path).where("value rlike '^@[A-Z][A-Z]\\t'").select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("_i"), "value")
+    tag = lambda t: F.regexp_extract("value", f"\t{t}:([^\t]+)", 1)
+    per = lines.groupBy("file").agg(F.array_sort(F.collect_list(F.when(F.col("value").startswith("@SQ"), F.struct("_i", F.concat_ws(":", tag("SN"), tag("LN"), tag("M5")).alias("sq"))))).alias("_r"), F.bool_or(F.col("value").startswith("@HD") & (tag("SO") == "coordinate")).alias("sorted"))
+    return per.select("file", F.transform("_r", lambda x: x["sq"]).alias("references"), (F.size("_r") > 0).alias("aligned"), F.coalesce("sorted", F.lit(False)).alias("sorted"))
+
+
+def same_references(kinds: DataFrame) -> bool:
+    """Whether all files of header_kinds() name the same references in the same order."""
+    return kinds.select("references").distinct().count() <= 1
+
+
+def chromosomes(references: DataFrame) -> DataFrame:
+    """Names of the references, and '*' for unmapped reads."""
+    return references.select("chr").distinct().union(references.sparkSession.createDataFrame([("*",)], "chr string"))

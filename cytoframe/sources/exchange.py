@@ -1,27 +1,22 @@
 """Matrices in market-exchange folders (barcodes.tsv, features.tsv, matrix.mtx, each a folder of text parts) and as wide tables.
 
-Parts are written in order: the counts of each range of an axis give its first number, so no sort or numbering meets in one task.
+Parts are written in order: the counts of each part of an axis give its first number, so no sort or numbering meets in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cytoframe.operators.matrix import Matrix
+from cytoframe.operators.ranks import numbered
 
 METADATA = '%metadata_json: {"format_version": 2}'
 
 
-def numbered(axis: DataFrame, column: str, to: str) -> DataFrame:
-    """Distinct values of an axis with their 1-based place in byte order; ranges are counted first, one row each."""
-    ranged = axis.select(column).distinct().repartitionByRange(column).sortWithinPartitions(column)
-    placed = ranged.select(column, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_i"))
-    sizes = placed.groupBy("_p").agg(F.max(F.col("_i") + 1).alias("_n"))
-    # as many rows as the axis has ranges: one array
-    every = sizes.agg(F.collect_list(F.struct("_p", "_n")).alias("_all"))
-    before = F.aggregate(F.filter("_all", lambda s: s["_p"] < F.col("_p")), F.lit(0).cast("long"), lambda t, s: t + s["_n"])
-    return placed.join(F.broadcast(every)).select(column, (before + F.col("_i") + 1).alias(to))
+def axis_places(axis: DataFrame, column: str, to: str) -> DataFrame:
+    """Distinct values of an axis with their 1-based place in byte order."""
+    return numbered(axis.select(column).distinct(), to, column)
 
 
 def write_exchange(m: Matrix, path: str, *, feature_type: str = "Gene Expression", feature_ids: DataFrame | None = None, suffix: str = "-1", integer: bool = True) -> None:
@@ -31,7 +26,7 @@ def write_exchange(m: Matrix, path: str, *, feature_type: str = "Gene Expression
     files see the same ranges.
     """
     spark = m.values.sparkSession
-    f, c = numbered(m.features, "feature", "row"), numbered(m.cells, "cell", "col")
+    f, c = axis_places(m.features, "feature", "row"), axis_places(m.cells, "cell", "col")
     named = f.withColumn("id", F.lit(None).cast("string")) if feature_ids is None else f.join(feature_ids.select("feature", "id"), "feature", "left")
     gz = lambda df, name: df.write.option("compression", "gzip").text(f"{path}/{name}")
     label = F.coalesce("id", F.concat(F.lit("unknown_"), F.lpad((F.col("row") - 1).cast("string"), 5, "0")))
@@ -49,10 +44,9 @@ def _lines(spark: SparkSession, path: str, name: str) -> DataFrame:
     lines = spark.read.text(path)
     at = lines.select("value", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_i"))
     first = at.groupBy("_file").agg(F.min("_i").alias("_from"), F.count("*").alias("_n"))
-    every = first.agg(F.collect_list(F.struct("_file", "_from", "_n")).alias("_all"))
-    own = F.filter("_all", lambda s: s["_file"] == F.col("_file"))[0]["_from"]
-    before = F.aggregate(F.filter("_all", lambda s: s["_file"] < F.col("_file")), F.lit(0).cast("long"), lambda t, s: t + s["_n"])
-    return at.join(F.broadcast(every)).select("value", (before + F.col("_i") - own + 1).alias(name))
+    # one row a file
+    before = first.select("_file", "_from", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    return at.join(before, "_file").select("value", (F.col("_before") + F.col("_i") - F.col("_from") + 1).alias(name))
 
 
 def read_exchange(spark: SparkSession, path: str, *, suffix: str = "-1") -> Matrix:

@@ -5,12 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cytoframe.functions import seq
+from cytoframe.sources.scratch import written
 
 _WHERE = "_file string, _block long"
+BLOCKS_SENT = 100_000  # blocks whose line numbers are sent to all tasks; more go through a join by block
+
+
+def _by_block(lines: DataFrame, starts: DataFrame) -> DataFrame:
+    """Lines with their block's first line number, in file order inside a block, where the blocks are too many to broadcast."""
+    return lines.withColumn("_i", F.monotonically_increasing_id()).hint("merge").join(starts, ["_file", "_block"]).repartition("_file", "_block").sortWithinPartitions("_file", "_block", "_i")
 
 
 def _lines_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,10 +68,11 @@ def read_fastq(spark: SparkSession, path: str | list[str], *, min_quality: float
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("_text"))
     number = lines.mapInArrow(_lines_of_blocks, f"{_WHERE}, size long").groupBy("_file", "_block").agg(F.sum("size").alias("_n"))
-    per_file = number.groupBy("_file").agg(F.array_sort(F.collect_list(F.struct("_block", "_n"))).alias("_all"))
-    # one short array a file: how many lines come before each of its blocks
-    starts = per_file.select("_file", F.explode(F.transform("_all", lambda b: F.struct(b["_block"].alias("_block"), F.aggregate(F.filter("_all", lambda o: o["_block"] < b["_block"]), F.lit(0).cast("long"), lambda s, o: s + o["_n"]).alias("_before")))).alias("b")).select("_file", "b.*")
-    placed = lines.join(F.broadcast(starts), ["_file", "_block"]).select("_file", "_block", "_before", "_text")
+    number = written(number, "blocks")
+    # one small row a block
+    starts = number.select("_file", "_block", (F.sum("_n").over(Window.partitionBy("_file").orderBy("_block")) - F.col("_n")).alias("_before"))
+    placed = lines.join(F.broadcast(starts), ["_file", "_block"]) if number.count() <= BLOCKS_SENT else _by_block(lines, starts)
+    placed = placed.select("_file", "_block", "_before", "_text")
     found = placed.mapInArrow(_records, "_file string, _record long, _lines array<struct<place:int,text:string>>")
     whole = found.where(F.size("_lines") == 4).select("_file", "_lines")
     cut = found.where(F.size("_lines") < 4).groupBy("_file", "_record").agg(F.array_sort(F.flatten(F.collect_list("_lines"))).alias("_lines")).where(F.size("_lines") == 4).select("_file", "_lines")

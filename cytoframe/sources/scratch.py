@@ -1,12 +1,40 @@
-"""Place of intermediate files."""
+"""Intermediate tables in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where it is unset, a folder of the default file system, which on a cluster must not be a local one."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder
+    base = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if base.startswith("file:") and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{base.rstrip('/') if not base.startswith('file:') else ''}/tmp/cytoframe-shared"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share; an own one only where the session names none."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/cytoframe-shared'}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder: computed once, whatever reads it, and safe when executors go.
+
+    The shuffle files of the write are dropped with it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cytoframe.sources.scratch import shared_folder
+
 
 def watch(spark: SparkSession, folder: str, pattern: str, schema, *, files_a_trigger: int = 100) -> DataFrame:
     """Parquet files of a landing folder whose names fit the pattern, as a stream, existing ones first."""
@@ -16,7 +18,7 @@ def watch(spark: SparkSession, folder: str, pattern: str, schema, *, files_a_tri
 def stream_counts(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """Counts by event type over all files that are there now, by a streaming aggregation in complete mode."""
     schema = spark.read.parquet(f"{folder}/{pattern}").schema
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/cytoframe-shared"
+    shared = shared_folder(spark)
     name = uuid.uuid4().hex
     counts = watch(spark, folder, pattern, schema).groupBy(F.col("event_type").alias("gene")).count()
     q = counts.writeStream.outputMode("complete").option("checkpointLocation", f"{shared}/stream-{name}").trigger(availableNow=True).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{shared}/counts-{name}")).start()

@@ -7,7 +7,7 @@ from cytoframe.plans import catalogue, views
 DATA = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["umi_cluster_all", "umi_region_fallback_all"])
+@pytest.mark.parametrize("name", ["umi_cluster", "umi_region_fallback"])
 def test_every_read_is_clustered(spark, name):
     got = catalogue.QUERIES[name](spark, DATA)
     reads = views.reads(spark, DATA).selectExpr("string(user_id) as cb", "ur").distinct()
@@ -18,8 +18,8 @@ def test_every_read_is_clustered(spark, name):
 def test_every_row_takes_part(spark):
     """All events are hits, all orders are fusions and intervals."""
     orders, events = (views.t(spark, DATA, x) for x in ("orders", "events"))
-    assert views.all_hits(spark, DATA).count() == events.count() == views.event_intervals(spark, DATA).count()
-    assert catalogue.QUERIES["fusion_explode_all"](spark, DATA).count() == 3 * orders.count()
-    merged = catalogue.QUERIES["interval_slop_merge_all"](spark, DATA)
+    assert views.hits(spark, DATA).count() == events.count() == views.event_intervals(spark, DATA).count()
+    assert catalogue.QUERIES["fusion_explode"](spark, DATA).count() == 3 * orders.count()
+    merged = catalogue.QUERIES["interval_slop_merge"](spark, DATA)
     i = views.intervals(spark, DATA).withColumnsRenamed({"start": "s", "end": "e"})
     assert i.join(merged, "chrom").where("start <= s and e <= end").select("id").distinct().count() == orders.count()

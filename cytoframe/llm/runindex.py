@@ -238,8 +238,34 @@ def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).take(p), batch.column(1).take(p), pa.array(at[head]), pa.array(at[last] + LENGTH)], names=["_doc", "_t", "_from", "_to"])
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted stretches of each text as maximal ones: those that touch or overlap become one."""
+    for batch in batches:
+        spans = batch.column(2)
+        number = np.asarray(spans.value_lengths().fill_null(0)).astype(np.int64)
+        flat = spans.flatten()
+        a, b = flat.field("_from").to_numpy(), flat.field("_to").to_numpy()
+        owner = np.repeat(np.arange(batch.num_rows), number)
+        # ends never fall along a text: shift each text beyond the one before
+        shift = owner * (int(b.max()) + 2 if len(b) else 0)
+        top = np.maximum.accumulate(b + shift) if len(b) else b
+        new = np.ones(len(a), bool)
+        new[1:] = a[1:] + shift[1:] > top[:-1]
+        head = np.flatnonzero(new)
+        last = np.append(head[1:], len(a)) - 1
+        to = np.concatenate([[0], np.cumsum(np.bincount(owner[head], minlength=batch.num_rows))])
+        lists = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.StructArray.from_arrays([pa.array(a[head]), pa.array((top - shift)[last])], names=["_from", "_to"]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["_doc", "_t", "_spans"])
+
+
+def _spans(stretches: DataFrame) -> DataFrame:
+    """One row a text: its maximal stretches in order."""
+    per = stretches.groupBy("_doc", "_t").agg(F.array_sort(F.collect_set(F.struct("_from", "_to"))).alias("_spans"))
+    return per.mapInArrow(_joined, "_doc long, _t long, _spans array<struct<_from:long,_to:long>>")
+
+
 def _covered(texts: DataFrame, level: int) -> DataFrame:
-    """Rows (_doc, _t, _from, _to): stretches of the texts (_doc, _t, _text) that windows cover which start elsewhere in them too."""
+    """Rows (_doc, _t, _spans): for each of the texts (_doc, _t, _text) the maximal stretches that windows cover which start elsewhere in them too."""
     anchor = ANCHORS[level]
     often = texts.select("_text").mapInArrow(_anchors(anchor), "_a long, _n long").groupBy("_a").agg(F.sum("_n").alias("_n")).where("_n > 1")
     cells = repeated_slots(often, "_a")
@@ -248,7 +274,7 @@ def _covered(texts: DataFrame, level: int) -> DataFrame:
     kinds = written(rows.groupBy("_a", "_c", "_d").agg(F.count("*").alias("_n"), F.min(F.struct("_doc", "_t", "_from", "_w")).alias("_one"), F.max("_own").alias("_own")), "kinds")
     twice = rows.join(kinds.where("_n > 1").select("_a", "_c", "_d"), ["_a", "_c", "_d"], "left_semi").select("_doc", "_t", "_from", (F.col("_from") + F.col("_w") - 1 + LENGTH).alias("_to"))
     if anchor == LENGTH:
-        return written(twice, "covered")
+        return written(_spans(twice), "covered")
     spread = kinds.groupBy("_a").agg(F.count("*").alias("_kinds"), F.sum(F.col("_one._w") + LENGTH).alias("_bytes"), F.max("_own").alias("_some_own")).where("_kinds > 1 or _some_own").drop("_some_own")
     spread = written(spread, "anchors")
     volume = spread.where(F.col("_kinds") <= MANY).agg(F.sum("_bytes")).first()[0] or 0
@@ -264,9 +290,9 @@ def _covered(texts: DataFrame, level: int) -> DataFrame:
     found = once.union(twice)
     if some_hot:
         inner = _covered(pieces.where("_many").select(F.col("_c").alias("_doc"), F.col("_d").alias("_t"), F.col("_bytes").alias("_text")).dropDuplicates(["_doc", "_t"]), level + 1)
-        inner = inner.select(F.col("_doc").alias("_c"), F.col("_t").alias("_d"), F.col("_from").alias("_in"), F.col("_to").alias("_out"))
-        found = found.union(single.join(inner, ["_c", "_d"]).select("_one._doc", "_one._t", F.col("_one._from") + F.col("_in"), F.col("_one._from") + F.col("_out")))
-    found = written(found, "covered")
+        inner = single.join(inner.select(F.col("_doc").alias("_c"), F.col("_t").alias("_d"), "_spans"), ["_c", "_d"]).select("_one._doc", "_one._t", F.col("_one._from").alias("_at"), F.explode("_spans").alias("_x"))
+        found = found.union(inner.select("_doc", "_t", F.col("_at") + F.col("_x._from"), F.col("_at") + F.col("_x._to")))
+    found = written(_spans(found), "covered")
     release(rows, kinds, spread, pieces, marks)
     return found
 
@@ -277,7 +303,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     Only the columns doc_id and text are read, so others may have any name.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_t"), F.col("text").alias("_text")).where("_doc is not null and _text is not null")
-    return _covered(texts, 0).groupBy("_doc", "_t").agg(F.array_sort(F.collect_set(F.struct("_from", "_to"))).alias("_spans"))
+    return _covered(texts, 0)
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:

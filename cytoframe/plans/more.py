@@ -12,6 +12,7 @@ from cytoframe.plans.catalogue import REGION, _corrected, _correction_sql, _matr
 from cytoframe.plans.views import t
 from cytoframe.sources import alignments, annotation, fastq, ingress
 from cytoframe.sources.scratch import scratch_path, written
+from cytoframe.streaming import ingest
 
 # ---- probes and adapters -------------------------------------------------------------------------------------------------------
 BARCODE, UMI = "case when length(cr) = 16 then cr else concat(cr, 'ACG') end", "substr(concat(ur, 'A'), 1, 12)"
@@ -341,3 +342,23 @@ def lists_transposed(s, d):
 @query("select c_custkey, format('{:,}', c_custkey * 1000) || ' reads' as shown, replace(c_name, ' ', '_') as alias from customer")
 def report_numbers(s, d):
     return t(s, d, "customer").select("c_custkey", seq.number_text(F.col("c_custkey") * 1000, unit="reads").alias("shown"), ingress.alias(F.col("c_name")).alias("alias"))
+
+
+# ---- streams --------------------------------------------------------------------------------------------------------------------
+def _streamed(s, d):
+    """UMIs of the events, taken in as a file stream until all of it is seen."""
+    path = scratch_path(s, "umis")
+    schema = t(s, d, "events").schema
+    tags = ingest.watch(s, d, "events.parquet", schema).select(F.col("event_type").alias("gene"), (F.col("user_id") % 50).cast("string").alias("CB"), (F.col("event_id") % 97).cast("string").alias("UB"))
+    ingest.collect_umis(tags, path).option("checkpointLocation", scratch_path(s, "stream")).trigger(availableNow=True).start().awaitTermination()
+    return ingest.umis_so_far(s, path)
+
+
+@query("select event_type as feature, cast(user_id % 50 as varchar) as cell, count(distinct event_id % 97) as value from events group by 1, 2")
+def stream_matrix(s, d):
+    return ingest.matrix_so_far(_streamed(s, d)).values
+
+
+@query("select n_reads, n_umis, round(1 - n_umis / n_reads, 6) as saturation from (select cast(count(*) as bigint) as n_reads, count(distinct concat_ws('|', event_type, user_id % 50, event_id % 97)) as n_umis from events)")
+def stream_saturation(s, d):
+    return ingest.saturation_so_far(_streamed(s, d)).withColumn("saturation", F.round("saturation", 6))

@@ -22,7 +22,8 @@ from cytoframe.llm.components import connected_components
 from cytoframe.llm.shared import partitions, trim, written
 
 COSINE = 0.9
-TILE, BLOCK = 1024, 8  # vectors a tile, tiles a block
+TILE, BLOCK_BITS = 1024, 3  # vectors a tile; at most 2**BLOCK_BITS tiles a block
+BLOCKS = 16  # blocks that few tiles make at least, so that their pairs fill more than a few tasks
 CELL, CELL_AXES, BOX_AXES = 0.45, 3, 16
 STAGES = (8, 16, 32)
 SLACK = 1e-9  # rounding of the turned vectors
@@ -223,7 +224,8 @@ def near_vectors(embeddings: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     apart = F.aggregate(F.transform(gap, lambda g: g * g), F.lit(0.0), lambda s, g: s + g)
     limit = reach * reach + 1e-6
     pairs = near(reach).join(other, ["_c1", "_c2"]).where("_tile <= _tile2").where(apart <= limit)
-    block = lambda c: F.shiftright(c, BLOCK.bit_length() - 1)
+    bits = max(0, min(BLOCK_BITS, (tiles.count() // BLOCKS).bit_length() - 1))
+    block = lambda c: F.shiftright(c, bits)
     blocks = pairs.select(block("_tile").alias("_b1"), block("_tile2").alias("_b2")).distinct()
     sides = F.explode(F.when(F.col("_b1") == F.col("_b2"), F.array(F.struct(F.lit(0).alias("_side"), F.col("_b1").alias("_block")))).otherwise(F.array(F.struct(F.lit(0).alias("_side"), F.col("_b1").alias("_block")), F.struct(F.lit(1).alias("_side"), F.col("_b2").alias("_block")))))
     sent = blocks.select("_b1", "_b2", sides.alias("_x")).select("_b1", "_b2", "_x.*")

@@ -26,7 +26,7 @@ def stop_asked(spark: SparkSession, folder: str) -> bool:
 
 def until_stop(query: StreamingQuery, folder: str, *, seconds: float = 1.0, give_up: float | None = None) -> None:
     """Lets a stream over a folder run until a file STOP* appears there (or so many seconds pass), takes in what is there then, and ends it."""
-    spark, begin = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.active(), time.monotonic()
+    spark, begin = SparkSession.active(), time.monotonic()
     while query.isActive and not stop_asked(spark, folder) and (give_up is None or time.monotonic() - begin < give_up):
         time.sleep(seconds)
     if query.isActive:
@@ -46,7 +46,7 @@ def stream_counts(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 
 def collect_umis(tags: DataFrame, path: str):
-    """A started-to-be stream that adds the UMIs (gene, CB, UB) of each batch of tags, with their reads, to the tables under `path`.
+    """A stream yet to be started that adds the UMIs (gene, CB, UB) of each batch of tags, with their reads, to the tables under `path`.
 
     Each batch has a folder of its own, written anew if the batch runs again, so a UMI's reads count once whatever fails. What lies there
     at any time is a partial state that umis_so_far() merges. Returns a DataStreamWriter; the caller sets trigger and checkpoint.

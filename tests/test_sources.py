@@ -70,12 +70,12 @@ def test_sheets(spark):
     sound = sheet([("barcode01", "a", "test_sample"), ("barcode02", "b", "positive_control")])
     assert annotation.sheet_faults(sound).count() == 0
     assert {r.fault for r in annotation.sheet_faults(sheet([("barcode01", "a", "odd"), ("barcode01", "barcodex", "test_sample"), ("x", "a", "test_sample")])).collect()} == {
-        "values in 'barcode' column are incorrect format",
-        "values in 'alias' column must not begin with 'barcode'",
-        "values in 'barcode' column are different lengths",
-        "values in 'barcode' column not unique",
-        "values in 'alias' column not unique",
-        "unexpected values in 'type' column",
+        "a barcode is not 'barcode' and two digits or more",
+        "an alias begins with 'barcode'",
+        "barcodes differ in length",
+        "a barcode repeats",
+        "an alias repeats",
+        "a sample type is unknown",
     }
     assert annotation.sheet_faults(sound, required_types=("negative_control",)).count() == 1
     found = spark.createDataFrame([("barcode01",), ("barcode77",)], "folder string")

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoframe.llm import bpe, chunks, decontam, embeddings, langid, linededup, runindex, setjoin, tokenfile, toxicity
+from cytoframe.llm import bpe, chunks, decontam, divergence, embeddings, langid, linededup, middle, packing, runindex, setjoin, tokenfile, toxicity
 from cytoframe.llm.shared import fold, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,5 +68,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.withColumn("held_out", fold("doc_id", 4) == 2), net, keep=("doc_id", "held_out"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op1_line_dedup_whole, op2_bpe_roundtrip, op3_toxicity, op4_chunk_dedup, op5_embedding_dedup, op6_ngram_jaccard, op7_decontamination, op8_token_file, op9_repeated_substrings, op10_language_id)}
-ORACLE: dict[str, str] = {}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+    return packing.packed_sequences(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(middle.restored()).alias("restored_sha256"))
+
+
+NAMED = (op1_line_dedup, op1_line_dedup_whole, op2_bpe_roundtrip, op3_toxicity, op4_chunk_dedup, op5_embedding_dedup, op6_ngram_jaccard, op7_decontamination, op8_token_file, op9_repeated_substrings, op10_language_id, op11_source_divergence, op12_best_fit_packing, op13_fill_in_middle)
+QUERIES = {f.__name__: f for f in NAMED}
+ORACLE: dict[str, str] = {"op11_source_divergence": divergence.SQL, "op13_fill_in_middle": middle.SQL}

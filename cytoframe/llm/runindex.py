@@ -6,7 +6,8 @@ one bucket, where a run-length Burrows-Wheeler transform is built over them: at
 position is sampled with its common prefix with the neighbouring suffix. Streaming through the text, the length of the longest match
 elsewhere falls by one from place to place except at samples, so the samples give all matching statistics, and windows of 200 or more
 are marked. An anchor with more than MANY distinct contexts would overload a bucket: its contexts are cut again by longer anchors, which
-fewer of them share, and indexed by those. The longest anchor is the window itself, where a context is one window and only repeats count.
+fewer of them share, and indexed by those. The longest anchor is the window itself: all windows of such a context are the same string (a
+run of one byte gives several), and what counts is how many windows there are of each.
 Contexts are told apart by 128 bits.
 """
 
@@ -187,6 +188,8 @@ def _anchors(anchor: int):
 
 
 def _rows(cells, anchor: int):
+    """Contexts with the digest of their bytes; at the longest anchor that of their one window, however often it follows itself."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", SLICE):
@@ -194,7 +197,7 @@ def _rows(cells, anchor: int):
                 a, first, windows, text, h = contexts(data, offsets, anchor)
                 p = np.flatnonzero(in_slots(cells.value, a))
                 a, first, windows, text = a[p], first[p], windows[p], text[p]
-                end = first + windows - 1 + LENGTH
+                end = first + (0 if anchor == LENGTH else windows - 1) + LENGTH
                 t = pa.array(text)
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(span_hashes(BYTE[data], first, end).view(np.int64)), pa.array(span_hashes(_SECOND[data], first, end).view(np.int64)), part.column(0).take(t), part.column(1).take(t), pa.array(first - offsets[text]), pa.array(windows), pa.array(holds_anchor_twice(h, a, first, windows, anchor))], names=["_a", "_c", "_d", "_doc", "_t", "_from", "_w", "_own"])
 
@@ -271,7 +274,7 @@ def _covered(texts: DataFrame, level: int) -> DataFrame:
     cells = repeated_slots(often, "_a")
     rows = written(texts.mapInArrow(_rows(cells, anchor), "_a long, _c long, _d long, _doc long, _t long, _from long, _w long, _own boolean"), "contexts")
     cells.unpersist()
-    kinds = written(rows.groupBy("_a", "_c", "_d").agg(F.count("*").alias("_n"), F.min(F.struct("_doc", "_t", "_from", "_w")).alias("_one"), F.max("_own").alias("_own")), "kinds")
+    kinds = written(rows.groupBy("_a", "_c", "_d").agg((F.sum("_w") if anchor == LENGTH else F.count("*")).alias("_n"), F.min(F.struct("_doc", "_t", "_from", "_w")).alias("_one"), F.max("_own").alias("_own")), "kinds")
     twice = rows.join(kinds.where("_n > 1").select("_a", "_c", "_d"), ["_a", "_c", "_d"], "left_semi").select("_doc", "_t", "_from", (F.col("_from") + F.col("_w") - 1 + LENGTH).alias("_to"))
     if anchor == LENGTH:
         return written(_spans(twice), "covered")

@@ -106,7 +106,10 @@ class Field:
 
 
 def fit_chain(x: np.ndarray, y: np.ndarray, real: np.ndarray, rounds: int = 80, rate: float = 0.15) -> tuple[np.ndarray, np.ndarray]:
-    """Likelihood ascent (Adam, small L2) over padded sequences x (documents, tokens, evidence), labels y, mask real."""
+    """Likelihood ascent (Adam, small L2) over padded sequences x (documents, tokens, evidence), labels y, mask real.
+
+    Without a token the weights stay as they start.
+    """
     d, n, k = x.shape
     theta = np.concatenate([np.full(k, 0.3), [-3.0], [0.0, -1.0, 0.0, 0.0]])
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -117,7 +120,7 @@ def fit_chain(x: np.ndarray, y: np.ndarray, real: np.ndarray, rounds: int = 80,
     for i, (s, t) in enumerate(((0, 0), (0, 1), (1, 0), (1, 1))):
         want[k + 1 + i] = (pairs * (y[:, :-1] == s) * (y[:, 1:] == t)).sum()
     total = real.sum()
-    for step in range(1, rounds + 1):
+    for step in range(1, rounds + 1 if total else 1):
         phi = np.exp(np.clip(x @ theta[:k] + theta[k], -60, 60))
         a = np.exp(theta[k + 1 :]).reshape(2, 2)
         e = np.stack([np.ones_like(phi), phi], 2)
@@ -157,7 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, *, text_column: str = "text", labe
     Which documents are sampled depends on a hash of their id only; their number is what is broadcast. Whole texts are used. Extra columns
     of either table may have any name. Word labels come from the
     document labels: a word of a toxic document is toxic if its evidence, the log-odds of its features between the two kinds of
-    documents less one standard error, is at least TOXIC_ODDS. None if either label is missing.
+    documents less one standard error, is at least TOXIC_ODDS. None if no sampled document of either label has a word: if a label is missing, or its ids
+    are not in docs, or its texts are null, empty or without letters and digits.
     """
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label_column).alias("_label")).where("_id is not null and _label in (0, 1)").groupBy("_id").agg(F.max("_label").alias("_label"))
@@ -171,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, *, text_column: str = "text", labe
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.zeros((2, KINDS * BUCKETS), np.int32)
-        number = np.zeros(2, np.int64)
+        number, worded = np.zeros(2, np.int64), np.zeros(2, np.int64)
         for batch in batches:
             for part in slices(batch, "_text"):
                 buckets, _, _, counts = token_buckets(*packed(part.column(0)))
@@ -180,12 +184,15 @@ def train(docs: DataFrame, labels: DataFrame, *, text_column: str = "text", labe
                 pair = np.unique((owner[:, None] * (KINDS * BUCKETS) + buckets).reshape(-1))
                 for k in (0, 1):
                     number[k] += (y == k).sum()
+                    worded[k] += ((y == k) & (counts > 0)).sum()
                     np.add.at(tables[k], pair[y[pair // (KINDS * BUCKETS)] == k] % (KINDS * BUCKETS), 1)
         at = np.flatnonzero(tables.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(tables[0, at], number[0])), pa.array(np.append(tables[1, at], number[1]))], names=["_bucket", "_clean", "_toxic"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2])), pa.array(np.concatenate([tables[0, at], [number[0], worded[0]]])), pa.array(np.concatenate([tables[1, at], [number[1], worded[1]]]))], names=["_bucket", "_clean", "_toxic"])
 
     stats = sample.mapInArrow(count, "_bucket long, _clean long, _toxic long").groupBy("_bucket").agg(F.sum("_clean").alias("_clean"), F.sum("_toxic").alias("_toxic")).where(f"_bucket < 0 or _toxic >= {LEAST_DOCS}").toPandas()
-    total = stats[stats["_bucket"] < 0].iloc[0]
+    if not (stats.loc[stats["_bucket"] == -2, ["_clean", "_toxic"]] > 0).all(None) or not len(stats):
+        return None
+    total = stats[stats["_bucket"] == -1].iloc[0]
     stats = stats[stats["_bucket"] >= 0]
     odds = np.zeros(KINDS * BUCKETS, np.float32)
     value = np.log((stats["_toxic"] + 0.5) / (total["_toxic"] + 1.0)) - np.log((stats["_clean"] + 0.5) / (total["_clean"] + 1.0))

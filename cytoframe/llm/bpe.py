@@ -34,9 +34,15 @@ SLICE = 1 << 20
 
 @lru_cache(1)
 def character_classes() -> np.ndarray:
-    """Class of each code point, as the pattern's \\s, \\p{L} and \\p{N} see it."""
+    """Class of each code point, as the library's own pattern sees it under \\s, \\p{L} and \\p{N}.
+
+    A first guess comes from `regex`, whose Unicode tables may be of another age. All characters of a guessed class in one text are cut
+    by the library wherever its class changes, so one look at each piece sets the guess right.
+    """
     import regex
+    from tokenizers import pre_tokenizers
 
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
     kind = np.full(0x110000, OTHER, np.uint8)
     points = [*range(0xD800), *range(0xE000, 0x110000)]
     every = "".join(map(chr, points))
@@ -44,6 +50,19 @@ def character_classes() -> np.ndarray:
     for pattern, value in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\p{White_Space}+", SPACE)):
         for m in regex.finditer(pattern, every):
             kind[back[m.start() : m.end()]] = value
+
+    def look(c: str) -> int:
+        for probe, value in (("a", LETTER), ("1", NUMBER), ("!", OTHER)):
+            if len(split(probe + c)) == 1:
+                return value
+        return SPACE
+
+    for c in map(chr, back[kind[back] == SPACE].tolist()):
+        kind[ord(c)] = look(c)
+    for value in (LETTER, NUMBER, OTHER):
+        own = back[kind[back] == value]
+        for _, (first, stop) in split("".join(map(chr, own.tolist()))):
+            kind[own[first:stop]] = look(chr(own[first]))
     return kind
 
 

@@ -137,22 +137,43 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return s[new], np.bincount(owner[new], minlength=len(counts))
 
 
-def set_ids(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """64-bit name of every set, by content."""
-    total = np.concatenate([np.zeros(1, U64), np.cumsum(mix(tokens ^ U64(0x2545F4914F6CDD1D)))])
-    end = np.cumsum(sizes)
-    return mix((total[end] - total[end - sizes]) ^ sizes.astype(U64)).view(np.int64)
-
+class Names:
+    """64-bit names of sets by content. Names that different sets were found to share also take in a second hash, so sets are told apart by 128 bits."""
+
+    def __init__(self, shared: list[int] = (), bits: int = 64):
+        self.shared, self.bits = np.array(sorted(shared), np.int64), U64(64 - bits)
+
+    def hashes(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both hashes of every set, the first of `bits` bits."""
+        end = np.cumsum(sizes)
+        both = []
+        for salt in (0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93):
+            total = np.concatenate([np.zeros(1, U64), np.cumsum(mix(tokens ^ U64(salt)))])
+            both.append(mix((total[end] - total[end - sizes]) ^ sizes.astype(U64)))
+        return (both[0] >> self.bits).view(np.int64), both[1].view(np.int64)
+
+    def of(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Name and second hash of every set."""
+        first, second = self.hashes(tokens, sizes)
+        if len(self.shared):
+            again = np.isin(first, self.shared)
+            first[again] = mix(first[again].view(U64) ^ mix(second[again].view(U64) + U64(1))).view(np.int64)
+        return first, second
+
+
+def _identify(names: Names):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                t, sizes = shingle_sets(*packed(part.column(1)))
+                to = np.concatenate([[0], np.cumsum(sizes)])
+                name, second = names.of(t, sizes)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(name), pa.array(second), pa.array([sketch(t[a:b]) for a, b in zip(to[:-1], to[1:], strict=True)], pa.binary())], names=["_doc", "_n", "_set", "_second", "_sketch"])
 
-def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "_text"):
-            t, sizes = shingle_sets(*packed(part.column(1)))
-            to = np.concatenate([[0], np.cumsum(sizes)])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(set_ids(t, sizes)), pa.array([sketch(t[a:b]) for a, b in zip(to[:-1], to[1:], strict=True)], pa.binary())], names=["_doc", "_n", "_set", "_sketch"])
+    return run
 
 
-def _post(buckets: int):
+def _post(buckets: int, names_of: Names):
     """Keys of some documents at a time, sorted, as one binary row a bucket: 4 bytes of the key and 8 of the set's name."""
 
     def rows(keys: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
@@ -169,7 +190,7 @@ def _post(buckets: int):
         for batch in batches:
             for part in slices(batch, "_text"):
                 t, sizes = shingle_sets(*packed(part.column(0)))
-                ids = set_ids(t, sizes)
+                ids, _ = names_of.of(t, sizes)
                 _, once = np.unique(ids, return_index=True)
                 once = np.sort(once[sizes[once] > 0])
                 begin = np.cumsum(sizes) - sizes
@@ -208,7 +229,7 @@ def _match(group: pa.Table) -> pa.Table:
     return pa.table({"_kind": pa.array(np.repeat([0, 1], [len(pairs), int(long.sum())]), pa.int32()), "a": pa.array(a), "b": pa.array(b)})
 
 
-def _contents(cells):
+def _contents(cells, names: Names):
     """Shingles of the sets of the documents that are wanted; the texts of others are not looked at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +237,7 @@ def _contents(cells):
             batch = batch.filter(pa.array(in_slots(cells.value, batch.column(2).to_numpy())))
             for part in slices(batch, "_text"):
                 t, sizes = shingle_sets(*packed(part.column(1)))
-                ids = set_ids(t, sizes)
+                ids, _ = names.of(t, sizes)
                 to = np.concatenate([[0], np.cumsum(sizes)])
                 pick = np.flatnonzero(sizes > 0)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(pick)), pa.array(ids[pick]), pa.array([t[to[i] : to[i + 1]].tobytes() for i in pick], pa.binary())], names=["_rep", "_set", "_tokens"])
@@ -289,21 +310,33 @@ def _across(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(np.minimum(pairs[:, 0], pairs[:, 1])), "b": pa.array(np.maximum(pairs[:, 0], pairs[:, 1]))})
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, name_bits: int = 64) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles (distinct 5-word shingles), component_id (smallest doc_id reachable by links).
 
     Words are runs of other bytes than white space, A-Z lower-cased; fewer than five words give one shingle, none give the empty
-    set, which links with nothing. Rows whose id is null link with nothing and have a null component; rows of one id are one document.
+    set, which links with nothing. Rows whose id is null link with nothing and have a null component; rows of one id are one document, so
+    the links of all its texts are its own. Sets are named by name_bits of a hash; a second one of 64 bits shows which names are shared,
+    about n^2 / 2^65 of n sets, and those sets get names by both.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"))
-    rows = written(texts.mapInArrow(_identify, "_doc long, _n long, _set long, _sketch binary"), "sets")
-    sets = written(rows.where("_n > 0 and _doc is not null").groupBy("_set").agg(F.min("_doc").alias("_rep")), "reps")
+
+    def identified(names: Names) -> tuple[DataFrame, DataFrame]:
+        rows = written(texts.mapInArrow(_identify(names), "_doc long, _n long, _set long, _second long, _sketch binary"), "sets")
+        return rows, written(rows.where("_n > 0 and _doc is not null").groupBy("_set").agg(F.min("_doc").alias("_rep"), F.min("_second").alias("_low"), F.max("_second").alias("_high")), "reps")
+
+    naming = Names(bits=name_bits)
+    rows, sets = identified(naming)
+    if shared := [r["_set"] for r in sets.where("_low != _high").select("_set").collect()]:
+        release(rows, sets)
+        naming = Names(shared, name_bits)
+        rows, sets = identified(naming)
+    sets = sets.select("_set", "_rep")
     sketches = rows.hint("merge").join(sets.select("_set", F.col("_rep").alias("_doc")), ["_set", "_doc"], "left_semi").dropDuplicates(["_set"]).select("_set", "_n", "_sketch")
     sketches = written(sketches, "sketches")
     volume = rows.agg(F.sum("_n")).first()[0] or 0
     buckets = max(partitions(docs), 1 + volume // BUCKET_KEYS)
     sound = texts.where("_doc is not null and _text is not null")
-    posted = sound.select("_text").mapInArrow(_post(buckets), "_bucket int, _keys binary, _names binary")
+    posted = sound.select("_text").mapInArrow(_post(buckets, naming), "_bucket int, _keys binary, _names binary")
     found = written(posted.repartition(buckets, "_bucket").groupBy("_bucket").applyInArrow(_match, "_kind int, a long, b long"), "lists")
     lists = found.where("_kind = 1").select(F.col("a").alias("_key"), F.col("b").alias("_set"))
 
@@ -311,7 +344,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         names = pairs.select(F.col("a").alias("_set")).union(pairs.select("b")).distinct()
         wanted = written(sets.join(names, "_set", "left_semi"), "wanted")
         cells = repeated_slots(wanted.select(F.xxhash64("_rep").alias("_draw")), "_draw")
-        read = sound.select("_doc", "_text", F.xxhash64("_doc").alias("_draw")).mapInArrow(_contents(cells), "_rep long, _set long, _tokens binary")
+        read = sound.select("_doc", "_text", F.xxhash64("_doc").alias("_draw")).mapInArrow(_contents(cells, naming), "_rep long, _set long, _tokens binary")
         out = written(read.hint("merge").join(wanted, ["_set", "_rep"], "left_semi").dropDuplicates(["_set", "_rep"]), "content")
         release(wanted)
         cells.unpersist()
@@ -345,7 +378,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     dealt = member.select("*", block.alias("_own"), other).select("_key", "_set", "_part", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), F.when(F.col("_own") == F.least("_own", "_other"), 0).otherwise(1).alias("_side"))
     more = dealt.join(sketches, "_set").groupBy("_key", "_i", "_j").applyInArrow(_across, "a long, b long").distinct()
     extra = written(verified(written(more, "more"), content), "links")
-    parts2 = connected_components(links.union(extra))
+    # the sets of one id belong together
+    several = rows.where("_n > 0 and _doc is not null").groupBy("_doc").agg(F.min("_set").alias("a"), F.max("_set").alias("_last")).where("a != _last").select("_doc", "a")
+    own = rows.join(several, "_doc").where("_n > 0 and _set != a").select("a", F.col("_set").alias("b"))
+    parts2 = connected_components(links.union(extra).union(own))
     named = parts2.join(sets.withColumnRenamed("_set", "node"), "node")
     smallest = named.groupBy("component").agg(F.min("_rep").alias("_least"))
     final = named.join(smallest, "component").select(F.col("node").alias("_set"), "_least")

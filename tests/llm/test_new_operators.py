@@ -170,13 +170,13 @@ def test_packing_in_many_parts(spark):
 
 
 def test_words_as_the_library():
-    """Every code point beside letters, stops and contractions, and random mixtures: ids equal the library's."""
+    """Code points beside letters, stops and contractions, and random mixtures: ids equal the library's."""
     import random
 
     from tokenizers import Tokenizer
 
     library, own = Tokenizer.from_file(TOKENIZER), packing.WordTokens(TOKENIZER)
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    points = [c for c in [*range(0x3100), *range(0x3100, 0x110000, 37)] if not 0xD800 <= c < 0xE000]
     texts = [" ".join(f"{chr(c)}'ll A{chr(c)}b.{chr(c)}" for c in points[i : i + 2000]) for i in range(0, len(points), 2000)]
     random.seed(1)
     letters = [*" \t\n\x0b\x0c\r\x1c\x85\xa0̧́ÅΣσςIİsltdvre0123Aab,.!'　\x00", "<|endoftext|>", " <|startoftext|> ", "<|ENDOFTEXT|>"]

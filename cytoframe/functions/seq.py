@@ -16,10 +16,10 @@ def phred_min(q: Column) -> Column:
     return F.array_min(F.transform(F.split(q, ""), lambda c: F.ascii(c) - 33))
 
 
-def phred_mean(q: Column) -> Column:
-    """Arithmetic mean of the Phred+33 values."""
-    values = F.transform(F.split(q, ""), lambda c: F.ascii(c) - 33)
-    return F.aggregate(values, F.lit(0).cast("long"), lambda s, v: s + v) / F.length(q)
+def mean_quality(q: Column) -> Column:
+    """Phred value of the mean error probability of a quality string (Phred+33); null without bases."""
+    wrong = F.aggregate(F.split(q, ""), F.lit(0.0), lambda s, c: s + F.pow(F.lit(10.0), (F.lit(33) - F.ascii(c)) / 10))
+    return F.when(F.length(q) > 0, -10 * F.log10(wrong / F.length(q)))
 
 
 def subsequence(s: Column, start: Column, end: Column) -> Column:

@@ -29,8 +29,8 @@ from cytoframe.llm.shared import free_name, packed, ragged, slices, written
 CAPACITY, END_ID = 4096, 1
 GROUPS = 96  # of large lengths
 LARGE_PARTS = (3, 4, 8, 16, 2)  # lengths above such a part of the capacity count as large; the first choice that gives the fewest sequences
-CACHE_WORDS, CACHE_BYTES, CACHED_WORD = 1_000_000, 32 << 20, 256  # words that a worker keeps, their bytes, and the longest of them
-SLICE = 4 << 20
+CACHE_WORDS, CACHE_BYTES, CACHED_WORD = 500_000, 16 << 20, 256  # words that a worker keeps, their bytes, and the longest of them
+SLICE = 2 << 20
 
 
 _UPPER, _LETTER, _STOP = (np.zeros(256, bool) for _ in range(3))
@@ -81,7 +81,7 @@ class WordTokens:
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.bytes = self.held = 0
-        self.start, self.size, self.pool = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.start, self.size, self.pool = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.int32)
 
     def _learn(self, words: list[bytes]) -> None:
         text = [w.decode() for w in words]

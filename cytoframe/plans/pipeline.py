@@ -66,7 +66,7 @@ class Parameters:
 def barcoded(reads: DataFrame, p: Parameters) -> dict[str, DataFrame]:
     """Reads (read_id, seq, qual) to subreads, and their barcodes and UMIs: adapters are sought, reads cut and turned, the probe aligned."""
     if p.min_read_qual is not None:
-        reads = reads.where(seq.phred_mean(F.col("qual")) >= p.min_read_qual)
+        reads = reads.where(seq.mean_quality(F.col("qual")) >= p.min_read_qual)
     hits = written(adapters.search(reads, p.kit_spec().adapters()), "hits")
     parts = written(adapters.subreads(hits), "subreads")
     own = kits.stranded(reads, parts, p.kit_spec(), full_length_only=p.full_length_only)

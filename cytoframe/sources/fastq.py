@@ -64,7 +64,7 @@ def read_fastq(spark: SparkSession, path: str | list[str], *, min_quality: float
 
     Large plain files are split by Spark. A first pass counts the lines of each block (one row a block is shuffled), so the second
     knows which of the four lines a block begins with; records inside a block never leave their task. A trailing blank line is
-    left out; a file whose last record is short loses that record. min_quality keeps reads of at least that mean Phred value.
+    left out; a file whose last record is short loses that record. min_quality keeps reads whose mean error probability is at most that of the Phred value.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("_text"))
     number = lines.mapInArrow(_lines_of_blocks, f"{_WHERE}, size long").groupBy("_file", "_block").agg(F.sum("size").alias("_n"))
@@ -79,7 +79,7 @@ def read_fastq(spark: SparkSession, path: str | list[str], *, min_quality: float
     text = lambda i: F.get("_lines", F.lit(i))["text"]
     head = F.substring_index(F.translate(text(0), "\t", " "), " ", 1)
     reads = whole.union(cut).select(F.col("_file").alias("file"), F.substring(head, 2, 1 << 30).alias("read_id"), text(1).alias("seq"), text(3).alias("qual"), F.nullif(F.substring(text(0), F.length(head) + 2, F.lit(1 << 30)), F.lit("")).alias("comment"))
-    return reads if min_quality is None else reads.where(seq.phred_mean(F.col("qual")) >= min_quality)
+    return reads if min_quality is None else reads.where(seq.mean_quality(F.col("qual")) >= min_quality)
 
 
 def write_fastq(reads: DataFrame, path: str, *, compression: str = "gzip") -> None:

@@ -12,14 +12,18 @@ TAG_COLUMNS = {"CR": "uncorrected_barcode", "CB": "corrected_barcode", "CY": "qu
 UNMAPPED, SECONDARY, SUPPLEMENTARY = 4, 256, 2048
 
 
+def parsed(lines: DataFrame, *, line: str = "value") -> DataFrame:
+    """Alignment lines as rows: the other columns, then read_id, flag, chr, start (0-based), end (exclusive), mapq, cigar, seq, qual, tags."""
+    field = F.split(line, "\t")
+    tags = F.map_from_entries(F.transform(F.slice(field, 12, F.greatest(F.size(field) - 11, F.lit(0))), lambda x: F.struct(F.substring(x, 1, 2), F.substring(x, 6, 1 << 30))))
+    start = field[3].cast("long") - 1
+    other = [c for c in lines.columns if c != line]
+    return lines.select(*other, field[0].alias("read_id"), field[1].cast("int").alias("flag"), field[2].alias("chr"), start.alias("start"), (start + seq.cigar_length(field[5], "MDN=X")).alias("end"), field[4].cast("int").alias("mapq"), field[5].alias("cigar"), field[9].alias("seq"), field[10].alias("qual"), tags.alias("tags"))
+
+
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Rows (read_id, flag, chr, start, end, mapq, cigar, seq, qual, tags), start 0-based and end exclusive; header lines are left out."""
-    field = F.split("value", "\t")
-    at = lambda i: field[i]
-    tags = F.map_from_entries(F.transform(F.slice(field, 12, F.greatest(F.size(field) - 11, F.lit(0))), lambda x: F.struct(F.substring(x, 1, 2), F.substring(x, 6, 1 << 30))))
-    start = at(3).cast("long") - 1
-    rows = spark.read.text(path).where("not value rlike '^@[A-Z][A-Z]\\t' and value != ''")
-    return rows.select(at(0).alias("read_id"), at(1).cast("int").alias("flag"), at(2).alias("chr"), start.alias("start"), (start + seq.cigar_length(at(5), "MDN=X")).alias("end"), at(4).cast("int").alias("mapq"), at(5).alias("cigar"), at(9).alias("seq"), at(10).alias("qual"), tags.alias("tags"))
+    return parsed(spark.read.text(path).where("not value rlike '^@[A-Z][A-Z]\\t' and value != ''"))
 
 
 def read_references(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""FASTQ and SAM files as Python data sources: `spark.read.format("fastq").load(folder)`, the same with readStream, and a FASTQ writer.
+"""FASTQ and SAM files as Python data sources: `spark.read.format("fastq").load(folder)`, the same with readStream, and writers.
 
 Files are planned as byte ranges of at most `split_bytes`, small files together in one task. A range owns the records that begin in it:
 its reader looks for the first of them and reads the last to its end, so no record is cut or read twice and no exchange is needed.
@@ -27,7 +27,7 @@ from cytoframe.sources.ingress import ALIGNED, FASTQ
 
 SPLIT_BYTES, BLOCK_BYTES = 128 << 20, 8 << 20
 FASTQ_SCHEMA = "file string, folder string, read_id string, seq string, qual string, comment string"
-SAM_SCHEMA = "file string, folder string, line string"
+SAM_SCHEMA = "file string, folder string, at long, line string"
 
 
 def file_system(path: str):
@@ -179,7 +179,7 @@ def fastq_batches(system, path: str, folder: str | None, first: int, stop: int,
 
 
 def sam_batches(system, path: str, folder: str | None, first: int, stop: int, truncated: str) -> Iterator[pa.RecordBatch]:
-    """Lines of one range, header lines too; empty ones are left out."""
+    """Lines of one range with the byte that each begins at, header lines too; empty ones are left out."""
     lines = Lines(system, path, first)
     while stop < 0 or lines.at < stop:
         own = lines.take(1)
@@ -187,9 +187,11 @@ def sam_batches(system, path: str, folder: str | None, first: int, stop: int, tr
             return
         to = np.cumsum(np.fromiter(map(len, own), np.int64, len(own)) + 1)
         n = len(own) if stop < 0 else min(len(own), 1 + int(np.searchsorted(lines.at + to, stop)))
+        kept = np.array([bool(x.strip()) for x in own[:n]])
+        at = (lines.at + np.concatenate([[0], to[: n - 1]]))[kept]
         lines.drop(int(to[n - 1]))
         own = [x.rstrip(b"\r") for x in own[:n] if x.strip()]
-        yield pa.RecordBatch.from_arrays([pa.array([path] * len(own)), pa.array([folder] * len(own), pa.string()), pa.array(own, pa.binary()).cast(pa.string())], names=["file", "folder", "line"])
+        yield pa.RecordBatch.from_arrays([pa.array([path] * len(own)), pa.array([folder] * len(own), pa.string()), pa.array(at, pa.int64()), pa.array(own, pa.binary()).cast(pa.string())], names=["file", "folder", "at", "line"])
 
 
 class _Reader:
@@ -268,40 +270,47 @@ class Written(WriterCommitMessage):
     moves: list[tuple[str, str]]
 
 
-class FastqWriter(DataSourceArrowWriter):
-    """Part files of reads (read_id, seq, qual, and if there: comment, folder), gzip unless compression is none.
+class _Writer(DataSourceArrowWriter):
+    """Text files, gzip unless compression is none. A row's folder, if there is such a column, is the sub-folder that it goes to.
 
-    A row's folder is the sub-folder that it goes to; a task has a file for each of its folders. Reads without bases are left out. Files
-    get their names, which end as FASTQ files' do, when all tasks are done; a task that runs again leaves nothing behind.
+    Files get their names when all tasks are done; a task that runs again leaves nothing behind.
     """
 
+    needed: tuple[str, ...]
+    end: str
+
     def __init__(self, source: _Source, columns: list[str], overwrite: bool):
         o = source.options
-        self.path, self.columns, self.overwrite = o.get("path"), columns, overwrite
+        self.path, self.columns, self.overwrite, self.extensions = o.get("path"), columns, overwrite, source.extensions
         self.compression = o.get("compression", "gzip")
         if not self.path or self.compression not in ("gzip", "none"):
             raise ValueError("save() needs a path, and compression gzip or none")
-        if missing := {"read_id", "seq", "qual"} - set(columns):
+        if missing := set(self.needed) - set(columns):
             raise ValueError(f"no column {', '.join(sorted(missing))}")
 
+    def column(self, batch: pa.RecordBatch, name: str) -> list:
+        return batch.column(batch.schema.get_field_index(name)).to_pylist() if name in self.columns else [None] * batch.num_rows
+
+    def texts(self, batch: pa.RecordBatch) -> Iterator[tuple[str | None, str | None, str]]:
+        """Folder, file name without its end (None for one of the task's own) and text of each row."""
+        raise NotImplementedError
+
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, base = file_system(self.path)
-        name, open_, moves = uuid.uuid4().hex, {}, []
-        end = ".fastq.gz" if self.compression == "gzip" else ".fastq"
+        task, open_, moves = uuid.uuid4().hex, {}, []
+        end = self.end + (".gz" if self.compression == "gzip" else "")
         try:
             for batch in iterator:
-                get = lambda c, n=batch.num_rows: batch.column(batch.schema.get_field_index(c)).to_pylist() if c in self.columns else [None] * n  # noqa: B023, E731
-                parts: dict[str | None, list[str]] = {}
-                for i, s, q, c, f in zip(*map(get, ("read_id", "seq", "qual", "comment", "folder")), strict=True):
-                    if s:
-                        parts.setdefault(f, []).append(f"@{i}{f' {c}' if c else ''}\n{s}\n+\n{q}\n")
-                for f, lines in parts.items():
-                    if f not in open_:
-                        folder = f"{base}/{f}" if f else base
-                        system.create_dir(folder, recursive=True)
-                        moves.append((f"{folder}/_{name}.tmp", f"{folder}/part-{name}{end}"))
-                        open_[f] = system.open_output_stream(moves[-1][0], compression=None if end == ".fastq" else "gzip")
-                    open_[f].write("".join(lines).encode())
+                parts: dict[tuple, list[str]] = {}
+                for folder, name, text in self.texts(batch):
+                    parts.setdefault((folder, name), []).append(text)
+                for (folder, name), lines in parts.items():
+                    if (folder, name) not in open_:
+                        at = f"{base}/{folder}" if folder else base
+                        system.create_dir(at, recursive=True)
+                        moves.append((f"{at}/_{task}-{len(moves)}.tmp", f"{at}/{name or f'part-{task}'}{end}"))
+                        open_[folder, name] = system.open_output_stream(moves[-1][0], compression="gzip" if self.compression == "gzip" else None)
+                    open_[folder, name].write("".join(lines).encode())
         finally:
             for out in open_.values():
                 out.close()
@@ -312,7 +321,7 @@ class FastqWriter(DataSourceArrowWriter):
         kept = [m for message in messages if message for m in message.moves]
         if self.overwrite:
             own = {a for a, _ in kept}
-            for f in listed(self.path, FASTQ, unclassified=True) if self.exists(system, base) else []:
+            for f in listed(self.path, self.extensions, unclassified=True) if self.exists(system, base) else []:
                 if f.path not in own:
                     system.delete_file(f.path)
         for a, b in kept:
@@ -330,6 +339,27 @@ class FastqWriter(DataSourceArrowWriter):
                 system.delete_file(a)
 
 
+class FastqWriter(_Writer):
+    """Reads (read_id, seq, qual, and if there: comment, folder). Those without bases are left out; a task has a file for each folder."""
+
+    needed, end = ("read_id", "seq", "qual"), ".fastq"
+
+    def texts(self, batch: pa.RecordBatch) -> Iterator[tuple[str | None, str | None, str]]:
+        for i, s, q, c, f in zip(*(self.column(batch, c) for c in ("read_id", "seq", "qual", "comment", "folder")), strict=True):
+            if s:
+                yield f, None, f"@{i}{f' {c}' if c else ''}\n{s}\n+\n{q}\n"
+
+
+class SamWriter(_Writer):
+    """Lines (line, and if there: name, folder) in the order in which they come. All lines of one name must be in one partition."""
+
+    needed, end = ("line",), ".sam"
+
+    def texts(self, batch: pa.RecordBatch) -> Iterator[tuple[str | None, str | None, str]]:
+        for line, name, folder in zip(*(self.column(batch, c) for c in ("line", "name", "folder")), strict=True):
+            yield folder, name, f"{line}\n"
+
+
 class _Source(DataSource):
     extensions: tuple[str, ...]
     batches = None
@@ -358,10 +388,13 @@ class FastqSource(_Source):
 
 
 class SamSource(_Source):
-    """Lines of SAM files, plain or gzip. The same options."""
+    """Lines of SAM files, plain or gzip, and their writer. The same options."""
 
     extensions, batches = tuple(x for x in ALIGNED if "sam" in x), staticmethod(sam_batches)
 
+    def writer(self, schema: StructType, overwrite: bool) -> SamWriter:
+        return SamWriter(self, schema.names, overwrite)
+
     @classmethod
     def name(cls) -> str:
         return "sam_lines"

@@ -11,7 +11,7 @@ from cytoframe.functions import seq
 from cytoframe.operators.ranks import numbered
 
 #: Names of the genotype codes.
-GENOTYPES = {-1: "no_data", 0: "hom_ref", 1: "het", 2: "hom_alt"}
+GENOTYPES = {-1: "no_data", 0: "hom-ref", 1: "het", 2: "hom-alt"}
 ROWS_REPORTED = 50
 
 

@@ -194,7 +194,7 @@ def _calls(s, d):
     return variants.coded(annotation.read_genotypes(s, path)), names
 
 
-@query(CODED + "select variant, sample, code, case code when -1 then 'no_data' when 0 then 'hom_ref' when 1 then 'het' else 'hom_alt' end as label from f")
+@query(CODED + "select variant, sample, code, case code when -1 then 'no_data' when 0 then 'hom-ref' when 1 then 'het' else 'hom-alt' end as label from f")
 def vcf_scan(s, d):
     calls, _ = _calls(s, d)
     return calls.select("variant", "sample", "code", variants.label(F.col("code")).alias("label"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cytoframe.operators import readstats
+from cytoframe.operators import jointcalls, readstats, representatives
 from cytoframe.plans import views
 from cytoframe.plans.catalogue import query
-from cytoframe.sources import records, samples
+from cytoframe.plans.views import t
+from cytoframe.sources import merging, records, samples
 from cytoframe.sources.scratch import scratch_path
+from cytoframe.streaming import ingest, state
 
 # ---- reads of a run -----------------------------------------------------------------------------------------------------------
 #: Every user's reads lie in one of six sub-folders; the sheet knows four of them, one by alias, and one that is not there.
@@ -82,8 +85,6 @@ def stream_read_counts(s, d):
 @query("select gene, cb as \"CB\", count(distinct ub) as n_umis, count(*) as n_reads from tags where gene <> '-' group by 1, 2")
 def stream_matrix_state(s, d):
     """Tags of the line items as a stream of files; entries of the matrix as the state store holds them at the end."""
-    from cytoframe.streaming import ingest, state
-
     landing, check = scratch_path(s, "landing"), scratch_path(s, "check")
     tags = views.tags(s, d).select("gene", F.col("cb").alias("CB"), F.col("ub").cast("string").alias("UB"))
     tags.repartition(4).write.parquet(landing)
@@ -92,3 +93,106 @@ def stream_matrix_state(s, d):
     q.processAllAvailable()
     q.stop()
     return state.entries(s, check)
+
+
+# ---- alignment files --------------------------------------------------------------------------------------------------------------
+#: Three samples of four files each: two sorted, two not; the third sample is unaligned. Every tenth read is unmapped, two are turned or secondary.
+CHR = "case when user_id % 3 = 2 or read_id % 10 = 0 then '*' else chr end"
+ALIGNED_SQL = f"""select concat('s', cast(user_id % 3 as string)) as sample, concat('f', cast(read_id % 4 as string)) as name, cast(read_id as string) as read_id, case when user_id % 3 = 2 then case when read_id % 10 = 2 then 260 else 4 end else case read_id % 10 when 0 then 4 when 1 then 16 when 2 then 256 else 0 end end as flag,
+ {CHR} as chr, case when {CHR} = '*' then -1 else start end as start, case when {CHR} = '*' then '*' else concat('2S', cast(length(cr) - 2 as string), 'M') end as cigar, case when {CHR} = '*' then -1 else start + length(cr) - 2 end as "end", cr as seq, substr(cy, 1, length(cr)) as qual from reads"""
+HEADER = ("@SQ\tSN:chr2\tLN:100000", "@SQ\tSN:chr0\tLN:90000", "@SQ\tSN:chr1\tLN:80000")
+
+
+def _aligned(s, d):
+    """The reads as SAM files with headers; every file names its read group, an aligner and a sorter."""
+    path = scratch_path(s, "aligned")
+    views.reads(s, d).createOrReplaceTempView("reads")
+    r = s.sql(ALIGNED_SQL.replace('as "end"', "as `end`"))
+    line = F.concat_ws("\t", "read_id", "flag", "chr", (F.col("start") + 1).cast("string"), F.lit("60"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual", F.lit("NM:i:1"))
+    is_sorted = F.col("name").isin("f0", "f1")
+    rank = F.when(F.col("chr") == "*", 9).otherwise(F.translate(F.substring("chr", 4, 1), "201", "012").cast("int"))
+    rows = r.select(F.col("sample").alias("folder"), "name", F.lit(1).alias("_k"), F.when(is_sorted, rank).otherwise(0).alias("_a"), F.when(is_sorted, F.col("start")).otherwise(F.xxhash64("read_id")).alias("_b"), line.alias("line"))
+    head = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in x])
+    lines = [F.when(is_sorted, "@HD\tVN:1.6\tSO:coordinate").otherwise("@HD\tVN:1.6\tSO:unsorted"), *(F.when(F.col("folder") != "s2", F.lit(x)) for x in HEADER), head("@RG\tID:", F.col("name"), "\tSM:", F.col("folder")), F.lit("@PG\tID:aligner\tPN:map"), F.lit("@PG\tID:sorter\tPP:aligner"), head("@CO\tfile ", F.col("name"))]
+    heads = rows.select("folder", "name").distinct().select("folder", "name", F.posexplode(F.array(*lines)).alias("_a", "line")).where("line is not null").select("folder", "name", F.lit(0).alias("_k"), "_a", F.lit(0).cast("long").alias("_b"), "line")
+    records.register(s)
+    heads.union(rows).repartition("folder", "name").sortWithinPartitions("folder", "name", "_k", "_a", "_b").select("folder", "name", "line").write.format("sam_lines").mode("append").save(path)
+    return path
+
+
+ALIGNED = f"with a as ({ALIGNED_SQL}) "
+
+
+@query(ALIGNED + "select sample, read_id, flag::int as flag, chr, start, \"end\", cigar, seq, qual, row_number() over (partition by sample, chr order by start, read_id, flag) as place from a")
+def alignment_merge(s, d):
+    """Sorted and unsorted SAM files merged by coordinate; place is a record's number in its sample and chromosome, as the rows came."""
+    rows = merging.merge_alignments(s, _aligned(s, d)).rows
+    # a record's place by the order of the merged rows alone
+    at = rows.withColumn("_i", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("sample", "chr").orderBy("_i"))
+    return at.select("sample", "read_id", "flag", "chr", "start", "end", "cigar", "seq", "qual", place.alias("place"))
+
+
+PROGRAMS = "select sample, 2 * i + k as n, case when k = 0 then 'aligner' else 'sorter' end as own, i from (select distinct sample from a), (values (0), (1), (2), (3)) f(i), (values (0), (1)) p(k)"
+
+
+@query(ALIGNED + f""", p as ({PROGRAMS}), q as (select sample, n, own || case when i > 0 then '-' || (n - 2) else '' end as id, own from p), h as (
+ select distinct sample, 0 as k, 0 as n, '@HD\tVN:1.6\tSO:coordinate' as line from a union all select sample, 1, n, line from (select distinct sample from a where sample <> 's2'), (values (0, '{HEADER[0]}'), (1, '{HEADER[1]}'), (2, '{HEADER[2]}')) v(n, line)
+ union all select distinct sample, 2, substr(name, 2)::int, '@RG\tID:' || name || '\tSM:' || sample from a
+ union all select q.sample, 3, q.n, '@PG\tID:' || q.id || case when q.own = 'aligner' then '\tPN:map' else '' end || coalesce('\tPP:' || b.id, '') from q left join q b on b.sample = q.sample and b.n = q.n - 1
+ union all select distinct sample, 4, substr(name, 2)::int, '@CO\tfile ' || name from a)
+ select sample, row_number() over (partition by sample order by k, n)::int as rank, line from h""")
+def alignment_headers(s, d):
+    """One header a sample: read groups of all files, and one chain of the aligners and sorters with ids told apart."""
+    return merging.merge_alignments(s, _aligned(s, d)).headers
+
+
+@query(ALIGNED + "select sample, read_id, case when flag & 16 > 0 then translate(reverse(seq), 'ACGT', 'TGCA') else seq end as seq, case when flag & 16 > 0 then reverse(qual) else qual end as qual from a where flag & 256 = 0")
+def alignment_reads(s, d):
+    """Primary records of all files by name, turned back to the reads that they were."""
+    return merging.reads_of(merging.merge_alignments(s, _aligned(s, d), by="name").rows).drop("tags")
+
+
+@query(ALIGNED + "select sample, chr, count(*) as mapped from a where flag & 4 = 0 group by 1, 2")
+def alignment_contigs(s, d):
+    return merging.contigs_with_reads(merging.merge_alignments(s, _aligned(s, d), keep_unaligned=False).rows)
+
+
+# ---- molecules and genotypes --------------------------------------------------------------------------------------------------
+MOLECULES_SQL = f"""select cast(read_id as string) as read_id, cast(case when read_id % 3 = 0 then 16 else 0 end as int) as flag, chr, start % 40 as start, start % 40 + 60 as "end", cast(read_id % 50 as int) as mapq, case read_id % 4 when 0 then '60M' when 1 then '3S20M30N10M' when 2 then '5H2S60M4S' else '60M1S' end as cigar,
+ substr(cr, 1, 3) as cb, case when read_id % 31 = 0 then '-' else substr(ur, 1, 2) end as ub, case when read_id % 5 < 2 then cast(1 + read_id % 4 as string) end as nh from reads"""
+
+
+@query(f"""with m as ({MOLECULES_SQL}), p as (select *, flag = 16 as reverse, case when flag = 16 then "end" + case when cigar like '%4S' then 4 when cigar like '%1S' then 1 else 0 end else start - case when cigar like '3S%' then 3 when cigar like '5H2S%' then 2 else 0 end end as five_prime, cigar like '%N%' as spliced from m where ub <> '-'),
+ r as (select *, row_number() over w as k, count(*) over (partition by chr, cb, ub, reverse, five_prime, spliced) as n_reads from p window w as (partition by chr, cb, ub, reverse, five_prime, spliced order by coalesce(nh::int, 1), mapq desc, read_id))
+ select read_id, flag, chr, start, "end", mapq, cigar, cb as "CB", ub as "UB", reverse, five_prime, spliced, n_reads from r where k = 1""")
+def representative_reads(s, d):
+    """One read a molecule: cell, UMI, strand, clip-corrected place and splicing; fewest places first, then best quality."""
+    views.reads(s, d).createOrReplaceTempView("reads")
+    m = s.sql(MOLECULES_SQL.replace('as "end"', "as `end`"))
+    tags = F.map_filter(F.create_map(F.lit("CB"), "cb", F.lit("UB"), "ub", F.lit("NH"), "nh"), lambda _, v: v.isNotNull())
+    return representatives.representatives(m.withColumn("tags", tags).drop("cb", "ub", "nh"), tell_spliced=True).drop("tags")
+
+
+JOINT_SQL = """select concat('c', cast(l_suppkey % 3 as string)) as chrom, l_partkey % 300 * 17 + 1 as pos, concat('s', cast(l_linenumber as string)) as sample, l_linenumber % 3 as f, max(l_orderkey) % 4 as g from lineitem where (l_partkey % 300 + l_linenumber) % 5 <> 0 group by 1, 2, 3, 4"""
+RECORD = "case f when 0 then 'A' when 1 then 'AC' else 'A' end as ref, case f when 0 then 'G,T' when 1 then 'GT' else 'T' end as alt, case f when 0 then case g when 0 then '0/1' when 1 then '1/2' when 2 then '0|2' else './.' end when 1 then case g when 0 then '0/0' when 1 then '0/1' when 2 then '1|1' else './1' end else case g when 0 then '0/1' when 1 then '1/1' when 2 then '0/0' else '.' end end as gt"
+SPLIT_SQL = f"""with k as ({JOINT_SQL}), c as (select chrom, pos, sample, f, {RECORD} from k), m as (select * from (values (0, '1', 0, 'A', 'G'), (0, '2', 0, 'A', 'T'), (1, '1', 0, 'A', 'G'), (1, '1', 1, 'C', 'T'), (2, '1', 0, 'A', 'T')) as v(f, allele, off, ref, alt)), n as (select f, off, ref, alt, list(allele) as held from m group by 1, 2, 3, 4),
+ x as (select distinct c.chrom, c.pos, m.off, m.ref, m.alt from c join m using (f)), h as (select c.chrom, c.pos + x.off as pos, x.ref, x.alt, c.sample, c.gt, list_transform(regexp_split_to_array(c.gt, '[/|]'), lambda a: case when a = '.' then '.' when list_contains(coalesce(n.held, []), a) then '1' else '0' end) as v from c join x on c.chrom = x.chrom and c.pos = x.pos left join n on n.f = c.f and n.off = x.off and n.ref = x.ref and n.alt = x.alt),
+ z as (select chrom, pos, ref, alt, sample, case when contains(gt, '|') then array_to_string(v, '|') else array_to_string(v, '/') end as gt, case when list_contains(v, '.') then null else len(list_filter(v, lambda a: a = '1')) end::int as code, v from h) """
+
+
+def _split(s, d):
+    t(s, d, "lineitem").createOrReplaceTempView("lineitem")
+    calls = s.sql(f"select chrom, pos, sample, f, {RECORD} from ({JOINT_SQL})")
+    return jointcalls.merged_genotypes(*[calls.where(F.col("f") == i) for i in range(3)])
+
+
+@query(SPLIT_SQL + "select chrom, pos, ref, alt, sample, gt, code from z")
+def genotype_merge_split(s, d):
+    """Calls of three files with different alleles merged, cut into single bases and split by alternative."""
+    return _split(s, d)
+
+
+@query(SPLIT_SQL + "select chrom, pos, ref, alt, sum(len(list_filter(v, lambda a: a = '1')))::bigint as ac, sum(len(list_filter(v, lambda a: a <> '.')))::bigint as an, round(sum(len(list_filter(v, lambda a: a = '1'))) / nullif(sum(len(list_filter(v, lambda a: a <> '.'))), 0), 6) as af, count(*) filter (len(list_filter(v, lambda a: a <> '.')) > 0) as ns from z group by 1, 2, 3, 4")
+def genotype_merge_counts(s, d):
+    return jointcalls.allele_counts(_split(s, d)).withColumn("af", F.round("af", 6))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cytoframe.functions import draws
 from cytoframe.operators.ranks import numbered
 from cytoframe.sources.scratch import written
 
@@ -158,19 +159,20 @@ class Matrix:
         every = self.cells.join(per, "cell", "left").na.fill(0)
         return every.agg(F.median("_s").alias("median_counts"), F.median("_f").alias("median_features"), F.count("*").alias("n_cells"))
 
-    def _drawn(self, p: Column) -> Column:
-        """How many of an entry's counts have a uniform hash below p: a binomial draw that repeats when a task does, nested for rising p."""
-        below = lambda i: F.pmod(F.xxhash64("feature", "cell", i), F.lit(1 << 40)) < p * F.lit(float(1 << 40))
-        return F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("value").cast("long")), F.lit(0).cast("long"), lambda n, i: n + below(i).cast("long"))
+    def _drawn(self, shares: tuple[float, ...]) -> DataFrame:
+        """Entries with counts and _d, nested binomial draws of them for the shares: fixed by the entry's names, at a cost per entry."""
+        key = F.xxhash64("feature", "cell")
+        return self.values.where("value >= 1").withColumn("_d", draws.thinned(F.floor("value"), key, shares))
 
     def downsample(self, p: float) -> Matrix:
         """Thins integer counts: each is kept with probability p; entries that fall to zero go, the axes stay."""
-        return Matrix(self.values.where("value > 0").withColumn("value", self._drawn(F.lit(p))).where("value > 0"), self.features, self.cells)
+        kept = self._drawn((p,)).withColumn("value", F.col("_d")[0].cast(self.values.schema["value"].dataType)).drop("_d")
+        return Matrix(kept.where("value > 0"), self.features, self.cells)
 
     def saturation_statistics(self, fractions: tuple[float, ...] = FRACTIONS) -> DataFrame:
         """Per fraction: all counts, and median features and counts of the cells (empty ones included), from nested thinning in one pass."""
         n = range(len(fractions))
-        drawn = self.values.where("value > 0").select("cell", *[self._drawn(F.lit(f)).alias(f"_{i}") for i, f in enumerate(fractions)])
+        drawn = self._drawn(tuple(fractions)).select("cell", *[F.col("_d")[i].alias(f"_{i}") for i in n])
         per = drawn.groupBy("cell").agg(*[F.sum(f"_{i}").alias(f"_u{i}") for i in n], *[F.count_if(F.col(f"_{i}") > 0).alias(f"_f{i}") for i in n])
         every = self.cells.join(per, "cell", "left").na.fill(0)
         stats = every.agg(*[F.struct(F.lit(f).alias("frac"), F.sum(f"_u{i}").alias("n_umis"), F.median(f"_f{i}").cast("long").alias("median_feats"), F.median(f"_u{i}").cast("long").alias("median_umis")).alias(f"_{i}") for i, f in enumerate(fractions)])

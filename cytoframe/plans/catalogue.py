@@ -579,8 +579,7 @@ def interval_overlap_semi(s, d):
 
 @query("select a.id, min(b.start) as start2 from intervals a join event_intervals b on a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\" group by 1")
 def interval_overlap_first(s, d):
-    j = intervals.overlaps(views.intervals(s, d), views.event_intervals(s, d).withColumnRenamed("id", "id2"))
-    return j.groupBy("id").agg(F.min("start2").alias("start2"))
+    return intervals.first_overlap(views.intervals(s, d), views.event_intervals(s, d), "id")
 
 
 @query(
@@ -605,13 +604,13 @@ def window_mean_depth(s, d):
 
 @query(DEPTH + "select chrom, start, \"end\" from dd where depth > 2")
 def high_depth_filter(s, d):
-    return _depth(s, d).where("depth > 2").select("chrom", "start", "end")
+    return intervals.deep(_depth(s, d), 2).select("chrom", "start", "end")
 
 
 @query(DEPTH + "select concat(chrom, ':', greatest(start - 50, 0), '-', least(\"end\" + 50, 200000)) as locus from dd order by depth desc, chrom, start limit 1")
 def max_depth_locus(s, d):
-    top = _depth(s, d).agg(F.min_by(F.struct("chrom", "start", "end"), F.struct(-F.col("depth"), "chrom", "start")).alias("x")).select("x.*")
-    return top.select(F.concat("chrom", F.lit(":"), F.greatest(F.col("start") - 50, F.lit(0)), F.lit("-"), F.least(F.col("end") + 50, F.lit(200000))).alias("locus"))
+    depths = _depth(s, d)
+    return intervals.deepest_locus(depths, 50, depths.select("chrom", F.lit(200000).cast("long").alias("length")).distinct())
 
 
 @query("select chr, start, cr, ur, read_id from (select *, row_number() over (partition by chr, start, cr, ur order by length(cy), read_id) as r from reads) where r = 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cytoframe.operators import jointcalls, readstats, representatives
+from cytoframe.operators import intervals, jointcalls, readstats, representatives
 from cytoframe.plans import views
 from cytoframe.plans.catalogue import query
 from cytoframe.plans.views import t
@@ -196,3 +196,42 @@ def genotype_merge_split(s, d):
 @query(SPLIT_SQL + "select chrom, pos, ref, alt, sum(len(list_filter(v, lambda a: a = '1')))::bigint as ac, sum(len(list_filter(v, lambda a: a <> '.')))::bigint as an, round(sum(len(list_filter(v, lambda a: a = '1'))) / nullif(sum(len(list_filter(v, lambda a: a <> '.'))), 0), 6) as af, count(*) filter (len(list_filter(v, lambda a: a <> '.')) > 0) as ns from z group by 1, 2, 3, 4")
 def genotype_merge_counts(s, d):
     return jointcalls.allele_counts(_split(s, d)).withColumn("af", F.round("af", 6))
+
+
+# ---- intervals of all lengths -------------------------------------------------------------------------------------------------
+#: Intervals of 1 to 10^8 bases on four chromosomes of 10^9.
+WIDE_SQL = "select concat('chr', cast(o_custkey % 4 as string)) as chrom, (o_orderkey * 7919) % 1000 * 1000003 as start, (o_orderkey * 7919) % 1000 * 1000003 + cast(pow(10, o_orderkey % 9) as bigint) as \"end\", o_orderkey as id from orders"
+WIDE_EVENTS_SQL = "select concat('chr', cast(user_id % 4 as string)) as chrom, (event_id * 104729) % 1000 * 1000003 as start, (event_id * 104729) % 1000 * 1000003 + cast(pow(10, event_id % 9) as bigint) as \"end\", event_id as id from events"
+
+
+def _wide(s, d):
+    t(s, d, "orders").createOrReplaceTempView("orders")
+    t(s, d, "events").createOrReplaceTempView("events")
+    return tuple(s.sql(q.replace('as "end"', "as `end`")) for q in (WIDE_SQL, WIDE_EVENTS_SQL))
+
+
+@query(f"with a as ({WIDE_SQL}), b as ({WIDE_EVENTS_SQL}) select a.id, count(*) as n, min(b.start) as start2 from a join b on a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\" group by 1")
+def interval_overlap_wide(s, d):
+    """Overlaps of intervals whose lengths differ by eight orders of magnitude, none of which is cut into more than a few rows."""
+    a, b = _wide(s, d)
+    return intervals.overlaps(a, b.drop("id")).groupBy("id").agg(F.count("*").alias("n"), F.min("start2").alias("start2"))
+
+
+@query(f"with a as ({WIDE_SQL}), e as (select chrom, start as place, 1 as step from a union all select chrom, \"end\", -1 from a), s as (select chrom, place, sum(step) as step from e group by 1, 2), r as (select chrom, place as start, sum(step) over w::bigint as depth, lead(place) over w as \"end\" from s where step <> 0 window w as (partition by chrom order by place)) select chrom, start, \"end\", depth from r where depth > 0")
+def interval_depth_runs(s, d):
+    return intervals.depth_runs(_wide(s, d)[0], stretch=50_000_000)
+
+
+@query(f"with a as ({WIDE_SQL}), b as ({WIDE_EVENTS_SQL}), o as (select a.id, sum(least(a.\"end\", b.\"end\") - greatest(a.start, b.start)) as bases from a join b on a.chrom = b.chrom and a.start < b.\"end\" and b.start < a.\"end\" group by 1) select a.id, coalesce(o.bases, 0)::bigint / (a.\"end\" - a.start) as depth from a left join o using (id)")
+def target_mean_depth(s, d):
+    """Mean depth of the events' intervals over each order's."""
+    a, b = _wide(s, d)
+    return intervals.target_depth(b.drop("id"), a).select("id", "depth")
+
+
+@query("select chrom, start, \"end\" from (select chrom, min(start) as start, max(\"end\") as \"end\" from (select *, sum(case when start <= before then 0 else 1 end) over (partition by chrom order by start, \"end\" rows unbounded preceding) as island from (select *, max(\"end\") over (partition by chrom order by start, \"end\" rows between unbounded preceding and 1 preceding) as before from (select chrom, greatest(start - 500, 0) as start, least(\"end\" + 500, 200100) as \"end\" from event_intervals))) group by chrom, island)")
+def interval_slop_clamped(s, d):
+    """Windows around sites, widened within their chromosome and merged."""
+    e = views.event_intervals(s, d)
+    lengths = e.select("chrom", F.lit(200100).cast("long").alias("length")).distinct()
+    return intervals.merged(e, 500, stretch=20_000, lengths=lengths)

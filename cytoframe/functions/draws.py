@@ -97,9 +97,9 @@ def nested(n: np.ndarray, shares: Sequence[float], key: np.ndarray) -> list[np.n
     """Draws for several shares of the same counts, each among those of every larger share; in the order of shares."""
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(shares)
     held, before = np.asarray(n, np.int64), 1.0
-    for turn, i in enumerate(sorted(range(len(shares)), key=lambda i: -shares[i])):
+    for i in sorted(range(len(shares)), key=lambda i: -shares[i]):
         ratio = min(1.0, shares[i] / before) if before > 0 else 0.0
-        held = binomial(held, ratio, (uniforms(np.asarray(key).astype(np.int64).view(U64), 1_000 + turn) * 2.0**52).astype(np.int64))
+        held = binomial(held, ratio, (uniforms(np.asarray(key).astype(np.int64).view(U64), 1_000 + int(shares[i] * 2**40)) * 2.0**52).astype(np.int64))
         out[i], before = held, shares[i]
     return out
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cytoframe.operators.ranks import numbered
 from cytoframe.sources.alignments import tag_alignments
 
 
@@ -30,12 +31,23 @@ def usable(tags: DataFrame) -> DataFrame:
     return tags.where("CB != '-' and UR != '-'")
 
 
-def in_order(left: DataFrame, right: DataFrame, key: str = "read_id") -> DataFrame:
-    """Inner join on ids that occur once on either side; an error where one repeats."""
-    for side in (left, right):
-        if not side.groupBy(key).count().where("count > 1").isEmpty():
-            raise ValueError(f"{key} repeats")
-    return left.join(right, key)
+def occurrences(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rows with _k: which of the rows of their key they are, from 0, in the given order.
+
+    Rows are numbered in ranges of key and order, and a key's smallest number is taken off, so a key of very many rows is spread.
+    """
+    ranked = numbered(df, "_k", key, *order)
+    first = ranked.groupBy(key).agg(F.min("_k").alias("_first"))
+    return ranked.join(first, key).withColumn("_k", F.col("_k") - F.col("_first")).drop("_first")
+
+
+def in_order(left: DataFrame, right: DataFrame, key: str = "read_id", *, left_order: tuple[str, ...] = (), right_order: tuple[str, ...] = ()) -> DataFrame:
+    """Inner join of two tables by id, an id's k-th row of the one with its k-th row of the other; rows without a partner go.
+
+    What the k-th row is follows from the orders: columns of either side, by default all but the id. Rows that agree in them are alike.
+    """
+    rest = lambda df, order: order or tuple(c for c in df.columns if c != key)
+    return occurrences(left, key, *rest(left, left_order)).join(occurrences(right, key, *rest(right, right_order)), [key, "_k"]).drop("_k")
 
 
 def tags_of_alignments(alignments: DataFrame, tags: DataFrame) -> DataFrame:

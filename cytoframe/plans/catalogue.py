@@ -401,7 +401,7 @@ def tags_left_join_features(s, d):
 
 @query("select o_orderkey as read_id, cr, o_custkey from orders join reads on o_orderkey = read_id")
 def sorted_id_join(s, d):
-    return tagging.in_order(t(s, d, "orders").withColumnRenamed("o_orderkey", "read_id"), views.reads(s, d)).select("read_id", "cr", "o_custkey")
+    return tagging.in_order(t(s, d, "orders").select(F.col("o_orderkey").alias("read_id"), "o_custkey"), views.reads(s, d).select("read_id", "cr"))
 
 
 @query("select a.read_id, a.chr as aln_chr, t.cr from (select event_id as read_id, concat('chr', (user_id + event_id % 2) % 3) as chr from events) a join reads t on a.read_id = t.read_id where a.chr = t.chr or t.read_id % 4 = 0")

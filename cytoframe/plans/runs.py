@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cytoframe.operators import intervals, jointcalls, readstats, representatives
+from cytoframe.operators import intervals, jointcalls, readstats, representatives, tagging
 from cytoframe.plans import views
 from cytoframe.plans.catalogue import query
 from cytoframe.plans.views import t
-from cytoframe.sources import merging, records, samples
+from cytoframe.sources import clustered, merging, records, samples
 from cytoframe.sources.scratch import scratch_path
 from cytoframe.streaming import ingest, state
 
@@ -235,3 +235,31 @@ def interval_slop_clamped(s, d):
     e = views.event_intervals(s, d)
     lengths = e.select("chrom", F.lit(200100).cast("long").alias("length")).distinct()
     return intervals.merged(e, 500, stretch=20_000, lengths=lengths)
+
+
+# ---- clustered tables -----------------------------------------------------------------------------------------------------------
+def _read_tables(s, d):
+    r = views.reads(s, d).select(F.col("read_id"), "chr", F.col("cr").alias("CB"), F.col("ur").alias("UB"), F.expr("case when user_id % 4 = 0 then '-' else gene end").alias("gene"), F.expr("case when read_id % 9 = 0 then cast(read_id as string) else '-' end").alias("SA"), F.expr("case when read_id % 8 = 0 then '-' else ur end").alias("UR"))
+    return r.drop("gene"), r.select("read_id", "gene"), r.select("read_id", (F.col("read_id") % 61).alias("mapq"))
+
+
+@query("select chr, cr as \"CB\", count(*) as n_reads, count(distinct ur)::int as n_umis, count(distinct case when user_id % 4 = 0 then null else gene end)::int as n_genes from reads where read_id % 8 <> 0 group by 1, 2")
+def clustered_cell_totals(s, d):
+    """Tags by chromosome and cell, then one pass over the cells."""
+    tags, features, _ = _read_tables(s, d)
+    by_cell, _ = clustered.write_tags(tags.join(features, "read_id"), clustered.table_name("by_cell"), clustered.table_name("split"), buckets=8)
+    return clustered.cell_totals(by_cell)
+
+
+@query("select read_id, chr, cr as \"CB\", ur as \"UB\", case when user_id % 4 = 0 then '-' else gene end as gene, cast(read_id % 61 as bigint) as mapq, case when read_id % 9 = 0 then cast(read_id as varchar) else '-' end as \"SA\", case when read_id % 8 = 0 then '-' else ur end as \"UR\" from reads")
+def clustered_read_join(s, d):
+    """Tags, features and mappings as tables by read, joined bucket by bucket."""
+    tables = [clustered.write_clustered(x, clustered.table_name("by_read"), *clustered.BY_READ, buckets=8) for x in _read_tables(s, d)]
+    return clustered.joined_by_read(*tables)
+
+
+@query("with l as (select l_orderkey as read_id, l_linenumber as a, row_number() over (partition by l_orderkey order by l_linenumber) as k from lineitem), r as (select l_orderkey as read_id, l_partkey as b, l_suppkey as c, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey) as k from lineitem where l_linenumber <> 2) select read_id, a, b, c from l join r using (read_id, k)")
+def repeated_id_join(s, d):
+    """Two tables whose ids repeat, the k-th row of an id with the k-th."""
+    li = t(s, d, "lineitem")
+    return tagging.in_order(li.select(F.col("l_orderkey").alias("read_id"), F.col("l_linenumber").alias("a")), li.where("l_linenumber <> 2").select(F.col("l_orderkey").alias("read_id"), F.col("l_partkey").alias("b"), F.col("l_suppkey").alias("c")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cytoframe.functions import seq
-from cytoframe.operators import adapters, barcodes, features, intervals, kits, saturation, summaries, tagging, umi
+from cytoframe.operators import adapters, barcodes, features, fusions, intervals, kits, probes, saturation, summaries, tagging, umi, variants
 from cytoframe.operators.matrix import Matrix
 from cytoframe.operators.ranks import numbered
 from cytoframe.plans import views
@@ -147,8 +147,8 @@ def goi_expression(s, d):
 
 @query("select 1.0::double as frac, count(*) as n_reads, count(distinct concat_ws('|', ub, cb, gene)) as n_umis, round(1 - count(distinct concat_ws('|', ub, cb, gene)) / count(*), 6) as saturation from tags")
 def seq_saturation_full(s, d):
-    n = F.countDistinct("ub", "cb", "gene")
-    return views.tags(s, d).agg(F.lit(1.0).alias("frac"), F.count("*").alias("n_reads"), n.alias("n_umis"), F.round(1 - n / F.count("*"), 6).alias("saturation"))
+    reads = views.tags(s, d).withColumnRenamed("ub", "UB").withColumnRenamed("cb", "CB")
+    return saturation.curve(reads, F.xxhash64("UB", "CB", "gene"), (1.0,)).withColumn("saturation", F.round("saturation", 6))
 
 
 @query()
@@ -160,8 +160,7 @@ def seq_saturation_curve(s, d):
 # ---- barcodes ----------------------------------------------------------------------------------------------------------------
 @query("select cr as barcode, count(*) as count from reads where cr in (select barcode from whitelist) and list_min(list_transform(string_split(cy, ''), lambda c: ascii(c) - 33)) >= 15 group by 1")
 def barcode_hq_counts(s, d):
-    good = views.reads(s, d).where(seq.phred_min(F.col("cy")) >= 15)
-    return good.join(views.whitelist(s, d).withColumnRenamed("barcode", "cr"), "cr", "left_semi").groupBy(F.col("cr").alias("barcode")).count()
+    return probes.high_quality_counts(views.reads(s, d).select(F.col("cr").alias("CR"), F.col("cy").alias("CY")), views.whitelist(s, d), min_quality=15)
 
 
 COUNTS = "counts as (select cr as barcode, count(*) as count from reads group by 1)"
@@ -452,7 +451,8 @@ def expression_summary(s, d):
 
 @query("select l_returnflag as key, cast(sum(l_linenumber) as bigint) as total from lineitem group by 1")
 def tsv_key_sum(s, d):
-    return t(s, d, "lineitem").groupBy(F.col("l_returnflag").alias("key")).agg(F.sum("l_linenumber").alias("total"))
+    rows = t(s, d, "lineitem").select(F.col("l_returnflag").alias("key"), F.col("l_linenumber").alias("total"))
+    return summaries.key_sums([rows.where("total < 3"), rows.where("total >= 3")], "key", "total")
 
 
 @query("select 's' as sample, count(*) as reads_aligned, count(*) filter (l_linenumber in (1, 5, 6, 7)) as primary, count(*) filter (l_linenumber = 2) as secondary, count(*) filter (l_linenumber = 3) as supplementary, count(*) filter (l_linenumber = 4) as unmapped from lineitem")
@@ -513,27 +513,32 @@ def fusion_explode(s, d):
 FCELL = "j as (select fusion, user_id as cb, value as ub from x join events on read_id = event_id) "
 
 
+def _fusion_reads(s, d) -> DataFrame:
+    """Reads of the fusions as the fusion operators take them; the other key columns follow from the name."""
+    return _fusions(s, d).withColumnRenamed("fusion", "FusionName").withColumns({k: F.lit("x") for k in fusions.KEYS[1:]})
+
+
 def _fused(s, d) -> DataFrame:
-    return _fusions(s, d).join(t(s, d, "events").select(F.col("event_id").alias("read_id"), F.col("user_id").alias("cb"), F.col("value").alias("ub")), "read_id")
+    tags = t(s, d, "events").select(F.col("event_id").alias("read_id"), F.col("user_id").alias("CB"), F.col("value").alias("UB"))
+    return fusions.of_cells(_fusion_reads(s, d), tags)
 
 
 @query(FUSED + ", " + FCELL + "select fusion, count(distinct cb) as cells, count(distinct ub) as umis from j group by 1")
 def fusion_per_fusion(s, d):
-    return _fused(s, d).groupBy("fusion").agg(F.countDistinct("cb").alias("cells"), F.countDistinct("ub").alias("umis"))
+    return fusions.per_fusion(_fused(s, d), "s").select(F.col("Fusion").alias("fusion"), "cells", F.col("UMIs").alias("umis"))
 
 
 @query(FUSED + ", " + FCELL + ", c as (select cb, count(*) as n, count(distinct fusion) as f from j group by 1) select count(*) as cells, (select count(distinct fusion) from j) as fusions, cast(sum(n) as bigint) as rows, round(avg(n), 6) as mean_reads, round(avg(f), 6) as mean_fusions from c")
 def fusion_per_sample(s, d):
-    j = _fused(s, d)
-    per = j.groupBy("cb").agg(F.count("*").alias("n"), F.countDistinct("fusion").alias("f")).agg(F.count("*").alias("cells"), F.sum("n").alias("rows"), F.round(F.avg("n"), 6).alias("mean_reads"), F.round(F.avg("f"), 6).alias("mean_fusions"))
-    return per.join(j.agg(F.countDistinct("fusion").alias("fusions")))
+    one = fusions.per_sample(_fused(s, d), "s")
+    return one.select(F.col("cells_with_fusions").alias("cells"), F.col("unique_fusions").alias("fusions"), F.col("reads").alias("rows"), F.round("mean_fusion_reads_per_cell", 6).alias("mean_reads"), F.round("mean_unique_fusions_per_cell", 6).alias("mean_fusions"))
 
 
 @query(FUSED + "select fusion, read_id, count(*) over (partition by fusion) as n from x where read_id not in (select event_id from events)")
 def fusion_unmatched(s, d):
-    x = _fusions(s, d)
-    n = x.join(t(s, d, "events").select(F.col("event_id").alias("read_id")), "read_id", "left_anti")
-    return n.join(n.groupBy("fusion").agg(F.count("*").alias("n")), "fusion")
+    lost = fusions.without_tags(_fusion_reads(s, d), t(s, d, "events").select(F.col("event_id").alias("read_id")))
+    rows = fusions.per_read(_fusion_reads(s, d).join(lost, "read_id"))
+    return rows.select(F.col("FusionName").alias("fusion"), "read_id", "n")
 
 
 GT = "select concat('v', cast(l_partkey % 300 as string)) as variant, concat('c', cast(l_suppkey as string)) as cell, max(case l_linenumber % 4 when 0 then '0/0' when 1 then '0/1' when 2 then '1|1' else './.' end) as gt from lineitem group by 1, 2"
@@ -558,16 +563,13 @@ def genotype_matrix(s, d):
 
 @query(f"with g as (select variant, cell, {CODE} as code from ({GT})) select variant, coalesce(max(code) filter (cell = 'c1'), -1) as c1, coalesce(max(code) filter (cell = 'c2'), -1) as c2 from g where variant in (select distinct variant from g order by 1 limit 50) group by 1")
 def genotype_top_pivot(s, d):
-    g = _genotypes(s, d)
-    top = g.select("variant").distinct().orderBy("variant").limit(50)
-    return g.join(F.broadcast(top), "variant", "left_semi").groupBy("variant").pivot("cell", ["c1", "c2"]).agg(F.max("code")).na.fill(-1)
+    calls = _genotypes(s, d).select("variant", F.col("cell").alias("sample"), "code", F.lit("c").alias("chrom"), F.lit(1).alias("pos"))
+    return variants.report_table(calls, ["c"], ["c1", "c2"])
 
 
 @query(f"with g as (select variant, {CODE} as code from ({GT})) select variant, cast(sum(case when code >= 0 then code else 0 end) as bigint) as ac, cast(2 * count(*) filter (code >= 0) as bigint) as an, round(sum(case when code >= 0 then code else 0 end) / nullif(2 * count(*) filter (code >= 0), 0), 6) as af from g group by 1")
 def allele_fill_tags(s, d):
-    c = F.col("code")
-    a = _genotypes(s, d).groupBy("variant").agg(F.sum(F.when(c >= 0, c).otherwise(0)).alias("ac"), (2 * F.count_if(c >= 0)).alias("an"))
-    return a.select("variant", "ac", "an", F.round(F.try_divide("ac", "an"), 6).alias("af"))
+    return variants.fill_tags(_genotypes(s, d)).withColumn("af", F.round("af", 6))
 
 
 # ---- intervals ---------------------------------------------------------------------------------------------------------------

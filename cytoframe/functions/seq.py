@@ -45,6 +45,16 @@ def within_edits(a: Column, b: Column, limit: int) -> Column:
     return F.when(d >= 0, d)
 
 
+def deletions(s: Column, n: int) -> Column:
+    """All distinct strings that deleting up to n characters of s gives, s among them. Two strings within n edits share one of them."""
+    one = lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))
+    out = now = F.array(s)
+    for _ in range(n):
+        now = F.array_distinct(F.flatten(F.transform(F.filter(now, lambda x: x != ""), one)))
+        out = F.concat(out, now)
+    return F.array_distinct(out)
+
+
 def reverse_config(c: Column) -> Column:
     """An adapter configuration seen from the other strand: parts reversed, _f and _r swapped."""
     return F.array_join(F.transform(F.reverse(F.split(c, "-")), lambda x: F.when(x.endswith("_f"), F.regexp_replace(x, "_f$", "_r")).otherwise(F.regexp_replace(x, "_r$", "_f"))), "-")

@@ -1,29 +1,29 @@
-"""Directional clustering of UMIs, as joins over shared pieces and rounds along edges."""
+"""Directional clustering of UMIs, as joins over shared deletion variants and rounds along edges."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cytoframe.functions import seq
 from cytoframe.sources.scratch import written
 
 EDITS = 2
 GROUP = ["gene", "cb"]
-FEW = 24  # groups of so many UMIs at most are compared whole; larger ones by pieces
+FEW = 24  # groups of so many UMIs at most are compared whole; larger ones by variants
 
 
-def _pieces(ur: Column, length: Column, parts: int) -> Column:
-    """Array of (length, number, piece): a UMI of that length cut into `parts` pieces."""
-    cut = lambda k: F.floor(k * length / parts).cast("int")
-    return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.struct(length.cast("int").alias("_n"), k.alias("_k"), F.substring(ur, cut(k) + 1, cut(k + 1) - cut(k)).alias("_piece")))
+def variants(edits: int) -> Column:
+    """Hashes of what deletions make of a UMI. Strings of one hash only meet, so equal hashes of others cost a comparison."""
+    return F.array_distinct(F.transform(seq.deletions(F.col("ur"), edits), lambda x: F.xxhash64(x)))
 
 
 def near_pairs(umis: DataFrame, *, edits: int = EDITS) -> DataFrame:
     """Rows (gene, cb, ur, ur2, n, n2) for all ordered pairs of UMIs of one gene and cell within so many edits, of any lengths.
 
-    Small groups are compared whole. In larger ones, of edits + 1 pieces of one UMI the other holds at least one unchanged and shifted by
-    at most `edits`: each UMI is cut by its own length and looked up by the cuts of every length that is near enough, so the pairs meet in
-    equi-joins on pieces, whatever the size of their group. levenshtein decides before pairs are made distinct.
+    Small groups are compared whole. In larger ones, UMIs meet that share a string which deleting up to `edits` bases gives of both: UMIs
+    within so many edits do, whatever their lengths, and others seldom, so candidates grow with the near pairs and not with the square of
+    a group. levenshtein decides before pairs are made distinct.
     """
     size = umis.groupBy(*GROUP).agg(F.count("*").alias("_size")).where("_size > 1")
     sized = umis.join(size, GROUP)
@@ -31,17 +31,10 @@ def near_pairs(umis: DataFrame, *, edits: int = EDITS) -> DataFrame:
     few = sized.where(F.col("_size") <= FEW)
     whole = few.select(*GROUP, "ur", "n").join(few.select(*GROUP, F.col("ur").alias("ur2"), F.col("n").alias("n2")), GROUP).where(near)
     umis = sized.where(F.col("_size") > FEW)
-    parts = edits + 1
-    n = F.length("ur")
-    own = umis.select(*GROUP, F.col("ur").alias("ur2"), F.col("n").alias("n2"), F.explode(_pieces(F.col("ur"), n, parts)).alias("_p"))
-    # for every length that the other may have, every piece of it that may stand here
-    other = F.explode(F.sequence(F.greatest(n - edits, F.lit(1)), n + edits)).alias("_m")
-    looked = umis.select(*GROUP, "ur", "n", other)
-    cut = lambda k: F.floor(k * F.col("_m") / parts).cast("int")
-    found = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda k: F.transform(F.sequence(F.greatest(cut(k) - edits, F.lit(0)), F.greatest(cut(k) + edits, F.lit(0))), lambda at: F.struct(F.col("_m").alias("_n"), k.alias("_k"), F.substring(F.col("ur"), at + 1, cut(k + 1) - cut(k)).alias("_piece")))))
-    looked = looked.select(*GROUP, "ur", "n", F.explode(F.array_distinct(found)).alias("_p"))
+    left = umis.select(*GROUP, "ur", "n", F.explode(variants(edits)).alias("_p"))
+    right = left.select(*GROUP, F.col("ur").alias("ur2"), F.col("n").alias("n2"), "_p")
     names = [*GROUP, "ur", "ur2", "n", "n2"]
-    return whole.select(*names).union(looked.join(own, [*GROUP, "_p"]).where(near).select(*names).distinct())
+    return whole.select(*names).union(left.join(right, [*GROUP, "_p"]).where(near).select(*names).distinct())
 
 
 def representatives(counts: DataFrame, *, edits: int = EDITS) -> DataFrame:

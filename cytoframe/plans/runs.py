@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cytoframe.operators import intervals, jointcalls, readstats, representatives, tagging
+from cytoframe.operators import barcodes, intervals, jointcalls, readstats, representatives, tagging
 from cytoframe.plans import views
 from cytoframe.plans.catalogue import query
 from cytoframe.plans.views import t
@@ -263,3 +263,11 @@ def repeated_id_join(s, d):
     """Two tables whose ids repeat, the k-th row of an id with the k-th."""
     li = t(s, d, "lineitem")
     return tagging.in_order(li.select(F.col("l_orderkey").alias("read_id"), F.col("l_linenumber").alias("a")), li.where("l_linenumber <> 2").select(F.col("l_orderkey").alias("read_id"), F.col("l_partkey").alias("b"), F.col("l_suppkey").alias("c")))
+
+
+# ---- barcodes by deletion variants ---------------------------------------------------------------------------------------------
+@query("select distinct r.cr, w.barcode as wl, levenshtein(r.cr, w.barcode)::int as ed from (select distinct cr from reads) r join whitelist w on levenshtein(r.cr, w.barcode) <= 2")
+def barcode_near_pairs(s, d):
+    """Every barcode with all entries of the list within two edits, without a comparison of all."""
+    read = views.reads(s, d).select("cr").distinct()
+    return barcodes.within(read, views.whitelist(s, d).withColumnRenamed("barcode", "wl"), 2)

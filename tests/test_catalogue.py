@@ -2,7 +2,7 @@
 
 from compare import compare
 
-from cytoframe.plans import catalogue, files, more  # noqa: F401  they register their queries too
+from cytoframe.plans import catalogue, files, more, runs  # noqa: F401  they register their queries too
 
 DATA = "/root/testdata/sf0.001"
 

@@ -64,3 +64,14 @@ def cell_table(matrix, embedding: DataFrame, genes: list[str], mito: list[str])
     """One row a cell of the embedding: its coordinates, mean expression, share of mitochondrial counts and counts of the genes of interest."""
     own = matrix.dense_genes(genes)
     return embedding.join(matrix.mean_expression(), "cell").join(matrix.share(mito).withColumnRenamed("share", "mito_share"), "cell").join(own, "cell", "left").na.fill(0, subset=genes)
+
+
+def genes_of_interest(matrix, names: DataFrame, coordinates: DataFrame | None = None) -> DataFrame:
+    """Rows (gene, barcode, count, x, y): entries of the genes in names (name), with their cell's place.
+
+    Places come from a table (cell, x, y), or without one from the cells' names; where a cell has none they are null. Genes that the
+    matrix lacks have no rows. A cell that the table names twice has a row for each place.
+    """
+    own = matrix.values.join(names.select(F.col("name").alias("feature")), "feature", "left_semi")
+    place = matrix.coordinates() if coordinates is None else coordinates.select("cell", "x", "y")
+    return own.join(place, "cell", "left").select(F.col("feature").alias("gene"), F.col("cell").alias("barcode"), F.col("value").alias("count"), "x", "y")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cytoframe.operators import barcodes, intervals, jointcalls, readstats, representatives, tagging
+from cytoframe.operators import barcodes, intervals, jointcalls, readstats, representatives, summaries, tagging
 from cytoframe.plans import views
-from cytoframe.plans.catalogue import query
+from cytoframe.plans.catalogue import _matrix, query
 from cytoframe.plans.views import t
-from cytoframe.sources import clustered, merging, records, samples
+from cytoframe.sources import annotation, clustered, merging, records, samples
 from cytoframe.sources.scratch import scratch_path
 from cytoframe.streaming import ingest, state
 
@@ -271,3 +271,14 @@ def barcode_near_pairs(s, d):
     """Every barcode with all entries of the list within two edits, without a comparison of all."""
     read = views.reads(s, d).select("cr").distinct()
     return barcodes.within(read, views.whitelist(s, d).withColumnRenamed("barcode", "wl"), 2)
+
+
+# ---- lists and places ---------------------------------------------------------------------------------------------------------
+@query("select feature as gene, cell as barcode, value as count, case when s_suppkey % 4 <> 0 then cast(s_suppkey % 78 as int) end as x, case when s_suppkey % 4 <> 0 then cast(s_suppkey % 128 as int) end as y from matrix left join supplier on cell = concat('c', s_suppkey) where feature in (select distinct concat('G', p_partkey) from part where p_partkey % 7 = 3)")
+def goi_coordinates(s, d):
+    """Genes of a list file, in cells whose places stand in a table; every fourth cell has none there."""
+    names, places = scratch_path(s, "genes"), scratch_path(s, "places")
+    t(s, d, "part").where("p_partkey % 7 = 3").select(F.concat(F.lit("G"), "p_partkey").alias("value")).write.text(names)
+    k = F.col("s_suppkey")
+    t(s, d, "supplier").select(F.concat_ws("\t", F.concat(F.lit("c"), k), F.when(k % 4 != 0, k % 78).cast("string"), F.when(k % 4 != 0, k % 128).cast("string")).alias("value")).write.text(places)
+    return summaries.genes_of_interest(_matrix(s, d), annotation.read_names(s, names), annotation.read_coordinates(s, places))

@@ -36,6 +36,18 @@ def read_genotypes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return calls.select("variant", "chrom", "pos", "ref", "alt", "sample", F.when(F.col("_gt") > 0, F.get(F.split("_call", ":"), F.col("_gt") - 1)).otherwise("./.").alias("gt"))
 
 
+def read_names(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Distinct names of a list, one a line without a header, such as genes of interest or variants to report; blank lines are left out."""
+    return spark.read.text(path).select(F.trim(F.regexp_replace("value", "\r$", "")).alias("name")).where("name != ''").distinct()
+
+
+def read_coordinates(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Rows (cell, x, y) of a table of barcodes and their places, tab-separated without a header; a cell without two whole numbers is left out."""
+    f = F.split(F.regexp_replace("value", "\r$", ""), "\t")
+    rows = spark.read.text(path).select(F.get(f, F.lit(0)).alias("cell"), F.get(f, F.lit(1)).try_cast("int").alias("x"), F.get(f, F.lit(2)).try_cast("int").alias("y"))
+    return rows.where("x is not null and y is not null")
+
+
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     """A sample sheet from CSV text with a header, in UTF-8 or, where it begins with their mark, UTF-16; the mark goes."""
     raw = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 2).alias("_m")).first()

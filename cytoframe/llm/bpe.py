@@ -230,6 +230,7 @@ class Merges:
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         shown = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in visible)}
+        self.shown = {b: ord(c) for b, c in shown.items()}
         back = {c: b for b, c in shown.items()}
         self.first = np.array([vocab[shown[b]] for b in range(256)], np.int64)
         self.special = {t["content"].encode(): t["id"] for t in spec.get("added_tokens", ())}

@@ -34,6 +34,7 @@ FIRST_RULE = 50_304
 MARK = 64
 BLOCK_IDS = 1 << 20
 RULES_A_ROUND, LEAST = 4_000, 4
+WORDS_A_TEXT = 1_000
 SCHEMA = "shard int, block int, n_tokens long, doc_ids array<long>, doc_sizes array<long>, rules binary, rule_sizes binary, symbols binary, marks binary"
 
 
@@ -43,19 +44,46 @@ def library(path: str) -> tuple[Merges, object]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.no_truncation()
-    t.no_padding()
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    whole = Tokenizer.from_file(path)
+    whole.no_truncation()
+    whole.no_padding()
+    alone = Tokenizer(whole.model)
+    alone.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    splitter = Merges(path)
+    shown = splitter.shown
+
+    def plain(words: list[bytes]) -> tuple[list[int], np.ndarray]:
+        """Ids of pre-tokens by the library's model, a thousand in one text: as characters of the byte-level alphabet they hold no blank."""
+        text = " ".join(w.decode("latin-1").translate(shown) for w in words)
+        e = alone.encode(text, add_special_tokens=False)
+        return e.ids, np.bincount(np.array(e.word_ids, np.int64), minlength=len(words))
 
     def words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = data.tobytes()
-        found = [e.ids for e in t.encode_batch([raw[a : a + n].decode() for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)], add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts
-
-    return Merges(path), words
+        every = [raw[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
+        counts, parts, held = np.zeros(len(every), np.int64), [], []
+
+        def flush(to: int) -> None:
+            if held:
+                ids, counts[to - len(held) : to] = plain(held)
+                parts.append(ids)
+                held.clear()
+
+        for i, w in enumerate(every):
+            if w in splitter.special:
+                flush(i)
+                parts.append(whole.encode(w.decode(), add_special_tokens=False).ids)
+                counts[i] = len(parts[-1])
+                continue
+            held.append(w)
+            if len(held) == WORDS_A_TEXT:
+                flush(i + 1)
+        flush(len(every))
+        return np.fromiter(chain.from_iterable(parts), np.int64, int(counts.sum())), counts
+
+    return splitter, words
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cytoframe.llm.middle import BLANK
-from cytoframe.llm.shared import free_name, packed, ragged, slices, written
+from cytoframe.llm.shared import free_name, packed, ragged, slices, trim, written
 
 CAPACITY, END_ID = 4096, 1
 GROUPS = 96  # of large lengths
 LARGE_PARTS = (3, 4, 8, 16, 2)  # lengths above such a part of the capacity count as large; the first choice that gives the fewest sequences
 CACHE_WORDS, CACHE_BYTES, CACHED_WORD = 500_000, 16 << 20, 256  # words that a worker keeps, their bytes, and the longest of them
+LEARNT = 4_000
 SLICE = 2 << 20
 
 
@@ -84,6 +85,11 @@ class WordTokens:
         self.start, self.size, self.pool = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.int32)
 
     def _learn(self, words: list[bytes]) -> None:
+        """Takes in words, some thousands at a time: the library's answers are far larger than the ids in them."""
+        for i in range(0, len(words), LEARNT):
+            self._learn_some(words[i : i + LEARNT])
+
+    def _learn_some(self, words: list[bytes]) -> None:
         text = [w.decode() for w in words]
         plain = [w.isascii() and w.isalpha() and w.islower() for w in text]
         parts = [f([w for w, p in zip(text, plain, strict=True) if p == kind]) for f, kind in ((self._plain, True), (self._any, False)) if kind in plain]
@@ -178,6 +184,8 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id:
                 to = 4 * np.cumsum(length)
                 column = pa.array([raw[a:b] for a, b in zip((to - 4 * length).tolist(), to.tolist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(c.take(pa.array(owner)) for c in part.columns[1:]), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), column], names=names)
+        tokens.forget()  # workers live on, and more of them than run at a time
+        trim()
 
     return docs.select(F.col(text_column).alias(text), *keep).mapInArrow(run, T.StructType(fields))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cytoframe.llm.middle import BLANK
-from cytoframe.llm.shared import free_name, packed, ragged, slices, trim, written
+from cytoframe.llm.shared import binary_column, free_name, packed, ragged, slices, trim, written
 
 CAPACITY, END_ID = 4096, 1
 GROUPS = 96  # of large lengths
@@ -180,9 +180,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id:
                 piece = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
                 start = piece * capacity
                 length = np.minimum(size[owner] - start, capacity)
-                raw = memoryview(out.view(np.uint8))
-                to = 4 * np.cumsum(length)
-                column = pa.array([raw[a:b] for a, b in zip((to - 4 * length).tolist(), to.tolist(), strict=True)], pa.binary())
+                column = binary_column(out.view(np.uint8), np.concatenate([[0], 4 * np.cumsum(length)]))
                 yield pa.RecordBatch.from_arrays([*(c.take(pa.array(owner)) for c in part.columns[1:]), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), column], names=names)
         tokens.forget()  # workers live on, and more of them than run at a time
         trim()

@@ -10,7 +10,7 @@ from cytoframe.operators.ranks import numbered
 from cytoframe.sources.scratch import written
 
 KMER = 5
-FULL_LIST = 20_000  # entries up to which a list is compared one by one; longer ones go through an index that gives the same pairs
+FULL_LIST = 500  # entries up to which a list is compared one by one; longer ones go through an index that gives the same pairs
 
 
 def quantile_knee(counts: DataFrame, expected: int, quantile: float = 0.95, divisor: float = 20) -> DataFrame:
@@ -67,47 +67,54 @@ def _candidates(rest: DataFrame, listed: DataFrame, blocked: bool) -> DataFrame:
 def within(rest: DataFrame, listed: DataFrame, edits: int) -> DataFrame:
     """Distinct pairs (cr, wl, ed) within so many edits: both sides meet where deleting up to `edits` bases gives them a string in common.
 
-    No pair within the edits is lost. Equal hashes of other strings only cost a comparison.
+    No pair within the edits is lost. Equal hashes of other strings only cost a comparison. A string gives hundreds of rows, so strings are
+    dealt out before, and neither side is broadcast however small it looks.
     """
-    keys = lambda df, c: df.select(c, F.explode(F.array_distinct(F.transform(seq.deletions(F.col(c), edits), lambda x: F.xxhash64(x)))).alias("_k"))
-    pairs = keys(rest, "cr").join(keys(listed, "wl"), "_k").select("cr", "wl").withColumn("ed", F.levenshtein("cr", "wl", edits))
+    dealt = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = lambda df, c: df.repartition(dealt, c).select(c, F.explode(F.array_distinct(F.transform(seq.deletions(F.col(c), edits), lambda x: F.xxhash64(x)))).alias("_k"))
+    pairs = keys(rest, "cr").join(keys(listed, "wl").hint("merge"), "_k").select("cr", "wl").withColumn("ed", F.levenshtein("cr", "wl", edits))
     return pairs.where("ed >= 0").distinct()
 
 
-def _indexed(rest: DataFrame, listed: DataFrame, max_edits: int, margin: int) -> DataFrame:
+def _indexed(rest: DataFrame, listed: DataFrame, max_edits: int, margin: int, blocked: bool) -> DataFrame:
     """Pairs (cr, wl, ed) that decide each barcode: all within max_edits, and where the best one needs a look beyond, the runners-up.
 
     A runner-up counts only if it is less than `margin` edits behind the best. So only barcodes whose one entry within max_edits is near
-    that bound are sought again with more deletions.
+    that bound are sought again with more deletions. Blocked, pairs without a common k-mer do not count.
     """
-    near = written(within(rest, listed, max_edits), "near")
+    parts = lambda c: F.array_distinct(seq.kmers(F.col(c), KMER))
+    met = lambda pairs: pairs.where(F.arrays_overlap(parts("cr"), parts("wl"))) if blocked else pairs
+    near = written(met(within(rest, listed, max_edits)), "near")
     reach = max_edits + margin - 1
-    if reach == max_edits:
+    if reach <= max_edits:
         return near
     open_ = near.groupBy("cr").agg(F.min("ed").alias("_b"), F.count("*").alias("_n")).where((F.col("_n") == 1) & (F.col("_b") + margin - 1 > max_edits)).select("cr")
-    return near.union(within(open_, listed, reach)).distinct()
+    return near.union(met(within(open_, listed, reach))).distinct()
 
 
 def correct(reads: DataFrame, whitelist: DataFrame, *, max_edits: int = 2, margin: int = 2, blocked: bool = True, barcode_length: int | None = None) -> DataFrame:
     """Distinct uncorrected barcodes (cr) with the assigned one (cb, null if none) and the reason.
 
-    Exact barcodes are found by an equi-join first. Of the others, each distinct one is compared with whitelist entries that share a
-    k-mer with it: a best entry within max_edits wins if the runner-up is `margin` edits farther. The whitelist is the shortlist of an
-    experiment, thousands of cells: k-mers of five bases are few, so far longer lists meet most barcodes. Not `blocked`, the whole list
-    decides: one by one up to FULL_LIST entries, beyond by an index of deletion variants that finds the same best and runner-up. Distances are taken inside
-    the join, so only near pairs move; the two best of each barcode are picked before the exchange. With barcode_length, barcodes more
-    than max_edits shorter are neither assigned nor given a reason.
+    Exact barcodes are found by an equi-join first. Of the others, each distinct one is compared with the whitelist entries, `blocked`
+    only with those that share a k-mer with it: a best entry within max_edits wins if the runner-up is `margin` edits farther. Up to
+    FULL_LIST entries are compared one by one, or those that a k-mer leads to. K-mers of five bases are few, so in longer lists they lead
+    to most entries: there an index of deletion variants finds the same best and runner-up, at a cost per barcode and per entry. Distances
+    are taken inside the join, so only near pairs move; the two best of each barcode are picked before the exchange. With barcode_length,
+    barcodes more than max_edits shorter are neither assigned nor given a reason.
     """
-    distinct = reads.select("cr").distinct()
-    listed = whitelist.select(F.col("barcode").alias("wl")).distinct()
-    exact = distinct.join(listed.withColumnRenamed("wl", "cr"), "cr", "left_semi")
-    rest = distinct.join(listed.withColumnRenamed("wl", "cr"), "cr", "left_anti")
+    listed = written(whitelist.select(F.col("barcode").alias("wl")).distinct(), "listed")
+    split = written(reads.select("cr").distinct().join(listed.select(F.col("wl").alias("cr"), F.lit(True).alias("_exact")), "cr", "left"), "barcodes")
+    exact, rest = split.where("_exact").select("cr"), split.where("_exact is null").select("cr")
     short = F.length("cr") < (barcode_length or max_edits) - max_edits
     limit = max_edits + margin + 1
-    if not blocked and listed.count() > FULL_LIST:
-        near = _indexed(rest.where(~short), listed, max_edits, margin)
+    compared = lambda some: _candidates(some, listed, blocked).withColumn("ed", F.levenshtein("cr", "wl", limit)).where("ed >= 0")
+    if listed.count() > FULL_LIST:
+        near = _indexed(rest.where(~short), listed, max_edits, margin, blocked)
+        if not blocked and (barcode_length or 0) < 2 * max_edits + margin:
+            # the runner-up of a barcode this short counts at any distance; there are few such strings
+            near = near.union(compared(rest.where(~short & (F.length("cr") < max_edits + margin)))).distinct()
     else:
-        near = _candidates(rest.where(~short), listed, blocked).withColumn("ed", F.levenshtein("cr", "wl", limit)).where("ed >= 0")
+        near = compared(rest.where(~short))
         near = near.distinct() if blocked else near
     place = F.row_number().over(Window.partitionBy("cr").orderBy("ed", "wl"))
     two = near.withColumn("_place", place).where("_place <= 2").groupBy("cr").agg(F.min(F.struct("ed", "wl")).alias("_b"), F.max(F.when(F.col("_place") == 2, F.col("ed"))).alias("_s"))

@@ -60,3 +60,19 @@ def test_index_of_a_long_list(spark, monkeypatch, edits, margin):
     monkeypatch.setattr(barcodes, "FULL_LIST", 10)
     indexed = {r.cr: (r.cb, r.reason) for r in barcodes.correct(*args, max_edits=edits, margin=margin, blocked=False, barcode_length=16).collect()}
     assert indexed == plain and len({v[1] for v in plain.values()}) >= 4
+
+
+@pytest.mark.parametrize("blocked", [True, False])
+def test_a_list_of_some_thousands_is_indexed(spark, monkeypatch, blocked):
+    """With and without k-mers the index gives what comparisons give, and no barcode meets the list one by one."""
+    g = random.Random(7)
+    listed = {"".join(g.choice("ACGT") for _ in range(16)) for _ in range(600)}
+    listed |= {changed(g, b, g.randint(1, 4)) for b in sorted(listed)[:300]}
+    reads = sorted({changed(g, b, g.randint(0, 4)) for b in sorted(listed)[:400] for _ in range(2)} | {"A" * 16, "ACG", "AC", ""})
+    args = (spark.createDataFrame([(r,) for r in reads], "cr string"), spark.createDataFrame([(b,) for b in listed], "barcode string"))
+    run = lambda length: {r.cr: (r.cb, r.reason) for r in barcodes.correct(*args, blocked=blocked, barcode_length=length).collect()}
+    monkeypatch.setattr(barcodes, "FULL_LIST", 10_000)
+    plain = run(16), run(None)
+    monkeypatch.undo()
+    monkeypatch.setattr(barcodes, "_candidates", lambda some, listed, blocked: some.where("length(cr) < 4").join(listed))
+    assert (run(16), run(None)) == plain and len({v[1] for v in plain[0].values()}) >= 4

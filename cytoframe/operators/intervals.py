@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cytoframe.sources.scratch import written
+
 #: Widths of the levels' bins, eight times as wide from one to the next; the last level takes all that is longer too, with more bins.
 WIDTHS = tuple(1024 * 8**i for i in range(10))
 
@@ -59,14 +61,71 @@ def overlaps(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.where(F.floor(F.greatest("start", "start2") / width) == F.col("_bin")).drop("_bin", "_level")
 
 
+def _carried(places: DataFrame, stretch: int) -> DataFrame:
+    """Places (chrom, at, starts, ends, first), one row each, with what their chromosome holds up to and from there.
+
+    _begun: sum of `starts` at smaller places; _ended: sum of `ends` up to and at this one; _first: least `first` of greater ones.
+    Chromosomes are swept in stretches of `stretch` places, each its own task, as in _swept().
+    """
+    p = places.withColumn("_s", F.floor(F.col("at") / stretch))
+    order = Window.partitionBy("chrom").orderBy("_s")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    each = p.groupBy("chrom", "_s").agg(F.sum("starts").alias("_b"), F.sum("ends").alias("_e"), F.min("first").alias("_f"))
+    carried = each.select("chrom", "_s", F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_b"), F.coalesce(F.sum("_e").over(before), F.lit(0)).alias("_e"), F.min("_f").over(after).alias("_f"))
+    w = Window.partitionBy("chrom", "_s").orderBy("at")
+    back = Window.partitionBy("chrom", "_s").orderBy(F.desc("at"))
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
+    run = p.join(carried, ["chrom", "_s"])
+    return run.select(
+        "chrom", "at",
+        (F.col("_b") + F.coalesce(F.sum("starts").over(past), F.lit(0))).alias("_begun"),
+        (F.col("_e") + F.sum("ends").over(w.rowsBetween(Window.unboundedPreceding, 0))).alias("_ended"),
+        F.least(F.min("first").over(back.rowsBetween(Window.unboundedPreceding, -1)), F.col("_f")).alias("_first"),
+    )
+
+
+def _places(a: DataFrame, b: DataFrame, *looked_up: str) -> DataFrame:
+    """Rows (chrom, at, starts, ends, first): b's starts and ends at each place, the least start of what ends there, and the places of a."""
+    none = F.lit(None).cast(b.schema["start"].dataType)
+    row = lambda at, starts, ends, first: F.struct(at.alias("at"), F.lit(starts).cast("long").alias("starts"), F.lit(ends).cast("long").alias("ends"), first.alias("first"))
+    own = b.where("start is not null and end is not null").select("chrom", F.explode(F.array(row(F.col("start"), 1, 0, none), row(F.col("end"), 0, 1, F.col("start")))).alias("x"))
+    asked = a.select("chrom", F.explode(F.array(*[row(F.col(c), 0, 0, none) for c in looked_up])).alias("x"))
+    both = own.union(asked).select("chrom", "x.*").where("chrom is not null and at is not null")
+    return both.groupBy("chrom", "at").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"), F.min("first").alias("first"))
+
+
+def with_first_overlap(a: DataFrame, b: DataFrame, stretch: int = 1_000_000) -> DataFrame:
+    """Rows of a that overlap any of b, with start2: the least start of b's intervals that do.
+
+    No pair is formed: of b's intervals that end behind a row's start, the one that starts first overlaps it if any does. The work is
+    that of sorting the distinct places, however many intervals overlap there.
+    """
+    found = _carried(_places(a, b, "start"), stretch).where("_first is not null").select("chrom", F.col("at").alias("start"), F.col("_first").alias("start2"))
+    return a.join(found, ["chrom", "start"]).where("start2 < end").select(*a.columns, "start2")
+
+
+def overlap_counts(a: DataFrame, b: DataFrame, stretch: int = 1_000_000) -> DataFrame:
+    """Rows of a that overlap any of b, with n, the number of b's intervals that do, and start2, the first start of these.
+
+    No pair is formed: n is the number of b's starts before a row's end less that of b's ends up to its start. An interval of no length
+    counts where it lies inside another; one at the start of an empty row was neither begun before nor is it met.
+    """
+    places = written(_carried(_places(a, b, "start", "end"), stretch), "places")
+    empty = b.where("start = end").groupBy("chrom", "start").agg(F.count("*").alias("_empty"))
+    at = places.select("chrom", F.col("at").alias("start"), "_ended", F.col("_first").alias("start2")).join(empty, ["chrom", "start"], "left")
+    met = a.join(at, ["chrom", "start"]).join(places.select("chrom", F.col("at").alias("end"), "_begun"), ["chrom", "end"])
+    n = F.col("_begun") - F.col("_ended") + F.when(F.col("start") == F.col("end"), F.coalesce("_empty", F.lit(0))).otherwise(0)
+    return met.where("start2 < end").select(*a.columns, n.alias("n"), "start2")
+
+
 def overlapping(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows of a that overlap any of b."""
-    return overlaps(a, b.select("chrom", "start", "end")).select(*a.columns).distinct()
+    return with_first_overlap(a, b).select(*a.columns).distinct()
 
 
 def first_overlap(a: DataFrame, b: DataFrame, *key: str) -> DataFrame:
     """Rows (key, start2): the first start of b's intervals that overlap an interval of a."""
-    return overlaps(a, b.select("chrom", "start", "end")).groupBy(*key).agg(F.min("start2").alias("start2"))
+    return with_first_overlap(a, b).groupBy(*key).agg(F.min("start2").alias("start2"))
 
 
 def widened(df: DataFrame, slop: int, lengths: DataFrame | None = None) -> DataFrame:

@@ -31,6 +31,23 @@ def test_overlaps(spark, seed, top):
     assert first == {i: min(y[1] for y in b if (i, y[3]) in want) for i in {k[0] for k in want}}
 
 
+@pytest.mark.parametrize("seed, top", [(6, 60), (7, 20_000), (8, 10**8)])
+def test_counts_and_firsts_without_pairs(spark, seed, top, monkeypatch):
+    """Counts, first starts and semi joins equal plain ones, also of intervals of no length, and form no pair."""
+    g = random.Random(seed)
+    a, b = made(g, 150, top), made(g, 150, top)
+    if top == 60:
+        a, b = ([(c, s, s + g.choice([0, 0, 1, 5]), i) for c, s, _, i in x] for x in (a, b))
+    monkeypatch.setattr(intervals, "overlaps", None)
+    da, db = spark.createDataFrame(a, SCHEMA), spark.createDataFrame(b, SCHEMA)
+    met = lambda x: [y[1] for y in b if x[0] == y[0] and x[1] < y[2] and y[1] < x[2]]
+    want = {x[3]: (len(m), min(m)) for x in a if (m := met(x))}
+    for stretch in (max(top // 7, 3), 10**7):
+        assert {r.id: (r.n, r.start2) for r in intervals.overlap_counts(da, db, stretch).collect()} == want
+        assert {r.id: r.start2 for r in intervals.with_first_overlap(da, db, stretch).collect()} == {k: v[1] for k, v in want.items()}
+    assert {r.id for r in intervals.overlapping(da, db).collect()} == set(want)
+
+
 def test_rows_do_not_grow_with_length(spark):
     one = spark.createDataFrame([("c", 5, 5 + 10**k, k) for k in range(9)], SCHEMA)
     rows = {r.id: r.n for r in intervals._looked_up(one, list(range(len(intervals.WIDTHS))), above=False).groupBy("id").agg(F.count("*").alias("n")).collect()}

@@ -1,45 +1,20 @@
 """The expression matrix as the state of a stream: UMIs in the state store, changed entries out, and looks at a committed state.
 
-For each gene and cell the store holds the UMIs seen with their reads (a map, so one UMI costs one look-up however many there are) and
-their totals. A batch reads and writes only the entries that it touches and hands on those that changed. The state is kept in RocksDB,
-on disk where it is large, and saved with the stream's checkpoint, so a restart or a batch that runs again gives the same state.
+Two of Spark's own stateful operators: one knows the UMIs of each gene and cell, so a row that brings a new one is told apart; the other
+holds the reads of each UMI, and for each gene and cell its UMIs and reads. A batch reads and writes only the entries and UMIs that it
+touches and hands on the entries that changed. The state is kept in RocksDB, on disk where it is large, and saved with the stream's
+checkpoint, so a restart or a batch that runs again gives the same state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cytoframe.operators.matrix import Matrix
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-CHANGES = "gene string, CB string, n_umis long, n_reads long"
-
-
-class UmiProcessor(StatefulProcessor):
-    """State `umis`: reads of each UMI of a gene and cell; state `total`: how many UMIs and reads there are."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.umis = handle.getMapState("umis", "UB string", "n_reads long")
-        self.total = handle.getValueState("total", "n_umis long, n_reads long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n_umis, n_reads = self.total.get() if self.total.exists() else (0, 0)
-        for batch in rows:
-            for umi, n in batch["UB"].value_counts().items():
-                held = self.umis.getValue((umi,))
-                n_umis += held is None
-                n_reads += int(n)
-                self.umis.updateValue((umi,), (int(n) + (held[0] if held else 0),))
-        self.total.update((n_umis, n_reads))
-        yield pd.DataFrame({"gene": [key[0]], "CB": [key[1]], "n_umis": [n_umis], "n_reads": [n_reads]})
-
-    def close(self) -> None:
-        """Nothing is held outside the state store."""
+KEY = ("gene", "CB", "UB")
 
 
 def umi_changes(tags: DataFrame) -> DataFrame:
@@ -49,8 +24,14 @@ def umi_changes(tags: DataFrame) -> DataFrame:
     counts so far.
     """
     tags.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    known = tags.select("gene", "CB", "UB").where("gene != '-' and CB != '-' and UB != '-'")
-    return known.groupBy("gene", "CB").transformWithStateInPandas(UmiProcessor(), CHANGES, "Update", "None")
+    known = tags.select(*KEY).where("gene != '-' and CB != '-' and UB != '-'")
+    entry = F.lit(None).cast(known.schema["UB"].dataType)
+    # a row is a read of its UMI and of its entry, whose UB is null; the first row of a UMI also adds that UMI to the entry
+    rows = known.select("gene", "CB", F.explode(F.array(F.col("UB"), entry)).alias("UB"), F.lit(0).cast("long").alias("umi"), F.lit(True).alias("read"))
+    fresh = known.dropDuplicates(list(KEY)).select("gene", "CB", entry.alias("UB"), F.lit(1).cast("long").alias("umi"), F.lit(None).cast("boolean").alias("read"))
+    sums = rows.unionByName(fresh).groupBy(*KEY).agg(F.sum("umi").alias("n_umis"), F.count("read").alias("n_reads"))
+    # entries have UMIs; a condition on UB would move below the sums and keep the UMIs' reads out of the state
+    return sums.where("n_umis > 0").select("gene", "CB", "n_umis", "n_reads")
 
 
 def write_changes(changes: DataFrame, path: str):
@@ -66,16 +47,21 @@ def write_changes(changes: DataFrame, path: str):
     return changes.writeStream.outputMode("update").foreachBatch(put)
 
 
+def _sums(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Rows (gene, CB, UB, n_umis, n_reads) of the last committed batch's sums: UMIs, and with UB null entries."""
+    held = spark.read.format("state-metadata").load(checkpoint).where("operatorName = 'stateStoreSave'").first()
+    rows = spark.read.format("statestore").option("operatorId", held["operatorId"]).load(checkpoint)
+    return rows.select("key.*", F.col("value.sum").alias("n_umis"), F.col("value.count").alias("n_reads"))
+
+
 def entries(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Rows (gene, CB, n_umis, n_reads) of the last committed batch's state: one row an entry, no UMI is read."""
-    rows = spark.read.format("statestore").option("stateVarName", "total").load(checkpoint)
-    return rows.select("key.gene", "key.CB", "value.n_umis", "value.n_reads")
+    """Rows (gene, CB, n_umis, n_reads) of the last committed batch's state, one row an entry."""
+    return _sums(spark, checkpoint).where("UB is null").select("gene", "CB", "n_umis", "n_reads")
 
 
 def umis(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Rows (gene, CB, UB, n_reads) of the last committed batch's state."""
-    rows = spark.read.format("statestore").option("stateVarName", "umis").option("flattenCollectionTypes", True).load(checkpoint)
-    return rows.select("key.gene", "key.CB", F.col("user_map_key.UB").alias("UB"), F.col("user_map_value.n_reads").alias("n_reads"))
+    return _sums(spark, checkpoint).where("UB is not null").select("gene", "CB", "UB", "n_reads")
 
 
 def matrix(spark: SparkSession, checkpoint: str) -> Matrix:

@@ -49,3 +49,19 @@ def test_matrix_state(spark):
     assert state.umis(spark, check).count() == sum(v[0] for v in held().values())
     one = state.saturation(spark, check).first()
     assert (one.n_umis, one.n_reads) == (sum(v[0] for v in held().values()), sum(v[1] for v in held().values()))
+
+
+def test_no_python_in_the_stream(spark):
+    """Entries and reads of each UMI over two batches; rows of the state are kept by Spark's own operators, at no call of Python."""
+    landing, check, out = (scratch_path(spark, x) for x in ("landing", "check", "changes"))
+    for a, b in ((0, 300), (150, 500)):
+        rows(spark, a, b).write.mode("append").parquet(landing)
+    changes = state.umi_changes(ingest.watch(spark, landing, "*.parquet", rows(spark, 0, 1).schema, files_a_trigger=1))
+    assert "Pandas" not in changes._jdf.queryExecution().logical().toString()
+    q = state.write_changes(changes, out).option("checkpointLocation", check).start()
+    q.processAllAvailable()
+    q.stop()
+    every = rows(spark, 0, 300).union(rows(spark, 150, 500))
+    assert {(r.gene, r.CB): (r.n_umis, r.n_reads) for r in state.entries(spark, check).collect()} == wanted(every)
+    known = every.where("gene != '-' and CB != '-' and UB != '-'").groupBy("gene", "CB", "UB").count()
+    assert sorted(map(tuple, state.umis(spark, check).collect())) == sorted(map(tuple, known.collect()))

@@ -30,11 +30,18 @@ class Matrix:
         return cls(values, values.select("feature").distinct(), values.select("cell").distinct(), True)
 
     @classmethod
-    def from_tags(cls, tags: DataFrame, feature: str = "gene", cell: str = "cb", umi: Column | str = "ub") -> Matrix:
-        """Distinct UMIs of every feature and cell; unknown features ('-') are left out."""
+    def from_tags(cls, tags: DataFrame, feature: str = "gene", cell: str = "cb", umi: Column | str = "ub", *, unknown: bool = False) -> Matrix:
+        """Distinct UMIs of every feature and cell; unknown features ('-') are left out unless wanted.
+
+        Nearly every row is a UMI of its own, so rows are dealt out by all three before they are told apart: a task holds its part of
+        spark.sql.shuffle.partitions, neither what a split of the input holds nor what adaptive execution would put together.
+        """
         u = F.col(umi) if isinstance(umi, str) else umi
-        kept = tags.where(F.col(feature) != "-")
-        return cls.from_values(kept.groupBy(F.col(feature).alias("feature"), F.col(cell).alias("cell")).agg(F.countDistinct(u).alias("value")))
+        kept = tags if unknown else tags.where(F.col(feature) != "-")
+        rows = kept.select(F.col(feature).alias("feature"), F.col(cell).alias("cell"), u.alias("_umi"))
+        dealt = int(tags.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        distinct = rows.repartition(dealt, "feature", "cell", "_umi").distinct()
+        return cls.from_values(distinct.groupBy("feature", "cell").agg(F.count("_umi").alias("value")))
 
     def kept(self) -> Matrix:
         """The matrix with its values and axes as written tables, so that nothing before it is computed again by what follows."""

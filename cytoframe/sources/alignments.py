@@ -66,10 +66,13 @@ def tag_alignments(alignments: DataFrame, tags: DataFrame) -> DataFrame:
 
 
 def write_sam(alignments: DataFrame, path: str, *, compression: str = "gzip") -> None:
-    """SAM lines in coordinate order, without header; integers are tagged i, the rest Z."""
+    """SAM lines in coordinate order, ties by read_id, without header; integers are tagged i, the rest Z.
+
+    Unmapped reads all have one place: read_id is part of the ranges, so that they do not fall to one task.
+    """
     pairs = F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.when(e["value"].rlike("^-?[0-9]+$"), ":i:").otherwise(":Z:"), e["value"]))
     fields = F.concat_ws("\t", "read_id", "flag", "chr", (F.col("start") + 1).cast("string"), "mapq", "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual", pairs)
-    alignments.repartitionByRange("chr", "start").sortWithinPartitions("chr", "start").select(fields.alias("value")).write.option("compression", compression).text(path)
+    alignments.repartitionByRange("chr", "start", "read_id").sortWithinPartitions("chr", "start", "read_id").select(fields.alias("value")).write.option("compression", compression).text(path)
 
 
 def split_at_junctions(alignments: DataFrame) -> DataFrame:

@@ -16,12 +16,16 @@ REVERSE, NO_READ = 16, alignments.SECONDARY | alignments.SUPPLEMENTARY
 
 @dataclass
 class Merged:
-    """samples: sample, n_files, kind (unaligned, sorted, unsorted); headers: sample, rank, line; rows: sample and alignment columns."""
+    """samples: sample, n_files, kind (unaligned, sorted, unsorted); headers: sample, rank, line; rows: sample and alignment columns.
+
+    records: the rows in no order, for what needs none: they are read once and not exchanged.
+    """
 
     samples: DataFrame
     headers: DataFrame
     rows: DataFrame
     references: DataFrame
+    records: DataFrame
 
 
 def file_kinds(lines: DataFrame) -> DataFrame:
@@ -64,14 +68,14 @@ def merge_alignments(spark: SparkSession, path: str, *, by: str = "coordinate",
         samples = samples.where("kind != 'unaligned'")
     references = kinds.groupBy("sample").agg(F.max("references").alias("_r")).select("sample", F.posexplode("_r").alias("chr_rank", "_x")).select("sample", "chr_rank", F.regexp_extract("_x", "^(.*?):[0-9]+(:|$)", 1).alias("chr"))
     rows = alignments.parsed(lines.where("not line rlike '^@[A-Z][A-Z](\\t|$)'").select("sample", "line"), line="line")
-    rows = rows.join(samples.select("sample"), "sample", "left_semi")
+    rows = loose = rows.join(samples.select("sample"), "sample", "left_semi")
     if by == "name":
         order = [F.col("sample"), F.col("read_id"), F.col("flag"), F.col("chr"), F.col("start")]
     else:
         rows = rows.join(references, ["sample", "chr"], "left")
         order = [F.col("sample"), F.col("chr_rank").asc_nulls_last(), F.col("start"), F.col("read_id"), F.col("flag")]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return Merged(samples, headers.merged_headers(heads, sort_order="coordinate" if by == "coordinate" else "queryname").join(samples.select("sample"), "sample", "left_semi"), rows.drop("chr_rank"), references)
+    return Merged(samples, headers.merged_headers(heads, sort_order="coordinate" if by == "coordinate" else "queryname").join(samples.select("sample"), "sample", "left_semi"), rows.drop("chr_rank"), references, loose)
 
 
 def reads_of(rows: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from cytoframe.sources.ingress import ALIGNED, FASTQ
 
-SPLIT_BYTES, BLOCK_BYTES = 128 << 20, 8 << 20
+SPLIT_BYTES, BLOCK_BYTES = 128 << 20, 2 << 20
 FASTQ_SCHEMA = "file string, folder string, read_id string, seq string, qual string, comment string"
 SAM_SCHEMA = "file string, folder string, at long, line string"
 

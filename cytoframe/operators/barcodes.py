@@ -64,15 +64,29 @@ def _candidates(rest: DataFrame, listed: DataFrame, blocked: bool) -> DataFrame:
     return left.join(right, "_k").select("cr", "wl")
 
 
+def _variants(df: DataFrame, c: str, edits: int) -> DataFrame:
+    """Rows (c, _k): hashes of the strings that deleting up to `edits` characters of c gives, some of them twice.
+
+    Deletions go from left to right, a step each; a step past the end deletes nothing. Of equal neighbours the first one goes. A string
+    gives hundreds of rows, so strings are dealt out before, by a hash of their own: a table that is already dealt by the string may
+    have been put together into a few tasks.
+    """
+    dealt = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(dealt, F.xxhash64(c)).select(c, F.col(c).alias("_x"), F.lit(1).alias("_from"))
+    i, x = F.col("_i"), F.col("_x")
+    for _ in range(edits):
+        steps = rows.select(c, "_x", "_from", F.explode(F.sequence("_from", F.length(x) + 1)).alias("_i"))
+        first = (i == F.col("_from")) | (F.substring(x, i, F.lit(1)) != F.substring(x, i - 1, F.lit(1)))
+        rows = steps.where(first).select(c, F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))).alias("_x"), i.alias("_from"))
+    return rows.select(c, F.xxhash64("_x").alias("_k"))
+
+
 def within(rest: DataFrame, listed: DataFrame, edits: int) -> DataFrame:
     """Distinct pairs (cr, wl, ed) within so many edits: both sides meet where deleting up to `edits` bases gives them a string in common.
 
-    No pair within the edits is lost. Equal hashes of other strings only cost a comparison. A string gives hundreds of rows, so strings are
-    dealt out before, and neither side is broadcast however small it looks.
+    No pair within the edits is lost. Equal hashes of other strings only cost a comparison. Neither side is broadcast however small it looks.
     """
-    dealt = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = lambda df, c: df.repartition(dealt, c).select(c, F.explode(F.array_distinct(F.transform(seq.deletions(F.col(c), edits), lambda x: F.xxhash64(x)))).alias("_k"))
-    pairs = keys(rest, "cr").join(keys(listed, "wl").hint("merge"), "_k").select("cr", "wl").withColumn("ed", F.levenshtein("cr", "wl", edits))
+    pairs = _variants(rest, "cr", edits).join(_variants(listed, "wl", edits).hint("merge"), "_k").select("cr", "wl").withColumn("ed", F.levenshtein("cr", "wl", edits))
     return pairs.where("ed >= 0").distinct()
 
 

@@ -14,6 +14,8 @@ from cytoframe.sources.scratch import written
 #: The shares of reads or counts that saturation curves are drawn at.
 FRACTIONS = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.04, 0.03, 0.02, 0.01)
 SPATIAL_NAME = r"^s_002um_\d{5}_\d{5}-1$"
+ROWS_A_TASK = 500_000  # tags that a task tells apart; more of them take more tasks
+SALTS = 64  # parts that the UMIs of one feature and cell are dealt to
 
 
 @dataclass
@@ -33,15 +35,16 @@ class Matrix:
     def from_tags(cls, tags: DataFrame, feature: str = "gene", cell: str = "cb", umi: Column | str = "ub", *, unknown: bool = False) -> Matrix:
         """Distinct UMIs of every feature and cell; unknown features ('-') are left out unless wanted.
 
-        Nearly every row is a UMI of its own, so rows are dealt out by all three before they are told apart: a task holds its part of
-        spark.sql.shuffle.partitions, neither what a split of the input holds nor what adaptive execution would put together.
+        Nearly every row is a UMI of its own, so what a task tells apart follows from the rows dealt to it alone. They are counted before,
+        and the more there are, the more parts they are dealt to: by feature, cell and a part of the UMIs, then the parts' counts by
+        feature and cell. Tags that are costly to compute should be a written table.
         """
         u = F.col(umi) if isinstance(umi, str) else umi
         kept = tags if unknown else tags.where(F.col(feature) != "-")
-        rows = kept.select(F.col(feature).alias("feature"), F.col(cell).alias("cell"), u.alias("_umi"))
-        dealt = int(tags.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        distinct = rows.repartition(dealt, "feature", "cell", "_umi").distinct()
-        return cls.from_values(distinct.groupBy("feature", "cell").agg(F.count("_umi").alias("value")))
+        rows = kept.select(F.col(feature).alias("feature"), F.col(cell).alias("cell"), F.pmod(F.xxhash64(u), F.lit(SALTS)).alias("_part"), u.alias("_umi"))
+        dealt = max(int(tags.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-kept.count() // ROWS_A_TASK))
+        parts = rows.repartition(dealt, "feature", "cell", "_part").distinct().groupBy("feature", "cell", "_part").agg(F.count("_umi").alias("_n"))
+        return cls.from_values(parts.select("feature", "cell", "_n").repartition(dealt, "feature", "cell").groupBy("feature", "cell").agg(F.sum("_n").alias("value")))
 
     def kept(self) -> Matrix:
         """The matrix with its values and axes as written tables, so that nothing before it is computed again by what follows."""

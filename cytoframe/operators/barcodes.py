@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from cytoframe.functions import seq
 from cytoframe.operators.ranks import numbered
-from cytoframe.sources.scratch import written
+from cytoframe.sources.scratch import parts_for, written
 
 KMER = 5
+STRINGS_A_TASK = 20_000  # strings whose deletion variants a task sorts, some hundred rows each
 FULL_LIST = 500  # entries up to which a list is compared one by one; longer ones go through an index that gives the same pairs
 
 
@@ -81,12 +82,16 @@ def _variants(df: DataFrame, c: str, edits: int) -> DataFrame:
     return rows.select(c, F.xxhash64("_x").alias("_k"))
 
 
-def within(rest: DataFrame, listed: DataFrame, edits: int) -> DataFrame:
+def within(rest: DataFrame, listed: DataFrame, edits: int, strings: int = 0) -> DataFrame:
     """Distinct pairs (cr, wl, ed) within so many edits: both sides meet where deleting up to `edits` bases gives them a string in common.
 
     No pair within the edits is lost. Equal hashes of other strings only cost a comparison. Neither side is broadcast however small it looks.
+    With the number of `strings` of both sides, variants are dealt to more parts where there are many; of one string they are few, so none is hot.
     """
-    pairs = _variants(rest, "cr", edits).join(_variants(listed, "wl", edits).hint("merge"), "_k").select("cr", "wl").withColumn("ed", F.levenshtein("cr", "wl", edits))
+    parts = parts_for(rest.sparkSession, strings, STRINGS_A_TASK)
+    usual = parts_for(rest.sparkSession, 0)
+    left, right = (v.repartition(parts, "_k") if parts > usual else v for v in (_variants(rest, "cr", edits), _variants(listed, "wl", edits)))
+    pairs = left.join(right.hint("merge"), "_k").select("cr", "wl").withColumn("ed", F.levenshtein("cr", "wl", edits))
     return pairs.where("ed >= 0").distinct()
 
 
@@ -98,12 +103,13 @@ def _indexed(rest: DataFrame, listed: DataFrame, max_edits: int, margin: int, bl
     """
     parts = lambda c: F.array_distinct(seq.kmers(F.col(c), KMER))
     met = lambda pairs: pairs.where(F.arrays_overlap(parts("cr"), parts("wl"))) if blocked else pairs
-    near = written(met(within(rest, listed, max_edits)), "near")
+    strings = rest.count() + listed.count()
+    near = written(met(within(rest, listed, max_edits, strings)), "near")
     reach = max_edits + margin - 1
     if reach <= max_edits:
         return near
     open_ = near.groupBy("cr").agg(F.min("ed").alias("_b"), F.count("*").alias("_n")).where((F.col("_n") == 1) & (F.col("_b") + margin - 1 > max_edits)).select("cr")
-    return near.union(met(within(open_, listed, reach))).distinct()
+    return near.union(met(within(open_, listed, reach, strings))).distinct()
 
 
 def correct(reads: DataFrame, whitelist: DataFrame, *, max_edits: int = 2, margin: int = 2, blocked: bool = True, barcode_length: int | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from cytoframe.plans import pipeline, views
 from cytoframe.plans.catalogue import REGION, _correction_sql, _matrix, query
 from cytoframe.plans.views import t
 from cytoframe.sources import alignments, annotation, fastq, ingress
-from cytoframe.sources.scratch import scratch_path, written
+from cytoframe.sources.scratch import dealt_by_rows, scratch_path, written
 from cytoframe.streaming import ingest
 
 # ---- probes and adapters -------------------------------------------------------------------------------------------------------
@@ -54,10 +54,11 @@ def adapter_fasta(s, d):
 def _tags(s, d):
     """Reads with their corrected barcode, written once."""
     r = written(views.reads(s, d).select("read_id", "gene", "chr", "start", "cr", "ur"), "reads")
-    corrected = barcodes.correct(r, views.whitelist(s, d), barcode_length=16).select("cr", F.coalesce("cb", F.lit("-")).alias("CB"))
-    rows = r.join(corrected, "cr").select("read_id", "chr", "start", (F.col("start") + 700).alias("end"), "CB", F.col("cr").alias("CR"), F.col("ur").alias("UR"))
+    with dealt_by_rows(s, r.count()):
+        corrected = barcodes.correct(r, views.whitelist(s, d), barcode_length=16).select("cr", F.coalesce("cb", F.lit("-")).alias("CB"))
+        rows = written(r.join(corrected, "cr").select("read_id", "chr", "start", (F.col("start") + 700).alias("end"), "CB", F.col("cr").alias("CR"), F.col("ur").alias("UR")), "tags")
     known = F.when(F.col("gene") == "click", "-").otherwise(F.concat("gene", F.lit("."), F.col("read_id") % 40))
-    return written(rows, "tags"), r.select("read_id", known.alias("gene"), F.lit("-").alias("transcript"))
+    return rows, r.select("read_id", known.alias("gene"), F.lit("-").alias("transcript"))
 
 
 PARAMETERS = pipeline.Parameters(expected_cells=100, matrix_min_genes=2, matrix_min_cells=2, matrix_max_mito=100)
@@ -76,8 +77,9 @@ TAGGED = (
 def pipeline_raw_matrix(s, d):
     """Barcode correction, features, UMI clustering and counting in one run."""
     tags, features = _tags(s, d)
-    rows = pipeline.with_umis(written(pipeline.known_tags(tags, features), "known"), PARAMETERS)
-    return pipeline.matrix_of(written(rows, "expression")).values
+    with dealt_by_rows(s, tags.count()):
+        rows = written(pipeline.with_umis(written(pipeline.known_tags(tags, features), "known"), PARAMETERS), "expression")
+    return pipeline.matrix_of(rows).values
 
 
 PROCESSED = TAGGED + ", kc as (select cell from mx group by 1 having count(*) >= 2), kf as (select feature from mx group by 1 having count(*) >= 2), km as (select * from mx where cell in (select cell from kc) and feature in (select feature from kf)), tt as (select cell, sum(value) as total from km group by 1)"

@@ -11,7 +11,7 @@ from cytoframe.functions import seq
 from cytoframe.operators import adapters, barcodes, kits, probes, reduction, saturation, summaries, tagging, umi
 from cytoframe.operators.matrix import Matrix
 from cytoframe.sources import exchange
-from cytoframe.sources.scratch import written
+from cytoframe.sources.scratch import dealt_by_rows, written
 
 
 @dataclass(frozen=True)
@@ -139,10 +139,14 @@ def processed(matrix: Matrix, p: Parameters, *, filtering: bool = True) -> dict[
 
 
 def run(tags: DataFrame, features: DataFrame, p: Parameters) -> dict[str, object]:
-    """Corrected tags and features of reads to matrices, summaries and saturation."""
-    known = written(known_tags(tags, features), "known")
-    rows = written(with_umis(known, p), "expression")
-    out = processed(matrix_of(rows), p)
+    """Corrected tags and features of reads to matrices, summaries and saturation.
+
+    The tags are counted first, so they should be a written table: the more there are, the more parts the steps deal them to.
+    """
+    with dealt_by_rows(tags.sparkSession, tags.count()):
+        known = written(known_tags(tags, features), "known")
+        rows = written(with_umis(known, p), "expression")
+        out = processed(matrix_of(rows), p)
     out["expression_summary"] = summaries.expression(known)
     out["sequencing_saturation"] = saturation.curve(rows, F.xxhash64("read_id"))
     out["tags"] = rows

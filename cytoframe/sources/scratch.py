@@ -3,10 +3,30 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+PARTS = "spark.sql.shuffle.partitions"
+ROWS_A_TASK = 500_000  # rows that a task tells apart or sorts; more of them take more tasks
+
+
+def parts_for(spark: SparkSession, rows: int, a_task: int = ROWS_A_TASK) -> int:
+    """Tasks for so many rows: spark.sql.shuffle.partitions, or more where those would get more than `a_task` rows each."""
+    return max(int(spark.conf.get(PARTS)), -(-rows // a_task))
+
+
+@contextmanager
+def dealt_by_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For tables written inside: exchanges have parts_for(rows) partitions, of which adaptive execution puts small ones together."""
+    before = spark.conf.get(PARTS)
+    spark.conf.set(PARTS, str(parts_for(spark, rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(PARTS, before)
 
 
 def shared_folder(spark: SparkSession) -> str:

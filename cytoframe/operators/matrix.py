@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoframe.functions import draws
 from cytoframe.operators.ranks import numbered
-from cytoframe.sources.scratch import written
+from cytoframe.sources.scratch import ROWS_A_TASK, parts_for, written
 
 #: The shares of reads or counts that saturation curves are drawn at.
 FRACTIONS = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.04, 0.03, 0.02, 0.01)
 SPATIAL_NAME = r"^s_002um_\d{5}_\d{5}-1$"
-ROWS_A_TASK = 500_000  # tags that a task tells apart; more of them take more tasks
 SALTS = 64  # parts that the UMIs of one feature and cell are dealt to
 
 
@@ -26,6 +25,7 @@ class Matrix:
     features: DataFrame
     cells: DataFrame
     full: bool = False  # every feature and cell of the axes has a value
+    parts: int | None = None  # tasks to deal the values to where a task sorts them; None: as Spark does
 
     @classmethod
     def from_values(cls, values: DataFrame) -> Matrix:
@@ -42,15 +42,16 @@ class Matrix:
         u = F.col(umi) if isinstance(umi, str) else umi
         kept = tags if unknown else tags.where(F.col(feature) != "-")
         rows = kept.select(F.col(feature).alias("feature"), F.col(cell).alias("cell"), F.pmod(F.xxhash64(u), F.lit(SALTS)).alias("_part"), u.alias("_umi"))
-        dealt = max(int(tags.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-kept.count() // ROWS_A_TASK))
+        dealt = parts_for(tags.sparkSession, kept.count(), ROWS_A_TASK)
         parts = rows.repartition(dealt, "feature", "cell", "_part").distinct().groupBy("feature", "cell", "_part").agg(F.count("_umi").alias("_n"))
-        return cls.from_values(parts.select("feature", "cell", "_n").repartition(dealt, "feature", "cell").groupBy("feature", "cell").agg(F.sum("_n").alias("value")))
+        counted = cls.from_values(parts.select("feature", "cell", "_n").repartition(dealt, "feature", "cell").groupBy("feature", "cell").agg(F.sum("_n").alias("value")))
+        return replace(counted, parts=dealt if dealt > parts_for(tags.sparkSession, 0) else None)
 
     def kept(self) -> Matrix:
         """The matrix with its values and axes as written tables, so that nothing before it is computed again by what follows."""
         v = written(self.values, "matrix")
         same = lambda axis, c: v.select(c).distinct() if axis is None else written(axis, f"axis-{c}")
-        return Matrix(v, same(self._own_axis("features"), "feature"), same(self._own_axis("cells"), "cell"), self.full)
+        return Matrix(v, same(self._own_axis("features"), "feature"), same(self._own_axis("cells"), "cell"), self.full, self.parts)
 
     def _own_axis(self, name: str) -> DataFrame | None:
         """The axis, or None where it is by construction that of the values."""
@@ -89,7 +90,7 @@ class Matrix:
             v, c = v.join(cells, "cell", "left_semi"), cells
         if features is not None:
             v, f = v.join(features, "feature", "left_semi"), features
-        return Matrix(v, f, c)
+        return Matrix(v, f, c, parts=self.parts)
 
     def _rich_cells(self, n: int) -> DataFrame:
         return self.values.where("value != 0").groupBy("cell").count().where(F.col("count") >= n).select("cell")
@@ -141,7 +142,7 @@ class Matrix:
         if strict:
             self._sized("remove_unknown")
             self._some(features, "features")
-        return Matrix(self.values.where(F.col("feature") != key), features, self.cells)
+        return Matrix(self.values.where(F.col("feature") != key), features, self.cells, parts=self.parts)
 
     def find_features(self, parts: list[str], *, inverse: bool = False) -> DataFrame:
         hit = F.lit(False)
@@ -152,10 +153,11 @@ class Matrix:
     def normalize(self, to: float) -> Matrix:
         """Scales every cell to the same total. A cell has no more values than the feature axis is long, so its rows may meet in one task."""
         total = F.sum("value").over(Window.partitionBy("cell"))
-        return Matrix(self.values.select("feature", "cell", (F.col("value") * to / total).alias("value")), self.features, self.cells, self.full)
+        values = self.values.repartition(self.parts, "cell") if self.parts else self.values
+        return Matrix(values.select("feature", "cell", (F.col("value") * to / total).alias("value")), self.features, self.cells, self.full, self.parts)
 
     def log_transform(self) -> Matrix:
-        return Matrix(self.values.withColumn("value", F.log1p("value") / F.log(F.lit(10.0))), self.features, self.cells, self.full)
+        return Matrix(self.values.withColumn("value", F.log1p("value") / F.log(F.lit(10.0))), self.features, self.cells, self.full, self.parts)
 
     def mean_expression(self) -> DataFrame:
         """Sum per cell over the length of the feature axis; cells of zeros count as 0."""
@@ -177,7 +179,7 @@ class Matrix:
     def downsample(self, p: float) -> Matrix:
         """Thins integer counts: each is kept with probability p; entries that fall to zero go, the axes stay."""
         kept = self._drawn((p,)).withColumn("value", F.col("_d")[0].cast(self.values.schema["value"].dataType)).drop("_d")
-        return Matrix(kept.where("value > 0"), self.features, self.cells)
+        return Matrix(kept.where("value > 0"), self.features, self.cells, parts=self.parts)
 
     def saturation_statistics(self, fractions: tuple[float, ...] = FRACTIONS) -> DataFrame:
         """Per fraction: all counts, and median features and counts of the cells (empty ones included), from nested thinning in one pass."""

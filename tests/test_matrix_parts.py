@@ -22,3 +22,10 @@ def test_queries_deal_by_rows(spark, monkeypatch, name):
     numbers = re.findall(r"hashpartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", plan(found))
     assert int(dealt) > 4 and len(numbers) == (3 if name == "matrix_normalize_log" else 2) and set(numbers) == {dealt}
     assert rows(found) == want
+
+
+def test_normalised_matrix_for_components_is_dealt(spark, monkeypatch):
+    monkeypatch.setattr(matrix, "ROWS_A_TASK", 500)
+    dealt = -(-views.tags(spark, SF).where("gene <> '-'").count() // 500)
+    done = Matrix.from_tags(views.tags(spark, SF)).kept().normalize(10_000.0).log_transform()
+    assert done.parts == dealt and re.search(rf"hashpartitioning\(cell#\d+, {dealt}\), REPARTITION_BY_NUM", plan(done.values))

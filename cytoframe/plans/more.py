@@ -94,7 +94,7 @@ def pipeline_processed_matrix(s, d):
 @query("select m.feature, m.cell, m.value from (select case when gene = 'G100' then '-' else gene end as feature, cb as cell, count(distinct ub) as value from tags group by 1, 2) m where m.feature <> '-'")
 def matrix_remove_unknown(s, d):
     tags = views.tags(s, d).withColumn("gene", F.when(F.col("gene") == "G100", "-").otherwise(F.col("gene")))
-    return Matrix.from_tags(tags, unknown=True).remove_unknown(strict=True).values
+    return Matrix.from_tags(tags, unknown=True).kept().remove_unknown(strict=True).values
 
 
 @query()

@@ -29,3 +29,8 @@ def test_normalised_matrix_for_components_is_dealt(spark, monkeypatch):
     dealt = -(-views.tags(spark, SF).where("gene <> '-'").count() // 500)
     done = Matrix.from_tags(views.tags(spark, SF)).kept().normalize(10_000.0).log_transform()
     assert done.parts == dealt and re.search(rf"hashpartitioning\(cell#\d+, {dealt}\), REPARTITION_BY_NUM", plan(done.values))
+
+
+def test_unknown_features_are_left_out_of_a_written_matrix(spark):
+    found = more.matrix_remove_unknown(spark, SF)
+    assert found.inputFiles() and all("/matrix-" in f for f in found.inputFiles())

@@ -84,12 +84,12 @@ class Matrix:
         return cls(both(lambda m: m.values).groupBy("feature", "cell").agg(F.sum("value").alias("value")), both(lambda m: m.features).distinct(), both(lambda m: m.cells).distinct())
 
     def _kept(self, cells: DataFrame | None, features: DataFrame | None) -> Matrix:
-        """The matrix with these axes, each distinct names of its own values."""
+        """The matrix with these axes, each distinct names of its own values. A task hashes its names and sorts no values."""
         v, f, c = self.values, self.features, self.cells
         if cells is not None:
-            v, c = v.join(cells, "cell", "left_semi"), cells
+            v, c = v.join(cells.hint("shuffle_hash"), "cell", "left_semi"), cells
         if features is not None:
-            v, f = v.join(features, "feature", "left_semi"), features
+            v, f = v.join(features.hint("shuffle_hash"), "feature", "left_semi"), features
         return Matrix(v, f, c, parts=self.parts)
 
     def _rich_cells(self, n: int) -> DataFrame:

@@ -31,6 +31,18 @@ def test_normalised_matrix_for_components_is_dealt(spark, monkeypatch):
     assert done.parts == dealt and re.search(rf"hashpartitioning\(cell#\d+, {dealt}\), REPARTITION_BY_NUM", plan(done.values))
 
 
+@pytest.mark.parametrize("name", ["matrix_filter_cells_then_features"])
+def test_filters_sort_no_values(spark, name):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # as for long axes
+    try:
+        found = plan(catalogue.QUERIES[name](spark, SF))
+    finally:
+        spark.conf.set(limit, before)
+    assert "ShuffledHashJoin" in found and "SortMergeJoin" not in found
+
+
 def test_unknown_features_are_left_out_of_a_written_matrix(spark):
     found = more.matrix_remove_unknown(spark, SF)
     assert found.inputFiles() and all("/matrix-" in f for f in found.inputFiles())

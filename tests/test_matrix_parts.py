@@ -31,7 +31,7 @@ def test_normalised_matrix_for_components_is_dealt(spark, monkeypatch):
     assert done.parts == dealt and re.search(rf"hashpartitioning\(cell#\d+, {dealt}\), REPARTITION_BY_NUM", plan(done.values))
 
 
-@pytest.mark.parametrize("name", ["matrix_filter_cells_then_features"])
+@pytest.mark.parametrize("name", ["matrix_filter_cells_then_features", "matrix_filter_features_then_cells"])
 def test_filters_sort_no_values(spark, name):
     limit = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(limit)

@@ -13,7 +13,7 @@ plan = lambda df: df._jdf.queryExecution().executedPlan().toString()  # noqa: E7
 rows = lambda df: sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("name", ["matrix_mito_pct", "matrix_normalize_log"])
+@pytest.mark.parametrize("name", ["matrix_mito_pct", "matrix_normalize_log", "matrix_downsample"])
 def test_queries_deal_by_rows(spark, monkeypatch, name):
     want = rows(catalogue.QUERIES[name](spark, SF))
     monkeypatch.setattr(matrix, "ROWS_A_TASK", 500)

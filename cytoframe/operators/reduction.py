@@ -12,8 +12,17 @@ from pyspark.sql import functions as F
 from cytoframe.operators.matrix import Matrix
 from cytoframe.sources.scratch import written
 
+NAME_BYTES = 40  # of a row of weights, beside its numbers
+SENT = 8 << 20  # bytes of weights up to which Spark chooses the join; it sends about so many to every task
+
+
 def _product(values: DataFrame, by: str, other: str, weights: DataFrame, k: int) -> DataFrame:
-    """Rows (by, w array<double>): the matrix times the weights of the other axis."""
+    """Rows (by, w array<double>): the matrix times the weights of the other axis, a written table.
+
+    Weights too long to be sent to every task are dealt and hashed, so a task sorts no values and holds its share of the axis.
+    """
+    if weights.count() * (8 * k + NAME_BYTES) > SENT:
+        weights = weights.hint("shuffle_hash")
     each = [F.sum(F.col("value") * F.col("w")[i]) for i in range(k)]
     return values.join(weights, other).groupBy(by).agg(F.array(*each).alias("w"))
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from cytoframe.operators import matrix
+from cytoframe.operators import matrix, reduction
 from cytoframe.operators.matrix import Matrix
 from cytoframe.plans import catalogue, files, more, views  # noqa: F401  they register the queries
 
@@ -46,3 +46,20 @@ def test_filters_sort_no_values(spark, name):
 def test_unknown_features_are_left_out_of_a_written_matrix(spark):
     found = more.matrix_remove_unknown(spark, SF)
     assert found.inputFiles() and all("/matrix-" in f for f in found.inputFiles())
+
+
+def test_products_with_long_weights_sort_no_values(spark, monkeypatch):
+    values = spark.createDataFrame([("g1", "c1", 2.0), ("g2", "c1", 3.0), ("g1", "c2", 5.0)], "feature string, cell string, value double")
+    weights = spark.createDataFrame([("c1", [1.0, 10.0]), ("c2", [2.0, 0.0])], "cell string, w array<double>")
+    want = [("g1", [12.0, 20.0]), ("g2", [3.0, 30.0])]
+    assert rows(reduction._product(values, "feature", "cell", weights, 2)) == want
+    monkeypatch.setattr(reduction, "SENT", 0, raising=False)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        found = reduction._product(values, "feature", "cell", weights, 2)
+        assert "ShuffledHashJoin" in plan(found) and "SortMergeJoin" not in plan(found)
+        assert rows(found) == want
+    finally:
+        spark.conf.set(limit, before)

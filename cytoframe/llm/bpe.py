@@ -30,6 +30,7 @@ LONG = 256
 CACHE_WORDS = 1_000_000  # pre-tokens that a worker keeps at most,
 CACHE_LANES = 4_000_000  # and eight-byte pieces of them
 SLICE = 1 << 20
+CODE_POINTS = 1 << 13
 
 
 @lru_cache(1)
@@ -37,19 +38,21 @@ def character_classes() -> np.ndarray:
     """Class of each code point, as the library's own pattern sees it under \\s, \\p{L} and \\p{N}.
 
     A first guess comes from `regex`, whose Unicode tables may be of another age. All characters of a guessed class in one text are cut
-    by the library wherever its class changes, so one look at each piece sets the guess right.
+    by the library wherever its class changes, so one look at each piece sets the guess right. Texts of CODE_POINTS at a time: one of all
+    characters takes a worker hundreds of MB.
     """
     import regex
     from tokenizers import pre_tokenizers
 
     split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
     kind = np.full(0x110000, OTHER, np.uint8)
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    every = "".join(map(chr, points))
-    back = np.array(points)
-    for pattern, value in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\p{White_Space}+", SPACE)):
-        for m in regex.finditer(pattern, every):
-            kind[back[m.start() : m.end()]] = value
+    points = np.concatenate([np.arange(0xD800, dtype=np.int32), np.arange(0xE000, 0x110000, dtype=np.int32)])
+    pieces = lambda some: (some[i : i + CODE_POINTS] for i in range(0, len(some), CODE_POINTS))
+    text = lambda some: some.astype("<u4").tobytes().decode("utf-32-le")
+    for back in pieces(points):
+        for pattern, value in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\p{White_Space}+", SPACE)):
+            for m in regex.finditer(pattern, text(back)):
+                kind[back[m.start() : m.end()]] = value
 
     def look(c: str) -> int:
         for probe, value in (("a", LETTER), ("1", NUMBER), ("!", OTHER)):
@@ -57,12 +60,12 @@ def character_classes() -> np.ndarray:
                 return value
         return SPACE
 
-    for c in map(chr, back[kind[back] == SPACE].tolist()):
+    for c in map(chr, points[kind[points] == SPACE].tolist()):
         kind[ord(c)] = look(c)
-    for value in (LETTER, NUMBER, OTHER):
-        own = back[kind[back] == value]
-        for _, (first, stop) in split("".join(map(chr, own.tolist()))):
-            kind[own[first:stop]] = look(chr(own[first]))
+    for whole in [points[kind[points] == value] for value in (LETTER, NUMBER, OTHER)]:
+        for own in pieces(whole):
+            for _, (first, stop) in split(text(own)):
+                kind[own[first:stop]] = look(chr(own[first]))
     return kind
 
 

@@ -30,7 +30,7 @@ from cytoframe.llm.shared import free_name, in_slots, packed, partitions, ragged
 WIDTH = 5
 SHARED, UNION = 80, 100  # similar if UNION * |x & y| >= SHARED * |x | y|
 BUCKET_KEYS = 1_500_000
-POSTED = 2_000_000  # keys that a task holds before it hands them on
+POSTED = 400_000  # keys that a task holds before it hands them on
 SKETCH_WORDS = (2, 8, 32, 128)  # sketch sizes in 64-bit words, for up to 64, 256, 1024 and more shingles
 BLOCK = 1024
 

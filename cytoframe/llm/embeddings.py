@@ -1,11 +1,13 @@
 """Near-duplicate embeddings by PCA-ordered tiled comparison.
 
 Unit vectors are turned into their principal axes, so that the leading dimensions hold most of their length, and sorted into tiles by
-cells of the first axes. Two tiles are compared unless their bounding boxes are too far apart for the threshold. Inside a pair of
-tiles the product of the leading dimensions is accumulated first; what the rest can add is bounded by the product of the two suffix
-norms, and a pair is given up as soon as product and bound cannot reach the threshold. Pairs that stay are decided by the cosine of
-the original vectors in double precision. Vectors are scaled by a power of two first, which changes no cosine, so that no square
-overflows or vanishes. Tiles move in blocks, once for each pair of blocks that holds a pair of near tiles.
+cells of the first axes. Two tiles are compared unless their bounding boxes are too far apart for the threshold. What the axes after
+the leading ones can add to a cosine is at most the product of the two norms there. That norm is taken as one more axis, so that one
+matrix product in single precision bounds the cosines of many pairs at once; its rounding is allowed for. Pairs that it cannot give up
+are decided by the cosine of the original vectors in double precision, or, where they are many, by a product of all axes first, which
+leaves only those to double precision that lie within its rounding of the threshold. Vectors are scaled by a power of two first, which
+changes no cosine, so that no square overflows or vanishes. Tiles move in blocks, once for each pair of blocks that holds a pair of near
+tiles; blocks grow with the rows, so that their number and with it what is moved does not, until they are full.
 """
 
 from __future__ import annotations
@@ -15,18 +17,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cytoframe.llm.components import connected_components
 from cytoframe.llm.shared import partitions, trim, written
 
 COSINE = 0.9
-TILE, BLOCK_BITS = 1024, 3  # vectors a tile; at most 2**BLOCK_BITS tiles a block
-BLOCKS = 16  # blocks that few tiles make at least, so that their pairs fill more than a few tasks
+TILE = 1024  # vectors a tile at most
+BLOCKS, BLOCK = 16, 1 << 16  # blocks are to be so many, of TILE vectors at least and BLOCK at most
+PARTS = 4096  # tasks that pairs of blocks are dealt to at most
 CELL, CELL_AXES, BOX_AXES = 0.45, 3, 16
-STAGES = (8, 16, 32)
-SLACK = 1e-9  # rounding of the turned vectors
+HEAD = 32  # leading axes of the first product
+ROWS, COLS = 256, 2048  # rows and columns of one product
+DENSE = 1 / 16  # share of the eights of pairs with one to decide beyond which all axes are multiplied
+EDGES = 1 << 18  # links that are held before they are joined
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -78,24 +83,36 @@ def _place(axes):
     return run
 
 
+def narrow(x: np.ndarray) -> np.ndarray:
+    """x in single precision where that loses nothing."""
+    y = x.astype(np.float32)
+    return y if (y == x).all() else x
+
+
+def widened(raw: bytes, d: int, n: int) -> np.ndarray:
+    """The n rows of narrow(x).tobytes(), as narrow as they are."""
+    return np.frombuffer(raw, np.float32 if len(raw) == 4 * d * n else np.float64).reshape(n, d)
+
+
 def _tile(axes):
-    """Consecutive rows of a partition as tiles: ids, raw vectors, and the box of the leading axes. A tile ends with its cell."""
+    """Consecutive rows of a partition as tiles: ids, raw vectors, the box of the leading axes, and the rows before it. A tile ends with its cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = 0
+        number = before = 0
         held: list = []
         cell = None
 
         def flush() -> pa.RecordBatch:
-            nonlocal number
+            nonlocal number, before
             ids = np.array([h[0] for h in held], np.int64)
-            raw = b"".join(h[1] for h in held)
-            x = np.frombuffer(raw, np.float64).reshape(len(ids), -1)
+            x = np.frombuffer(b"".join(h[1] for h in held), np.float64).reshape(len(ids), -1)
             y = ((x / np.sqrt((x * x).sum(1, keepdims=True))) @ axes.value)[:, :BOX_AXES]
-            row = [[TaskContext.get().partitionId() << 32 | number], [cell], [ids.tobytes()], [raw], [y.min(0).tolist()], [y.max(0).tolist()]]
+            part = TaskContext.get().partitionId()
+            row = [[part << 32 | number], [part], [before], [len(ids)], [ids.tobytes()], [narrow(x).tobytes()], [y.min(0).tolist()], [y.max(0).tolist()]]
             number += 1
+            before += len(ids)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())), strict=True)], names=["_tile", "_cell", "_ids", "_raw", "_low", "_high"])
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())), strict=True)], names=["_tile", "_part", "_before", "_n", "_ids", "_raw", "_low", "_high"])
 
         for batch in batches:
             for rep, c, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), strict=True):
@@ -109,53 +126,86 @@ def _tile(axes):
     return run
 
 
-def close_pairs(x: np.ndarray, y: np.ndarray, axes: np.ndarray, cosine: float, same: bool, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows of x and y whose cosine is at least the threshold (of one tile with itself: first index smaller)."""
-    nx, ny = np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1))
-    u, v = (x / nx[:, None]) @ axes, (y / ny[:, None]) @ axes
-    d = x.shape[1]
-    cuts = [c for c in STAGES if c < d] + [d]
-    rest = lambda z, c: np.sqrt(np.maximum((z[:, c:] ** 2).sum(1), 0))
-    left, right = [], []
-    for i in range(0, len(x), step):
-        p = u[i : i + step, : cuts[0]] @ v[:, : cuts[0]].T
-        a, b = np.nonzero(p + np.outer(rest(u[i : i + step], cuts[0]), rest(v, cuts[0])) >= cosine - SLACK)
-        if same:
-            a, b = a[b > a + i], b[b > a + i]
-        s = p[a, b]
-        a = a + i
-        for c, to in zip(cuts[:-1], cuts[1:], strict=True):
-            parts = []
-            for k in range(0, len(a), 1 << 16):
-                parts.append(np.einsum("ij,ij->i", u[a[k : k + (1 << 16)], c:to], v[b[k : k + (1 << 16)], c:to]))
-            s = s + np.concatenate(parts) if parts else s
-            keep = s + rest(u, to)[a] * rest(v, to)[b] >= cosine - SLACK
-            a, b, s = a[keep], b[keep], s[keep]
-        for k in range(0, len(a), 1 << 16):
-            m, n = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
-            ok = np.einsum("ij,ij->i", x[m], y[n]) / (nx[m] * ny[n]) >= cosine
-            left.append(m[ok])
-            right.append(n[ok])
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
-
-
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, smallest node of its component) that connect what the given edges connect; by repeated minima."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    a, b = at[: len(a)], at[len(a) :]
-    label = np.arange(len(nodes))
+class Side:
+    """Vectors of a block: as they are, their norms, and their turned unit vectors in single precision, with the norm of the rest after the leading axes."""
+
+    def __init__(self, tiles: list[np.ndarray], axes: np.ndarray) -> None:
+        d = len(axes)
+        h = min(HEAD, d)
+        n = sum(len(x) for x in tiles)
+        self.x = np.concatenate(tiles)
+        self.norm, self.unit, self.head = np.empty(n), np.empty((n, d), np.float32), np.empty((n, h + 1), np.float32)
+        at = 0
+        for x in tiles:
+            x = x.astype(np.float64)
+            to = at + len(x)
+            self.norm[at:to] = np.sqrt((x * x).sum(1))
+            u = (x / self.norm[at:to, None]) @ axes
+            self.unit[at:to] = u
+            self.head[at:to, :h] = u[:, :h]
+            self.head[at:to, h] = np.sqrt((u[:, h:] ** 2).sum(1))
+            at = to
+
+    def take(self, rows: np.ndarray) -> Side:
+        """Some of the rows, which are in ascending order; without a copy if they are one range."""
+        if len(rows) and rows[-1] - rows[0] + 1 == len(rows):
+            rows = slice(int(rows[0]), int(rows[-1]) + 1)
+        out = object.__new__(Side)
+        out.x, out.norm, out.unit, out.head = self.x[rows], self.norm[rows], self.unit[rows], self.head[rows]
+        return out
+
+
+def linked(one: Side, two: Side, a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
+    """Whether the cosine of each pair is at least the threshold, in double precision."""
+    out = np.empty(len(a), bool)
+    for k in range(0, len(a), 1 << 14):
+        m, n = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
+        out[k : k + (1 << 14)] = np.einsum("ij,ij->i", one.x[m].astype(np.float64), two.x[n].astype(np.float64)) / (one.norm[m] * two.norm[n]) >= cosine
+    return out
+
+
+def close_pairs(one: Side, two: Side, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of rows whose cosine is at least the threshold, those of one product at a time."""
+    d = one.unit.shape[1]
+    slack = (d + 8) * 2.0**-23  # twice what d + 1 products and sums in single precision can be off, and more than rounding takes
+    products, marks = np.empty(ROWS * COLS, np.float32), np.empty(ROWS * COLS + 8, bool)
+    for i in range(0, len(one.x), ROWS):
+        p = one.head[i : i + ROWS]
+        for j in range(0, len(two.x), COLS):
+            q = two.head[j : j + COLS]
+            size, width = len(p) * len(q), len(q)
+            s = np.matmul(p, q.T, out=products[:size].reshape(len(p), width))
+            np.greater_equal(s, np.float32(cosine - slack), out=marks[:size].reshape(len(p), width))
+            eights = -(-size // 8)
+            marks[size : 8 * eights] = False
+            some = np.flatnonzero(marks[: 8 * eights].view(np.uint64))
+            if not len(some):
+                continue
+            if len(some) > DENSE * eights:
+                s = np.matmul(one.unit[i : i + ROWS], two.unit[j : j + COLS].T, out=s)
+                a, b = np.nonzero(s >= np.float32(cosine - slack))
+                ok = s[a, b] >= np.float32(cosine + slack)
+                doubt = np.flatnonzero(~ok)
+                ok[doubt] = linked(one, two, a[doubt] + i, b[doubt] + j, cosine)
+            else:
+                at = (some[:, None] * 8 + np.arange(8)).reshape(-1)
+                a, b = np.divmod(at[marks[at]], width)
+                ok = linked(one, two, a + i, b + j, cosine)
+            if ok.any():
+                yield a[ok] + i, b[ok] + j
+
+
+def join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins in place what the edges connect; label holds the smallest node of each node's component, before and after."""
     while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new[label]]
-        if (new == label).all():
-            break
-        label = new
-    child = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[child], nodes[label[child]]
+        p, q = label[a], label[b]
+        apart = p != q
+        if not apart.any():
+            return
+        a, b, p, q = a[apart], b[apart], p[apart], q[apart]
+        np.minimum.at(label, np.maximum(p, q), np.minimum(p, q))
+        while ((up := label[label]) != label).any():
+            label[:] = up
 
 
 def boxes_apart(low: np.ndarray, high: np.ndarray, low2: np.ndarray, high2: np.ndarray) -> np.ndarray:
@@ -168,28 +218,58 @@ def _compare(axes, cosine: float, limit: float):
     """Link counts (kind 0: id, links weighted by copies) and a spanning forest of the links (kind 1) of each pair of blocks."""
 
     def run(group: pa.Table) -> pa.Table:
-        side, tile = group.column("_side").to_numpy(), group.column("_tile").to_numpy()
+        group = group.sort_by([("_side", "ascending"), ("_tile", "ascending")])
+        side, sizes = group.column("_side").to_numpy(), group.column("_n").to_numpy()
         low, high = (np.array(group.column(c).to_pylist()) for c in ("_low", "_high"))
-        ids = [np.frombuffer(r.as_py(), np.int64).reshape(-1, 2) for r in group.column("_ids")]
-        raw = [np.frombuffer(r.as_py(), np.float64).reshape(len(i), -1) for r, i in zip(group.column("_raw"), ids, strict=True)]
+        own = side.max() == 0  # one block with itself
+        d = len(axes.value)
+        names = np.concatenate([np.frombuffer(r.as_buffer(), np.int64) for r in group.column("_ids")]).reshape(-1, 2)
+        ids, copies = names[:, 0], names[:, 1]
+        raw = [widened(r.as_buffer(), d, n) for r, n in zip(group.column("_raw"), sizes, strict=True)]
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == side.max())
+        one = Side([raw[i] for i in left], axes.value)
+        two, shift = (one, 0) if own else (Side([raw[i] for i in right], axes.value), int(starts[right[0]]))
         near = boxes_apart(low[left], high[left], low[right], high[right]) <= limit
-        kinds, a_s, b_s = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, j in zip(*np.nonzero(near), strict=True):
-            i, j = left[i], right[j]
-            if tile[i] > tile[j]:
-                continue  # one block with itself: each pair once
-            m, n = ids[i], ids[j]
-            a, b = close_pairs(raw[i], raw[j], axes.value, cosine, bool(tile[i] == tile[j]))
-            links = np.bincount(a, n[b, 1], len(m)).astype(np.int64)
-            back = np.bincount(b, m[a, 1], len(n)).astype(np.int64)
-            p, q = np.flatnonzero(links), np.flatnonzero(back)
-            u, v = forest(m[a, 0], n[b, 0])
-            kinds.append(np.repeat([0, 1], [len(p) + len(q), len(u)]).astype(np.int32))
-            a_s.append(np.concatenate([m[p, 0], n[q, 0], u]))
-            b_s.append(np.concatenate([links[p], back[q], v]))
+        links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        held, many = [], 0
+
+        def settle() -> None:
+            nonlocal many
+            if held:
+                join(label, *(np.concatenate(h) for h in zip(*held, strict=True)))
+            held.clear()
+            many = 0
+
+        for i in left:
+            meets = right[near[i]]
+            meets = meets[meets >= i] if own else meets  # one block with itself: each pair once
+            if not len(meets):
+                continue
+            mine = np.arange(starts[i], ends[i])
+            others = np.concatenate([np.arange(starts[j], ends[j]) for j in meets])
+            for a, b in close_pairs(one.take(mine), two.take(others - shift), cosine):
+                a, b = mine[a], others[b]
+                if own:
+                    a, b = a[b > a], b[b > a]
+                    if not len(a):
+                        continue
+                for at, to in ((a, b), (b, a)):
+                    first = int(at.min())
+                    n = np.bincount(at - first, copies[to])
+                    links[first : first + len(n)] += n.astype(np.int64)
+                apart = label[a] != label[b]
+                held.append((a[apart], b[apart]))
+                many += int(apart.sum())
+                if many > EDGES:
+                    settle()
+        settle()
+        some, child = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(label)))
+        out = pa.table({"_kind": pa.array(np.repeat([0, 1], [len(some), len(child)]), pa.int32()), "a": pa.array(np.concatenate([ids[some], ids[child]])), "b": pa.array(np.concatenate([links[some], ids[label[child]]]))})
+        del group, names, raw, one, two
         trim()
-        return pa.table({"_kind": pa.array(np.concatenate(kinds), pa.int32()), "a": pa.array(np.concatenate(a_s)), "b": pa.array(np.concatenate(b_s))})
+        return out
 
     return run
 
@@ -209,27 +289,32 @@ def near_vectors(embeddings: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     rows = rows.withColumn("_same", F.when((F.size("_x") == d) & F.col("_id").isNotNull(), F.sha2(F.array_join(F.transform("_x", lambda v: (v + 0.0).cast("string")), ",").cast("binary"), 256)))
     reps = written(rows.where("_same is not null").groupBy("_same").agg(F.min(F.struct("_id", "_x")).alias("_r"), F.count("*").alias("_copies")).select("_same", F.col("_r._id").alias("_rep"), F.col("_r._x").alias("_x"), "_copies"), "vectors")
     axes = spark.sparkContext.broadcast(principal_axes(reps, d))
-    n = partitions(embeddings)
+    count = reps.count()
+    n = max(1, min(max(partitions(embeddings), -(-count // (2 * BLOCK))), -(-count // (4 * TILE))))
     placed = written(reps.select(F.array("_rep", "_copies").alias("_rep"), "_x").mapInArrow(_place(axes), "_rep array<long>, _cell int, _first double, _raw binary"), "placed")
     tiles = placed.repartitionByRange(n, "_cell", "_first").sortWithinPartitions("_cell", "_first", "_rep")
-    tiles = tiles.mapInArrow(_tile(axes), "_tile long, _cell int, _ids binary, _raw binary, _low array<double>, _high array<double>")
+    tiles = tiles.mapInArrow(_tile(axes), "_tile long, _part int, _before long, _n long, _ids binary, _raw binary, _low array<double>, _high array<double>")
     tiles = written(tiles, "tiles")
-    box = tiles.select("_tile", "_low", "_high")
+    # blocks are stretches of the order of all tiles: one small row a partition tells how many rows come before it
+    sizes = tiles.groupBy("_part").agg(F.sum("_n").alias("_m"))
+    sizes = sizes.select("_part", (F.sum("_m").over(Window.orderBy("_part")) - F.col("_m")).alias("_base"))
+    full = max(TILE, min(BLOCK, -(-count // BLOCKS)))
+    tiles = tiles.join(F.broadcast(sizes), "_part").withColumn("_block", F.floor((F.col("_base") + F.col("_before")) / full).cast("int")).drop("_part", "_base", "_before")
+    box = tiles.select("_tile", "_block", "_low", "_high")
     # tiles meet in the cells of the first axes that their boxes, widened by the largest distance, cover
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     cells = lambda k, wide: F.explode(F.sequence(F.floor((F.element_at("_low", k) - wide) / CELL), F.floor((F.element_at("_high", k) + wide) / CELL)))
-    near = lambda wide: box.withColumn("_c1", cells(1, wide)).withColumn("_c2", cells(min(2, max(d, 1)), wide)).select("_tile", "_c1", "_c2", "_low", "_high")
-    other = near(0.0).select(F.col("_tile").alias("_tile2"), "_c1", "_c2", F.col("_low").alias("_low2"), F.col("_high").alias("_high2"))
+    near = lambda wide: box.withColumn("_c1", cells(1, wide)).withColumn("_c2", cells(min(2, max(d, 1)), wide)).select("_tile", "_block", "_c1", "_c2", "_low", "_high")
+    other = near(0.0).select(F.col("_tile").alias("_tile2"), F.col("_block").alias("_block2"), "_c1", "_c2", F.col("_low").alias("_low2"), F.col("_high").alias("_high2"))
     gap = F.zip_with(F.zip_with("_low", "_high2", lambda a, b: F.greatest(a - b, F.lit(0.0))), F.zip_with("_low2", "_high", lambda a, b: F.greatest(a - b, F.lit(0.0))), lambda a, b: F.greatest(a, b))
     apart = F.aggregate(F.transform(gap, lambda g: g * g), F.lit(0.0), lambda s, g: s + g)
     limit = reach * reach + 1e-6
     pairs = near(reach).join(other, ["_c1", "_c2"]).where("_tile <= _tile2").where(apart <= limit)
-    bits = max(0, min(BLOCK_BITS, (tiles.count() // BLOCKS).bit_length() - 1))
-    block = lambda c: F.shiftright(c, bits)
-    blocks = pairs.select(block("_tile").alias("_b1"), block("_tile2").alias("_b2")).distinct()
+    blocks = written(pairs.select(F.col("_block").alias("_b1"), F.col("_block2").alias("_b2")).distinct(), "blocks")
     sides = F.explode(F.when(F.col("_b1") == F.col("_b2"), F.array(F.struct(F.lit(0).alias("_side"), F.col("_b1").alias("_block")))).otherwise(F.array(F.struct(F.lit(0).alias("_side"), F.col("_b1").alias("_block")), F.struct(F.lit(1).alias("_side"), F.col("_b2").alias("_block")))))
     sent = blocks.select("_b1", "_b2", sides.alias("_x")).select("_b1", "_b2", "_x.*")
-    both = sent.join(tiles.withColumn("_block", block("_tile")), "_block").select("_b1", "_b2", "_side", "_tile", "_low", "_high", "_ids", "_raw")
+    both = sent.join(tiles, "_block").select("_b1", "_b2", "_side", "_tile", "_n", "_low", "_high", "_ids", "_raw")
+    both = both.repartition(max(1, min(PARTS, blocks.count())), "_b1", "_b2")
     found = written(both.groupBy("_b1", "_b2").applyInArrow(_compare(axes, cosine, limit), "_kind int, a long, b long"), "links")
     counts = found.where("_kind = 0").groupBy(F.col("a").alias("_rep")).agg(F.sum("b").alias("_links"))
     parts = connected_components(found.where("_kind = 1"))

@@ -25,12 +25,13 @@ from cytoframe.llm.shared import partitions, trim, written
 
 COSINE = 0.9
 TILE = 1024  # vectors a tile at most
-BLOCKS, BLOCK = 16, 1 << 16  # blocks are to be so many, of TILE vectors at least and BLOCK at most
+BLOCKS = 16  # blocks are to be so many, of TILE vectors at least
+BLOCK, NUMBERS = 1 << 16, 1 << 22  # vectors and components a block at most; a tile is never cut
 PARTS = 4096  # tasks that pairs of blocks are dealt to at most
 CELL, CELL_AXES, BOX_AXES = 0.45, 3, 16
 HEAD = 32  # leading axes of the first product
-ROWS, COLS = 256, 2048  # rows and columns of one product
-DENSE = 1 / 16  # share of the eights of pairs with one to decide beyond which all axes are multiplied
+ROWS, COLS = 512, 1024  # rows and columns of one product
+DENSE = 1 / 32  # share of pairs to decide beyond which all axes are multiplied, and of links beyond which they are kept as marks
 EDGES = 1 << 18  # links that are held before they are joined
 
 
@@ -164,8 +165,8 @@ def linked(one: Side, two: Side, a: np.ndarray, b: np.ndarray, cosine: float) ->
     return out
 
 
-def close_pairs(one: Side, two: Side, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of rows whose cosine is at least the threshold, those of one product at a time."""
+def close_pairs(one: Side, two: Side, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Index pairs of rows whose cosine is at least the threshold, those of one product at a time: (a, b, None), or rows, columns and which of their pairs where these are many."""
     d = one.unit.shape[1]
     slack = (d + 8) * 2.0**-23  # twice what d + 1 products and sums in single precision can be off, and more than rounding takes
     products, marks = np.empty(ROWS * COLS, np.float32), np.empty(ROWS * COLS + 8, bool)
@@ -178,21 +179,28 @@ def close_pairs(one: Side, two: Side, cosine: float) -> Iterator[tuple[np.ndarra
             np.greater_equal(s, np.float32(cosine - slack), out=marks[:size].reshape(len(p), width))
             eights = -(-size // 8)
             marks[size : 8 * eights] = False
-            some = np.flatnonzero(marks[: 8 * eights].view(np.uint64))
-            if not len(some):
+            many = np.count_nonzero(marks[:size])
+            if not many:
                 continue
-            if len(some) > DENSE * eights:
-                s = np.matmul(one.unit[i : i + ROWS], two.unit[j : j + COLS].T, out=s)
-                a, b = np.nonzero(s >= np.float32(cosine - slack))
-                ok = s[a, b] >= np.float32(cosine + slack)
-                doubt = np.flatnonzero(~ok)
-                ok[doubt] = linked(one, two, a[doubt] + i, b[doubt] + j, cosine)
+            if many > DENSE * size:
+                np.matmul(one.unit[i : i + ROWS], two.unit[j : j + COLS].T, out=s)
+                sure = s >= np.float32(cosine + slack)
+                doubt = (s >= np.float32(cosine - slack)) != sure
+                if doubt.any():
+                    a, b = np.nonzero(doubt)
+                    sure[a, b] = linked(one, two, a + i, b + j, cosine)
+                if np.count_nonzero(sure) > size * DENSE:
+                    yield np.arange(i, i + len(p)), np.arange(j, j + width), sure
+                    continue
+                a, b = np.nonzero(sure)
             else:
+                some = np.flatnonzero(marks[: 8 * eights].view(np.uint64))
                 at = (some[:, None] * 8 + np.arange(8)).reshape(-1)
                 a, b = np.divmod(at[marks[at]], width)
                 ok = linked(one, two, a + i, b + j, cosine)
-            if ok.any():
-                yield a[ok] + i, b[ok] + j
+                a, b = a[ok], b[ok]
+            if len(a):
+                yield a + i, b + j, None
 
 
 def join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -208,6 +216,45 @@ def join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = up
 
 
+class Links:
+    """Links of the nodes, weighted by copies, and labels that tell which nodes they join."""
+
+    def __init__(self, copies: np.ndarray) -> None:
+        self.copies, self.links, self.label = copies, np.zeros(len(copies), np.int64), np.arange(len(copies))
+        self.held: list = []
+        self.many = 0
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Links a[k] with b[k]."""
+        for at, to in ((a, b), (b, a)):
+            first = int(at.min())
+            n = np.bincount(at - first, self.copies[to])
+            self.links[first : first + len(n)] += n.astype(np.int64)
+        apart = self.label[a] != self.label[b]
+        self.held.append((a[apart], b[apart]))
+        self.many += int(apart.sum())
+        if self.many > EDGES:
+            self.settle()
+
+    def block(self, a: np.ndarray, b: np.ndarray, which: np.ndarray) -> None:
+        """Links a[i] with b[j] where which[i, j]; of a, and of b, no node occurs twice."""
+        n = which.astype(np.float64)
+        self.links[a] += (n @ self.copies[b]).astype(np.int64)
+        self.links[b] += (self.copies[a] @ n).astype(np.int64)
+        rows, cols = np.flatnonzero(which.any(1)), np.flatnonzero(which.any(0))
+        p, q = self.label[a[rows]], self.label[b[cols]]
+        if len(p) and (p == p[0]).all() and (q == p[0]).all():
+            return
+        join(self.label, np.concatenate([a[rows], a[which[:, cols].argmax(0)]]), np.concatenate([b[which[rows].argmax(1)], b[cols]]))
+        i, j = np.nonzero(which & (self.label[a][:, None] != self.label[b]))
+        join(self.label, a[i], b[j])
+
+    def settle(self) -> None:
+        if self.held:
+            join(self.label, *(np.concatenate(h) for h in zip(*self.held, strict=True)))
+        self.held, self.many = [], 0
+
+
 def boxes_apart(low: np.ndarray, high: np.ndarray, low2: np.ndarray, high2: np.ndarray) -> np.ndarray:
     """Squared distance of each pair of boxes."""
     gap = np.maximum(np.maximum(low[:, None] - high2[None], low2[None] - high[:, None]), 0)
@@ -232,16 +279,7 @@ def _compare(axes, cosine: float, limit: float):
         one = Side([raw[i] for i in left], axes.value)
         two, shift = (one, 0) if own else (Side([raw[i] for i in right], axes.value), int(starts[right[0]]))
         near = boxes_apart(low[left], high[left], low[right], high[right]) <= limit
-        links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        held, many = [], 0
-
-        def settle() -> None:
-            nonlocal many
-            if held:
-                join(label, *(np.concatenate(h) for h in zip(*held, strict=True)))
-            held.clear()
-            many = 0
-
+        found = Links(copies)
         for i in left:
             meets = right[near[i]]
             meets = meets[meets >= i] if own else meets  # one block with itself: each pair once
@@ -249,22 +287,17 @@ def _compare(axes, cosine: float, limit: float):
                 continue
             mine = np.arange(starts[i], ends[i])
             others = np.concatenate([np.arange(starts[j], ends[j]) for j in meets])
-            for a, b in close_pairs(one.take(mine), two.take(others - shift), cosine):
+            for a, b, which in close_pairs(one.take(mine), two.take(others - shift), cosine):
                 a, b = mine[a], others[b]
+                if which is not None:
+                    found.block(a, b, which & (b > a[:, None]) if own and b[0] <= a[-1] else which)
+                    continue
                 if own:
                     a, b = a[b > a], b[b > a]
-                    if not len(a):
-                        continue
-                for at, to in ((a, b), (b, a)):
-                    first = int(at.min())
-                    n = np.bincount(at - first, copies[to])
-                    links[first : first + len(n)] += n.astype(np.int64)
-                apart = label[a] != label[b]
-                held.append((a[apart], b[apart]))
-                many += int(apart.sum())
-                if many > EDGES:
-                    settle()
-        settle()
+                if len(a):
+                    found.pairs(a, b)
+        found.settle()
+        links, label = found.links, found.label
         some, child = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(label)))
         out = pa.table({"_kind": pa.array(np.repeat([0, 1], [len(some), len(child)]), pa.int32()), "a": pa.array(np.concatenate([ids[some], ids[child]])), "b": pa.array(np.concatenate([links[some], ids[label[child]]]))})
         del group, names, raw, one, two
@@ -290,7 +323,8 @@ def near_vectors(embeddings: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     reps = written(rows.where("_same is not null").groupBy("_same").agg(F.min(F.struct("_id", "_x")).alias("_r"), F.count("*").alias("_copies")).select("_same", F.col("_r._id").alias("_rep"), F.col("_r._x").alias("_x"), "_copies"), "vectors")
     axes = spark.sparkContext.broadcast(principal_axes(reps, d))
     count = reps.count()
-    n = max(1, min(max(partitions(embeddings), -(-count // (2 * BLOCK))), -(-count // (4 * TILE))))
+    most = max(TILE, min(BLOCK, NUMBERS // max(d, 1)))
+    n = max(1, min(max(partitions(embeddings), -(-count // (2 * most))), -(-count // (4 * TILE))))
     placed = written(reps.select(F.array("_rep", "_copies").alias("_rep"), "_x").mapInArrow(_place(axes), "_rep array<long>, _cell int, _first double, _raw binary"), "placed")
     tiles = placed.repartitionByRange(n, "_cell", "_first").sortWithinPartitions("_cell", "_first", "_rep")
     tiles = tiles.mapInArrow(_tile(axes), "_tile long, _part int, _before long, _n long, _ids binary, _raw binary, _low array<double>, _high array<double>")
@@ -298,7 +332,7 @@ def near_vectors(embeddings: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     # blocks are stretches of the order of all tiles: one small row a partition tells how many rows come before it
     sizes = tiles.groupBy("_part").agg(F.sum("_n").alias("_m"))
     sizes = sizes.select("_part", (F.sum("_m").over(Window.orderBy("_part")) - F.col("_m")).alias("_base"))
-    full = max(TILE, min(BLOCK, -(-count // BLOCKS)))
+    full = max(TILE, min(most, -(-count // BLOCKS)))
     tiles = tiles.join(F.broadcast(sizes), "_part").withColumn("_block", F.floor((F.col("_base") + F.col("_before")) / full).cast("int")).drop("_part", "_base", "_before")
     box = tiles.select("_tile", "_block", "_low", "_high")
     # tiles meet in the cells of the first axes that their boxes, widened by the largest distance, cover
